@@ -11,7 +11,7 @@ from .accents import SPELLED, _single_map
 from .common import SPACE_CLASS
 from .contractions import _MARK, CANDIDATE, CONTRACTIONS
 from .html import _EDGES, _MARKUP_RUN, _SPACE_ENTITY, _entity_table
-from .text import DIGIT_PATTERN, EMAIL_PATTERN, URL_PATTERN
+from .text import CLEAN_STEPS, DIGIT_PATTERN, EMAIL_PATTERN, URL_PATTERN
 
 
 def _quoted(text: str) -> str:
@@ -92,9 +92,13 @@ def sql_bodies() -> dict[str, tuple[str, str]]:
         "get_hashtag": _tokens("#"),
         "get_mention": _tokens("@"),
     }
+    chain = "t"
+    for step in CLEAN_STEPS:
+        chain = f"{step.__name__}_udf({chain})"
     return {
         **{f"{name}_udf": ("STRING", body) for name, body in text.items()},
         **{f"{name}_udf": ("ARRAY<STRING>", body) for name, body in lists.items()},
+        "apply_all_udf": ("STRING", chain),
     }
 
 

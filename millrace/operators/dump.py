@@ -28,11 +28,17 @@ FLAT_RENAMES = {"type": "book_details_parse_type"}
 
 
 def json_is_valid(text: Column) -> Column:
-    """True for exactly one JSON value. Spark's parser stops behind the first value, so trailing
-    characters are caught by parsing the text inside a list and inside an object."""
-    in_list = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    in_object = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
-    return text.isNotNull() & in_list.isNotNull() & in_object.isNotNull()
+    """True for exactly one JSON value; repeated keys and NaN are accepted, single quotes are not.
+
+    The parser stops behind the first value, so characters that follow it are caught by parsing the
+    text once inside a list and once inside an object: no remainder fits into both.
+    """
+    strict = {"allowSingleQuotes": "false"}
+    in_list = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>", strict)
+    in_object = F.from_json(
+        F.concat(F.lit('{"v":'), text, F.lit("}")), "v STRING, _corrupt_record STRING", strict
+    )
+    return text.isNotNull() & (F.size(in_list) == 1) & in_object["_corrupt_record"].isNull()
 
 
 def _strip(text: Column) -> Column:

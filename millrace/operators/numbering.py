@@ -29,15 +29,12 @@ def number_rows(
     tagged = df.withColumn("_all", F.lit(0))
     part = keys or ["_all"]
     lead = order[0]
-    steps = [i / splits for i in range(1, splits)]
-    cuts = stage(
-        tagged.groupBy(*part)
-        .agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx(lead, steps, 10 * splits).alias("_cuts"))
-        .filter(F.col("_n") >= hot_rows)
-        .select(*[F.col(k).alias(f"_k_{k}") for k in part], "_cuts"),
-        "order-cuts",
+    names = [F.col(k).alias(f"_k_{k}") for k in part]
+    hot = stage(
+        tagged.groupBy(*part).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= hot_rows).select(*names),
+        "hot-keys",
     )
-    if cuts.isEmpty():
+    if hot.isEmpty():
         window = Window.partitionBy(*part).orderBy(*order)
         return tagged.withColumn(out, F.row_number().over(window)).drop("_all")
 
@@ -47,6 +44,15 @@ def number_rows(
             condition = condition & left[k].eqNullSafe(right[f"{prefix}{k}"])
         return condition
 
+    # Quantiles of the hot keys only: a sketch per key would be dear for many small keys.
+    steps = [i / splits for i in range(1, splits)]
+    cuts = stage(
+        tagged.join(hot, on_keys(tagged, hot, "_k_"), "left_semi")
+        .groupBy(*part)
+        .agg(F.percentile_approx(lead, steps, 10 * splits).alias("_cuts"))
+        .select(*names, "_cuts"),
+        "order-cuts",
+    )
     small_cuts = F.broadcast(cuts) if fits_broadcast(cuts) else cuts
     ranged = tagged.join(small_cuts, on_keys(tagged, cuts, "_k_"), "left").drop(*[f"_k_{k}" for k in part])
     bucket = F.when(F.col("_cuts").isNull(), F.lit(-1)).otherwise(

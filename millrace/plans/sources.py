@@ -161,7 +161,7 @@ def _exec_cache_coalesce(spark, sf):
 def _sink_record_per_file(spark, sf):
     path = fresh_dir(spark, "records")
     write_one_record_files(table(spark, sf, "benchmark"), path, "text")
-    return spark.read.option("wholetext", True).text(path).select(F.regexp_replace("value", "\n$", "").alias("value"))
+    return spark.read.text(path, wholetext=True).select(F.regexp_replace("value", "\n$", "").alias("value"))
 
 
 @query("sink_insert_overwrite", """
@@ -192,13 +192,14 @@ def _job_recompress(spark, sf):
 # --- articles --------------------------------------------------------------------------------------
 
 ARTICLE_TOKENS_SQL = (
-    "array_to_string(list_filter(regexp_extract_all(lower({0}), '[\\p{{L}}]+'), "
-    "lambda w: length(w) BETWEEN 2 AND 15), ' ')"
+    "list_filter(regexp_extract_all(lower({0}), '[\\p{{L}}\\p{{Nl}}\\p{{No}}_]+'), "
+    "lambda w: length(w) BETWEEN 2 AND 15 AND NOT starts_with(w, '_'))"
 )
 
 
 @query("job_article_text", f"""
-SELECT CAST(doc_id AS VARCHAR) AS title, {ARTICLE_TOKENS_SQL.format("text")} AS line FROM documents""")
+SELECT title, array_to_string(w, ' ') AS line FROM
+ (SELECT CAST(doc_id AS VARCHAR) AS title, {ARTICLE_TOKENS_SQL.format("text")} AS w FROM documents) WHERE len(w) >= 50""")
 def _job_article_text(spark, sf):
     """Documents as a wiki XML dump, read back page by page."""
     path = fresh_dir(spark, "wiki")
@@ -207,7 +208,7 @@ def _job_article_text(spark, sf):
         F.lit("<page><title>"), F.col("doc_id"), F.lit("</title><revision><text>"), body,
         F.lit("</text></revision></page>"),
     )
-    table(spark, sf, "documents").select(page.alias("value")).write.text(path)
+    table(spark, sf, "documents").select(page.alias("value")).write.text(path)  # as many files as tasks, no root tag
     return article_lines(read_wiki_xml(spark, path)).select("title", "line")
 
 
@@ -221,7 +222,8 @@ DECODED_HTML_SQL = (
 
 
 @query("job_article_html", f"""
-SELECT page_id, {ARTICLE_TOKENS_SQL.format(DECODED_HTML_SQL)} AS line FROM pages""")
+SELECT page_id, array_to_string(w, ' ') AS line FROM
+ (SELECT page_id, {ARTICLE_TOKENS_SQL.format(DECODED_HTML_SQL)} AS w FROM pages) WHERE len(w) >= 50""")
 def _job_article_html(spark, sf):
     return html_articles(table(spark, sf, "pages")).select("page_id", "line")
 

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 
 
 def insert_overwrite(df: DataFrame, table: str, partition_columns: list[str]) -> None:
-    """``INSERT OVERWRITE ... PARTITION`` by column name, replacing only the partitions at hand.
+    """``INSERT OVERWRITE ... PARTITION`` by column name. Only the partitions at hand are replaced when
+    the table says so (catalog.create_external_orc) or the session has dynamic overwrite.
 
     The rows arrive as they are distributed, so many tasks may add a file to one partition;
     ``layout.write_by_value`` is the form with few files.

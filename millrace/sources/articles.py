@@ -9,20 +9,34 @@ from ..functions.html import remove_html
 
 WIKI_PAGE = "title STRING, revision STRUCT<text: STRING>"
 
-# Tokens are runs of letters; tokens of 2 to 15 characters count.
-TOKEN_PATTERN = r"[\p{L}]+"
+# Tokens are runs of letters and underscores; those of 2 to 15 characters that do not
+# start with an underscore count, and an article needs 50 of them.
+TOKEN_PATTERN = r"[\p{L}\p{Nl}\p{No}_]+"
 TOKEN_MIN, TOKEN_MAX = 2, 15
+ARTICLE_MIN_TOKENS = 50
+# Innermost templates go first; this many nested levels are removed.
+TEMPLATE_LEVELS = 4
 
 
 def read_wiki_xml(spark: SparkSession, path, row_tag: str = "page") -> DataFrame:
-    """Columns ``title`` and ``text``; the reader splits large files between pages."""
-    pages = spark.read.format("xml").option("rowTag", row_tag).schema(WIKI_PAGE).load(path)
-    return pages.select("title", F.col("revision.text").alias("text"))
+    """Columns ``title`` and ``text``, one row per page.
+
+    The end tag serves as the line separator of the text source, so one large dump (plain or bzip2)
+    is split between pages and read by many tasks; a damaged page gives NULLs and harms no other.
+    """
+    chunks = spark.read.text(path, lineSep=f"</{row_tag}>")
+    start = F.locate(f"<{row_tag}>", F.col("value"))
+    page = F.concat(F.substring(F.col("value"), start, F.length("value")), F.lit(f"</{row_tag}>"))
+    record = F.from_xml(page, WIKI_PAGE, {"rowTag": row_tag})
+    pages = chunks.filter(start > 0).select(record.alias("page"))
+    return pages.select("page.title", F.col("page.revision.text").alias("text"))
 
 
 def _plain_wiki(text: Column) -> Column:
     """Drop the common wiki markup: templates, references, link targets, emphasis."""
-    bare = F.regexp_replace(text, r"\{\{[^{}]*\}\}", " ")
+    bare = text
+    for _ in range(TEMPLATE_LEVELS):
+        bare = F.regexp_replace(bare, r"\{\{[^{}]*+\}\}", " ")
     bare = F.regexp_replace(bare, r"(?s)<ref[^>/]*>.*?</ref>", " ")
     bare = F.regexp_replace(bare, r"<[^>]*>", " ")
     bare = F.regexp_replace(bare, r"\[\[(?:[^\[\]|]*\|)?([^\[\]|]*)\]\]", "$1")
@@ -31,13 +45,22 @@ def _plain_wiki(text: Column) -> Column:
 
 def article_tokens(text: Column) -> Column:
     words = F.regexp_extract_all(F.lower(text), F.lit(TOKEN_PATTERN), F.lit(0))
-    return F.filter(words, lambda w: F.length(w).between(TOKEN_MIN, TOKEN_MAX))
+    return F.filter(words, lambda w: F.length(w).between(TOKEN_MIN, TOKEN_MAX) & ~w.startswith("_"))
+
+
+def _as_lines(articles: DataFrame, text: Column, out: str, min_tokens: int) -> DataFrame:
+    tokens = articles.withColumn("_tokens", article_tokens(text)).filter(F.size("_tokens") >= min_tokens)
+    return tokens.withColumn(out, F.array_join("_tokens", " ")).drop("_tokens")
 
 
-def article_lines(articles: DataFrame, text: str = "text", out: str = "line") -> DataFrame:
-    """Replace the article body by its tokens joined with one space."""
-    return articles.withColumn(out, F.array_join(article_tokens(_plain_wiki(F.col(text))), " "))
+def article_lines(
+    articles: DataFrame, text: str = "text", out: str = "line", min_tokens: int = ARTICLE_MIN_TOKENS
+) -> DataFrame:
+    """Add the article's tokens joined with one space; short articles are left out."""
+    return _as_lines(articles, _plain_wiki(F.col(text)), out, min_tokens)
 
 
-def html_articles(pages: DataFrame, html: str = "html", out: str = "line") -> DataFrame:
-    return pages.withColumn(out, F.array_join(article_tokens(remove_html(F.col(html))), " "))
+def html_articles(
+    pages: DataFrame, html: str = "html", out: str = "line", min_tokens: int = ARTICLE_MIN_TOKENS
+) -> DataFrame:
+    return _as_lines(pages, remove_html(F.col(html)), out, min_tokens)
