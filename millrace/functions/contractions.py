@@ -37,9 +37,10 @@ CONTRACTIONS = {
     "gimme": "give me", "gonna": "going to", "gotta": "got to", "lemme": "let me", "wanna": "want to",
 }
 
-# Words that can be contractions: letters with an apostrophe, or one of the joined forms.
+# Words that can be contractions: letters with an apostrophe, or one of the joined forms. The search
+# starts at the beginning of a word only, which keeps long words linear.
 _JOINED = "|".join(word for word in CONTRACTIONS if "'" not in word)
-CANDIDATE = rf"([A-Za-z]*'[A-Za-z']*|\b(?i:{_JOINED})\b)"
+CANDIDATE = rf"((?<![A-Za-z'])[A-Za-z]*+'[A-Za-z']*+|\b(?i:{_JOINED})\b)"
 _MARK = "\u0001"
 
 

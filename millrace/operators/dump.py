@@ -28,7 +28,7 @@ FLAT_RENAMES = {"type": "book_details_parse_type"}
 
 
 def json_is_valid(text: Column) -> Column:
-    """True for exactly one JSON value; repeated keys and NaN are accepted, single quotes are not.
+    """True for exactly one JSON value, false for a missing text too; repeated keys and NaN are accepted, single quotes are not.
 
     The parser stops behind the first value, so characters that follow it are caught by parsing the
     text once inside a list and once inside an object: no remainder fits into both.
@@ -38,7 +38,7 @@ def json_is_valid(text: Column) -> Column:
     in_object = F.from_json(
         F.concat(F.lit('{"v":'), text, F.lit("}")), "v STRING, _corrupt_record STRING", strict
     )
-    return text.isNotNull() & (F.size(in_list) == 1) & in_object["_corrupt_record"].isNull()
+    return F.coalesce((F.size(in_list) == 1) & in_object["_corrupt_record"].isNull(), F.lit(False))
 
 
 def _strip(text: Column) -> Column:
@@ -66,7 +66,7 @@ def typed_lines(lines: DataFrame, value: str = "value") -> DataFrame:
         split_lines(lines, value)
         .withColumn("upload_datetime", lenient_timestamp(F.col("upload_date")))
         .withColumn("version", F.col("version").try_cast("int"))
-        .withColumn("is_valid_json", F.coalesce(json_is_valid(F.col("book_details")), F.lit(False)))
+        .withColumn("is_valid_json", json_is_valid(F.col("book_details")))
         .drop("upload_date")
     )
 

@@ -64,7 +64,7 @@ def _parse_split_line(spark, sf):
 SELECT event_id, json_valid(book_details) AS is_valid_json FROM {LINES_SQL}""")
 def _json_valid(spark, sf):
     return table(spark, sf, "events").select(
-        "event_id", F.coalesce(json_is_valid(F.expr(DETAILS)), F.lit(False)).alias("is_valid_json")
+        "event_id", json_is_valid(F.expr(DETAILS)).alias("is_valid_json")
     )
 
 
