@@ -7,7 +7,7 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .common import let
+from .common import is_ascii, let, per_word
 
 # Characters that Unicode does not decompose to one ASCII letter, with their usual spelling.
 SPELLED = {
@@ -41,12 +41,18 @@ def _single_map() -> tuple[str, str]:
 def remove_accented_chars(text: Column) -> Column:
     source, target = _single_map()
 
-    def to_ascii(t: Column) -> Column:
-        out = F.translate(t, source, target)
+    def spell(t: Column) -> Column:
         for sign, spelling in SPELLED.items():
             if len(spelling) > 1:
-                out = F.replace(out, F.lit(sign), F.lit(spelling))
-        return out
+                t = F.replace(t, F.lit(sign), F.lit(spelling))
+        return t
 
-    # Pure ASCII text, the common case, skips the work.
-    return let(text, lambda t: F.when(F.octet_length(t) > F.char_length(t), to_ascii(t)).otherwise(t))
+    def to_ascii(t: Column) -> Column:
+        # One pass for the single letters; what is left needs the spelled forms, in few words.
+        rest = lambda word: ~is_ascii(word)
+        return let(
+            F.translate(t, source, target), lambda u: F.when(is_ascii(u), u).otherwise(per_word(u, rest, spell))
+        )
+
+    # Plain ASCII text, the common case, skips the work.
+    return let(text, lambda t: F.when(is_ascii(t), t).otherwise(to_ascii(t)))

@@ -7,7 +7,7 @@ import json
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .common import let
+from .common import let, per_word
 
 # The public list of English contractions.
 CONTRACTIONS = {
@@ -37,25 +37,44 @@ CONTRACTIONS = {
     "gimme": "give me", "gonna": "going to", "gotta": "got to", "lemme": "let me", "wanna": "want to",
 }
 
-# Words that can be contractions: letters with an apostrophe, or one of the joined forms. The search
-# starts at the beginning of a word only, which keeps long words linear.
-_JOINED = "|".join(word for word in CONTRACTIONS if "'" not in word)
-CANDIDATE = rf"((?<![A-Za-z'])[A-Za-z]*+'[A-Za-z']*+|\b(?i:{_JOINED})\b)"
+_JOINED = [word for word in CONTRACTIONS if "'" not in word]
+# Letters with an apostrophe, from the beginning of a word only (long words stay linear).
+APOSTROPHE_WORD = r"((?<![A-Za-z'])[A-Za-z]*+'[A-Za-z']*+)"
+_INITIALS = "".join(sorted({c for word in _JOINED for c in (word[0], word[0].upper())}))
+JOINED_WORD = rf"(?=[{_INITIALS}])\b((?i:{'|'.join(_JOINED)}))\b"
 _MARK = "\u0001"
 
 
-def expand_contractions(text: Column) -> Column:
-    """Whole words only; a capital first letter stays a capital."""
+def _replace_words(text: Column, pattern: str) -> Column:
+    """Look up every match of ``pattern``; an unknown word stays, a capital first letter stays a capital."""
     table = F.from_json(F.lit(json.dumps(CONTRACTIONS)), "map<string,string>")
 
     def word(token: Column) -> Column:
-        full = F.element_at(table, F.lower(token))
-        capital = F.substring(token, 1, 1).rlike("^[A-Z]$")
-        cased = F.when(capital, F.concat(F.upper(F.substring(full, 1, 1)), F.substring(full, 2, 64))).otherwise(full)
-        return F.coalesce(cased, token)
+        def cased(full: Column) -> Column:
+            capital = F.substring(token, 1, 1).rlike("^[A-Z]$")
+            upper = F.concat(F.upper(F.substring(full, 1, 1)), F.substring(full, 2, 64))
+            return F.when(full.isNull(), token).when(capital, upper).otherwise(full)
+
+        return let(F.element_at(table, F.lower(token)), cased)
+
+    marked = F.regexp_replace(text, pattern, f"{_MARK}$1{_MARK}")
+    return F.array_join(F.transform(F.split(marked, _MARK), word), "")
+
+
+def expand_contractions(text: Column) -> Column:
+    """Whole words only; a capital first letter stays a capital."""
+
+    def with_apostrophe(t: Column) -> Column:
+        words = per_word(t, lambda w: w.contains("'"), lambda w: _replace_words(w, APOSTROPHE_WORD))
+        return F.when(t.contains("'"), words).otherwise(t)
+
+    def joined(t: Column) -> Column:
+        def any_joined(lowered: Column) -> Column:
+            hit = F.lit(False)
+            for word in _JOINED:
+                hit = hit | lowered.contains(word)
+            return hit
 
-    def expand(t: Column) -> Column:
-        marked = F.regexp_replace(t, CANDIDATE, f"{_MARK}$1{_MARK}")
-        return F.array_join(F.transform(F.split(marked, _MARK), word), "")
+        return F.when(let(F.lower(t), any_joined), _replace_words(t, JOINED_WORD)).otherwise(t)
 
-    return let(text, lambda t: F.when(t.rlike(CANDIDATE), expand(t)).otherwise(t))
+    return let(let(text, with_apostrophe), joined)

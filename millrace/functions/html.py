@@ -8,20 +8,20 @@ from html.entities import name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .common import SPACE_CLASS, let
-
-# Possessive groups run as loops in Java, so a page with thousands of adjacent tags cannot overflow the stack.
-_TAG = r"""</?[A-Za-z](?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
-_DECLARATION = r"<[!?][A-Za-z][^>]*+>"
-_HIDDEN = (
-    r"<!--.*?-->"
-    r"|<(?i:script)\b[^>]*+>.*?</(?i:script)\s*>"
-    r"|<(?i:style)\b[^>]*+>.*?</(?i:style)\s*>"
-    r"|<(?i:template)\b[^>]*+>.*?</(?i:template)\s*>"
+from .common import let, strip
+
+# Every alternative starts at one literal character, so other positions cost next to nothing. Possessive
+# groups run as loops in Java: a tag with thousands of attributes cannot overflow the stack.
+_MARKUP = (
+    r"(?s)<(?:"
+    r"!--.*?-->"
+    r"|(?i:script)\b[^>]*+>.*?</(?i:script)\s*>"
+    r"|(?i:style)\b[^>]*+>.*?</(?i:style)\s*>"
+    r"|(?i:template)\b[^>]*+>.*?</(?i:template)\s*>"
+    r"|[!?][A-Za-z][^>]*+>"
+    r"""|/?[A-Za-z](?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+    r")"
 )
-# White space next to markup belongs to the markup: text nodes are stripped, empty ones vanish.
-_MARKUP_RUN = rf"(?s)(?<![{SPACE_CLASS}])[{SPACE_CLASS}]*+(?:(?:{_HIDDEN}|{_DECLARATION}|{_TAG})[{SPACE_CLASS}]*+)++"
-_EDGES = rf"^[{SPACE_CLASS}]++|(?<![{SPACE_CLASS}])[{SPACE_CLASS}]++$"
 _SPACE_ENTITY = r"&(?:nbsp|#160|#[xX]0*[aA]0);"
 
 
@@ -64,15 +64,22 @@ def _decode_piece(piece: Column) -> Column:
 def decode_entities(text: Column) -> Column:
     """Named and numeric entities, each decoded once: ``&amp;lt;`` ends as ``&lt;``."""
 
+    def piece(p: Column, i: Column) -> Column:
+        return F.when(i == 0, p).otherwise(_decode_piece(F.concat(F.lit("&"), p)))
+
     def decode(t: Column) -> Column:
-        pieces = F.transform(F.split(t, "(?=&)"), _decode_piece)
-        return F.when(t.contains("&"), F.array_join(pieces, "")).otherwise(t)
+        return F.when(t.contains("&"), F.array_join(F.transform(F.split(t, "&"), piece), "")).otherwise(t)
 
     return let(text, decode)
 
 
 def remove_html(text: Column) -> Column:
     """Text nodes without scripts, styles and comments: stripped, joined by one space, entities decoded."""
-    spaced = F.regexp_replace(text, _SPACE_ENTITY, " ")
-    nodes = let(spaced, lambda t: F.when(t.contains("<"), F.regexp_replace(t, _MARKUP_RUN, " ")).otherwise(t))
-    return decode_entities(F.regexp_replace(nodes, _EDGES, ""))
+
+    def visible(t: Column) -> Column:
+        # A space entity at the edge of a node is stripped like a space.
+        spaced = F.when(t.contains("&"), F.regexp_replace(t, _SPACE_ENTITY, "\u00a0")).otherwise(t)
+        nodes = F.filter(F.transform(F.split(spaced, _MARKUP), strip), lambda node: node != "")
+        return F.when(t.contains("<"), F.array_join(nodes, " ")).otherwise(strip(spaced))
+
+    return decode_entities(let(text, visible))

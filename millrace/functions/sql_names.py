@@ -3,15 +3,13 @@ so nested calls in SQL text run without a Python worker."""
 
 from __future__ import annotations
 
-import string
-
 from pyspark.sql import SparkSession
 
 from .accents import SPELLED, _single_map
-from .common import SPACE_CLASS
-from .contractions import _MARK, CANDIDATE, CONTRACTIONS
-from .html import _EDGES, _MARKUP_RUN, _SPACE_ENTITY, _entity_table
-from .text import CLEAN_STEPS, DIGIT_PATTERN, EMAIL_PATTERN, URL_PATTERN
+from .common import SPACE_CHARS, SPACE_CLASS
+from .contractions import _MARK, APOSTROPHE_WORD, CONTRACTIONS, JOINED_WORD
+from .html import _MARKUP, _SPACE_ENTITY, _entity_table
+from .text import CLEAN_STEPS, DIGIT_PATTERN, EMAIL_PATTERN, NOT_ASCII_PATTERN, PUNCTUATION_PATTERN, URL_PATTERN
 
 
 def _quoted(text: str) -> str:
@@ -37,13 +35,19 @@ def _accents(text: str) -> str:
     return f"CASE WHEN octet_length({text}) > char_length({text}) THEN {body} ELSE {text} END"
 
 
-def _contractions(text: str) -> str:
+def _per_word(text: str, sign: str, change: str) -> str:
+    """``change`` is an expression over the word ``x``."""
+    words = f"transform(split({text}, ' '), x -> CASE WHEN contains(x, {_quoted(sign)}) THEN {change} ELSE x END)"
+    return f"array_join({words}, ' ')"
+
+
+def _known_words(text: str, pattern: str) -> str:
     full = f"element_at({_map(CONTRACTIONS)}, lower(w))"
     word = (
         f"coalesce(CASE WHEN w RLIKE '^[A-Z]' THEN concat(upper(substr({full}, 1, 1)), substr({full}, 2)) "
         f"ELSE {full} END, w)"
     )
-    marked = _swap(text, CANDIDATE, f"{_MARK}$1{_MARK}")
+    marked = _swap(text, pattern, f"{_MARK}$1{_MARK}")
     return f"array_join(transform(split({marked}, {_quoted(_MARK)}), w -> {word}), '')"
 
 
@@ -66,29 +70,40 @@ def _entities(text: str) -> str:
     return f"array_join(transform(split({text}, '(?=&)'), p -> {piece}), '')"
 
 
+def _visible(text: str) -> str:
+    edges = _quoted(SPACE_CHARS)
+    spaced = _swap(text, _SPACE_ENTITY, "\u00a0")
+    nodes = f"transform(split({spaced}, {_quoted(_MARKUP)}), n -> trim(BOTH {edges} FROM n))"
+    return f"array_join(filter({nodes}, n -> n <> ''), ' ')"
+
+
+def _words_with(sign: str) -> str:
+    return f"filter(split(t, ' '), x -> contains(x, '{sign}'))"
+
+
 def _tokens(sign: str) -> str:
-    return f"filter(split(t, {_quoted(f'[{SPACE_CLASS}]+')}), x -> startswith(x, '{sign}'))"
+    parts = f"transform({_words_with(sign)}, x -> split(x, {_quoted(f'[{SPACE_CLASS}]+')}))"
+    return f"filter(flatten({parts}), x -> startswith(x, '{sign}'))"
 
 
 def sql_bodies() -> dict[str, tuple[str, str]]:
     """Name to (result type, body over the parameter ``t``)."""
-    nodes = _swap(_swap(_swap("t", _SPACE_ENTITY, " "), _MARKUP_RUN, " "), _EDGES)
     text = {
-        "remove_html": _entities(nodes),
+        "remove_html": _entities(_visible("t")),
         "remove_accented_chars": _accents("t"),
-        "remove_tabs": r"translate(t, '\t\r\n', '   ')",
+        "remove_tabs": r"replace(replace(replace(t, '\t', ' '), '\r', ' '), '\n', ' ')",
         "remove_blanks": _swap("t", " {2,}", " "),
         "remove_digits": _swap("t", DIGIT_PATTERN),
-        "remove_all_punctuation": f"translate(t, {_quoted(string.punctuation)}, '')",
+        "remove_all_punctuation": _swap("t", PUNCTUATION_PATTERN),
         "remove_special_characters": _swap("t", f"[^a-zA-z0-9{SPACE_CLASS}]"),
-        "ascii_to_string": _swap("t", r"[^\x00-\x7F]|\?"),
+        "ascii_to_string": _swap("t", NOT_ASCII_PATTERN),
         "to_lower": "lower(t)",
         "remove_url": _swap("t", URL_PATTERN),
-        "remove_email_address": _swap("t", EMAIL_PATTERN),
-        "expand_contractions": _contractions("t"),
+        "remove_email_address": _per_word("t", "@", _swap("x", EMAIL_PATTERN)),
+        "expand_contractions": _known_words(_per_word("t", "'", _known_words("x", APOSTROPHE_WORD)), JOINED_WORD),
     }
     lists = {
-        "get_email_address": f"regexp_extract_all(t, {_quoted(EMAIL_PATTERN)}, 1)",
+        "get_email_address": f"flatten(transform({_words_with('@')}, x -> regexp_extract_all(x, {_quoted(EMAIL_PATTERN)}, 1)))",
         "get_hashtag": _tokens("#"),
         "get_mention": _tokens("@"),
     }

@@ -2,31 +2,33 @@
 
 from __future__ import annotations
 
-import string
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .accents import remove_accented_chars
-from .common import SPACE_CLASS, WORD_CLASS, null_as_text
+from .common import SPACE_CLASS, WORD_CLASS, let, null_as_text, per_word
 from .contractions import expand_contractions
 from .html import remove_html
 
 # The schemes, the address shape and the digit groups that count.
 URL_PATTERN = (
-    r"(?:http|https|ftp|ssh|sftp|www)://"
+    r"(?=[hfsw])(?:http|https|ftp|ssh|sftp|www)://"
     rf"[{WORD_CLASS}-]++(?:\.[{WORD_CLASS}-]++)++"
     rf"(?:[{WORD_CLASS}.,@?^=%&:/~+#-]*[{WORD_CLASS}@?^=%&/~+#-])?"
 )
 # An address is looked for only at the start of a run of its characters (or right behind the last
 # match), which keeps a long run without an at-sign linear.
 EMAIL_PATTERN = r"((?:(?<![a-z0-9+._-])|\G)[a-z0-9+._-]++@[a-z0-9+._-]+\.[a-z0-9+_-]+)"
+PUNCTUATION_PATTERN = r"[!-/:-@\[-`{-~]"
+NOT_ASCII_PATTERN = r"[?\x80-\x{10FFFF}]"
 DIGIT_PATTERN = r"\p{Nd}[./:-]\p{Nd}|\p{Nd}"
 
 
 def remove_tabs(text: Column) -> Column:
     """Tab, carriage return and line feed become one space each."""
-    return F.translate(text, "\t\r\n", "   ")
+    for sign in "\t\r\n":
+        text = F.replace(text, F.lit(sign), F.lit(" "))
+    return text
 
 
 def remove_blanks(text: Column) -> Column:
@@ -39,12 +41,12 @@ def remove_digits(text: Column) -> Column:
 
 
 def remove_all_punctuation(text: Column) -> Column:
-    return F.translate(text, string.punctuation, "")
+    return F.regexp_replace(text, PUNCTUATION_PATTERN, "")
 
 
 def ascii_to_string(text: Column) -> Column:
     """Keep ASCII; genuine question marks go as well."""
-    return F.regexp_replace(text, r"[^\x00-\x7F]|\?", "")
+    return F.regexp_replace(text, NOT_ASCII_PATTERN, "")
 
 
 def remove_special_characters(text: Column, remove_digits: bool = False, strict: bool = False) -> Column:
@@ -68,16 +70,31 @@ def _email_pattern(ignore_case: bool) -> str:
     return f"(?i){EMAIL_PATTERN}" if ignore_case else EMAIL_PATTERN
 
 
+def _has_at(text: Column) -> Column:
+    return text.contains("@")
+
+
 def remove_email_address(text: Column, ignore_case: bool = False) -> Column:
-    return F.regexp_replace(text, _email_pattern(ignore_case), "")
+    def remove(word: Column) -> Column:
+        return F.regexp_replace(word, _email_pattern(ignore_case), "")
+
+    return let(text, lambda t: F.when(_has_at(t), per_word(t, _has_at, remove)).otherwise(t))
+
+
+def _words_with(text: Column, sign: str) -> Column:
+    return F.filter(F.split(text, " "), lambda word: word.contains(sign))
 
 
 def get_email_address(text: Column, ignore_case: bool = False) -> Column:
-    return F.regexp_extract_all(text, F.lit(_email_pattern(ignore_case)), F.lit(1))
+    pattern = F.lit(_email_pattern(ignore_case))
+    found = F.transform(_words_with(text, "@"), lambda word: F.regexp_extract_all(word, pattern, F.lit(1)))
+    return F.flatten(found)
 
 
 def _tokens_starting(text: Column, sign: str) -> Column:
-    return F.filter(F.split(text, rf"[{SPACE_CLASS}]+"), lambda token: token.startswith(sign))
+    """Tokens between white space of any kind; only the parts around ``sign`` are looked at closely."""
+    parts = F.transform(_words_with(text, sign), lambda word: F.split(word, rf"[{SPACE_CLASS}]+"))
+    return F.filter(F.flatten(parts), lambda token: token.startswith(sign))
 
 
 def get_hashtag(text: Column) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from .accents import SPELLED, _decomposed_letters
-from .contractions import CANDIDATE, CONTRACTIONS
+from .contractions import APOSTROPHE_WORD, CONTRACTIONS, JOINED_WORD
 
 _URL = re.compile(
     r"(?:http|https|ftp|ssh|sftp|www)://[\w-]+(?:\.[\w-]+)+(?:[\w.,@?^=%&:/~+#-]*[\w@?^=%&/~+#-])?"
@@ -23,7 +23,7 @@ _MARKUP = re.compile(
     re.DOTALL | re.IGNORECASE,
 )
 _EMAIL = re.compile(r"[a-z0-9+._-]+@[a-z0-9+._-]+\.[a-z0-9+_-]+")
-_WORD = re.compile(CANDIDATE.replace("(?i:", "(?:"))
+_WORD = re.compile(f"{APOSTROPHE_WORD}|{JOINED_WORD}")
 _ASCII = str.maketrans({**_decomposed_letters(), **SPELLED, "\t": " ", "\r": " ", "\n": " "})
 _PUNCTUATION = str.maketrans("", "", string.punctuation)
 
