@@ -41,7 +41,7 @@ _JOINED = [word for word in CONTRACTIONS if "'" not in word]
 # Letters with an apostrophe, from the beginning of a word only (long words stay linear).
 APOSTROPHE_WORD = r"((?<![A-Za-z'])[A-Za-z]*+'[A-Za-z']*+)"
 _INITIALS = "".join(sorted({c for word in _JOINED for c in (word[0], word[0].upper())}))
-JOINED_WORD = rf"(?=[{_INITIALS}])\b((?i:{'|'.join(_JOINED)}))\b"
+JOINED_WORD = rf"(?=[{_INITIALS}])(?<!')\b((?i:{'|'.join(_JOINED)}))\b(?!')"
 _MARK = "\u0001"
 
 

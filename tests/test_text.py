@@ -4,7 +4,7 @@ import json
 import re
 import string
 
-from hypothesis import given, settings
+from hypothesis import Phase, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -52,7 +52,7 @@ def run(spark, rows, columns):
     return df.select("i", "t", *[c.alias(n) for n, c in columns.items()]).orderBy("i").collect()
 
 
-@settings(max_examples=6, deadline=None)
+@settings(max_examples=6, deadline=None, phases=[Phase.generate])
 @given(batches)
 def test_like_python(spark, rows):
     columns = {name: function(F.col("t")) for name, (function, _) in EXPECTED.items()}
@@ -159,7 +159,7 @@ JSONISH = st.one_of(
 )
 
 
-@settings(max_examples=6, deadline=None)
+@settings(max_examples=6, deadline=None, phases=[Phase.generate])
 @given(st.lists(st.tuples(JSONISH, st.text('{}[]":,1 ', max_size=3)).map("".join), min_size=30, max_size=60))
 def test_json_validity_like_python(spark, rows):
     def valid(t):
