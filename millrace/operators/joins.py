@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..workspace import fits_broadcast, stage
+from ..workspace import fits_broadcast
 from .keys import HOT_ROWS, hot_keys
 
 # Replicas of a large left side in the salted form.
@@ -39,17 +39,19 @@ def left_join_hot_right(
     Adaptive execution cannot split the right side of a left outer join. Hot keys are taken from the
     right side, so every left row that carries one has a match and an inner join is exact for them:
     the few left rows are broadcast when their measured size allows it, else the pair is salted.
-    All other rows take the ordinary left join. Without hot keys that join is all there is.
+    All other rows take the ordinary left join. Without hot keys that join is all there is. It is a
+    shuffle join by choice: the right side is a fact table, and the compressed size of its files,
+    which Catalyst goes by, says little about what a broadcast of it would take.
 
     ``hot`` may hold known hot keys (column ``hot_key``); each must occur in ``right``.
     """
     keys = hot if hot is not None else hot_keys(right, right_key, hot_rows)
     if keys.isEmpty():
-        return left.join(right, left[left_key] == right[right_key], "left")
+        return join_by_merge(left, right, left_key, right_key)
 
     left_is_hot = left[left_key] == keys["hot_key"]
     right_is_hot = right[right_key] == keys["hot_key"]
-    hot_left = stage(left.join(keys, left_is_hot, "left_semi"), "hot-left")
+    hot_left = left.join(keys, left_is_hot, "left_semi")
     hot_right = right.join(keys, right_is_hot, "left_semi")
     if fits_broadcast(hot_left):
         small = F.broadcast(hot_left)
@@ -60,7 +62,7 @@ def left_join_hot_right(
     # The anti join keeps a left row without a key; a bare NOT IN would lose it.
     cold_left = left.join(keys, left_is_hot, "left_anti")
     cold_right = right.join(keys, right_is_hot, "left_anti")
-    cold_part = cold_left.join(cold_right, cold_left[left_key] == cold_right[right_key], "left")
+    cold_part = join_by_merge(cold_left, cold_right, left_key, right_key)
     return hot_part.select(*left.columns, *right.columns).unionByName(
         cold_part.select(*left.columns, *right.columns)
     )

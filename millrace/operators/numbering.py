@@ -30,11 +30,10 @@ def number_rows(
     part = keys or ["_all"]
     lead = order[0]
     names = [F.col(k).alias(f"_k_{k}") for k in part]
-    hot = stage(
-        tagged.groupBy(*part).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= hot_rows).select(*names),
-        "hot-keys",
-    )
-    if hot.isEmpty():
+    counts = tagged.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
+    small = df.count() < hot_rows  # too few rows for any hot key: footers tell
+    hot = None if small else stage(counts.filter(F.col("_n") >= hot_rows).select(*names), "hot-keys")
+    if hot is None or hot.isEmpty():
         window = Window.partitionBy(*part).orderBy(*order)
         return tagged.withColumn(out, F.row_number().over(window)).drop("_all")
 

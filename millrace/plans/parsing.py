@@ -10,7 +10,7 @@ from ..operators.dump import (
 )
 from ..sinks import write_bounded
 from ..workspace import fresh_dir, stage
-from .registry import query, table
+from .registry import query, table, wide_table
 
 # Kinds of lines by event: good, double tab and a tab inside the JSON, cut JSON, four fields, no version,
 # bad time, trailing text, odd field names. The same expression is SQL for both engines.
@@ -30,7 +30,7 @@ VERSION = f"CASE WHEN {KIND} = 4 THEN ' ' ELSE CAST(user_id AS STRING) END"
 
 def dump_lines(spark, sf):
     tab = F.lit("\t")
-    events = table(spark, sf, "events")
+    events = wide_table(spark, sf, "events", "event_id", "event_type", "user_id", "ts", "props")
     gap = F.when(F.expr(KIND) == 1, "\t\t\t").otherwise("\t")
     line = F.concat(
         F.lit("/type/"), F.col("event_type"), gap, F.lit(" /books/"), F.col("event_id"), F.lit(" "), tab,

@@ -13,7 +13,7 @@ from ..sources import (
     read_json_lines, read_lines, read_orc, read_table, read_wiki_xml, recompress_lines, row_range, use_database,
 )
 from ..workspace import fresh_dir
-from .registry import query, table
+from .registry import query, table, wide_table
 from .sales import sales_tables
 
 
@@ -208,7 +208,8 @@ def _job_article_text(spark, sf):
         F.lit("<page><title>"), F.col("doc_id"), F.lit("</title><revision><text>"), body,
         F.lit("</text></revision></page>"),
     )
-    table(spark, sf, "documents").select(page.alias("value")).write.text(path)  # as many files as tasks, no root tag
+    documents = wide_table(spark, sf, "documents", "doc_id", "text")
+    documents.select(page.alias("value")).write.text(path)  # as many files as tasks, no root tag
     return article_lines(read_wiki_xml(spark, path)).select("title", "line")
 
 
@@ -225,9 +226,9 @@ DECODED_HTML_SQL = (
 SELECT page_id, array_to_string(w, ' ') AS line FROM
  (SELECT page_id, {ARTICLE_TOKENS_SQL.format(DECODED_HTML_SQL)} AS w FROM pages) WHERE len(w) >= 50""")
 def _job_article_html(spark, sf):
-    return html_articles(table(spark, sf, "pages")).select("page_id", "line")
+    return html_articles(wide_table(spark, sf, "pages", "page_id", "html")).select("page_id", "line")
 
 
 @query("text_remove_html", f"SELECT page_id, {DECODED_HTML_SQL} AS clean FROM pages")
 def _text_remove_html(spark, sf):
-    return table(spark, sf, "pages").select("page_id", remove_html(F.col("html")).alias("clean"))
+    return wide_table(spark, sf, "pages", "page_id", "html").select("page_id", remove_html(F.col("html")).alias("clean"))

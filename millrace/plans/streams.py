@@ -9,7 +9,7 @@ from ..streaming import (
     track_stream,
 )
 from ..workspace import fresh_dir
-from .registry import query, table
+from .registry import query, table, wide_table
 
 RECORD = "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE"
 RECORD_COLUMNS = ["event_id", "user_id", "event_type", "value"]
@@ -27,7 +27,7 @@ def record_files(spark, sf, damage: bool = False):
     """The events as published records; with ``damage`` every eleventh payload is plain JSON and every
     thirteenth is cut."""
     path = fresh_dir(spark, "shards")
-    events = table(spark, sf, "events").select(*RECORD_COLUMNS)
+    events = wide_table(spark, sf, "events", *RECORD_COLUMNS)
     if not damage:
         to_records(events, 2).write.partitionBy("shard").parquet(path)
         return path

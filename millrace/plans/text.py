@@ -14,7 +14,7 @@ from ..schemas import TWEET
 from ..sinks import write_bounded
 from ..sources import read_json_lines
 from ..workspace import fresh_dir
-from .registry import query, table
+from .registry import query, table, wide_table
 
 # Social-media features behind every document. The same text is SQL for both engines; chr(39) is the apostrophe.
 POST = """
@@ -26,7 +26,8 @@ text || ' <b>bold &amp; caf&eacute; &#233;</b> Don' || chr(39) || 't it' || chr(
 
 
 def posts(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", "lang", F.expr(POST).alias("post"))
+    documents = wide_table(spark, sf, "documents", "doc_id", "lang", "text")
+    return documents.select("doc_id", "lang", F.expr(POST).alias("post"))
 
 
 POSTS_SQL = f"(SELECT doc_id, lang, {POST} AS post FROM documents)"

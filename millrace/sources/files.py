@@ -30,3 +30,13 @@ def read_lines(spark: SparkSession, path) -> DataFrame:
 
 def row_range(spark: SparkSession, rows: int, column: str = "id") -> DataFrame:
     return spark.range(rows).toDF(column)
+
+
+def widen(df: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Spread a scan of few, large pieces over all cores before costly work per row.
+
+    A small table, or one stored as a single row group or gzip file, is read by few tasks. A scan that
+    already has a task per core, as any large table, is returned as it is.
+    """
+    wanted = tasks or df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
