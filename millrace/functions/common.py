@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 # Character classes that mean the same in Java and in RE2.
 SPACE_CLASS = r"\t-\r\x1c-\x1f\x85\p{Z}"
 WORD_CLASS = r"\p{L}\p{N}_"
+# A code point that Unicode reserves as no character: marks places inside a text while it is worked on.
+MARK = "\uffff"
 # The same white space as single characters, for trimming.
 SPACE_CHARS = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"

@@ -8,7 +8,7 @@ from html.entities import name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .common import let, strip
+from .common import MARK, let, strip
 
 # Every alternative starts at one literal character, so other positions cost next to nothing. Possessive
 # groups run as loops in Java: a tag with thousands of attributes cannot overflow the stack.
@@ -48,27 +48,24 @@ def _char(point: Column) -> Column:
     return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32"))
 
 
-def _decode_piece(piece: Column) -> Column:
-    """``piece`` starts at an ampersand; replace the entity there and keep the rest."""
+_ENTITY = r"(&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,15});)"
 
-    def with_head(head: Column) -> Column:
-        closed = F.length(head) < F.length(piece)
-        named = F.element_at(_entity_map(), F.substring(head, 2, 16))
-        char = F.when(head.startswith("&#"), _char(_code_point(head))).when(head.startswith("&"), named)
-        rest = F.substring(piece, F.length(head) + 2, F.length(piece))
-        return F.when(closed & char.isNotNull(), F.concat(char, rest)).otherwise(piece)
 
-    return let(F.substring_index(piece, ";", 1), with_head)
+def _decode_piece(piece: Column) -> Column:
+    """The character of a piece that is an entity; any other piece as it is."""
+    head = F.substring_index(piece, ";", 1)
+    named = F.element_at(_entity_map(), F.substring(head, 2, 16))
+    char = F.when(piece.startswith("&#"), _char(_code_point(head))).otherwise(named)
+    is_entity = piece.startswith("&") & piece.endswith(";")
+    return F.when(is_entity, F.coalesce(char, piece)).otherwise(piece)
 
 
 def decode_entities(text: Column) -> Column:
     """Named and numeric entities, each decoded once: ``&amp;lt;`` ends as ``&lt;``."""
 
-    def piece(p: Column, i: Column) -> Column:
-        return F.when(i == 0, p).otherwise(_decode_piece(F.concat(F.lit("&"), p)))
-
     def decode(t: Column) -> Column:
-        return F.when(t.contains("&"), F.array_join(F.transform(F.split(t, "&"), piece), "")).otherwise(t)
+        pieces = F.split(F.regexp_replace(t, _ENTITY, f"{MARK}$1{MARK}"), MARK)
+        return F.when(t.contains("&"), F.array_join(F.transform(pieces, _decode_piece), "")).otherwise(t)
 
     return let(text, decode)
 
@@ -78,7 +75,8 @@ def remove_html(text: Column) -> Column:
 
     def visible(t: Column) -> Column:
         # A space entity at the edge of a node is stripped like a space.
-        spaced = F.when(t.contains("&"), F.regexp_replace(t, _SPACE_ENTITY, "\u00a0")).otherwise(t)
+        maybe = t.contains("&nbsp;") | t.contains("&#160;") | t.contains("&#x") | t.contains("&#X")
+        spaced = F.when(maybe, F.regexp_replace(t, _SPACE_ENTITY, "\u00a0")).otherwise(t)
         nodes = F.filter(F.transform(F.split(spaced, _MARKUP), strip), lambda node: node != "")
         return F.when(t.contains("<"), F.array_join(nodes, " ")).otherwise(strip(spaced))
 

@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from .accents import SPELLED, _single_map
-from .common import SPACE_CHARS, SPACE_CLASS
-from .contractions import _MARK, APOSTROPHE_WORD, CONTRACTIONS, JOINED_WORD
+from .common import MARK, SPACE_CHARS, SPACE_CLASS
+from .contractions import APOSTROPHE_WORD, CONTRACTIONS, JOINED_WORD
 from .html import _MARKUP, _SPACE_ENTITY, _entity_table
 from .text import CLEAN_STEPS, DIGIT_PATTERN, EMAIL_PATTERN, NOT_ASCII_PATTERN, PUNCTUATION_PATTERN, URL_PATTERN
 
@@ -47,8 +47,8 @@ def _known_words(text: str, pattern: str) -> str:
         f"coalesce(CASE WHEN w RLIKE '^[A-Z]' THEN concat(upper(substr({full}, 1, 1)), substr({full}, 2)) "
         f"ELSE {full} END, w)"
     )
-    marked = _swap(text, pattern, f"{_MARK}$1{_MARK}")
-    return f"array_join(transform(split({marked}, {_quoted(_MARK)}), w -> {word}), '')"
+    marked = _swap(text, pattern, f"{MARK}$1{MARK}")
+    return f"array_join(transform(split({marked}, {_quoted(MARK)}), w -> {word}), '')"
 
 
 def _entities(text: str) -> str:

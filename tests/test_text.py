@@ -47,6 +47,15 @@ EXPECTED = {
 }
 
 
+def step_by_step(column):
+    for step in T.CLEAN_STEPS:
+        column = step(column)
+    return column
+
+
+EXPECTED["steps"] = (step_by_step, clean_text_python)
+
+
 def run(spark, rows, columns):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "i INT, t STRING")
     return df.select("i", "t", *[c.alias(n) for n, c in columns.items()]).orderBy("i").collect()
