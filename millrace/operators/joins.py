@@ -43,10 +43,11 @@ def left_join_hot_right(
     shuffle join by choice: the right side is a fact table, and the compressed size of its files,
     which Catalyst goes by, says little about what a broadcast of it would take.
 
-    ``hot`` may hold known hot keys (column ``hot_key``); each must occur in ``right``.
+    ``hot`` may hold known hot keys (column ``hot_key``); each must occur in ``right``. The two sides
+    must not share a column name.
     """
     keys = hot if hot is not None else hot_keys(right, right_key, hot_rows)
-    if keys.isEmpty():
+    if keys is None:
         return join_by_merge(left, right, left_key, right_key)
 
     left_is_hot = left[left_key] == keys["hot_key"]

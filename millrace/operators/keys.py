@@ -7,12 +7,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..workspace import stage
+from ..workspace import lookup_table
 
 # A key with this many rows is worth splitting.
 HOT_ROWS = 2_000_000
-# So many hot keys may be held as a local relation.
-LOCAL_KEYS = 10_000
 # Fixed value: the factor by which a key must exceed the median to be called hot.
 HOT_FACTOR = 5.0
 
@@ -28,20 +26,17 @@ def top_keys(df: DataFrame, key: Column | str, n: int, name: str = "key") -> Dat
     return key_counts(df, key, name).orderBy(F.desc("rec_count"), F.asc(name)).limit(n)
 
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with at least ``hot_rows`` rows, in column ``hot_key``. NULL never joins and is left out.
+def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """Keys with at least ``hot_rows`` rows, in column ``hot_key``; None when there are none.
 
-    There are at most ``rows / hot_rows`` of them. Up to ``LOCAL_KEYS`` become a local relation, which
-    costs no job to read again; more are staged as a table. A table that is too small to hold a hot
-    key is recognised by its row count, which files answer from their footers.
+    There are at most ``rows / hot_rows`` of them. NULL never joins and is left out. A table with too
+    few rows for any hot key is recognised by its row count, which files answer from their footers.
     """
-    spark = df.sparkSession
-    counts = key_counts(df.filter(F.col(key).isNotNull()), key, "hot_key")
-    hot = counts.filter(F.col("rec_count") >= hot_rows).select("hot_key")
     if df.count() < hot_rows:
-        return spark.createDataFrame(hot.limit(0).toArrow(), hot.schema)
-    few = hot.limit(LOCAL_KEYS + 1).toArrow()
-    return spark.createDataFrame(few, hot.schema) if few.num_rows <= LOCAL_KEYS else stage(hot, "hot-keys")
+        return None
+    counts = key_counts(df.filter(F.col(key).isNotNull()), key, "hot_key")
+    hot = lookup_table(counts.filter(F.col("rec_count") >= hot_rows).select("hot_key"), "hot-keys")
+    return None if hot.isEmpty() else hot
 
 
 def _profile_one(df: DataFrame, source: str, key: Column, factor: float) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.sales import price_value, total_sales
 from ..workspace import stage
-from .joins import left_join_hot_right
+from .joins import join_by_merge, left_join_hot_right
 from .keys import HOT_ROWS, hot_keys
 
 
@@ -29,9 +29,11 @@ def merge_chain(
     """
     placed = left_join_hot_right(customer, orders, *cust_key, hot_rows=hot_rows)
     hot_orders = hot_keys(lines, order_key[1], hot_rows)
-    if not hot_orders.isEmpty():
-        placed = stage(placed, "customer-orders")  # read by both halves of the next join
-    with_lines = left_join_hot_right(placed, lines, *order_key, hot=hot_orders)
+    if hot_orders is None:
+        with_lines = join_by_merge(placed, lines, *order_key)
+    else:
+        # Both halves of the next join read the placed orders: compute them once.
+        with_lines = left_join_hot_right(stage(placed, "customer-orders"), lines, *order_key, hot=hot_orders)
     return with_lines.join(product, with_lines[product_key[0]] == product[product_key[1]], "left")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..workspace import fits_broadcast, stage
+from ..workspace import lookup_table
 from .keys import HOT_ROWS
 
 SPLITS = 256
@@ -30,9 +30,10 @@ def number_rows(
     part = keys or ["_all"]
     lead = order[0]
     names = [F.col(k).alias(f"_k_{k}") for k in part]
-    counts = tagged.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
-    small = df.count() < hot_rows  # too few rows for any hot key: footers tell
-    hot = None if small else stage(counts.filter(F.col("_n") >= hot_rows).select(*names), "hot-keys")
+    hot = None
+    if df.count() >= hot_rows:  # else no key can be hot: footers tell
+        counts = tagged.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
+        hot = lookup_table(counts.filter(F.col("_n") >= hot_rows).select(*names), "hot-keys")
     if hot is None or hot.isEmpty():
         window = Window.partitionBy(*part).orderBy(*order)
         return tagged.withColumn(out, F.row_number().over(window)).drop("_all")
@@ -45,15 +46,15 @@ def number_rows(
 
     # Quantiles of the hot keys only: a sketch per key would be dear for many small keys.
     steps = [i / splits for i in range(1, splits)]
-    cuts = stage(
+    cuts = lookup_table(
         tagged.join(hot, on_keys(tagged, hot, "_k_"), "left_semi")
         .groupBy(*part)
         .agg(F.percentile_approx(lead, steps, 10 * splits).alias("_cuts"))
         .select(*names, "_cuts"),
         "order-cuts",
+        rows=1000,
     )
-    small_cuts = F.broadcast(cuts) if fits_broadcast(cuts) else cuts
-    ranged = tagged.join(small_cuts, on_keys(tagged, cuts, "_k_"), "left").drop(*[f"_k_{k}" for k in part])
+    ranged = tagged.join(cuts, on_keys(tagged, cuts, "_k_"), "left").drop(*[f"_k_{k}" for k in part])
     bucket = F.when(F.col("_cuts").isNull(), F.lit(-1)).otherwise(
         F.size(F.filter("_cuts", lambda cut: cut < F.col(lead)))
     )
@@ -61,7 +62,7 @@ def number_rows(
 
     per_bucket = ranged.filter(F.col("_bucket") >= 0).groupBy(*part, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*part).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = stage(
+    offsets = lookup_table(
         per_bucket.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).select(
             *[F.col(k).alias(f"_o_{k}") for k in part], F.col("_bucket").alias("_o_bucket"), "_before"
         ),
@@ -69,9 +70,8 @@ def number_rows(
     )
     window = Window.partitionBy(*part, "_bucket").orderBy(*order)
     local = ranged.withColumn("_local", F.row_number().over(window))
-    small_offsets = F.broadcast(offsets) if fits_broadcast(offsets) else offsets
     on = on_keys(local, offsets, "_o_") & (local["_bucket"] == offsets["_o_bucket"])
-    numbered = local.join(small_offsets, on, "left")
+    numbered = local.join(offsets, on, "left")
     return numbered.select(
         *df.columns, (F.col("_local") + F.coalesce(F.col("_before"), F.lit(0))).alias(out)
     )

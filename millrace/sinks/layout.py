@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.keys import key_counts
-from ..workspace import fits_broadcast, stage
+from ..workspace import lookup_table
 from .files import ROWS_PER_FILE
 
 
@@ -18,8 +18,7 @@ def _spread(df: DataFrame, column: str, wanted: DataFrame, partitions: int | Non
     The salt is a function of the row and its input partition: identical rows spread, and a task that
     runs again after a lost executor puts every row where it was.
     """
-    small = F.broadcast(wanted) if fits_broadcast(wanted) else wanted
-    tagged = df.join(small, df[column].eqNullSafe(wanted["_value"]), "left")
+    tagged = df.join(wanted, df[column].eqNullSafe(wanted["_value"]), "left")
     spread_key = F.xxhash64(F.spark_partition_id(), *df.columns)
     tagged = tagged.withColumn(
         "_salt", F.when(F.col("_files") > 1, F.pmod(spread_key, F.col("_files"))).otherwise(F.lit(0))
@@ -51,14 +50,17 @@ def write_by_value(
 ) -> None:
     """One file per value of ``column``; a value above ``rows_per_file`` gets as many as it needs.
 
-    The counting pass reads only ``column``; give this a stored table or a staged frame.
+    The counting pass reads only ``column``; give this a stored table or a staged frame. A table that
+    fits into one file as a whole needs no such pass.
     """
-    counts = key_counts(df, column, "_value").filter(F.col("rec_count") > rows_per_file)
-    wanted = stage(
-        counts.select("_value", F.ceil(F.col("rec_count") / F.lit(rows_per_file)).cast("int").alias("_files")),
-        "file-plan",
-    )
-    _save(_spread(df, column, wanted, partitions), [column], path, fmt, mode, rows_per_file)
+    if df.count() <= rows_per_file:
+        by = F.col(column)
+        moved = df.repartition(partitions, by) if partitions else df.repartition(by)
+    else:
+        counts = key_counts(df, column, "_value").filter(F.col("rec_count") > rows_per_file)
+        needed = F.ceil(F.col("rec_count") / F.lit(rows_per_file)).cast("int")
+        moved = _spread(df, column, lookup_table(counts.select("_value", needed.alias("_files"))), partitions)
+    _save(moved, [column], path, fmt, mode, rows_per_file)
 
 
 def write_skew_split(
@@ -78,15 +80,16 @@ def write_skew_split(
     same table. Rows without a value keep their own partition. Any value above ``rows_per_file``
     gets more files than asked for.
     """
-    counts = key_counts(df, column, "_value")
     hot_values = hot.select(F.col("hot_key").alias("_hot")).distinct()
-    planned = counts.join(hot_values, counts["_value"].eqNullSafe(hot_values["_hot"]), "left")
-    asked = F.when(F.col("_hot").isNotNull(), F.lit(hot_files)).otherwise(F.lit(1))
-    needed = F.ceil(F.col("rec_count") / F.lit(rows_per_file))
-    wanted = stage(
-        planned.select("_value", F.greatest(asked, needed).cast("int").alias("_files")).filter(F.col("_files") > 1),
-        "file-plan",
-    )
+    if df.count() <= rows_per_file:
+        plan = hot_values.select(F.col("_hot").alias("_value"), F.lit(hot_files).alias("_files"))
+    else:
+        counts = key_counts(df, column, "_value")
+        planned = counts.join(hot_values, counts["_value"].eqNullSafe(hot_values["_hot"]), "left")
+        asked = F.when(F.col("_hot").isNotNull(), F.lit(hot_files)).otherwise(F.lit(1))
+        needed = F.ceil(F.col("rec_count") / F.lit(rows_per_file))
+        plan = planned.select("_value", F.greatest(asked, needed).cast("int").alias("_files"))
+    wanted = lookup_table(plan.filter(F.col("_files") > 1), "file-plan")
     _save(_spread(df, column, wanted, partitions), [column], path, fmt, mode, rows_per_file)
 
 

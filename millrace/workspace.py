@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 # A side is broadcast only after its measured size stayed under this.
 BROADCAST_BYTES = 32 * 1024 * 1024
 
+# A lookup table of so many rows at most is held as a local relation.
+LOOKUP_ROWS = 10_000
+
 _local_roots: dict[str, str] = {}
 
 
@@ -49,3 +52,16 @@ def measured_bytes(df: DataFrame) -> int:
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     return measured_bytes(df) <= limit
+
+
+def lookup_table(df: DataFrame, label: str = "lookup", rows: int = LOOKUP_ROWS) -> DataFrame:
+    """Fix the content of a table that is expected to be small, for several joins against it.
+
+    Up to ``rows`` rows become a local relation. More are staged, so nothing unbounded reaches the
+    driver. Either is marked for broadcasting only when its measured size allows it.
+    """
+    few = df.limit(rows + 1).toArrow()
+    if few.num_rows <= rows and few.nbytes <= BROADCAST_BYTES:
+        return F.broadcast(df.sparkSession.createDataFrame(few, df.schema))
+    staged = stage(df, label)
+    return F.broadcast(staged) if fits_broadcast(staged) else staged

@@ -13,6 +13,7 @@ from millrace.operators.keys import hot_keys, hot_values_by_median, top_keys
 from millrace.operators.merge import merge_sales
 from millrace.operators.numbering import number_rows
 from millrace.operators.sampling import hash_fraction, pair_with_sample, sample_by_hash
+from millrace.workspace import lookup_table
 from millrace.schemas import CUSTOMER, ORDERS, ORDERS_PRODUCT, PRODUCT
 
 
@@ -43,6 +44,15 @@ def test_left_join_equals_plain_join(spark, sides, hot_rows, broadcast, monkeypa
 
 def test_hot_keys_are_found_and_null_is_none_of_them(spark, sides):
     assert {r[0] for r in hot_keys(sides[1], "rk", 300).collect()} == {7, 9, 99}
+    assert hot_keys(sides[1], "rk", 1000) is None and hot_keys(sides[1], "rk", 10**6) is None
+
+
+def test_lookup_table_is_staged_when_large(spark):
+    df = spark.range(500)
+    local, staged = lookup_table(df, rows=500), lookup_table(df, rows=100)
+    assert rows(local) == rows(staged) == rows(df)
+    assert "LocalTableScan" in local._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" in staged._jdf.queryExecution().executedPlan().toString()
 
 
 def test_hot_left_rows_need_no_shuffle(spark, sides):
