@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
 from ..workspace import lookup_table
 from .keys import HOT_ROWS
@@ -11,6 +12,42 @@ from .keys import HOT_ROWS
 SPLITS = 256
 
 
+def _same(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
+    condition = F.lit(True)
+    for c in columns:
+        condition = condition & left[c].eqNullSafe(right[f"_r_{c}"])
+    return condition
+
+
+def _renamed(columns: list[str]) -> list[Column]:
+    return [F.col(c).alias(f"_r_{c}") for c in columns]
+
+
+def _bucket(cuts: Column, value: Column) -> Column:
+    """Position of a value among the cuts: even between them, odd on one. Grows with the value, NULL first."""
+    below = F.size(F.filter(cuts, lambda cut: cut < value))
+    return F.coalesce(2 * below + F.array_contains(cuts, value).cast("int"), F.lit(0))
+
+
+def _split_hot(df: DataFrame, groups: list[str], column: str, out: str, hot: DataFrame, splits: int) -> DataFrame:
+    """Add ``out``: the bucket of ``column`` within the hot groups, -1 elsewhere.
+
+    Only the hot groups get quantiles; a sketch per group would be dear for many small ones.
+    """
+    steps = [i / splits for i in range(1, splits)]
+    cuts = lookup_table(
+        df.join(hot, _same(df, hot, groups), "left_semi")
+        .groupBy(*groups)
+        .agg(F.array_distinct(F.percentile_approx(column, steps, 10 * splits)).alias("_cuts"))
+        .select(*_renamed(groups), "_cuts"),
+        "order-cuts",
+        rows=1000,
+    )
+    tagged = df.join(cuts, _same(df, cuts, groups), "left")
+    bucket = F.when(F.col("_cuts").isNull(), F.lit(-1)).otherwise(_bucket(F.col("_cuts"), F.col(column)))
+    return tagged.select(*df.columns, bucket.alias(out))
+
+
 def number_rows(
     df: DataFrame,
     keys: list[str],
@@ -19,59 +56,44 @@ def number_rows(
     hot_rows: int = HOT_ROWS,
     splits: int = SPLITS,
 ) -> DataFrame:
-    """``row_number()`` per key, or over the whole table when ``keys`` is empty.
+    """``row_number()`` per key, or over the whole table when ``keys`` is empty; ``order`` is a total order.
 
-    ``order`` must be a total order led by a numeric or date column. Keys under ``hot_rows`` take the
-    ordinary window. A larger one is cut at approximate quantiles of the leading order column; each
-    range is numbered apart and shifted by the exact number of rows before it, so the cut points
-    influence the balance only, never the result.
+    Keys under ``hot_rows`` take the ordinary window. A larger one is cut at approximate quantiles of
+    the first order column; a value that is itself a cut has a bucket of its own, and when that bucket
+    is still too large it is cut by the next order column. Each bucket is numbered apart and shifted
+    by the exact number of rows before it, so the cuts decide the balance only, never the result.
+    Columns of numbers, dates and times can be cut.
     """
-    tagged = df.withColumn("_all", F.lit(0))
     part = keys or ["_all"]
-    lead = order[0]
-    names = [F.col(k).alias(f"_k_{k}") for k in part]
-    hot = None
-    if df.count() >= hot_rows:  # else no key can be hot: footers tell
-        counts = tagged.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
-        hot = lookup_table(counts.filter(F.col("_n") >= hot_rows).select(*names), "hot-keys")
-    if hot is None or hot.isEmpty():
+    current, buckets = df.withColumn("_all", F.lit(0)), []
+    enough = df.count() >= hot_rows  # else no key can be hot: footers tell
+    for level, column in enumerate(order):
+        kind = df.schema[column].dataType
+        if not enough or not isinstance(kind, (NumericType, DateType, TimestampType, TimestampNTZType)):
+            break
+        groups = part + buckets
+        # Behind the first level only a bucket that holds a single value can be cut further.
+        candidates = current.filter(F.col(buckets[-1]) % 2 == 1) if buckets else current
+        counts = candidates.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
+        hot = lookup_table(counts.filter(F.col("_n") >= hot_rows).select(*_renamed(groups)), "hot-groups")
+        if hot.isEmpty():
+            break
+        name = f"_bucket{level}"
+        current = _split_hot(current, groups, column, name, hot, splits)
+        buckets.append(name)
+    if not buckets:
         window = Window.partitionBy(*part).orderBy(*order)
-        return tagged.withColumn(out, F.row_number().over(window)).drop("_all")
-
-    def on_keys(left: DataFrame, right: DataFrame, prefix: str):
-        condition = F.lit(True)
-        for k in part:
-            condition = condition & left[k].eqNullSafe(right[f"{prefix}{k}"])
-        return condition
-
-    # Quantiles of the hot keys only: a sketch per key would be dear for many small keys.
-    steps = [i / splits for i in range(1, splits)]
-    cuts = lookup_table(
-        tagged.join(hot, on_keys(tagged, hot, "_k_"), "left_semi")
-        .groupBy(*part)
-        .agg(F.percentile_approx(lead, steps, 10 * splits).alias("_cuts"))
-        .select(*names, "_cuts"),
-        "order-cuts",
-        rows=1000,
-    )
-    ranged = tagged.join(cuts, on_keys(tagged, cuts, "_k_"), "left").drop(*[f"_k_{k}" for k in part])
-    bucket = F.when(F.col("_cuts").isNull(), F.lit(-1)).otherwise(
-        F.size(F.filter("_cuts", lambda cut: cut < F.col(lead)))
-    )
-    ranged = ranged.withColumn("_bucket", F.coalesce(bucket, F.lit(0))).drop("_cuts")
+        return current.select(*df.columns, F.row_number().over(window).alias(out))
 
-    per_bucket = ranged.filter(F.col("_bucket") >= 0).groupBy(*part, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*part).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    groups = part + buckets
+    counts = current.filter(F.col(buckets[0]) >= 0).groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*part).orderBy(*buckets).rowsBetween(Window.unboundedPreceding, -1)
     offsets = lookup_table(
-        per_bucket.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).select(
-            *[F.col(k).alias(f"_o_{k}") for k in part], F.col("_bucket").alias("_o_bucket"), "_before"
+        counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).select(
+            *_renamed(groups), "_before"
         ),
         "order-offsets",
     )
-    window = Window.partitionBy(*part, "_bucket").orderBy(*order)
-    local = ranged.withColumn("_local", F.row_number().over(window))
-    on = on_keys(local, offsets, "_o_") & (local["_bucket"] == offsets["_o_bucket"])
-    numbered = local.join(offsets, on, "left")
-    return numbered.select(
-        *df.columns, (F.col("_local") + F.coalesce(F.col("_before"), F.lit(0))).alias(out)
-    )
+    local = current.withColumn("_local", F.row_number().over(Window.partitionBy(*groups).orderBy(*order)))
+    shifted = local.join(offsets, _same(local, offsets, groups), "left")
+    return shifted.select(*df.columns, (F.col("_local") + F.coalesce(F.col("_before"), F.lit(0))).alias(out))

@@ -101,6 +101,19 @@ def test_row_numbers(spark, hot_rows):
     assert {(r.k, r.v): r.row_num for r in got} == expected and len(got) == len(data)
 
 
+def test_row_numbers_with_a_hot_value_in_the_order(spark):
+    data = [(1 if i % 3 else i, i * 37 % 3000) for i in range(3000)] + [(None, 4000), (None, 4001)]
+    df = spark.createDataFrame(data, "a INT, b INT").repartition(5)
+    got = number_rows(df, [], ["a", "b"], hot_rows=150, splits=8)
+    want = sorted(data, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    assert [(r.a, r.b, r.row_num) for r in got.orderBy("row_num").collect()] == [
+        (a, b, n) for n, (a, b) in enumerate(want, 1)
+    ]
+    # The hot value of the first column is cut again by the second.
+    plan = got._jdf.queryExecution().analyzed().toString()
+    assert "_bucket1" in plan
+
+
 def test_row_numbers_over_everything(spark):
     df = spark.range(5000).withColumn("v", F.xxhash64("id"))
     got = number_rows(df, [], ["v"], hot_rows=10, splits=16).orderBy("v").collect()
