@@ -3,64 +3,83 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.keys import key_counts
 from ..workspace import lookup_table
 from .files import ROWS_PER_FILE
 
 
-def _spread(df: DataFrame, column: str, wanted: DataFrame, partitions: int | None) -> DataFrame:
-    """Shuffle so that a value sits in one task, a value listed in ``wanted(value, files)`` in ``files`` tasks.
+def _listed(columns: str | list[str]) -> list[str]:
+    return [columns] if isinstance(columns, str) else list(columns)
+
+
+def _value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows per partition value: columns ``_v_<name>`` and ``rec_count``."""
+    names = [F.col(c).alias(f"_v_{c}") for c in columns]
+    return df.groupBy(*names).agg(F.count(F.lit(1)).alias("rec_count"))
+
+
+def _spread(df: DataFrame, columns: list[str], wanted: DataFrame, partitions: int | None) -> DataFrame:
+    """Shuffle so that a value sits in one task, a value listed in ``wanted`` in ``_files`` tasks.
 
     The salt is a function of the row and its input partition: identical rows spread, and a task that
     runs again after a lost executor puts every row where it was.
     """
-    tagged = df.join(wanted, df[column].eqNullSafe(wanted["_value"]), "left")
+    same = reduce(and_, [df[c].eqNullSafe(wanted[f"_v_{c}"]) for c in columns])
     spread_key = F.xxhash64(F.spark_partition_id(), *df.columns)
-    tagged = tagged.withColumn(
-        "_salt", F.when(F.col("_files") > 1, F.pmod(spread_key, F.col("_files"))).otherwise(F.lit(0))
-    ).drop("_value", "_files")
-    by = (F.col(column), F.col("_salt"))
-    moved = tagged.repartition(partitions, *by) if partitions else tagged.repartition(*by)
-    return moved.drop("_salt")
+    salt = F.when(F.col("_files") > 1, F.pmod(spread_key, F.col("_files"))).otherwise(F.lit(0))
+    tagged = df.join(wanted, same, "left").select(*df.columns, salt.alias("_salt"))
+    return _together(tagged, [*columns, "_salt"], partitions).drop("_salt")
 
 
-def _save(df: DataFrame, columns: list[str], path: str, fmt: str, mode: str, rows_per_file: int) -> None:
-    (
-        df.write.mode(mode)
-        .partitionBy(*columns)
-        .option("compression", "snappy")
-        .option("maxRecordsPerFile", rows_per_file)
-        .format(fmt)
-        .save(path)
-    )
+def _together(df: DataFrame, columns: list[str], partitions: int | None) -> DataFrame:
+    by = [F.col(c) for c in columns]
+    return df.repartition(partitions, *by) if partitions else df.repartition(*by)
+
+
+def _save(
+    df: DataFrame, columns: list[str], path: str, fmt: str, mode: str, rows_per_file: int, dynamic: bool = False
+) -> None:
+    writer = df.write.mode(mode).partitionBy(*columns).option("compression", "snappy")
+    if dynamic:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.option("maxRecordsPerFile", rows_per_file).format(fmt).save(path)
 
 
 def write_by_value(
     df: DataFrame,
-    column: str,
+    columns: str | list[str],
     path: str,
     rows_per_file: int = ROWS_PER_FILE,
     partitions: int | None = None,
     fmt: str = "orc",
     mode: str = "overwrite",
+    dynamic: bool = False,
 ) -> None:
-    """One file per value of ``column``; a value above ``rows_per_file`` gets as many as it needs.
+    """One file per value of ``columns``; a value above ``rows_per_file`` gets as many as it needs.
 
-    The counting pass reads only ``column``; give this a stored table or a staged frame. A table that
-    fits into one file as a whole needs no such pass.
+    The counting pass reads only ``columns``; give this a stored table or a staged frame. A table that
+    fits into one file as a whole needs no such pass. ``dynamic`` replaces only the partitions that
+    occur in ``df``.
     """
+    names = _listed(columns)
     if df.count() <= rows_per_file:
-        by = F.col(column)
-        moved = df.repartition(partitions, by) if partitions else df.repartition(by)
+        moved = _together(df, names, partitions)
     else:
-        counts = key_counts(df, column, "_value").filter(F.col("rec_count") > rows_per_file)
+        counts = _value_counts(df, names).filter(F.col("rec_count") > rows_per_file)
         needed = F.ceil(F.col("rec_count") / F.lit(rows_per_file)).cast("int")
-        moved = _spread(df, column, lookup_table(counts.select("_value", needed.alias("_files"))), partitions)
-    _save(moved, [column], path, fmt, mode, rows_per_file)
+        wanted = lookup_table(counts.select(*[f"_v_{c}" for c in names], needed.alias("_files")), "file-plan")
+        moved = _spread(df, names, wanted, partitions)
+    _save(moved, names, path, fmt, mode, rows_per_file, dynamic)
+
+
+def write_dynamic(df: DataFrame, columns: list[str], path: str, **options) -> None:
+    """Replace only the partitions that occur in ``df``."""
+    write_by_value(df, columns, path, dynamic=True, **options)
 
 
 def write_skew_split(
@@ -81,29 +100,17 @@ def write_skew_split(
     gets more files than asked for.
     """
     hot_values = hot.select(F.col("hot_key").alias("_hot")).distinct()
+    value = f"_v_{column}"
     if df.count() <= rows_per_file:
-        plan = hot_values.select(F.col("_hot").alias("_value"), F.lit(hot_files).alias("_files"))
+        plan = hot_values.select(F.col("_hot").alias(value), F.lit(hot_files).alias("_files"))
     else:
-        counts = key_counts(df, column, "_value")
-        planned = counts.join(hot_values, counts["_value"].eqNullSafe(hot_values["_hot"]), "left")
+        counts = _value_counts(df, [column])
+        planned = counts.join(hot_values, counts[value].eqNullSafe(hot_values["_hot"]), "left")
         asked = F.when(F.col("_hot").isNotNull(), F.lit(hot_files)).otherwise(F.lit(1))
         needed = F.ceil(F.col("rec_count") / F.lit(rows_per_file))
-        plan = planned.select("_value", F.greatest(asked, needed).cast("int").alias("_files"))
+        plan = planned.select(value, F.greatest(asked, needed).cast("int").alias("_files"))
     wanted = lookup_table(plan.filter(F.col("_files") > 1), "file-plan")
-    _save(_spread(df, column, wanted, partitions), [column], path, fmt, mode, rows_per_file)
-
-
-def write_dynamic(df: DataFrame, columns: list[str], path: str, fmt: str = "orc") -> None:
-    """Replace only the partitions that occur in ``df``."""
-    (
-        df.repartition(*[F.col(c) for c in columns])
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "snappy")
-        .partitionBy(*columns)
-        .format(fmt)
-        .save(path)
-    )
+    _save(_spread(df, [column], wanted, partitions), [column], path, fmt, mode, rows_per_file)
 
 
 def add_year_month(df: DataFrame, day: Column, prefix: str = "order") -> DataFrame:

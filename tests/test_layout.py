@@ -83,6 +83,16 @@ def test_dynamic_overwrite_keeps_the_other_partitions(spark):
     assert back.filter("x = 'new'").count() == one.count()
 
 
+def test_hot_month_is_spread_over_files(spark):
+    path = fresh_dir(spark, "ym-hot")
+    df = add_year_month(skewed(spark), F.col("d"))
+    write_dynamic(df, ["order_year", "order_month"], path, rows_per_file=1500, partitions=16)
+    hot = glob.glob(f"{path}/order_year=2020/order_month=1/*.orc")
+    assert len(hot) >= 3
+    assert len(glob.glob(f"{path}/order_year=__HIVE*/*/*.orc")) == 1
+    assert spark.read.orc(path).count() == df.count()
+
+
 def test_year_month_pruning(spark):
     path = fresh_dir(spark, "ym")
     write_dynamic(
