@@ -61,12 +61,17 @@ def flatten_wide(tweets: DataFrame) -> DataFrame:
 
 
 def add_text_columns(flat: DataFrame, text: str = "tweet_text", null_sentinel: bool = False) -> DataFrame:
-    """Hashtags, mentions, addresses and the cleaned text; rows without text are removed."""
+    """Hashtags, mentions, addresses and the cleaned text; rows without text are removed.
+
+    The cleaned text is missing exactly where the text is, so the filter tests the text: a filter on
+    the result would be pushed down and clean every text twice.
+    """
     source = F.col(text)
-    return flat.select(
+    kept = flat if null_sentinel else flat.filter(source.isNotNull())
+    return kept.select(
         "*",
         get_hashtag(source).alias("hashtag"),
         get_mention(source).alias("mention"),
         get_email_address(source).alias("emails"),
         clean_text(source, null_sentinel).alias("clean_tweet_text"),
-    ).filter(F.col("clean_tweet_text").isNotNull())
+    )

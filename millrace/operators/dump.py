@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructField, StructType
 
-from ..functions.common import SPACE_CLASS
+from ..functions.common import strip
 from ..functions.dates import lenient_timestamp
 
 # The detail fields of the flat table, in order.
@@ -41,23 +41,23 @@ def json_is_valid(text: Column) -> Column:
     return F.coalesce((F.size(in_list) == 1) & in_object["_corrupt_record"].isNull(), F.lit(False))
 
 
-def _strip(text: Column) -> Column:
-    return F.regexp_replace(text, rf"^[{SPACE_CLASS}]++|(?<![{SPACE_CLASS}])[{SPACE_CLASS}]++$", "")
+LINE_FIELDS = ["type", "books_ol_number", "version", "upload_date", "book_details"]
 
 
 def split_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     """Five fields per line, cut at runs of tabs; the fifth keeps its inner tabs.
 
-    ``is_wellformed`` is false for a line with fewer fields, whose fields are then NULL.
+    ``is_wellformed`` is false for a line with fewer fields, whose fields are then NULL. The fields come
+    out of a generator of one row: filters stay above it, so a line is cut once, not once per use.
     """
-    parts = lines.withColumn("_parts", F.split(F.col(value), "\t+", 5))
-    wellformed = F.size("_parts") == 5
-    fields = ["type", "books_ol_number", "version", "upload_date", "book_details"]
-    return parts.select(
-        *[c for c in lines.columns],
-        *[F.when(wellformed, _strip(F.get("_parts", F.lit(i)))).alias(name) for i, name in enumerate(fields)],
-        F.coalesce(wellformed, F.lit(False)).alias("is_wellformed"),
-    )
+
+    def record(parts: Column) -> Column:
+        complete = F.size(parts) == len(LINE_FIELDS)
+        fields = [F.when(complete, strip(F.get(parts, F.lit(i)))).alias(f) for i, f in enumerate(LINE_FIELDS)]
+        return F.struct(*fields, F.coalesce(complete, F.lit(False)).alias("is_wellformed"))
+
+    cut = F.transform(F.array(F.split(F.col(value), "\t+", len(LINE_FIELDS))), record)
+    return lines.select("*", F.inline(cut))
 
 
 def typed_lines(lines: DataFrame, value: str = "value") -> DataFrame:
@@ -72,7 +72,8 @@ def typed_lines(lines: DataFrame, value: str = "value") -> DataFrame:
 
 
 def accepted(typed: DataFrame) -> DataFrame:
-    return typed.filter(F.col("is_valid_json"))
+    # What the filter established need not be computed again for the column.
+    return typed.filter(F.col("is_valid_json")).withColumn("is_valid_json", F.lit(True))
 
 
 def rejected(typed: DataFrame, value: str = "value") -> DataFrame:

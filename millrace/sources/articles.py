@@ -49,8 +49,9 @@ def article_tokens(text: Column) -> Column:
 
 
 def _as_lines(articles: DataFrame, text: Column, out: str, min_tokens: int) -> DataFrame:
-    tokens = articles.withColumn("_tokens", article_tokens(text)).filter(F.size("_tokens") >= min_tokens)
-    return tokens.withColumn(out, F.array_join("_tokens", " ")).drop("_tokens")
+    # A generator of one row: the filter stays above it and the tokens are made once.
+    made = articles.select("*", F.explode(F.array(article_tokens(text))).alias("_tokens"))
+    return made.filter(F.size("_tokens") >= min_tokens).withColumn(out, F.array_join("_tokens", " ")).drop("_tokens")
 
 
 def article_lines(

@@ -6,6 +6,7 @@ import gzip
 import zlib
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import BinaryType, StringType
 
@@ -31,6 +32,14 @@ def _decode(payload: bytes | None) -> str | None:
 
 
 @pandas_udf(StringType())
-def decode_payload(payload: pd.Series) -> pd.Series:
-    """Text of a payload, gzipped or plain; NULL when it is damaged."""
+def _decode_batch(payload: pd.Series) -> pd.Series:
     return payload.map(_decode)
+
+
+def decode_payload(payload: Column | str) -> Column:
+    """Text of a payload, gzipped or plain; NULL when it is damaged.
+
+    Declared non-deterministic so that a filter on the text is not pushed below the decoding, which
+    would decode every payload twice.
+    """
+    return _decode_batch.asNondeterministic()(payload)

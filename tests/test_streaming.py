@@ -5,6 +5,7 @@ import gzip
 from pyspark.sql import functions as F
 
 from millrace.datagen import sales as gen
+from millrace.operators.dump import accepted, typed_lines
 from millrace.schemas import TWEET
 from millrace.sources import article_lines, read_dataset, read_delimited, read_wiki_xml
 from millrace.functions.tweets import add_text_columns, effective_text, flatten_tweets
@@ -47,6 +48,19 @@ def test_restart_adds_nothing_and_new_records_arrive_once(spark):
     assert drain() == list(range(15))
 
 
+def executed(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_costly_steps_run_once(spark):
+    records = spark.createDataFrame([("k", b"{}")], "partition_key STRING, payload BINARY")
+    assert executed(parse_records(records, "id INT").filter("is_decoded").select("record.*")).count("ArrowEvalPython") == 1
+    lines = spark.createDataFrame([("a\tb\t1\tx\t{}",)], "value STRING")
+    assert executed(accepted(typed_lines(lines))).count("split(") == 1
+    pages = spark.createDataFrame([("t", "words")], "title STRING, text STRING")
+    assert executed(article_lines(pages)).count("regexp_extract_all") == 1
+
+
 def test_tweet_branches(spark):
     lines = [
         '{"id":1,"lang":"en","text":"RT @a: cut","truncated":false,"retweeted_status":{"truncated":true,"extended_tweet":{"full_text":"full"}}}',
