@@ -5,8 +5,10 @@ from __future__ import annotations
 import html
 import re
 import string
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -14,6 +16,9 @@ from pyspark.sql.types import StringType
 from .accents import SPELLED, _decomposed_letters
 from .contractions import APOSTROPHE_WORD, CONTRACTIONS, JOINED_WORD
 
+# The functions travel to the Python workers by value: executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _URL = re.compile(
     r"(?:http|https|ftp|ssh|sftp|www)://[\w-]+(?:\.[\w-]+)+(?:[\w.,@?^=%&:/~+#-]*[\w@?^=%&/~+#-])?"
 )

@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 import gzip
+import sys
 import zlib
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import BinaryType, StringType
 
+# The functions travel to the Python workers by value: executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 GZIP_MAGIC = b"\x1f\x8b"
 
 

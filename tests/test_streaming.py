@@ -1,6 +1,8 @@
 """Codec, restart, damaged payloads, generator rules, sources."""
 
 import gzip
+import subprocess
+import sys
 
 from pyspark.sql import functions as F
 
@@ -139,3 +141,19 @@ def test_generated_rules(spark):
     lines = gen.order_lines(order_ids, product, 100).cache()
     assert 1200 < lines.count() < 4000
     assert lines.filter("quantity NOT BETWEEN 1 AND 14").count() == 0
+
+
+def test_functions_travel_without_the_package(tmp_path):
+    from pyspark import cloudpickle
+
+    from millrace.functions.udf import clean_text_python
+    from millrace.streaming.codec import _decode
+
+    blob = tmp_path / "functions.bin"
+    blob.write_bytes(cloudpickle.dumps((clean_text_python, _decode)))
+    code = (
+        "import pickle; clean, decode = pickle.load(open('functions.bin', 'rb')); "
+        "print(clean(\"Don't <b>stop</b>\"), decode(b'x'))"
+    )
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=60)
+    assert out.stdout.strip() == "do not stop x", out.stderr
