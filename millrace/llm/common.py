@@ -120,7 +120,7 @@ def number_within(df: DataFrame, keys: list[str], order: list[Column], out: str,
 
 ARROW_TYPES = {
     "long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_(),
-    "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<double>": pa.list_(pa.float64()),
+    "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<string>": pa.list_(pa.string()), "array<double>": pa.list_(pa.float64()),
 }
 ROW = "_row"
 

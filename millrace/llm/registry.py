@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from . import packing, quality, sharding, mixing, urls
+from . import jaccard, mixing, neighbours, packing, quality, scoring, secrets, sharding, toxicity, urls
 
 QUERIES = {
+    "op3_masked_likelihood": scoring.query,
+    "op4_nn_descent": neighbours.query,
+    "op6_toxicity_field": toxicity.query,
+    "op2_secret_formats": secrets.query,
+    "op5_jaccard_join": jaccard.query,
     "op1_resharding": sharding.query,
     "op7_best_fit_packing": packing.query,
     "op8_url_filter": urls.query,
