@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 def group_cardinality(df: DataFrame, key: Column, alias: str = "n_groups") -> DataFrame:
     """How many groups there are. NULL counts as a group, as it does for a row-wise group-by."""
-    return df.agg((F.count_distinct(key) + F.max(F.when(key.isNull(), 1).otherwise(0))).cast("bigint").alias(alias))
+    has_null = F.coalesce(F.max(F.when(key.isNull(), 1).otherwise(0)), F.lit(0))
+    return df.agg((F.count_distinct(key) + has_null).cast("bigint").alias(alias))
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:

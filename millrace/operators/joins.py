@@ -5,24 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..workspace import fits_broadcast
-from .keys import HOT_ROWS, hot_keys
+from .keys import ROWS_PER_TASK, hot_salts
 
-# Replicas of a large left side in the salted form.
-SALTS = 64
-
-
-def _salted_inner(left: DataFrame, right: DataFrame, left_key: str, right_key: str, salts: int) -> DataFrame:
-    """Every left row once per salt, every right row under one salt: the same pairs, spread out.
-
-    The salt depends on the row and on its input partition, so identical copies are spread as well
-    and a repeated task computes the same salt again.
-    """
-    salt = F.pmod(F.xxhash64(F.spark_partition_id(), *right.columns), F.lit(salts)).cast("int")
-    salted_right = right.withColumn("_salt", salt)
-    salted_left = left.withColumn("_salt_left", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    on = (salted_left[left_key] == salted_right[right_key]) & (F.col("_salt_left") == F.col("_salt"))
-    return salted_left.join(salted_right, on, "inner").drop("_salt", "_salt_left")
+# Rows without a key are spread over so many places of the shuffle.
+NULL_SALTS = 1 << 20
 
 
 def left_join_hot_right(
@@ -30,43 +16,43 @@ def left_join_hot_right(
     right: DataFrame,
     left_key: str,
     right_key: str,
-    hot_rows: int = HOT_ROWS,
-    hot: DataFrame | None = None,
-    salts: int = SALTS,
+    rows_per_task: int = ROWS_PER_TASK,
+    salts: DataFrame | None = None,
 ) -> DataFrame:
     """``left LEFT JOIN right`` with the same rows, for a right side with hot keys.
 
-    Adaptive execution cannot split the right side of a left outer join. Hot keys are taken from the
-    right side, so every left row that carries one has a match and an inner join is exact for them:
-    the few left rows are broadcast when their measured size allows it, else the pair is salted.
-    All other rows take the ordinary left join. Without hot keys that join is all there is. It is a
-    shuffle join by choice: the right side is a fact table, and the compressed size of its files,
-    which Catalyst goes by, says little about what a broadcast of it would take.
-
-    ``hot`` may hold known hot keys (column ``hot_key``); each must occur in ``right``. The two sides
-    must not share a column name.
+    Adaptive execution cannot split the right side of a left outer join. So both sides are joined on the
+    key and a salt: 0 for ordinary keys; a hot key's right rows are dealt over as many salts as its rows
+    need tasks, and left rows that carry it are repeated once per salt. A hot key is one seen in the
+    right side, so each such left row has a match under some salt, and its repeats without one are
+    filtered out: the rows of the plain join remain. Each side is scanned once, at every size alike.
+
+    Left rows without a key match nothing; their salt is a hash of the row, which spreads them evenly.
+    The salt of a right row depends on the row and its input partition, so identical copies are spread
+    as well and a repeated task computes the same salt again. ``salts`` may hold known hot keys
+    (columns ``hot_key``, ``salts``); each must occur in ``right``. The two sides must not share a
+    column name.
     """
-    keys = hot if hot is not None else hot_keys(right, right_key, hot_rows)
-    if keys is None:
-        return join_by_merge(left, right, left_key, right_key)
-
-    left_is_hot = left[left_key] == keys["hot_key"]
-    right_is_hot = right[right_key] == keys["hot_key"]
-    hot_left = left.join(keys, left_is_hot, "left_semi")
-    hot_right = right.join(keys, right_is_hot, "left_semi")
-    if fits_broadcast(hot_left):
-        small = F.broadcast(hot_left)
-        hot_part = small.join(hot_right, hot_left[left_key] == hot_right[right_key], "inner")
-    else:
-        hot_part = _salted_inner(hot_left, hot_right, left_key, right_key, salts)
-
-    # The anti join keeps a left row without a key; a bare NOT IN would lose it.
-    cold_left = left.join(keys, left_is_hot, "left_anti")
-    cold_right = right.join(keys, right_is_hot, "left_anti")
-    cold_part = join_by_merge(cold_left, cold_right, left_key, right_key)
-    return hot_part.select(*left.columns, *right.columns).unionByName(
-        cold_part.select(*left.columns, *right.columns)
+    hot = hot_salts(right, right_key, rows_per_task) if salts is None else salts
+    left_hot = hot.select(F.col("hot_key").alias("_left_hot"), F.col("salts").alias("_left_salts"))
+    right_hot = hot.select(F.col("hot_key").alias("_right_hot"), F.col("salts").alias("_right_salts"))
+
+    many = F.coalesce(F.col("_left_salts"), F.lit(1))
+    alone = F.pmod(F.xxhash64(*left.columns), F.lit(NULL_SALTS)).cast("int")
+    own = F.when(F.col(left_key).isNull(), F.array(alone)).otherwise(F.sequence(F.lit(0), many - 1))
+    spread_left = (
+        left.join(F.broadcast(left_hot), left[left_key] == left_hot["_left_hot"], "left")
+        .select(*left.columns, (many > 1).alias("_left_is_hot"), F.explode(own).alias("_left_salt"))
+    )
+    dealt = F.pmod(F.xxhash64(F.spark_partition_id(), *right.columns), F.coalesce(F.col("_right_salts"), F.lit(1)))
+    spread_right = (
+        right.join(F.broadcast(right_hot), right[right_key] == right_hot["_right_hot"], "left")
+        .select(*right.columns, dealt.cast("int").alias("_right_salt"))
     )
+    on = (spread_left[left_key] == spread_right[right_key]) & (F.col("_left_salt") == F.col("_right_salt"))
+    joined = spread_left.join(spread_right.hint("merge"), on, "left")
+    matched = ~F.col("_left_is_hot") | F.col("_right_salt").isNotNull()
+    return joined.filter(matched).select(*left.columns, *right.columns)
 
 
 def join_by_merge(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "left") -> DataFrame:

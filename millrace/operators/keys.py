@@ -7,10 +7,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..workspace import lookup_table
-
-# A key with this many rows is worth splitting.
-HOT_ROWS = 2_000_000
+# So many rows make a fair task; a key with several times that is worth splitting.
+ROWS_PER_TASK = 100_000
+# Keys whose counts a sketch follows. A key with a larger share of the rows than one over a fraction of this is seen.
+SKETCHED = 16_384
 # Fixed value: the factor by which a key must exceed the median to be called hot.
 HOT_FACTOR = 5.0
 
@@ -26,41 +26,46 @@ def top_keys(df: DataFrame, key: Column | str, n: int, name: str = "key") -> Dat
     return key_counts(df, key, name).orderBy(F.desc("rec_count"), F.asc(name)).limit(n)
 
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """Keys with at least ``hot_rows`` rows, in column ``hot_key``; None when there are none.
+def hot_salts(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK, factor: float = 2.0) -> DataFrame:
+    """The hot keys of a table (``hot_key``) and over how many tasks to deal each (``salts``).
 
-    There are at most ``rows / hot_rows`` of them. NULL never joins and is left out. A table with too
-    few rows for any hot key is recognised by its row count, which files answer from their footers.
+    Hot is relative: a key with more than ``factor`` times the rows of a fair task, which is the table's
+    rows by the shuffle partitions, or ``rows_per_task`` if that is more. So there are fewer hot keys
+    than shuffle partitions. One job without a shuffle of the keys finds them: every task hands in a
+    sketch of its most frequent keys. Counts from a sketch may be a little high, which touches the
+    balance only; each key listed does occur. NULL never joins and is left out.
     """
-    if df.count() < hot_rows:
-        return None
-    counts = key_counts(df.filter(F.col(key).isNotNull()), key, "hot_key")
-    hot = lookup_table(counts.filter(F.col("rec_count") >= hot_rows).select("hot_key"), "hot-keys")
-    return None if hot.isEmpty() else hot
+    spark = df.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    kind = df.select(F.col(key).alias("hot_key")).schema["hot_key"].dataType.simpleString()
+    most = max(1, min(partitions, SKETCHED // 2))
+    found = df.filter(F.col(key).isNotNull()).agg(
+        F.count(F.lit(1)).alias("rows"), F.expr(f"approx_top_k(`{key}`, {most}, {SKETCHED})").alias("top")
+    ).first()
+    fair = max(found["rows"] / partitions, rows_per_task)
+    hot = [(t["item"], -(-t["count"] // int(fair))) for t in found["top"] if t["count"] > factor * fair]
+    return spark.createDataFrame(hot, f"hot_key {kind}, salts INT")
 
 
 def _profile_one(df: DataFrame, source: str, key: Column, factor: float) -> DataFrame:
-    counts = key_counts(df.filter(key.isNotNull()), key)
-    # A histogram of the counts is tiny, so the exact median costs one short pass.
-    histogram = counts.groupBy("rec_count").agg(F.count(F.lit(1)).alias("keys"))
+    # How many keys have a count: the counts of a table are few and aggregated twice, never gathered.
+    histogram = key_counts(df.filter(key.isNotNull()), key).groupBy("rec_count").agg(F.count(F.lit(1)).alias("keys"))
     summary = histogram.agg(
         F.sum("keys").alias("n_keys"),
         F.sum(F.col("keys") * F.col("rec_count")).alias("n_rows"),
         F.max("rec_count").alias("max_rows"),
         F.percentile("rec_count", F.lit(0.5), F.col("keys")).alias("median_rows"),
-        F.collect_list(F.struct("rec_count", "keys")).alias("histogram"),
     )
-    hot = F.aggregate(
-        "histogram",
-        F.lit(0).cast("bigint"),
-        lambda total, bar: total
-        + F.when(bar["rec_count"] > F.lit(factor) * F.col("median_rows"), bar["keys"]).otherwise(F.lit(0)),
+    median = summary.select(F.lit(1).alias("_one"), "median_rows")
+    hot = histogram.withColumn("_one", F.lit(1)).join(F.broadcast(median), "_one").agg(
+        F.coalesce(F.sum(F.when(F.col("rec_count") > F.lit(factor) * F.col("median_rows"), F.col("keys"))), F.lit(0))
+        .alias("n_hot_keys")
     )
-    return summary.select(
+    return summary.withColumn("_one", F.lit(1)).join(F.broadcast(hot.withColumn("_one", F.lit(1))), "_one").select(
         F.lit(source).alias("source"),
         "n_keys", "n_rows", "max_rows", "median_rows",
         (F.col("max_rows") / F.col("median_rows")).alias("max_to_median"),
-        hot.alias("n_hot_keys"),
+        "n_hot_keys",
     )
 
 
@@ -70,9 +75,14 @@ def skew_profile(sources: dict[str, tuple[DataFrame, Column]], factor: float = H
     return reduce(DataFrame.unionByName, parts)
 
 
-def hot_values_by_median(df: DataFrame, key: Column, factor: float = HOT_FACTOR, name: str = "key") -> DataFrame:
-    """Keys whose count exceeds ``factor`` times the median count."""
+def hot_values_by_median(
+    df: DataFrame, key: Column, factor: float = HOT_FACTOR, name: str = "key", least_rows: int = 0
+) -> DataFrame:
+    """Keys whose count exceeds ``factor`` times the median count and reaches ``least_rows``.
+
+    Without a floor most keys of a long tail are hot, as its median is tiny.
+    """
     counts = key_counts(df.filter(key.isNotNull()), key, name)
     histogram = counts.groupBy("rec_count").agg(F.count(F.lit(1)).alias("keys"))
     median = histogram.agg(F.percentile("rec_count", F.lit(0.5), F.col("keys")).alias("m")).first()["m"]
-    return counts.filter(F.col("rec_count") > F.lit(factor) * F.lit(median))
+    return counts.filter((F.col("rec_count") > F.lit(factor) * F.lit(median)) & (F.col("rec_count") >= least_rows))

@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sales import price_value, total_sales
-from ..workspace import stage
-from .joins import join_by_merge, left_join_hot_right
-from .keys import HOT_ROWS, hot_keys
+from .joins import left_join_hot_right
+from .keys import ROWS_PER_TASK
 
 
 def merge_chain(
@@ -19,26 +18,22 @@ def merge_chain(
     cust_key: tuple[str, str] = ("cust_id", "cust_id"),
     order_key: tuple[str, str] = ("order_id", "order_id"),
     product_key: tuple[str, str] = ("uniq_id", "uniq_id"),
-    hot_rows: int = HOT_ROWS,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Three chained left joins; column names must differ between the four tables.
 
-    The lines are shuffled once, on the order. A hot customer or order goes through the hot/cold
-    form; a hot product sits on the left side, where adaptive execution splits it (and a catalogue
-    under the broadcast threshold is not shuffled at all).
+    Hot customers and hot orders are split by salts, after one counting job each that shuffles no keys. A
+    hot product sits on the left side, where adaptive execution splits it; a catalogue under the broadcast
+    threshold is not shuffled at all.
     """
-    placed = left_join_hot_right(customer, orders, *cust_key, hot_rows=hot_rows)
-    hot_orders = hot_keys(lines, order_key[1], hot_rows)
-    if hot_orders is None:
-        with_lines = join_by_merge(placed, lines, *order_key)
-    else:
-        # Both halves of the next join read the placed orders: compute them once.
-        with_lines = left_join_hot_right(stage(placed, "customer-orders"), lines, *order_key, hot=hot_orders)
+    placed = left_join_hot_right(customer, orders, *cust_key, rows_per_task=rows_per_task)
+    with_lines = left_join_hot_right(placed, lines, *order_key, rows_per_task=rows_per_task)
     return with_lines.join(product, with_lines[product_key[0]] == product[product_key[1]], "left")
 
 
 def merge_sales(
-    customer: DataFrame, orders: DataFrame, orders_product: DataFrame, product: DataFrame, hot_rows: int = HOT_ROWS
+    customer: DataFrame, orders: DataFrame, orders_product: DataFrame, product: DataFrame,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """The 24-column sales table (schemas.MERGED plus ``order_date``)."""
     orders = orders.withColumnRenamed("cust_id", "order_cust_id")
@@ -46,7 +41,7 @@ def merge_sales(
     product = product.withColumnRenamed("uniq_id", "product_id")
     merged = merge_chain(
         customer, orders, lines, product,
-        ("cust_id", "order_cust_id"), ("order_id", "line_order_id"), ("uniq_id", "product_id"), hot_rows,
+        ("cust_id", "order_cust_id"), ("order_id", "line_order_id"), ("uniq_id", "product_id"), rows_per_task,
     )
     return merged.select(
         *customer.columns,

@@ -4,96 +4,62 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
-from ..workspace import lookup_table
-from .keys import HOT_ROWS
+from ..workspace import stage
+from .keys import ROWS_PER_TASK, hot_salts
 
-SPLITS = 256
 
+def _order(order: list[str | Column]) -> list[Column]:
+    return [F.col(c) if isinstance(c, str) else c for c in order]
 
-def _same(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
-    condition = F.lit(True)
-    for c in columns:
-        condition = condition & left[c].eqNullSafe(right[f"_r_{c}"])
-    return condition
 
+def number_table(df: DataFrame, order: list[str | Column], out: str = "row_num") -> DataFrame:
+    """``row_number()`` over the whole table by any orderable columns, also descending ones.
 
-def _renamed(columns: list[str]) -> list[Column]:
-    return [F.col(c).alias(f"_r_{c}") for c in columns]
-
-
-def _bucket(cuts: Column, value: Column) -> Column:
-    """Position of a value among the cuts: even between them, odd on one. Grows with the value, NULL first."""
-    below = F.size(F.filter(cuts, lambda cut: cut < value))
-    return F.coalesce(2 * below + F.array_contains(cuts, value).cast("int"), F.lit(0))
-
-
-def _split_hot(df: DataFrame, groups: list[str], column: str, out: str, hot: DataFrame, splits: int) -> DataFrame:
-    """Add ``out``: the bucket of ``column`` within the hot groups, -1 elsewhere.
-
-    Only the hot groups get quantiles; a sketch per group would be dear for many small ones.
+    The rows are dealt into ranges of the order and sorted inside each; a row's number is its place in its
+    range behind the exact counts of the ranges before. What one task holds depends on the number of
+    shuffle partitions only. ``order`` must be total, else rows that tie get any of their numbers.
     """
-    steps = [i / splits for i in range(1, splits)]
-    cuts = lookup_table(
-        df.join(hot, _same(df, hot, groups), "left_semi")
-        .groupBy(*groups)
-        .agg(F.array_distinct(F.percentile_approx(column, steps, 10 * splits)).alias("_cuts"))
-        .select(*_renamed(groups), "_cuts"),
-        "order-cuts",
-        rows=1000,
-    )
-    tagged = df.join(cuts, _same(df, cuts, groups), "left")
-    bucket = F.when(F.col("_cuts").isNull(), F.lit(-1)).otherwise(_bucket(F.col("_cuts"), F.col(column)))
-    return tagged.select(*df.columns, bucket.alias(out))
+    columns = _order(order)
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranked = df.repartitionByRange(ranges, *columns).sortWithinPartitions(*columns)
+    # The id counts the rows of a partition in its low 33 bits. Staged, as the counts and the rows must agree.
+    placed = stage(ranked.withColumn("_place", F.monotonically_increasing_id()), "ranges")
+    which = F.shiftright("_place", 33)
+    counts = placed.groupBy(which.alias("_range")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    joined = placed.join(F.broadcast(starts), which == starts["_range"])
+    number = F.col("_before") + F.col("_place").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return joined.select(*df.columns, number.cast("bigint").alias(out))
 
 
 def number_rows(
     df: DataFrame,
     keys: list[str],
-    order: list[str],
+    order: list[str | Column],
     out: str = "row_num",
-    hot_rows: int = HOT_ROWS,
-    splits: int = SPLITS,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """``row_number()`` per key, or over the whole table when ``keys`` is empty; ``order`` is a total order.
 
-    Keys under ``hot_rows`` take the ordinary window. A larger one is cut at approximate quantiles of
-    the first order column; a value that is itself a cut has a bucket of its own, and when that bucket
-    is still too large it is cut by the next order column. Each bucket is numbered apart and shifted
-    by the exact number of rows before it, so the cuts decide the balance only, never the result.
-    Columns of numbers, dates and times can be cut.
+    The rows of hot keys, found by a sketch, are numbered apart: over the whole of them by key and order,
+    minus the rows of the keys before. All others take the ordinary window. Works for every orderable type.
     """
-    part = keys or ["_all"]
-    current, buckets = df.withColumn("_all", F.lit(0)), []
-    enough = df.count() >= hot_rows  # else no key can be hot: footers tell
-    for level, column in enumerate(order):
-        kind = df.schema[column].dataType
-        if not enough or not isinstance(kind, (NumericType, DateType, TimestampType, TimestampNTZType)):
-            break
-        groups = part + buckets
-        # Behind the first level only a bucket that holds a single value can be cut further.
-        candidates = current.filter(F.col(buckets[-1]) % 2 == 1) if buckets else current
-        counts = candidates.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
-        hot = lookup_table(counts.filter(F.col("_n") >= hot_rows).select(*_renamed(groups)), "hot-groups")
-        if hot.isEmpty():
-            break
-        name = f"_bucket{level}"
-        current = _split_hot(current, groups, column, name, hot, splits)
-        buckets.append(name)
-    if not buckets:
-        window = Window.partitionBy(*part).orderBy(*order)
-        return current.select(*df.columns, F.row_number().over(window).alias(out))
-
-    groups = part + buckets
-    counts = current.filter(F.col(buckets[0]) >= 0).groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*part).orderBy(*buckets).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = lookup_table(
-        counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).select(
-            *_renamed(groups), "_before"
-        ),
-        "order-offsets",
-    )
-    local = current.withColumn("_local", F.row_number().over(Window.partitionBy(*groups).orderBy(*order)))
-    shifted = local.join(offsets, _same(local, offsets, groups), "left")
-    return shifted.select(*df.columns, (F.col("_local") + F.coalesce(F.col("_before"), F.lit(0))).alias(out))
+    columns = _order(order)
+    if not keys:
+        return number_table(df, columns, out)
+    spread = df.withColumn("_key", F.to_json(F.struct(*keys)))  # a NULL key is a key like any other
+    hot = hot_salts(spread, "_key", rows_per_task).select("hot_key")
+    if hot.isEmpty():
+        window = Window.partitionBy(*keys).orderBy(*columns)
+        return df.select(*df.columns, F.row_number().over(window).cast("bigint").alias(out))
+    is_hot = spread["_key"] == hot["hot_key"]
+    window = Window.partitionBy(*keys).orderBy(*columns)
+    cold = spread.join(F.broadcast(hot), is_hot, "left_anti")
+    cold = cold.select(*df.columns, F.row_number().over(window).cast("bigint").alias(out))
+    rows = spread.join(F.broadcast(hot), is_hot, "left_semi")
+    numbered = number_table(rows, [F.col("_key"), *columns], "_number")
+    first = numbered.groupBy("_key").agg(F.min("_number").alias("_first")).withColumnRenamed("_key", "_hot")
+    placed = numbered.join(F.broadcast(first), numbered["_key"] == first["_hot"])
+    return cold.unionByName(placed.select(*df.columns, (F.col("_number") - F.col("_first") + 1).alias(out)))

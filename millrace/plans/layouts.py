@@ -1,4 +1,4 @@
-"""Partitioned layouts of the merged sales data and pruned reads of them."""
+"""Partitioned layouts of the merged sales data by order date, and pruned counts on them."""
 
 from __future__ import annotations
 
@@ -6,19 +6,20 @@ from pyspark.sql import functions as F
 
 from ..operators.keys import hot_values_by_median
 from ..operators.merge import merge_chain
-from ..sinks import add_year_month, date_predicates, write_by_value, write_dynamic, write_skew_split
-from ..workspace import fresh_dir, stage
+from ..sinks import add_year_month, date_predicates, write_by_value, write_dynamic, write_skew_split, year_predicates
+from ..workspace import fresh_dir
 from .registry import query, table
 
-# The order month, with a third of the rows moved to one month and some rows without a month.
-SKEWED_MONTH = (
-    "CASE WHEN o_orderkey % 29 = 3 THEN NULL WHEN o_orderstatus = 'F' THEN CAST('1995-01-01' AS DATE) "
-    "ELSE CAST(date_trunc('month', o_orderdate) AS DATE) END"
+# The order date, with a fifth of the orders moved to one day and some orders without a date.
+HOT_DAY = "1995-01-23"
+SKEWED_DAY = (
+    "CASE WHEN o_orderkey % 29 = 3 THEN NULL WHEN o_orderkey % 5 = 0 THEN DATE '1995-01-23' "
+    "ELSE CAST(o_orderdate AS DATE) END"
 )
 
 MERGED_SQL = f"""
 SELECT c_custkey, o_orderkey, l_linenumber, p_name, p_retailprice * l_quantity AS total_sales,
-       {SKEWED_MONTH} AS order_month
+       {SKEWED_DAY} AS order_date
 FROM customer LEFT JOIN orders ON c_custkey = o_custkey
 LEFT JOIN lineitem ON l_orderkey = o_orderkey LEFT JOIN part ON p_partkey = l_partkey"""
 
@@ -26,7 +27,7 @@ LEFT JOIN lineitem ON l_orderkey = o_orderkey LEFT JOIN part ON p_partkey = l_pa
 def merged(spark, sf):
     rows = merge_chain(
         table(spark, sf, "customer").select("c_custkey"),
-        table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"),
+        table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate"),
         table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity"),
         table(spark, sf, "part").select("p_partkey", "p_name", "p_retailprice"),
         ("c_custkey", "o_custkey"), ("o_orderkey", "l_orderkey"), ("l_partkey", "p_partkey"),
@@ -34,75 +35,86 @@ def merged(spark, sf):
     return rows.select(
         "c_custkey", "o_orderkey", "l_linenumber", "p_name",
         (F.col("p_retailprice") * F.col("l_quantity")).alias("total_sales"),
-        F.expr(SKEWED_MONTH).alias("order_month"),
+        F.expr(SKEWED_DAY).alias("order_date"),
     )
 
 
-def read_back(spark, path):
-    # The partition value is text in the folder name; say what it is.
-    return spark.read.orc(path).withColumn("order_month", F.col("order_month").cast("date"))
+def stored_schema(df, *partitions: str) -> str:
+    """The stored columns with the partition columns last; saves the pass that would infer them."""
+    kinds = dict(df.dtypes)
+    return ", ".join(f"{c} {kinds[c]}" for c in [*[c for c in df.columns if c not in partitions], *partitions])
+
+
+def write_days(spark, sf):
+    """The merged table, one file per order date: path and schema."""
+    path, rows = fresh_dir(spark, "by-day"), merged(spark, sf)
+    write_by_value(rows, "order_date", path)
+    return path, stored_schema(rows, "order_date")
 
 
 @query("layout_single_file", MERGED_SQL)
 def _layout_single_file(spark, sf):
-    path = fresh_dir(spark, "single-file")
-    write_by_value(stage(merged(spark, sf), "merged"), "order_month", path)
-    return read_back(spark, path)
+    path, schema = write_days(spark, sf)
+    return spark.read.schema(schema).orc(path)
 
 
 @query("layout_skew_split", MERGED_SQL)
 def _layout_skew_split(spark, sf):
-    """Stage the merge, find the hot months, write cold months one file each and hot ones apart."""
-    path = fresh_dir(spark, "skew-split")
-    staged = stage(merged(spark, sf), "merged")
-    hot = hot_values_by_median(staged, F.col("order_month"), name="hot_key")
-    write_skew_split(staged, "order_month", path, hot, hot_files=4, partitions=16)
-    return read_back(spark, path)
+    """Find the hot dates in the orders, a narrow input, then write cold dates one file each and hot ones apart."""
+    path, rows = fresh_dir(spark, "skew-split"), merged(spark, sf)
+    days = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    hot = hot_values_by_median(days, F.expr(SKEWED_DAY), name="hot_key", least_rows=100)
+    write_skew_split(rows, "order_date", path, hot, hot_files=4)
+    return spark.read.schema(stored_schema(rows, "order_date")).orc(path)
 
 
-YEAR_MONTH_SQL = """
-SELECT o_orderkey, o_totalprice, CAST(o_orderdate AS DATE) AS order_date,
-       CAST(year(o_orderdate) AS INTEGER) AS order_year, CAST(month(o_orderdate) AS INTEGER) AS order_month FROM orders"""
+YEAR_MONTH_SQL = f"""
+SELECT *, CAST(year(order_date) AS INTEGER) AS order_year, CAST(month(order_date) AS INTEGER) AS order_month
+FROM ({MERGED_SQL})"""
 
 
 def write_year_month(spark, sf):
-    path = fresh_dir(spark, "year-month")
-    orders = table(spark, sf, "orders").select(
-        "o_orderkey", "o_totalprice", F.col("o_orderdate").cast("date").alias("order_date")
-    )
-    write_dynamic(add_year_month(orders, F.col("order_date")), ["order_year", "order_month"], path)
-    return path
+    """The merged table by year and month: path and schema."""
+    path, rows = fresh_dir(spark, "year-month"), add_year_month(merged(spark, sf), F.col("order_date"))
+    write_dynamic(rows, ["order_year", "order_month"], path)
+    return path, stored_schema(rows, "order_year", "order_month")
 
 
 @query("layout_year_month", YEAR_MONTH_SQL)
 def _layout_year_month(spark, sf):
-    return spark.read.orc(write_year_month(spark, sf))
+    path, schema = write_year_month(spark, sf)
+    return spark.read.schema(schema).orc(path)
 
 
-PRUNED_DAYS = ["1995-01-23", "1998-05-22", "2000-06-30"]
+PRUNED_DAYS = [HOT_DAY, "1998-05-22", "2000-06-30"]
+PRUNED_SQL = f"""
+SELECT count(*) AS n_rows FROM ({MERGED_SQL}) WHERE order_date IN
+({', '.join(f"DATE '{d}'" for d in PRUNED_DAYS)})"""
 
 
-@query("pruned_count_ym", f"""
-SELECT count(*) AS n_rows FROM orders WHERE CAST(o_orderdate AS DATE) IN
-({', '.join(f"DATE '{d}'" for d in PRUNED_DAYS)})""")
-def _pruned_count_ym(spark, sf):
-    orders = spark.read.orc(write_year_month(spark, sf))
-    return orders.filter(date_predicates(PRUNED_DAYS)).agg(F.count(F.lit(1)).alias("n_rows"))
+def days_listed():
+    return F.col("order_date").isin([F.lit(d).cast("date") for d in PRUNED_DAYS])
 
 
-EVENT_DAYS = ["2024-01-03", "2024-01-13", "2024-01-23"]
+@query("pruned_count_date", PRUNED_SQL)
+def _pruned_count_date(spark, sf):
+    """On one file per date: only the folders of the days are read."""
+    path, schema = write_days(spark, sf)
+    return spark.read.schema(schema).orc(path).filter(days_listed()).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-@query("pruned_count_date", f"""
-SELECT CAST(ts AS DATE) AS day, count(*) AS n_rows FROM events WHERE CAST(ts AS DATE) IN
-({', '.join(f"DATE '{d}'" for d in EVENT_DAYS)}) GROUP BY 1""")
-def _pruned_count_date(spark, sf):
-    path = fresh_dir(spark, "by-day")
-    events = table(spark, sf, "events").select("event_id", "user_id", F.col("ts").cast("date").alias("day"))
-    write_by_value(events, "day", path)
-    days = [F.lit(d).cast("date") for d in EVENT_DAYS]
-    pruned = spark.read.schema("event_id BIGINT, user_id BIGINT, day DATE").orc(path).filter(F.col("day").isin(days))
-    return pruned.groupBy("day").agg(F.count(F.lit(1)).alias("n_rows"))
+@query("pruned_count_year", PRUNED_SQL)
+def _pruned_count_year(spark, sf):
+    """On year and month folders, with the years alone."""
+    path, schema = write_year_month(spark, sf)
+    return spark.read.schema(schema).orc(path).filter(year_predicates(PRUNED_DAYS)).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("pruned_count_ym", PRUNED_SQL)
+def _pruned_count_ym(spark, sf):
+    """On year and month folders, with years and months."""
+    path, schema = write_year_month(spark, sf)
+    return spark.read.schema(schema).orc(path).filter(date_predicates(PRUNED_DAYS)).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @query("sink_dynamic_overwrite", """

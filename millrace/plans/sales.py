@@ -9,13 +9,13 @@ from ..functions.sales import clean_price, price_value, total_sales
 from ..operators.grouping import group_cardinality, layout_advice, row_counts, union_sources
 from ..operators.joins import join_by_merge, left_join_hot_right
 from ..operators.keys import hot_values_by_median, key_counts, skew_profile, top_keys
-from ..operators.merge import merge_sales
+from ..operators.merge import merge_chain, merge_sales
 from ..operators.numbering import number_rows
 from ..operators.sampling import pair_with_sample, sample_bernoulli, sample_by_hash, sample_with_replacement
 from .registry import query, table
 
-# Hot at the scale of the test tables; the library default is for real ones.
-TEST_HOT_ROWS = 1000
+# A fair task at the scale of the test tables; the library default is for real ones.
+TEST_ROWS_PER_TASK = 200
 
 
 def sales_tables(spark, sf):
@@ -65,6 +65,15 @@ def _merge_sales(spark, sf):
     return merge_sales(*sales_tables(spark, sf))
 
 
+HOT_LINES = "CASE WHEN l_linenumber = 1 THEN 1 ELSE l_orderkey END"
+
+SKEWED_MERGE_SQL = """
+SELECT c_name, cust, o_orderkey, order_cust, line_order, l_linenumber, l_partkey, p_name
+FROM (SELECT c_name, {nulls} AS cust FROM customer) c
+LEFT JOIN (SELECT o_orderkey, {orders} AS order_cust FROM orders) o ON cust = order_cust
+LEFT JOIN (SELECT {lines} AS line_order, l_linenumber, l_partkey FROM lineitem) l ON o_orderkey = line_order
+LEFT JOIN (SELECT p_partkey, p_name FROM part) p ON l_partkey = p_partkey"""
+
 SKEWED_ORDERS = "CASE WHEN o_orderstatus = 'F' THEN 1 ELSE o_custkey END"
 SOME_NULL_KEYS = "CASE WHEN c_custkey % 97 = 5 THEN NULL ELSE c_custkey END"
 
@@ -87,7 +96,19 @@ LEFT JOIN (SELECT o_orderkey, o_totalprice, {SKEWED_ORDERS} AS order_cust FROM o
 
 @query("join_skew_left", SKEW_JOIN_SQL)
 def _join_skew_left(spark, sf):
-    return left_join_hot_right(*skewed_sides(spark, sf), "cust", "order_cust", hot_rows=TEST_HOT_ROWS)
+    return left_join_hot_right(*skewed_sides(spark, sf), "cust", "order_cust", rows_per_task=TEST_ROWS_PER_TASK)
+
+
+@query("merge_sales_skewed", SKEWED_MERGE_SQL.format(nulls=SOME_NULL_KEYS, orders=SKEWED_ORDERS, lines=HOT_LINES))
+def _merge_sales_skewed(spark, sf):
+    """The chain of joins with a hot customer, a hot order, and customers without a key."""
+    customers, orders = skewed_sides(spark, sf)
+    lines = table(spark, sf, "lineitem").select(F.expr(HOT_LINES).alias("line_order"), "l_linenumber", "l_partkey")
+    merged = merge_chain(
+        customers, orders.drop("o_totalprice"), lines, table(spark, sf, "part").select("p_partkey", "p_name"),
+        ("cust", "order_cust"), ("o_orderkey", "line_order"), ("l_partkey", "p_partkey"), TEST_ROWS_PER_TASK,
+    )
+    return merged.drop("p_partkey")
 
 
 @query("join_no_broadcast", """
@@ -393,13 +414,20 @@ SELECT o_orderkey, {SKEWED_ORDERS} AS cust,
        row_number() OVER (PARTITION BY {SKEWED_ORDERS} ORDER BY o_orderkey) AS row_num FROM orders""")
 def _row_number_per_key(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", F.expr(SKEWED_ORDERS).alias("cust"))
-    out = number_rows(orders, ["cust"], ["o_orderkey"], hot_rows=TEST_HOT_ROWS, splits=16)
-    return out.withColumn("row_num", F.col("row_num").cast("bigint"))
+    out = number_rows(orders, ["cust"], ["o_orderkey"], rows_per_task=TEST_ROWS_PER_TASK)
+    return out
 
 
 @query("row_number_global", """
 SELECT p_partkey, row_number() OVER (ORDER BY p_retailprice, p_partkey) AS row_num FROM part""")
 def _row_number_global(spark, sf):
     parts = table(spark, sf, "part").select("p_partkey", "p_retailprice")
-    out = number_rows(parts, [], ["p_retailprice", "p_partkey"], hot_rows=100, splits=16)
-    return out.select("p_partkey", F.col("row_num").cast("bigint").alias("row_num"))
+    return number_rows(parts, [], ["p_retailprice", "p_partkey"]).select("p_partkey", "row_num")
+
+
+@query("row_number_text", """
+SELECT c_custkey, row_number() OVER (ORDER BY c_mktsegment DESC, c_name) AS row_num FROM customer""")
+def _row_number_text(spark, sf):
+    """By text columns, one of them descending."""
+    customers = table(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_name")
+    return number_rows(customers, [], [F.desc("c_mktsegment"), "c_name"]).select("c_custkey", "row_num")

@@ -1,15 +1,12 @@
-"""Partitioned layouts: one file per value, more for hot values, never one task for an unbounded value."""
+"""Partitioned layouts: one file per value, more for large or hot values, never one task for an unbounded value."""
 
 from __future__ import annotations
 
 from datetime import date
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..workspace import lookup_table
 from .files import ROWS_PER_FILE
 
 
@@ -17,30 +14,6 @@ def _listed(columns: str | list[str]) -> list[str]:
     return [columns] if isinstance(columns, str) else list(columns)
 
 
-def _value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows per partition value: columns ``_v_<name>`` and ``rec_count``."""
-    names = [F.col(c).alias(f"_v_{c}") for c in columns]
-    return df.groupBy(*names).agg(F.count(F.lit(1)).alias("rec_count"))
-
-
-def _spread(df: DataFrame, columns: list[str], wanted: DataFrame, partitions: int | None) -> DataFrame:
-    """Shuffle so that a value sits in one task, a value listed in ``wanted`` in ``_files`` tasks.
-
-    The salt is a function of the row and its input partition: identical rows spread, and a task that
-    runs again after a lost executor puts every row where it was.
-    """
-    same = reduce(and_, [df[c].eqNullSafe(wanted[f"_v_{c}"]) for c in columns])
-    spread_key = F.xxhash64(F.spark_partition_id(), *df.columns)
-    salt = F.when(F.col("_files") > 1, F.pmod(spread_key, F.col("_files"))).otherwise(F.lit(0))
-    tagged = df.join(wanted, same, "left").select(*df.columns, salt.alias("_salt"))
-    return _together(tagged, [*columns, "_salt"], partitions).drop("_salt")
-
-
-def _together(df: DataFrame, columns: list[str], partitions: int | None) -> DataFrame:
-    by = [F.col(c) for c in columns]
-    return df.repartition(partitions, *by) if partitions else df.repartition(*by)
-
-
 def _save(
     df: DataFrame, columns: list[str], path: str, fmt: str, mode: str, rows_per_file: int, dynamic: bool = False
 ) -> None:
@@ -50,6 +23,13 @@ def _save(
     writer.option("maxRecordsPerFile", rows_per_file).format(fmt).save(path)
 
 
+def value_counts(df: DataFrame, columns: str | list[str]) -> DataFrame:
+    """Rows per partition value, for ``plan``: columns ``_v_<name>`` and ``rec_count``. Count a narrow input where
+    there is one, so that a wide table need not be made twice."""
+    names = [F.col(c).alias(f"_v_{c}") for c in _listed(columns)]
+    return df.groupBy(*names).agg(F.count(F.lit(1)).alias("rec_count"))
+
+
 def write_by_value(
     df: DataFrame,
     columns: str | list[str],
@@ -60,20 +40,16 @@ def write_by_value(
     mode: str = "overwrite",
     dynamic: bool = False,
 ) -> None:
-    """One file per value of ``columns``; a value above ``rows_per_file`` gets as many as it needs.
+    """One file per value of ``columns``; a large value gets as many as it needs.
 
-    The counting pass reads only ``columns``; give this a stored table or a staged frame. A table that
-    fits into one file as a whole needs no such pass. ``dynamic`` replaces only the partitions that
-    occur in ``df``.
+    The rows are rebalanced by the partition columns: adaptive execution sees the sizes of the shuffled
+    pieces and splits those above its advisory size over several tasks, so nothing is counted
+    beforehand and the table is made once. No file exceeds ``rows_per_file``. ``dynamic`` replaces only
+    the partitions that occur in ``df``.
     """
     names = _listed(columns)
-    if df.count() <= rows_per_file:
-        moved = _together(df, names, partitions)
-    else:
-        counts = _value_counts(df, names).filter(F.col("rec_count") > rows_per_file)
-        needed = F.ceil(F.col("rec_count") / F.lit(rows_per_file)).cast("int")
-        wanted = lookup_table(counts.select(*[f"_v_{c}" for c in names], needed.alias("_files")), "file-plan")
-        moved = _spread(df, names, wanted, partitions)
+    arguments = [*([partitions] if partitions else []), *names]
+    moved = df.hint("rebalance", *arguments)
     _save(moved, names, path, fmt, mode, rows_per_file, dynamic)
 
 
@@ -93,30 +69,37 @@ def write_skew_split(
     fmt: str = "orc",
     mode: str = "overwrite",
 ) -> None:
-    """Cold values one file each, the values of ``hot`` (column ``hot_key``) ``hot_files`` files each.
+    """Cold values one file each, the values of ``hot`` ``hot_files`` files each.
 
-    One write covers both, so a failed run leaves no half-replaced table and a second run gives the
-    same table. Rows without a value keep their own partition. Any value above ``rows_per_file``
-    gets more files than asked for.
+    ``hot`` has the values in ``hot_key``; its ``rec_count``, where there is one, raises the number of a
+    value's files so that each takes about ``rows_per_file`` rows. One write covers hot and cold, so a
+    failed run leaves no half-replaced table and a second run gives the same table. Rows without a value
+    keep their own partition. The salt is a function of the row and its input partition: identical rows
+    spread, and a task that runs again after a lost executor puts every row where it was.
     """
-    hot_values = hot.select(F.col("hot_key").alias("_hot")).distinct()
-    value = f"_v_{column}"
-    if df.count() <= rows_per_file:
-        plan = hot_values.select(F.col("_hot").alias(value), F.lit(hot_files).alias("_files"))
-    else:
-        counts = _value_counts(df, [column])
-        planned = counts.join(hot_values, counts[value].eqNullSafe(hot_values["_hot"]), "left")
-        asked = F.when(F.col("_hot").isNotNull(), F.lit(hot_files)).otherwise(F.lit(1))
-        needed = F.ceil(F.col("rec_count") / F.lit(rows_per_file))
-        plan = planned.select(value, F.greatest(asked, needed).cast("int").alias("_files"))
-    wanted = lookup_table(plan.filter(F.col("_files") > 1), "file-plan")
-    _save(_spread(df, [column], wanted, partitions), [column], path, fmt, mode, rows_per_file)
+    files = F.lit(hot_files)
+    if "rec_count" in hot.columns:
+        files = F.greatest(files, F.ceil(F.col("rec_count") / F.lit(rows_per_file)))
+    wanted = hot.select(F.col("hot_key").alias("_hot"), files.cast("int").alias("_files")).dropDuplicates(["_hot"])
+    same = df[column].eqNullSafe(wanted["_hot"])
+    spread_key = F.xxhash64(F.spark_partition_id(), *df.columns)
+    salt = F.when(F.col("_files") > 1, F.pmod(spread_key, F.col("_files"))).otherwise(F.lit(0))
+    tagged = df.join(wanted, same, "left").select(*df.columns, salt.alias("_salt"))
+    by = [F.col(column), F.col("_salt")]
+    moved = (tagged.repartition(partitions, *by) if partitions else tagged.repartition(*by)).drop("_salt")
+    _save(moved, [column], path, fmt, mode, rows_per_file)
 
 
 def add_year_month(df: DataFrame, day: Column, prefix: str = "order") -> DataFrame:
     return df.withColumns({f"{prefix}_year": F.year(day), f"{prefix}_month": F.month(day)})
 
 
+def year_predicates(days: list[str], day: str = "order_date", prefix: str = "order") -> Column:
+    """``day IN days`` plus the years that follow from it, which prune the upper directories."""
+    parsed = [date.fromisoformat(d) for d in days]
+    return F.col(day).isin(parsed) & F.col(f"{prefix}_year").isin(sorted({d.year for d in parsed}))
+
+
 def date_predicates(days: list[str], day: str = "order_date", prefix: str = "order") -> Column:
     """``day IN days`` plus the year and month predicates that follow from it and prune directories."""
     parsed = [date.fromisoformat(d) for d in days]

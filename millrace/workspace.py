@@ -1,11 +1,15 @@
 """Shared working folder: where staged tables, sinks under test and stream checkpoints live.
 
 On a cluster every executor must see the folder, so it comes from ``spark.checkpoint.dir``.
-Only a ``local`` session without that setting falls back to a temporary folder.
+A session of one machine (``local``, not ``local-cluster``) without that setting gets a temporary folder, which goes
+when Python ends; any other session is refused.
 """
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -26,10 +30,11 @@ def shared_root(spark: SparkSession) -> str:
     if root:
         return root.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if context.applicationId not in _local_roots:
-        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="run-")
+        atexit.register(shutil.rmtree, _local_roots[context.applicationId], ignore_errors=True)
     return _local_roots[context.applicationId]
 
 
@@ -45,13 +50,24 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Size of the rows as JSON text: an upper-side estimate that counts long strings in full."""
-    return df.agg(F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("b")).first()["b"]
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the file system it is in; a missing one is no error."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    return measured_bytes(df) <= limit
+def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES, row_bytes: int = 16) -> bool:
+    """Whether all rows take at most ``limit`` bytes, measured on no more rows than could fit.
+
+    A row counts with ``row_bytes`` besides its rendered columns, NULLs included, so the sum is on the
+    upper side and ``limit / row_bytes`` rows settle the question, however large the table is.
+    """
+    columns = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(4)) for c in df.columns]
+    width = sum(columns, F.lit(row_bytes)) if all(k != "binary" for _, k in df.dtypes) else None
+    if width is None:
+        return False
+    few = df.limit(limit // row_bytes + 1).select(width.cast("bigint").alias("b"))
+    return few.agg(F.coalesce(F.sum("b"), F.lit(0)).alias("b")).first()["b"] <= limit
 
 
 def lookup_table(df: DataFrame, label: str = "lookup", rows: int = LOOKUP_ROWS) -> DataFrame:
