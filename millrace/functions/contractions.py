@@ -34,6 +34,19 @@ CONTRACTIONS = {
     "will've": "will have", "won't": "will not", "would've": "would have", "wouldn't": "would not",
     "wouldn't've": "would not have", "y'all": "you all", "you'd": "you would", "you'll": "you will",
     "you're": "you are", "you've": "you have",
+    "mightn't've": "might not have", "mustn't've": "must not have", "needn't've": "need not have",
+    "oughtn't've": "ought not have", "sha'n't": "shall not", "shan't've": "shall not have",
+    "she'd've": "she would have", "she'll've": "she will have", "shouldn't've": "should not have",
+    "that'd've": "that would have", "there'd've": "there would have", "they'd've": "they would have",
+    "they'll've": "they will have", "we'd've": "we would have", "we'll've": "we will have",
+    "what'll've": "what will have", "who'll've": "who will have", "won't've": "will not have",
+    "y'all'd": "you all would", "y'all'd've": "you all would have", "y'all're": "you all are",
+    "y'all've": "you all have", "you'd've": "you would have", "you'll've": "you will have",
+    "'tis": "it is", "'twas": "it was", "e'er": "ever", "ne'er": "never", "o'er": "over", "how'd'y": "how do you",
+    "how're": "how are", "there're": "there are", "these're": "these are", "those're": "those are", "who're": "who are",
+    "why're": "why are", "where're": "where are", "when'll": "when will", "where'll": "where will", "why'll": "why will",
+    "what'd": "what did", "when'd": "when did", "daren't": "dare not", "everyone's": "everyone is",
+    "somebody's": "somebody is", "something's": "something is", "someone's": "someone is",
     "gimme": "give me", "gonna": "going to", "gotta": "got to", "lemme": "let me", "wanna": "want to",
 }
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from .accents import SPELLED, _single_map
+from .accents import _long_forms, _single_map
 from .common import MARK, SPACE_CHARS, SPACE_CLASS
 from .contractions import APOSTROPHE_WORD, CONTRACTIONS, JOINED_WORD
 from .html import _MARKUP, _SPACE_ENTITY, _entity_table
@@ -29,9 +29,9 @@ def _swap(text: str, pattern: str, replacement: str = "") -> str:
 def _accents(text: str) -> str:
     source, target = _single_map()
     body = f"translate({text}, {_quoted(source)}, {_quoted(target)})"
-    for sign, spelling in SPELLED.items():
-        if len(spelling) > 1:
-            body = f"replace({body}, {_quoted(sign)}, {_quoted(spelling)})"
+    letters = f"transform(split(w, ''), c -> coalesce(element_at({_map(_long_forms())}, c), c))"
+    spelled = f"CASE WHEN octet_length(w) > char_length(w) THEN array_join({letters}, '') ELSE w END"
+    body = f"array_join(transform(split({body}, ' '), w -> {spelled}), ' ')"
     return f"CASE WHEN octet_length({text}) > char_length({text}) THEN {body} ELSE {text} END"
 
 
@@ -61,8 +61,8 @@ def _entities(text: str) -> str:
         valid = f"{point} BETWEEN 1 AND 1114111 AND NOT {point} BETWEEN 55296 AND 57343"
         return f"WHEN {head} RLIKE {_quoted(shape)} AND {valid} THEN concat({char}, {rest})"
 
-    decimal = numbered(r"^&#[0-9]{1,7}$", f"try_cast(substr({head}, 3) AS INT)")
-    hexa = numbered(r"^&#[xX][0-9A-Fa-f]{1,6}$", f"try_cast(conv(substr({head}, 4), 16, 10) AS INT)")
+    decimal = numbered(r"^&#0*+[0-9]{0,7}$", f"try_cast(substr({head}, 3) AS INT)")
+    hexa = numbered(r"^&#[xX]0*+[0-9A-Fa-f]{0,6}$", f"try_cast(conv(substr({head}, 4), 16, 10) AS INT)")
     piece = (
         f"CASE WHEN NOT startswith(p, '&') OR length({head}) = length(p) THEN p "
         f"WHEN {named} IS NOT NULL THEN concat({named}, {rest}) {decimal} {hexa} ELSE p END"

@@ -1,4 +1,5 @@
-"""The Python UDF surface. The column functions are the fast path; these show, and measure, the other one."""
+"""The Python UDF surface: functions over Arrow batches for what has no expression, and the cleaning chain in plain
+Python, which tests and the benchmark compare the expressions with."""
 
 from __future__ import annotations
 
@@ -6,14 +7,15 @@ import html
 import re
 import string
 import sys
+import zlib
 
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import BinaryType, StringType
 
-from .accents import SPELLED, _decomposed_letters
+from .accents import MARKS, _spelled
 from .contractions import APOSTROPHE_WORD, CONTRACTIONS, JOINED_WORD
 
 # The functions travel to the Python workers by value: executors need no copy of this package.
@@ -24,12 +26,13 @@ _URL = re.compile(
 )
 _MARKUP = re.compile(
     r"<!--.*?-->|<(?:script|style|template)\b[^>]*>.*?</(?:script|style|template)\s*>"
-    r"""|<[!?][A-Za-z][^>]*>|</?[A-Za-z](?:[^>"']|"[^"]*"|'[^']*')*>""",
+    r"""|<[!?][A-Za-z][^>]*>|</?[A-Za-z](?:[^>=]|=[ \t\r\n]*(?:"[^"]*"|'[^']*')?)*+>""",
     re.DOTALL | re.IGNORECASE,
 )
 _EMAIL = re.compile(r"[a-z0-9+._-]+@[a-z0-9+._-]+\.[a-z0-9+_-]+")
+_ENTITY = re.compile(r"&(?:#0*[0-9]{1,7}|#[xX]0*[0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,15});")
 _WORD = re.compile(f"{APOSTROPHE_WORD}|{JOINED_WORD}")
-_ASCII = str.maketrans({**_decomposed_letters(), **SPELLED, "\t": " ", "\r": " ", "\n": " "})
+_ASCII = str.maketrans({**dict.fromkeys(MARKS, ""), **_spelled(), "\t": " ", "\r": " ", "\n": " "})
 _PUNCTUATION = str.maketrans("", "", string.punctuation)
 
 
@@ -38,7 +41,8 @@ def clean_text_python(text: str | None) -> str | None:
     if text is None:
         return None
     nodes = (node.strip() for node in _MARKUP.split(_URL.sub("", text)))
-    out = html.unescape(" ".join(node for node in nodes if node)).translate(_ASCII)
+    visible = " ".join(node for node in nodes if node)
+    out = _ENTITY.sub(lambda m: html.unescape(m[0]), visible).translate(_ASCII)
     out = out.encode("ascii", "ignore").decode("ascii").replace("?", "")
     out = _EMAIL.sub("", out).lower()
     out = _WORD.sub(lambda m: CONTRACTIONS.get(m[0], m[0]), out).translate(_PUNCTUATION)
@@ -53,18 +57,18 @@ def clean_text_arrow(texts: pd.Series) -> pd.Series:
 clean_text_row_udf = F.udf(clean_text_python, StringType(), useArrow=False)
 
 
-def _remove_blanks(text: str | None) -> str | None:
-    return None if text is None else re.sub(" +", " ", text)
+@F.pandas_udf(BinaryType())
+def pack_text(texts: pd.Series) -> pd.Series:
+    """Raw DEFLATE of the UTF-8 text; Spark has no expression for it."""
+    return texts.map(lambda t: None if t is None else zlib.compress(t.encode("utf-8"), 1))
 
 
-def _remove_tabs(text: str | None) -> str | None:
-    return None if text is None else text.translate(str.maketrans("\t\r\n", "   "))
-
-
-remove_blanks_udf = F.udf(_remove_blanks, StringType(), useArrow=True)
+@F.pandas_udf(StringType())
+def unpack_text(packed: pd.Series) -> pd.Series:
+    return packed.map(lambda p: None if p is None else zlib.decompress(p).decode("utf-8"))
 
 
 def register_python_udfs(spark: SparkSession) -> None:
-    """Python functions under SQL names, on Arrow batches."""
-    spark.udf.register("py_remove_blanks", F.udf(_remove_blanks, StringType(), useArrow=True))
-    spark.udf.register("py_remove_tabs", F.udf(_remove_tabs, StringType(), useArrow=True))
+    """The Python functions under SQL names, on Arrow batches."""
+    spark.udf.register("py_pack", pack_text)
+    spark.udf.register("py_unpack", unpack_text)

@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.accents import remove_accented_chars
-from ..functions.contractions import CONTRACTIONS, expand_contractions
+from ..functions.contractions import expand_contractions
 from ..functions.sql_names import register_sql_functions
 from ..functions.tweets import add_text_columns, effective_text, flatten_tweets, flatten_wide, retweet_flag
-from ..functions.udf import clean_text_arrow, register_python_udfs, remove_blanks_udf
+from ..functions.udf import pack_text, register_python_udfs, unpack_text
 from ..schemas import TWEET
 from ..sinks import write_bounded
 from ..sources import read_json_lines
@@ -21,8 +21,11 @@ POST = """
 text || ' <b>bold &amp; caf&eacute; &#233;</b> Don' || chr(39) || 't it' || chr(39) || 's John' || chr(39) || 's '
 || chr(9) || 'tab' || chr(13) || chr(10) || 'line #tag' || CAST(doc_id % 7 AS STRING) || ' @user'
 || CAST(doc_id % 11 AS STRING) || ' mail me.' || CAST(doc_id AS STRING) || '@example.com or ME@EX.COM see https://t.co/'
-|| CAST(doc_id AS STRING) || '?q=1 and www.foo.com at 12:30 on 1/2 okay? we' || chr(39) || 're gonna [stop]_^ <!-- no --> end'
+|| CAST(doc_id AS STRING) || '?q=1 and www.foo.com at 12:30 on 1/2 okay? we' || chr(39) || 're gonna [stop]_^ <!-- no --> end <a title=don' || chr(39) || 't>kept</a> &#00000233; &#x00000E9; they'
+|| chr(39) || 'd' || chr(39) || 've București Tiếng Việt Привет мир Αθήνα ＡＢ１'
 """
+# What the other scripts of the posts become.
+FOREIGN = {"București": "Bucuresti", "Tiếng Việt": "Tieng Viet", "Привет мир": "Privet mir", "Αθήνα": "Athena", "ＡＢ１": "AB1"}
 
 
 def posts(spark, sf):
@@ -40,7 +43,7 @@ URL_RE = (
     r"(?:[\p{L}\p{N}_.,@?^=%&:/~+#-]*[\p{L}\p{N}_@?^=%&/~+#-])?"
 )
 EMAIL_RE = r"[a-z0-9+._-]+@[a-z0-9+._-]+\.[a-z0-9+_-]+"
-TAGS_RE = r"""(?s)<!--.*?-->|</?[A-Za-z](?:[^>"'']|"[^"]*"|''[^'']*'')*>"""
+TAGS_RE = r"""(?s)<!--.*?-->|</?[A-Za-z](?:[^>=]|=[ \t\r\n]*"[^"]*"|=[ \t\r\n]*''[^'']*''|=)*>"""
 
 
 def sql_url(x):
@@ -52,10 +55,14 @@ def sql_html(x):
         f"array_to_string(list_filter(list_transform(string_split(regexp_replace({x}, '{TAGS_RE}', chr(1), 'g'), chr(1)), "
         f"lambda n: regexp_replace(n, '^[{SPACES}]+|[{SPACES}]+$', '', 'g')), lambda n: n <> ''), ' ')"
     )
-    return f"replace(replace(replace({nodes}, '&eacute;', 'é'), '&#233;', 'é'), '&amp;', '&')"
+    for entity in ("&eacute;", "&#233;", "&#00000233;", "&#x00000E9;"):
+        nodes = f"replace({nodes}, '{entity}', 'é')"
+    return f"replace({nodes}, '&amp;', '&')"
 
 
 def sql_accents(x):
+    for text, ascii_text in FOREIGN.items():
+        x = f"replace({x}, '{text}', '{ascii_text}')"
     return f"replace(strip_accents({x}), 'ß', 'ss')"
 
 
@@ -73,10 +80,9 @@ def sql_email(x):
 
 def sql_contractions(x):
     """Only words of the posts need to be spelled out here."""
-    words = ("don't", "it's", "we're", "gonna")
+    words = {"they'd've": "they would have", "don't": "do not", "it's": "it is", "we're": "we are", "gonna": "going to"}
     out = x
-    for word in words:
-        full = CONTRACTIONS[word]
+    for word, full in words.items():
         quoted = word.replace("'", "''")
         for a, b in ((quoted, full), (quoted.capitalize(), full.capitalize())):
             out = f"regexp_replace({out}, '\\b{a}\\b', '{b}', 'g')"
@@ -146,8 +152,9 @@ _register_step("text_clean_two_step", T.clean_two_step, sql_accents(sql_html("po
 
 @query("text_clean_fused", f"SELECT doc_id, {sql_clean('post')} AS clean FROM {POSTS_SQL}")
 def _text_clean_fused(spark, sf):
-    """One function over Arrow batches instead of expressions: kept to compare against."""
-    return posts(spark, sf).select("doc_id", clean_text_arrow(F.col("post")).alias("clean"))
+    """All steps as one registered SQL function: the same expressions behind one name."""
+    register_sql_functions(spark)
+    return posts(spark, sf).select("doc_id", F.call_function("apply_all_udf", F.col("post")).alias("clean"))
 
 
 @query("filter_track", f"""
@@ -165,7 +172,6 @@ def tweets(spark, sf):
     """Every document as two identical records of one of six kinds, in the pinned record schema."""
     kind = F.col("doc_id") % 6
     post = F.col("post")
-    head = F.substring(post, 1, 40)
     empty = F.lit(None).cast("string")
     author = F.col("doc_id").cast("string")
     record = posts(spark, sf).select(
@@ -174,9 +180,8 @@ def tweets(spark, sf):
         F.lit("Fri Oct 23 03:28:59 +0000 2020").alias("created_at"),
         "lang",
         F.lit("web").alias("source"),
-        F.when(kind.isin(0, 1, 5), F.concat(F.lit("RT @someone: "), head)).when(kind == 2, head)
-        .when(kind == 3, post).alias("text"),
-        F.when(kind == 2, True).when(kind != 4, False).alias("truncated"),
+        F.when(kind.isin(0, 1), F.concat(F.lit("RT @someone: "), post)).otherwise(post).alias("text"),
+        (kind == 2).alias("truncated"),
         F.lit("1603423739000").alias("timestamp_ms"),
         F.struct(
             F.col("doc_id").alias("id"), author.alias("id_str"), F.concat(F.lit("name "), author).alias("name"),
@@ -187,7 +192,7 @@ def tweets(spark, sf):
         F.when(
             kind.isin(0, 1),
             F.struct(
-                F.when(kind == 1, post).otherwise(head).alias("text"), (kind == 0).alias("truncated"),
+                post.alias("text"), (kind == 0).alias("truncated"),
                 F.struct(F.lit("someone").alias("screen_name")).alias("user"),
                 F.when(kind == 0, F.struct(post.alias("full_text"))).alias("extended_tweet"),
             ),
@@ -211,29 +216,31 @@ def stored_tweets(spark, sf):
 
 
 TWICE = "(SELECT doc_id, lang, post, unnest([1, 2]) AS copy FROM " + POSTS_SQL + ")"
-EFFECTIVE_SQL = "CASE WHEN doc_id % 6 IN (0, 1, 2, 3) THEN post END"
 
 
 @query("flag_retweet", f"""
-SELECT doc_id AS id, CASE WHEN doc_id % 6 IN (0, 1, 5) THEN 'Y'
-  WHEN doc_id % 6 IN (2, 3) AND starts_with(post, 'RT') THEN 'Y' ELSE 'N' END AS is_it_a_retweet FROM {TWICE}""")
+SELECT doc_id AS id, CASE WHEN doc_id % 6 IN (0, 1) OR starts_with(post, 'RT') THEN 'Y' ELSE 'N' END AS is_it_a_retweet
+FROM {TWICE}""")
 def _flag_retweet(spark, sf):
     return tweets(spark, sf).select("id", retweet_flag(F.col("text")).alias("is_it_a_retweet"))
 
 
-@query("tweet_effective_text", f"SELECT doc_id AS id, {EFFECTIVE_SQL} AS tweet_text FROM {TWICE}")
+@query("tweet_effective_text", f"SELECT doc_id AS id, post AS tweet_text FROM {TWICE}")
 def _tweet_effective_text(spark, sf):
     return tweets(spark, sf).select("id", effective_text().alias("tweet_text"))
 
 
 @query("nested_flatten", f"""
 SELECT doc_id AS id, CAST(doc_id AS VARCHAR) AS user_id_str, 'name ' || CAST(doc_id AS VARCHAR) AS user_name,
-       lang AS user_location, CASE WHEN doc_id % 6 = 0 THEN post END AS full_text FROM {TWICE}""")
+       lang AS user_location, CASE WHEN doc_id % 6 = 0 THEN post END AS full_text,
+       CASE WHEN doc_id % 6 IN (0, 1) THEN post END AS retweeted_text,
+       CASE WHEN doc_id % 6 IN (0, 1) THEN 'RT @someone: ' || post ELSE post END AS text FROM {TWICE}""")
 def _nested_flatten(spark, sf):
     return tweets(spark, sf).select(
         "id", F.col("user.id_str").alias("user_id_str"), F.col("user.name").alias("user_name"),
         F.col("user.location").alias("user_location"),
         F.col("retweeted_status.extended_tweet.full_text").alias("full_text"),
+        F.col("retweeted_status.text").alias("retweeted_text"), "text",
     )
 
 
@@ -241,7 +248,7 @@ def _nested_flatten(spark, sf):
 SELECT 'user' || CAST(doc_id AS VARCHAR) AS user_screen_name, lang AS user_location,
        CASE WHEN k = 2 THEN post END AS extended_tweet_full_text,
        CASE WHEN k IN (0, 1) THEN 'someone' END AS retweeted_status_user_screen_name,
-       CASE WHEN k = 1 THEN post WHEN k = 0 THEN substr(post, 1, 40) END AS retweeted_status_text,
+       CASE WHEN k IN (0, 1) THEN post END AS retweeted_status_text,
        CASE WHEN k = 0 THEN post END AS retweeted_status_extended_tweet_full_text,
        CASE WHEN k = 3 THEN 'other' END AS quoted_status_user_screen_name,
        CASE WHEN k = 3 THEN 'quoted' END AS quoted_status_text,
@@ -257,7 +264,7 @@ TWEET_JOB_SQL = f"""
 SELECT doc_id AS id, lang, CAST(doc_id AS VARCHAR) AS user_id_str, post AS tweet_text,
        {sql_tokens("post", "#")} AS hashtag, {sql_tokens("post", "@")} AS mention,
        array_to_string(regexp_extract_all(post, '{EMAIL_RE}'), ' ') AS emails, {sql_clean("post")} AS clean_tweet_text
-FROM {POSTS_SQL} WHERE lang = 'en' AND doc_id % 6 IN (0, 1, 2, 3)"""
+FROM {POSTS_SQL} WHERE lang = 'en'"""
 
 
 @query("tweet_job", TWEET_JOB_SQL)
@@ -278,27 +285,33 @@ def _tweet_job_sql(spark, sf):
     """The same job as SQL text with nested calls of the registered functions."""
     register_sql_functions(spark)
     flatten_tweets(tweets(spark, sf)).createOrReplaceTempView("flat_posts")
-    return spark.sql("""
-        SELECT id, lang, user_id_str, tweet_text,
-               array_join(get_hashtag_udf(tweet_text), ' ') AS hashtag,
-               array_join(get_mention_udf(tweet_text), ' ') AS mention,
-               array_join(get_email_address_udf(tweet_text), ' ') AS emails,
-               remove_blanks_udf(remove_tabs_udf(remove_all_punctuation_udf(expand_contractions_udf(to_lower_udf(
-               remove_email_address_udf(ascii_to_string_udf(remove_tabs_udf(remove_accented_chars_udf(
-               remove_html_udf(remove_url_udf(tweet_text))))))))))) AS clean_tweet_text
-        FROM flat_posts WHERE tweet_text IS NOT NULL""")
+    cleaned = "tweet_text"
+    for step in T.CLEAN_STEPS:
+        cleaned = f"{step.__name__}_udf({cleaned})"
+    lists = {"hashtag": "get_hashtag_udf", "mention": "get_mention_udf", "emails": "get_email_address_udf"}
+    columns = [f"array_join({function}(tweet_text), ' ') AS {name}" for name, function in lists.items()]
+    return spark.sql(
+        f"SELECT id, lang, user_id_str, tweet_text, {', '.join(columns)}, {cleaned} AS clean_tweet_text "
+        "FROM flat_posts WHERE tweet_text IS NOT NULL"
+    )
 
 
 # --- user-defined functions ------------------------------------------------------------------------
 
 
-@query("udf_dataframe", f"SELECT doc_id, {sql_blanks('post')} AS clean FROM {POSTS_SQL}")
+# What a Python function is for: a codec that no built-in expression has, over whole Arrow batches. Packing and
+# unpacking gives the text back, which is what the other engine can state.
+
+
+@query("udf_dataframe", f"SELECT doc_id, post AS back, strlen(post) AS bytes FROM {POSTS_SQL}")
 def _udf_dataframe(spark, sf):
-    return posts(spark, sf).select("doc_id", remove_blanks_udf(F.col("post")).alias("clean"))
+    packed = posts(spark, sf).select("doc_id", pack_text(F.col("post")).alias("packed"))
+    back = packed.select("doc_id", unpack_text(F.col("packed")).alias("back"))
+    return back.withColumn("bytes", F.octet_length("back").cast("bigint"))
 
 
-@query("udf_sql", f"SELECT doc_id, {sql_blanks(sql_tabs('post'))} AS clean FROM {POSTS_SQL}")
+@query("udf_sql", f"SELECT doc_id, {sql_tabs('post')} AS back FROM {POSTS_SQL}")
 def _udf_sql(spark, sf):
     register_python_udfs(spark)
     posts(spark, sf).createOrReplaceTempView("posts_for_udf")
-    return spark.sql("SELECT doc_id, py_remove_blanks(py_remove_tabs(post)) AS clean FROM posts_for_udf")
+    return spark.sql(r"SELECT doc_id, py_unpack(py_pack(translate(post, '\t\r\n', '   '))) AS back FROM posts_for_udf")
