@@ -1,4 +1,4 @@
-"""Customers, orders and order lines as expressions over ``spark.range``.
+"""Customers, orders and order lines as expressions over given ids: a table's keys, or ``spark.range``.
 
 All draws come from MD5 digits of the row's identity: a repeated task, a second run and another
 engine give the same rows, and no step needs a Python worker.
@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import add_days, add_years
@@ -44,13 +44,13 @@ def pick(digits: Column, position: int, choices: list[str]) -> Column:
 
 
 def poisson_cuts(mean: float) -> list[float]:
-    """Cumulative Poisson probabilities, as far as seven hex digits can tell them apart."""
-    cuts, term, total, k = [], math.exp(-mean), 0.0, 0
-    while total < 1 - 1e-8:
-        total += term
-        cuts.append(total)
+    """Cumulative Poisson probabilities, as far as seven hex digits can tell them apart. Terms come from their
+    logarithms, as the first ones of a large mean are too small for a number."""
+    cuts, total, k = [], 0.0, 0
+    while mean > 0 and total < 1 - 1e-8 and k < mean + 12 * math.sqrt(mean) + 40:
+        total += math.exp(k * math.log(mean) - mean - math.lgamma(k + 1))
+        cuts.append(min(total, 1.0))
         k += 1
-        term *= mean / k
     return cuts
 
 
@@ -61,9 +61,9 @@ def poisson_count(digits: Column, position: int, mean: float) -> Column:
     return F.size(F.filter(cuts, lambda cut: cut <= u))
 
 
-def customers(spark: SparkSession, rows: int) -> DataFrame:
-    """``rows`` customers with the columns of schemas.CUSTOMER; nobody is born after 2005."""
-    base = spark.range(rows).select(
+def customers(ids: DataFrame) -> DataFrame:
+    """A customer with the columns of schemas.CUSTOMER for every row's ``id``; nobody is born after 2005."""
+    base = ids.select(
         "id", digest("customer", F.col("id")).alias("h"), digest("person", F.col("id")).alias("p")
     )
     h, p = F.col("h"), F.col("p")
@@ -131,10 +131,10 @@ def skew_orders(customer: DataFrame, day: str, rounds: int = 10, fraction: float
     return _order_columns(_drawn(customer, "skew", rounds * fraction), F.lit(day).cast("date"))
 
 
-def hot_customer_orders(spark: SparkSession, cust_ids: list[str], rows_each: int, day: str) -> DataFrame:
-    """``rows_each`` orders on one date for each of a few customers."""
-    ids = F.array(*[F.lit(c) for c in cust_ids])
-    base = spark.range(rows_each).withColumn("cust_id", F.explode(ids))
+def hot_customer_orders(ids: DataFrame, cust_ids: list[str], day: str) -> DataFrame:
+    """For every row's ``id`` an order on one date of each of a few customers."""
+    hot = F.array(*[F.lit(c) for c in cust_ids])
+    base = ids.select("id").withColumn("cust_id", F.explode(hot))
     base = base.withColumn("o", digest("hot", F.col("cust_id"), F.col("id"))).drop("id")
     return _order_columns(base, F.lit(day).cast("date"))
 

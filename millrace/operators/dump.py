@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from ..functions.common import strip
 from ..functions.dates import lenient_timestamp
@@ -96,14 +96,24 @@ def _sql_type(variant_type: str) -> str:
 
 
 def infer_json_schema(df: DataFrame, column: str, sampling_ratio: float = 1.0, seed: int = 7) -> StructType:
-    """Schema of the JSON objects in a text column: one aggregation, only type text reaches the driver."""
+    """Schema of the JSON objects in a text column: one aggregation, only type text reaches the driver.
+
+    Objects with repeated keys count as valid but have no type for the aggregation; their field names
+    are added as text, so that no field of an accepted line is lost.
+    """
     sampled = df if sampling_ratio >= 1.0 else df.sample(False, sampling_ratio, seed)
-    parsed = F.try_parse_json(F.col(column))
-    found = sampled.agg(F.schema_of_variant_agg(parsed).alias("t")).first()["t"]
-    sql_type = _sql_type(found)
-    if not sql_type.upper().startswith("STRUCT<"):
-        return StructType()
-    return StructType.fromDDL(f"v {sql_type}")["v"].dataType
+    text = F.col(column)
+    parsed = F.try_parse_json(text)
+    repeated = F.when(parsed.isNull() & text.rlike(r"^\s*\{"), F.json_object_keys(text))
+    found = sampled.agg(
+        F.schema_of_variant_agg(parsed).alias("t"), F.array_distinct(F.flatten(F.collect_set(repeated))).alias("names")
+    ).first()
+    sql_type = _sql_type(found["t"] or "VOID")
+    known = StructType()
+    if sql_type.upper().startswith("STRUCT<"):
+        known = StructType.fromDDL(f"v {sql_type}")["v"].dataType
+    more = sorted(set(found["names"] or []) - set(known.names))
+    return StructType([*known.fields, *[StructField(name, StringType()) for name in more]])
 
 
 def clean_field_names(schema: StructType, exact: dict[str, str] | None = None) -> StructType:

@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..datagen.sales import digest, poisson_count
+
 
 def sample_bernoulli(df: DataFrame, fraction: float, seed: int) -> DataFrame:
     return df.sample(False, fraction, seed)
 
 
-def sample_with_replacement(df: DataFrame, fraction: float, seed: int) -> DataFrame:
-    return df.sample(True, fraction, seed)
+def sample_with_replacement(df: DataFrame, fraction: float, key: Column, label: str) -> DataFrame:
+    """Every row a Poisson number of times, drawn from its key: a repeated task draws the same again."""
+    times = poisson_count(digest(label, key), 1, fraction)
+    drawn = df.withColumn("_times", times).filter(F.col("_times") > 0)
+    return drawn.withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_times")))).drop("_times", "_i")
 
 
 def hash_fraction(key: Column, salt: str = "") -> Column:

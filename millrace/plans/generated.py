@@ -1,4 +1,4 @@
-"""Generated sales data, sized by the given tables."""
+"""Generated sales data: the rows of the given tables expanded into customers, orders and order lines."""
 
 from __future__ import annotations
 
@@ -39,11 +39,11 @@ SELECT *, CAST(CASE WHEN day(born + INTERVAL 15 YEAR) <> day(born) THEN born + I
   DATE '1940-01-01' + CAST({_hex(H, 1, gen.BIRTH_DAYS)} AS INTEGER) AS born,
   '3' || lpad(CAST(CAST('0x' || substr({H}, 8, 14) AS BIGINT) AS VARCHAR), 17, '0')
       || lpad(CAST(id AS VARCHAR), 12, '0') AS cust_id
- FROM (SELECT row_number() OVER () - 1 AS id FROM customer))"""
+ FROM (SELECT c_custkey AS id FROM customer))"""
 
 
 def customers(spark, sf):
-    return gen.customers(spark, table(spark, sf, "customer").count())
+    return gen.customers(table(spark, sf, "customer").select(F.col("c_custkey").alias("id")))
 
 
 @query("gen_customers", f"""
@@ -102,12 +102,12 @@ def _gen_skew_orders(spark, sf):
 
 @query("gen_hot_customers", _orders_sql(
     """SELECT cust_id, md5('hot:' || cust_id || ':' || CAST(id AS VARCHAR)) AS o FROM
-       (SELECT unnest(['901', '902', '903', '904']) AS cust_id, id FROM (SELECT row_number() OVER () - 1 AS id FROM orders))""",
+       (SELECT unnest(['901', '902', '903', '904']) AS cust_id, id FROM (SELECT o_orderkey AS id FROM orders))""",
     "DATE '2021-01-01'", "1",
 ))
 def _gen_hot_customers(spark, sf):
-    rows = table(spark, sf, "orders").count()
-    return order_facts(gen.hot_customer_orders(spark, ["901", "902", "903", "904"], rows, "2021-01-01"))
+    ids = table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"))
+    return order_facts(gen.hot_customer_orders(ids, ["901", "902", "903", "904"], "2021-01-01"))
 
 
 def _rounds_sql(table_name: str, key: str, label: str, rounds: int, mean: str | float) -> str:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..datagen.sales import poisson_cuts
 from ..functions.dates import add_days, add_years, lenient_date, lenient_timestamp
 from ..functions.sales import clean_price, price_value, total_sales
 from ..operators.grouping import group_cardinality, layout_advice, row_counts, union_sources
@@ -12,6 +13,8 @@ from ..operators.keys import hot_values_by_median, key_counts, skew_profile, top
 from ..operators.merge import merge_chain, merge_sales
 from ..operators.numbering import number_rows
 from ..operators.sampling import pair_with_sample, sample_bernoulli, sample_by_hash, sample_with_replacement
+from ..sources import read_delimited
+from ..workspace import fresh_dir
 from .registry import query, table
 
 # A fair task at the scale of the test tables; the library default is for real ones.
@@ -379,34 +382,53 @@ def _sample_bernoulli(spark, sf):
     return sample_bernoulli(table(spark, sf, "orders"), 0.2, seed=11).select("o_orderkey")
 
 
-@query("sample_replacement")
+@query("sample_replacement", f"""
+SELECT o_orderkey FROM (SELECT o_orderkey, unnest(generate_series(1, n)) AS i FROM (
+  SELECT o_orderkey, CAST(len(list_filter([{', '.join(f'CAST({c!r} AS DOUBLE)' for c in poisson_cuts(0.5))}],
+    lambda c: c <= CAST('0x' || substr(md5('again:' || CAST(o_orderkey AS VARCHAR)), 1, 7) AS BIGINT) / 268435456.0::DOUBLE))
+    AS BIGINT) AS n FROM orders))""")
 def _sample_replacement(spark, sf):
-    return sample_with_replacement(table(spark, sf, "orders"), 0.5, seed=11).select("o_orderkey")
+    """With replacement: every row as often as a Poisson draw from its key says, on any engine."""
+    return sample_with_replacement(table(spark, sf, "orders"), 0.5, F.col("o_orderkey"), "again").select("o_orderkey")
 
 
-@query("set_union_all", """
-SELECT 'part' AS catalogue, CAST(p_partkey AS VARCHAR) AS uniq_id, p_name AS product_name, p_brand AS manufacturer,
-       p_retailprice AS price FROM part
-UNION ALL SELECT 'supplier', CAST(s_suppkey AS VARCHAR), s_name, CAST(s_nationkey AS VARCHAR), s_acctbal FROM supplier
-UNION ALL SELECT 'customer', CAST(c_custkey AS VARCHAR), c_name, c_mktsegment, c_acctbal FROM customer""")
+# Names as in hand-kept catalogues: separators, quotes and a line break inside.
+ODD_NAME = "|| ', \"best\"; 1|2' || chr(10) || 'new'"
+
+
+@query("set_union_all", f"""
+SELECT 'part' AS catalogue, CAST(p_partkey AS VARCHAR) AS uniq_id, p_name {ODD_NAME} AS product_name,
+       p_brand AS manufacturer, p_retailprice AS price FROM part
+UNION ALL SELECT 'supplier', CAST(s_suppkey AS VARCHAR), s_name {ODD_NAME}, CAST(s_nationkey AS VARCHAR), s_acctbal
+FROM supplier
+UNION ALL SELECT 'customer', CAST(c_custkey AS VARCHAR), c_name {ODD_NAME}, c_mktsegment, c_acctbal FROM customer""")
 def _set_union_all(spark, sf):
-    """Three catalogues with their own column names; the first carries a currency sign."""
-    part = table(spark, sf, "part").select(
-        F.lit("part").alias("src"), F.col("p_partkey").cast("string").alias("id"), "p_name", "p_brand",
-        clean_price(F.concat(F.lit("£"), F.col("p_retailprice").cast("string"))).alias("price"),
-    )
-    supplier = table(spark, sf, "supplier").select(
-        F.lit("supplier").alias("src"), F.col("s_suppkey").cast("string").alias("Id"), "s_name",
-        F.col("s_nationkey").cast("string").alias("Brand"), price_value(F.col("s_acctbal").cast("string")).alias("List"),
-    )
-    customer = table(spark, sf, "customer").select(
-        F.lit("customer").alias("src"), F.col("c_custkey").cast("string").alias("asin"), "c_name", "c_mktsegment",
-        "c_acctbal",
-    )
+    """Three catalogue files with their own separators, headers and column names; one has a currency sign."""
+    number = lambda c: F.col(c).cast("string")
+    odd = lambda c: F.expr(f"{c} {ODD_NAME}")
+    files = {
+        "part": (",", True, "id STRING, title STRING, brand STRING, price STRING", [
+            number("p_partkey"), odd("p_name"), F.col("p_brand"), F.concat(F.lit("£"), number("p_retailprice")),
+        ]),
+        "supplier": (";", True, "Id STRING, Label STRING, Brand STRING, List STRING", [
+            number("s_suppkey"), odd("s_name"), number("s_nationkey"), number("s_acctbal"),
+        ]),
+        "customer": ("|", False, "asin STRING, name STRING, maker STRING, cost STRING", [
+            number("c_custkey"), odd("c_name"), F.col("c_mktsegment"), number("c_acctbal"),
+        ]),
+    }
+    parts = []
     target = ["catalogue", "uniq_id", "product_name", "manufacturer", "price"]
-    return union_sources(
-        [(df, dict(zip(target, df.columns))) for df in (part, supplier, customer)]
-    )
+    for name, (sep, header, schema, columns) in files.items():
+        path = fresh_dir(spark, f"catalogue-{name}")
+        names = [field.split()[0] for field in schema.split(", ")]
+        kept = table(spark, sf, name).select(*[c.alias(n) for c, n in zip(columns, names)])
+        kept.write.options(sep=sep, header=header, quote='"', escape='"').csv(path)
+        read = read_delimited(spark, path, schema, sep, header, escape='"', multi_line=True)
+        price = clean_price(F.col(names[3])) if name == "part" else price_value(F.col(names[3]))
+        read = read.select(F.lit(name).alias("src"), *names[:3], price.alias("amount"))
+        parts.append((read, dict(zip(target, read.columns))))
+    return union_sources(parts)
 
 
 @query("row_number_per_key", f"""

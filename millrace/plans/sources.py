@@ -76,7 +76,7 @@ def _src_json_infer(spark, sf):
     table(spark, sf, "events").select("event_id", props.alias("props"), F.struct("event_type").alias("meta")).write.json(
         path
     )
-    return read_json_lines(spark, path, sampling_ratio=0.5).select(
+    return read_json_lines(spark, path).select(
         "event_id", F.col("props.k").alias("k"), F.col("meta.event_type").alias("kind")
     )
 
@@ -100,9 +100,16 @@ def _src_table(spark, sf):
         spark.sql(f"USE {before}")
 
 
-@query("src_range", "SELECT row_number() OVER () - 1 AS id FROM orders")
+@query("src_range", """
+SELECT id FROM range((SELECT max(o_orderkey) + 1 FROM orders)) t(id) WHERE id NOT IN (SELECT o_orderkey FROM orders)
+UNION ALL SELECT -o_orderkey FROM orders WHERE o_orderkey % 100 = 7""")
 def _src_range(spark, sf):
-    return row_range(spark, table(spark, sf, "orders").count())
+    """The numbers up to the largest order key that no order has, beside some that orders have, negated."""
+    keys = table(spark, sf, "orders").select("o_orderkey")
+    numbers = row_range(spark, keys.agg(F.max("o_orderkey")).first()[0] + 1)
+    missing = numbers.join(keys, numbers["id"] == keys["o_orderkey"], "left_anti")
+    present = numbers.filter("id % 100 = 7").join(keys, numbers["id"] == keys["o_orderkey"], "left_semi")
+    return missing.unionByName(present.select((-F.col("id")).alias("id")))
 
 
 @query("ddl_external_csv", LINES_SQL)
@@ -197,15 +204,34 @@ ARTICLE_TOKENS_SQL = (
 )
 
 
+# Markup around every document, and the words of it that stay in the article.
+WIKI_HEAD = (
+    "{{one|{{two|{{three|{{four|{{five}}}}}}}}}} '''Bold''' [[File:x.jpg|thumb|left|a [[b|c]] d]] <ref name=q>note</ref> "
+)
+WIKI_TAIL = (
+    "\n{| class=wikitable\n| cell {| inner |} more\n|}\n[[target|shown]] [[plain link]] [http://example.com/path label here]"
+    " https://example.org/bare &nbsp;caf&eacute; [[Category:Things]]"
+)
+WIKI_TAIL_WORDS = "shown plain link label here café"
+
+
 @query("job_article_text", f"""
 SELECT title, array_to_string(w, ' ') AS line FROM
- (SELECT CAST(doc_id AS VARCHAR) AS title, {ARTICLE_TOKENS_SQL.format("text")} AS w FROM documents) WHERE len(w) >= 50""")
+ (SELECT CAST(doc_id AS VARCHAR) AS title,
+  {ARTICLE_TOKENS_SQL.format("('bold ' || replace(replace(text, '[', ' '), ']', ' ') || ' " + WIKI_TAIL_WORDS + "')")} AS w
+  FROM documents WHERE doc_id % 10 < 7) WHERE len(w) >= 50""")
 def _job_article_text(spark, sf):
-    """Documents as a wiki XML dump, read back page by page."""
+    """Documents as a wiki XML dump with markup, talk pages, redirects and pages without a namespace, read back."""
     path = fresh_dir(spark, "wiki")
-    body = F.regexp_replace(F.regexp_replace("text", "&", "&amp;"), "<", "&lt;")
+    kind = F.col("doc_id") % 10
+    wiki = F.concat(F.lit(WIKI_HEAD), F.regexp_replace("text", r"[\[\]]", " "), F.lit(WIKI_TAIL))
+    wiki = F.when(kind == 8, F.concat(F.lit("#REDIRECT [[x]] "), wiki)).otherwise(wiki)
+    body = F.replace(F.replace(wiki, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    space = F.when(kind == 7, "<ns>1</ns>").when(kind.isin(6, 9), "").otherwise("<ns>0</ns>")
+    number = F.col("doc_id").cast("string")
+    title = F.when(kind == 9, F.concat(F.lit("Talk:"), number)).otherwise(number)
     page = F.concat(
-        F.lit("<page><title>"), F.col("doc_id"), F.lit("</title><revision><text>"), body,
+        F.lit("<page><title>"), title, F.lit("</title>"), space, F.lit("<revision><text>"), body,
         F.lit("</text></revision></page>"),
     )
     documents = wide_table(spark, sf, "documents", "doc_id", "text")
@@ -215,7 +241,7 @@ def _job_article_text(spark, sf):
 
 HTML_TEXT_SQL = r"""
 array_to_string(list_filter(list_transform(string_split(regexp_replace(html,
- '(?s)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>|<[!?][A-Za-z][^>]*>|</?[A-Za-z](?:[^>"'']|"[^"]*"|''[^'']*'')*>',
+ '(?s)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>|<[!?][A-Za-z][^>]*>|</?[A-Za-z](?:[^>=]|=[ \t\r\n]*"[^"]*"|=[ \t\r\n]*''[^'']*''|=)*>',
  chr(1), 'g'), chr(1)), lambda n: regexp_replace(n, '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g')), lambda n: n <> ''), ' ')"""
 DECODED_HTML_SQL = (
     f"replace(replace(replace(replace({HTML_TEXT_SQL}, '&middot;', '·'), '&copy;', '©'), '&quot;', '\"'), '&amp;', '&')"

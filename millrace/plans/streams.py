@@ -24,14 +24,18 @@ def event_files(spark, sf):
 
 
 def record_files(spark, sf, damage: bool = False):
-    """The events as published records; with ``damage`` every eleventh payload is plain JSON and every
-    thirteenth is cut."""
+    """The events as published records; with ``damage`` every eleventh payload is plain JSON, every
+    thirteenth is cut, every seventeenth has text behind its JSON, every nineteenth repeats a key."""
     path = fresh_dir(spark, "shards")
     events = wide_table(spark, sf, "events", *RECORD_COLUMNS)
     if not damage:
         to_records(events, 2).write.partitionBy("shard").parquet(path)
         return path
-    body = F.to_json(F.struct(*RECORD_COLUMNS))
+    plain = F.to_json(F.struct(*RECORD_COLUMNS))
+    twice = F.concat(F.lit('{"again":1,"again":2,'), F.substring(plain, 2, 1_000_000))
+    body = F.when(F.col("event_id") % 17 == 0, F.concat(plain, F.lit(" garbage"))).when(
+        F.col("event_id") % 19 == 0, twice
+    ).otherwise(plain)
     packed = events.select("event_id", body.alias("body"), encode_payload(body).alias("payload"))
     cut = F.substring(F.col("payload"), 1, 20)
     payload = F.when(F.col("event_id") % 13 == 0, cut).when(
@@ -54,15 +58,17 @@ def _stream_ingest(spark, sf):
     return spark.read.schema(RECORD).parquet(out)
 
 
-@query("stream_decode", """
-SELECT event_id, user_id, event_type, value, event_id % 13 <> 0 AS is_decoded FROM
- (SELECT CASE WHEN event_id % 13 <> 0 THEN event_id END AS event_id, CASE WHEN event_id % 13 <> 0 THEN user_id END AS user_id,
-  CASE WHEN event_id % 13 <> 0 THEN event_type END AS event_type, CASE WHEN event_id % 13 <> 0 THEN value END AS value
-  FROM events WHERE event_id % 13 <> 0)
-UNION ALL SELECT NULL, NULL, NULL, NULL, FALSE FROM events WHERE event_id % 13 = 0""")
+BAD = "(event_id % 13 = 0 OR event_id % 17 = 0)"
+
+
+@query("stream_decode", f"""
+SELECT event_id, user_id, event_type, value, TRUE AS is_decoded FROM events WHERE NOT {BAD}
+UNION ALL SELECT NULL, NULL, NULL, NULL, FALSE FROM events WHERE {BAD}""")
 def _stream_decode(spark, sf):
     records = spark.read.parquet(record_files(spark, sf, damage=True))
-    return parse_records(records, RECORD).select("record.*", "is_decoded")
+    parsed = parse_records(records, RECORD)
+    fields = [F.when(F.col("is_decoded"), F.col(f"record.{c}")).alias(c) for c in RECORD_COLUMNS]
+    return parsed.select(*fields, "is_decoded")
 
 
 @query("stream_publish", EVENTS_SQL)
@@ -75,7 +81,7 @@ def _stream_publish(spark, sf):
     return records.select(F.from_json(decode_payload("payload"), RECORD).alias("r")).select("r.*")
 
 
-@query("stream_sink_json", "SELECT event_id, user_id, event_type, value FROM events WHERE event_id % 13 <> 0")
+@query("stream_sink_json", f"SELECT event_id, user_id, event_type, value FROM events WHERE NOT {BAD}")
 def _stream_sink_json(spark, sf):
     """Consume all shards twice with one checkpoint: the second run finds nothing new."""
     source, out, position = record_files(spark, sf, damage=True), fresh_dir(spark, "captured"), fresh_dir(spark, "position")
@@ -84,7 +90,7 @@ def _stream_sink_json(spark, sf):
     return spark.read.schema(RECORD).json(out)
 
 
-@query("stream_rejects", "SELECT md5(CAST(event_id AS VARCHAR)) AS partition_key FROM events WHERE event_id % 13 = 0")
+@query("stream_rejects", f"SELECT md5(CAST(event_id AS VARCHAR)) AS partition_key FROM events WHERE {BAD}")
 def _stream_rejects(spark, sf):
     source, out = record_files(spark, sf, damage=True), fresh_dir(spark, "rejected")
     consume(

@@ -2,24 +2,35 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.html import remove_html
+from ..functions.common import MARK, let
+from ..functions.html import decode_entities, remove_html
 
-WIKI_PAGE = "title STRING, revision STRUCT<text: STRING>"
+WIKI_PAGE = "title STRING, ns INT, revision STRUCT<text: STRING>"
 
 # Tokens are runs of letters and underscores; those of 2 to 15 characters that do not
 # start with an underscore count, and an article needs 50 of them.
 TOKEN_PATTERN = r"[\p{L}\p{Nl}\p{No}_]+"
 TOKEN_MIN, TOKEN_MAX = 2, 15
 ARTICLE_MIN_TOKENS = 50
-# Innermost templates go first; this many nested levels are removed.
-TEMPLATE_LEVELS = 4
+# The namespace of articles, and the prefixes of titles that belong to others where a page names none.
+ARTICLES = 0
+OTHER_TITLES = (
+    "Talk", "User", "User talk", "Wikipedia", "File", "Image", "MediaWiki", "Template", "Help", "Category", "Portal",
+    "Book", "Draft", "Module", "Special", "Media",
+)
+# Links to files and categories, whose texts may hold links of their own.
+FILE_LINK = (
+    r"(?i)\[\[(?:file|image|category|media):(?:[^\[\]]++|\[\[[^\[\]]*+\]\]|\[[^\[\]]*+\])*+\]\]"
+)
 
 
 def read_wiki_xml(spark: SparkSession, path, row_tag: str = "page") -> DataFrame:
-    """Columns ``title`` and ``text``, one row per page.
+    """Columns ``title`` and ``text``, one row per article: pages of other namespaces and redirects are left out.
 
     The end tag serves as the line separator of the text source, so one large dump (plain or bzip2)
     is split between pages and read by many tasks; a damaged page gives NULLs and harms no other.
@@ -29,39 +40,71 @@ def read_wiki_xml(spark: SparkSession, path, row_tag: str = "page") -> DataFrame
     page = F.concat(F.substring(F.col("value"), start, F.length("value")), F.lit(f"</{row_tag}>"))
     record = F.from_xml(page, WIKI_PAGE, {"rowTag": row_tag})
     pages = chunks.filter(start > 0).select(record.alias("page"))
-    return pages.select("page.title", F.col("page.revision.text").alias("text"))
+    text = F.col("page.revision.text")
+    prefix = F.substring_index(F.col("page.title"), ":", 1)
+    other = F.col("page.title").contains(":") & prefix.isin(*OTHER_TITLES)
+    article = F.when(F.col("page.ns").isNull(), ~F.coalesce(other, F.lit(False))).otherwise(F.col("page.ns") == ARTICLES)
+    redirect = F.coalesce(text.rlike(r"(?i)^\s*#redirect\b"), F.lit(False))
+    return pages.filter(article & ~redirect).select("page.title", text.alias("text"))
+
+
+def _outside(text: Column, opening: str, closing: str) -> Column:
+    """The text outside all pairs of two marks, nested to any depth: one pass over the pieces between marks.
+
+    A piece begins with the mark that changes the depth, so a running depth decides for each piece. A closing
+    mark without an opening one changes nothing.
+    """
+    marks = f"({re.escape(opening)}|{re.escape(closing)})"
+    pieces = F.split(F.regexp_replace(text, marks, f"{MARK}$1"), MARK)
+
+    def step(state: Column, piece: Column) -> Column:
+        opens, closes = piece.startswith(opening), piece.startswith(closing)
+        deeper = F.when(opens, state["depth"] + 1).when(closes, F.greatest(state["depth"] - 1, F.lit(0)))
+        depth = F.coalesce(deeper, state["depth"])
+        own = F.when(closes, F.substring(piece, len(closing) + 1, 1 << 30)).otherwise(piece)
+        kept = F.when(depth > 0, F.lit(" ")).otherwise(own)
+        return F.struct(depth.alias("depth"), F.concat(state["kept"], F.array(kept)).alias("kept"))
+
+    start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("kept"))
+    outside = F.aggregate(pieces, start, step, lambda state: F.array_join(state["kept"], ""))
+    return F.when(text.contains(opening), outside).otherwise(text)
 
 
 def _plain_wiki(text: Column) -> Column:
-    """Drop the common wiki markup: templates, references, link targets, emphasis."""
-    bare = text
-    for _ in range(TEMPLATE_LEVELS):
-        bare = F.regexp_replace(bare, r"\{\{[^{}]*+\}\}", " ")
+    """Drop the wiki markup: entities first, then comments, templates, tables, references, tags, files, links, emphasis."""
+    bare = F.regexp_replace(decode_entities(text), r"(?s)<!--.*?-->", " ")
+    bare = let(bare, lambda t: _outside(t, "{{", "}}"))
+    bare = let(bare, lambda t: _outside(t, "{|", "|}"))
     bare = F.regexp_replace(bare, r"(?s)<ref[^>/]*>.*?</ref>", " ")
     bare = F.regexp_replace(bare, r"<[^>]*>", " ")
+    bare = F.regexp_replace(bare, FILE_LINK, " ")
     bare = F.regexp_replace(bare, r"\[\[(?:[^\[\]|]*\|)?([^\[\]|]*)\]\]", "$1")
+    bare = F.regexp_replace(bare, r"\[(?:https?|ftp)://[^\s\]]++\s*+([^\]]*+)\]", "$1")
+    bare = F.regexp_replace(bare, r"(?:https?|ftp)://[^\s\]]++", " ")
     return F.regexp_replace(bare, r"'{2,}", "")
 
 
-def article_tokens(text: Column) -> Column:
+def article_tokens(text: Column, shortest: int = TOKEN_MIN, longest: int = TOKEN_MAX) -> Column:
     words = F.regexp_extract_all(F.lower(text), F.lit(TOKEN_PATTERN), F.lit(0))
-    return F.filter(words, lambda w: F.length(w).between(TOKEN_MIN, TOKEN_MAX) & ~w.startswith("_"))
+    return F.filter(words, lambda w: F.length(w).between(shortest, longest) & ~w.startswith("_"))
 
 
-def _as_lines(articles: DataFrame, text: Column, out: str, min_tokens: int) -> DataFrame:
+def _as_lines(articles: DataFrame, tokens: Column, out: str, min_tokens: int) -> DataFrame:
     # A generator of one row: the filter stays above it and the tokens are made once.
-    made = articles.select("*", F.explode(F.array(article_tokens(text))).alias("_tokens"))
+    made = articles.select("*", F.explode(F.array(tokens)).alias("_tokens"))
     return made.filter(F.size("_tokens") >= min_tokens).withColumn(out, F.array_join("_tokens", " ")).drop("_tokens")
 
 
 def article_lines(
-    articles: DataFrame, text: str = "text", out: str = "line", min_tokens: int = ARTICLE_MIN_TOKENS
+    articles: DataFrame, text: str = "text", out: str = "line", min_tokens: int = ARTICLE_MIN_TOKENS,
+    shortest: int = TOKEN_MIN, longest: int = TOKEN_MAX,
 ) -> DataFrame:
-    """Add the article's tokens joined with one space; short articles are left out."""
-    return _as_lines(articles, _plain_wiki(F.col(text)), out, min_tokens)
+    """Add the article's tokens joined with one space; articles of fewer than ``min_tokens`` are left out."""
+    return _as_lines(articles, article_tokens(_plain_wiki(F.col(text)), shortest, longest), out, min_tokens)
 
 
 def html_articles(
-    pages: DataFrame, html: str = "html", out: str = "line", min_tokens: int = ARTICLE_MIN_TOKENS
+    pages: DataFrame, html: str = "html", out: str = "line", min_tokens: int = ARTICLE_MIN_TOKENS,
+    shortest: int = TOKEN_MIN, longest: int = TOKEN_MAX,
 ) -> DataFrame:
-    return _as_lines(pages, remove_html(F.col(html)), out, min_tokens)
+    return _as_lines(pages, article_tokens(remove_html(F.col(html)), shortest, longest), out, min_tokens)

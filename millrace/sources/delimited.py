@@ -7,12 +7,21 @@ from pyspark.sql import DataFrame, SparkSession
 from ..schemas import DATASETS, dataset_path
 
 
-def read_delimited(spark: SparkSession, path, schema: str, sep: str = "|", header: bool = False) -> DataFrame:
-    """A value that does not fit its column type becomes NULL instead of failing the job."""
+def read_delimited(
+    spark: SparkSession, path, schema: str, sep: str = "|", header: bool = False,
+    quote: str = '"', escape: str = "\\", multi_line: bool = False,
+) -> DataFrame:
+    """A value that does not fit its column type becomes NULL instead of failing the job.
+
+    ``multi_line`` allows line breaks inside quotes; such files cannot be split, so one task reads each.
+    """
     return (
         spark.read.schema(schema)
         .option("sep", sep)
         .option("header", header)
+        .option("quote", quote)
+        .option("escape", escape)
+        .option("multiLine", multi_line)
         .option("mode", "PERMISSIVE")
         .csv(path)
     )

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.text import contains_any_phrase
+from ..operators.dump import json_is_valid
 from ..schemas import STREAM_RECORD
 from .codec import decode_payload, encode_payload
 
@@ -58,8 +59,9 @@ def parse_records(records: DataFrame, schema: str, payload: str = "payload") ->
     """Columns ``body`` (text), ``record`` (struct) and ``is_decoded``; works on batches and streams."""
     parsed = records.withColumn("body", decode_payload(F.col(payload)))
     parsed = parsed.withColumn("record", F.from_json("body", schema))
-    ok = F.try_parse_json("body").isNotNull() & F.col("body").rlike(r"^\s*\{")
-    return parsed.withColumn("is_decoded", F.coalesce(ok, F.lit(False)))
+    # An object, and valid as for dumps: nothing behind it, repeated keys allowed. Only objects are parsed.
+    is_object = F.coalesce(F.col("body").rlike(r"^\s*\{"), F.lit(False))
+    return parsed.withColumn("is_decoded", F.when(is_object, json_is_valid(F.col("body"))).otherwise(F.lit(False)))
 
 
 def consume(
