@@ -90,14 +90,17 @@ def _src_text_lines(spark, sf):
 
 @query("src_table", "SELECT c_custkey, c_name, c_nationkey FROM customer")
 def _src_table(spark, sf):
-    database = unique_name("sales")
+    """A table of a database of its own; both leave the catalogue again, the files stay for the rows returned."""
+    database, files = unique_name("sales"), fresh_dir(spark, "table")
     before = spark.catalog.currentDatabase()
     use_database(spark, database, fresh_dir(spark, "database"))
     try:
-        table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey").write.saveAsTable("customer")
+        rows = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
+        rows.write.option("path", files).saveAsTable("customer")
         return read_table(spark, f"{database}.customer")
     finally:
         spark.sql(f"USE {before}")
+        spark.sql(f"DROP DATABASE {database} CASCADE")
 
 
 @query("src_range", """
@@ -118,7 +121,9 @@ def _ddl_external_csv(spark, sf):
     lines = sales_tables(spark, sf)[2]
     lines.write.option("sep", "|").option("header", True).csv(path)
     create_external_csv(spark, name, "order_id STRING, uniq_id STRING, quantity INT", path, header=True)
-    return spark.table(name)
+    rows = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the files of an external table stay
+    return rows
 
 
 @query("sink_csv_gz", f"{LINES_SQL} UNION ALL {LINES_SQL}")
@@ -177,14 +182,14 @@ UNION ALL SELECT o_orderkey, o_totalprice + 1, o_orderpriority FROM orders WHERE
 def _sink_insert_overwrite(spark, sf):
     """A partitioned table filled once; then one partition is replaced."""
     name, path = unique_name("orders_by_priority"), fresh_dir(spark, "insert")
-    create_external_orc(
-        spark, name, "o_orderkey BIGINT, o_totalprice DOUBLE, o_orderpriority STRING", ["o_orderpriority"], path
-    )
+    schema = "o_orderkey BIGINT, o_totalprice DOUBLE, o_orderpriority STRING"
+    create_external_orc(spark, name, schema, ["o_orderpriority"], path)
     orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
     insert_overwrite(orders, name, ["o_orderpriority"])
     urgent = orders.filter(F.col("o_orderpriority") == "1-URGENT")
     insert_overwrite(urgent.withColumn("o_totalprice", F.col("o_totalprice") + 1), name, ["o_orderpriority"])
-    return spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return read_orc(spark, path, schema)
 
 
 @query("job_recompress", "SELECT event_type || chr(9) || CAST(event_id AS VARCHAR) AS value FROM events")

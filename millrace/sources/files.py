@@ -32,11 +32,22 @@ def row_range(spark: SparkSession, rows: int, column: str = "id") -> DataFrame:
     return spark.range(rows).toDF(column)
 
 
+# A table of at most so many bytes is dealt over all cores before costly work: moving it costs little beside that.
+WIDEN_BYTES = 1 << 30
+# A task of a scan should not have more bytes than this, as one row group or one gzip file may have.
+TASK_BYTES = 256 << 20
+
+
 def widen(df: DataFrame, tasks: int | None = None) -> DataFrame:
-    """Spread a scan of few, large pieces over all cores before costly work per row.
+    """Spread a scan of few, large pieces over more tasks before costly work per row.
 
-    A small table, or one stored as a single row group or gzip file, is read by few tasks. A scan that
-    already has a task per core, as any large table, is returned as it is.
+    A small table, or one stored as a single row group or gzip file, is read by few tasks. What counts are
+    bytes: a small table is dealt over the cores, a large one only if its tasks would be too large.
     """
+    have = df.rdd.getNumPartitions()
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
     wanted = tasks or df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
+    if size <= WIDEN_BYTES:
+        return df if have >= wanted else df.repartition(wanted)
+    needed = -(-size // TASK_BYTES)
+    return df if have >= needed // 2 else df.repartition(needed)

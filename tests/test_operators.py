@@ -163,3 +163,18 @@ def test_schema_inference_and_names(spark):
     parsed = parse_json_column(df.limit(1), "j", schema, "p").select("p.*").first().asDict(recursive=True)
     assert parsed["field_date"] == "x" and parsed["s"] == {"k1": [1]}
     assert len(DETAIL_FIELDS) == 72
+
+
+def test_fields_of_repeated_keys_are_kept(spark):
+    df = spark.createDataFrame([('{"a":1}',), ('{"b":1,"b":2,"c":3}',), (None,)], "t STRING")
+    schema = infer_json_schema(df, "t")
+    assert schema.simpleString() == "struct<a:bigint,b:string,c:string>"
+    parsed = parse_json_column(df, "t", schema, "d").filter("d.c IS NOT NULL").select("d.c").collect()
+    assert [r["c"] for r in parsed] == ["3"]
+
+
+def test_poisson_of_a_large_mean():
+    from millrace.datagen.sales import poisson_cuts
+
+    cuts = poisson_cuts(800)
+    assert abs(next(k for k, c in enumerate(cuts) if c >= 0.5) - 800) <= 1 and poisson_cuts(0) == []

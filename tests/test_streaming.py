@@ -50,6 +50,26 @@ def test_restart_adds_nothing_and_new_records_arrive_once(spark):
     assert drain() == list(range(15))
 
 
+def test_paced_consumption_ends_when_stopped(spark):
+    source, out = fresh_dir(spark, "paced"), fresh_dir(spark, "paced-out")
+    rows = spark.range(20).select(
+        F.uuid().alias("partition_key"), encode_payload(F.to_json(F.struct("id"))).alias("payload"),
+        (F.col("id") % 2).cast("int").alias("shard"),
+    )
+    rows.write.partitionBy("shard").parquet(source)
+    query = consume(read_record_stream(spark, source, 1), "id BIGINT", out, fresh_dir(spark, "paced-p"), pace="100 milliseconds")
+    query.processAllAvailable()
+    assert query.isActive
+    query.stop()
+    assert sorted(r["id"] for r in spark.read.schema("id BIGINT").json(out).collect()) == list(range(20))
+
+
+def test_one_notion_of_valid_json(spark):
+    bodies = ['{"id":1} garbage', '{"id":1,"id":2}', '{"id":1}', '[1]', '{"id":1},{"id":2}', ""]
+    df = spark.createDataFrame([(i, b.encode()) for i, b in enumerate(bodies)], "i INT, payload BINARY")
+    assert [r["is_decoded"] for r in parse_records(df, "id INT").orderBy("i").collect()] == [False, True, True, False, False, False]
+
+
 def executed(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
