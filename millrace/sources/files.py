@@ -45,7 +45,7 @@ def widen(df: DataFrame, tasks: int | None = None) -> DataFrame:
     bytes: a small table is dealt over the cores, a large one only if its tasks would be too large.
     """
     have = df.rdd.getNumPartitions()
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     wanted = tasks or df.sparkSession.sparkContext.defaultParallelism
     if size <= WIDEN_BYTES:
         return df if have >= wanted else df.repartition(wanted)
