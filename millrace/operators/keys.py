@@ -26,24 +26,32 @@ def top_keys(df: DataFrame, key: Column | str, n: int, name: str = "key") -> Dat
     return key_counts(df, key, name).orderBy(F.desc("rec_count"), F.asc(name)).limit(n)
 
 
+def frequent_values(df: DataFrame, column: Column, most: int) -> tuple[int, list[tuple]]:
+    """Rows of a table, NULLs left out, and its most frequent values with their counts, the largest first.
+
+    One job without a shuffle of the values: every task hands in a sketch. A count may be a little high;
+    each value listed does occur.
+    """
+    values = df.select(column.alias("v")).filter("v IS NOT NULL")
+    found = values.agg(
+        F.count(F.lit(1)).alias("rows"), F.expr(f"approx_top_k(v, {most}, {SKETCHED})").alias("top")
+    ).first()
+    return found["rows"], [(t["item"], t["count"]) for t in found["top"]]
+
+
 def hot_salts(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK, factor: float = 2.0) -> DataFrame:
     """The hot keys of a table (``hot_key``) and over how many tasks to deal each (``salts``).
 
     Hot is relative: a key with more than ``factor`` times the rows of a fair task, which is the table's
     rows by the shuffle partitions, or ``rows_per_task`` if that is more. So there are fewer hot keys
-    than shuffle partitions. One job without a shuffle of the keys finds them: every task hands in a
-    sketch of its most frequent keys. Counts from a sketch may be a little high, which touches the
-    balance only; each key listed does occur. NULL never joins and is left out.
+    than shuffle partitions. Counts from the sketch touch the balance only. NULL never joins and is left out.
     """
     spark = df.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     kind = df.select(F.col(key).alias("hot_key")).schema["hot_key"].dataType.simpleString()
-    most = max(1, min(partitions, SKETCHED // 2))
-    found = df.filter(F.col(key).isNotNull()).agg(
-        F.count(F.lit(1)).alias("rows"), F.expr(f"approx_top_k(`{key}`, {most}, {SKETCHED})").alias("top")
-    ).first()
-    fair = max(found["rows"] / partitions, rows_per_task)
-    hot = [(t["item"], -(-t["count"] // int(fair))) for t in found["top"] if t["count"] > factor * fair]
+    rows, top = frequent_values(df, F.col(key), max(1, min(partitions, SKETCHED // 2)))
+    fair = max(rows / partitions, rows_per_task)
+    hot = [(value, -(-count // int(fair))) for value, count in top if count > factor * fair]
     return spark.createDataFrame(hot, f"hot_key {kind}, salts INT")
 
 

@@ -48,7 +48,8 @@ def stored_schema(df, *partitions: str) -> str:
 def write_days(spark, sf):
     """The merged table, one file per order date: path and schema."""
     path, rows = fresh_dir(spark, "by-day"), merged(spark, sf)
-    write_by_value(rows, "order_date", path)
+    days = table(spark, sf, "orders").select(F.expr(SKEWED_DAY).alias("order_date"))
+    write_by_value(rows, "order_date", path, count_on=days)
     return path, stored_schema(rows, "order_date")
 
 
@@ -76,7 +77,8 @@ FROM ({MERGED_SQL})"""
 def write_year_month(spark, sf):
     """The merged table by year and month: path and schema."""
     path, rows = fresh_dir(spark, "year-month"), add_year_month(merged(spark, sf), F.col("order_date"))
-    write_dynamic(rows, ["order_year", "order_month"], path)
+    days = table(spark, sf, "orders").select(F.expr(SKEWED_DAY).alias("order_date"))
+    write_dynamic(rows, ["order_year", "order_month"], path, count_on=add_year_month(days, F.col("order_date")))
     return path, stored_schema(rows, "order_year", "order_month")
 
 

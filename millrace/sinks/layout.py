@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.keys import SKETCHED, frequent_values
 from .files import ROWS_PER_FILE
 
 
@@ -23,11 +24,24 @@ def _save(
     writer.option("maxRecordsPerFile", rows_per_file).format(fmt).save(path)
 
 
-def value_counts(df: DataFrame, columns: str | list[str]) -> DataFrame:
-    """Rows per partition value, for ``plan``: columns ``_v_<name>`` and ``rec_count``. Count a narrow input where
-    there is one, so that a wide table need not be made twice."""
-    names = [F.col(c).alias(f"_v_{c}") for c in _listed(columns)]
-    return df.groupBy(*names).agg(F.count(F.lit(1)).alias("rec_count"))
+def _value(columns: list[str]) -> Column:
+    """The partition value as text: NULLs and several columns included."""
+    return F.to_json(F.struct(*columns))
+
+
+def _spread(df: DataFrame, columns: list[str], files: DataFrame, partitions: int | None) -> DataFrame:
+    """Shuffle so that a value sits in one task, a value listed in ``files`` (``_value``, ``_files``) in so many.
+
+    The salt is a function of the row and its input partition: identical rows spread, and a task that
+    runs again after a lost executor puts every row where it was. The number of tasks is given, as
+    adaptive execution would go by bytes and let one task open all the files.
+    """
+    spread_key = F.xxhash64(F.spark_partition_id(), *df.columns)
+    salt = F.when(F.col("_files") > 1, F.pmod(spread_key, F.col("_files"))).otherwise(F.lit(0))
+    tagged = df.withColumn("_own_value", _value(columns)).join(files, F.col("_own_value") == files["_value"], "left")
+    tasks = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    moved = tagged.select(*df.columns, salt.alias("_salt")).repartition(tasks, *columns, "_salt")
+    return moved.drop("_salt")
 
 
 def write_by_value(
@@ -39,18 +53,20 @@ def write_by_value(
     fmt: str = "orc",
     mode: str = "overwrite",
     dynamic: bool = False,
+    count_on: DataFrame | None = None,
 ) -> None:
-    """One file per value of ``columns``; a large value gets as many as it needs.
+    """One file per value of ``columns``; a value above ``rows_per_file`` gets as many as it needs.
 
-    The rows are rebalanced by the partition columns: adaptive execution sees the sizes of the shuffled
-    pieces and splits those above its advisory size over several tasks, so nothing is counted
-    beforehand and the table is made once. No file exceeds ``rows_per_file``. ``dynamic`` replaces only
-    the partitions that occur in ``df``.
+    The large values come from one sketch over the partition columns of ``count_on``, a narrow table with
+    about the same counts, or of ``df`` itself, of which only these columns are then computed. ``dynamic``
+    replaces only the partitions that occur in ``df``.
     """
     names = _listed(columns)
-    arguments = [*([partitions] if partitions else []), *names]
-    moved = df.hint("rebalance", *arguments)
-    _save(moved, names, path, fmt, mode, rows_per_file, dynamic)
+    counted = df if count_on is None else count_on
+    _, top = frequent_values(counted, _value(names), SKETCHED // 2)
+    large = [(value, -(-rows // rows_per_file)) for value, rows in top if rows > rows_per_file]
+    files = F.broadcast(df.sparkSession.createDataFrame(large, "_value STRING, _files INT"))
+    _save(_spread(df, names, files, partitions), names, path, fmt, mode, rows_per_file, dynamic)
 
 
 def write_dynamic(df: DataFrame, columns: list[str], path: str, **options) -> None:
@@ -74,20 +90,14 @@ def write_skew_split(
     ``hot`` has the values in ``hot_key``; its ``rec_count``, where there is one, raises the number of a
     value's files so that each takes about ``rows_per_file`` rows. One write covers hot and cold, so a
     failed run leaves no half-replaced table and a second run gives the same table. Rows without a value
-    keep their own partition. The salt is a function of the row and its input partition: identical rows
-    spread, and a task that runs again after a lost executor puts every row where it was.
+    keep their own partition.
     """
     files = F.lit(hot_files)
     if "rec_count" in hot.columns:
         files = F.greatest(files, F.ceil(F.col("rec_count") / F.lit(rows_per_file)))
-    wanted = hot.select(F.col("hot_key").alias("_hot"), files.cast("int").alias("_files")).dropDuplicates(["_hot"])
-    same = df[column].eqNullSafe(wanted["_hot"])
-    spread_key = F.xxhash64(F.spark_partition_id(), *df.columns)
-    salt = F.when(F.col("_files") > 1, F.pmod(spread_key, F.col("_files"))).otherwise(F.lit(0))
-    tagged = df.join(wanted, same, "left").select(*df.columns, salt.alias("_salt"))
-    by = [F.col(column), F.col("_salt")]
-    moved = (tagged.repartition(partitions, *by) if partitions else tagged.repartition(*by)).drop("_salt")
-    _save(moved, [column], path, fmt, mode, rows_per_file)
+    named = hot.withColumnRenamed("hot_key", column)
+    wanted = named.select(_value([column]).alias("_value"), files.cast("int").alias("_files")).dropDuplicates(["_value"])
+    _save(_spread(df, [column], wanted, partitions), [column], path, fmt, mode, rows_per_file)
 
 
 def add_year_month(df: DataFrame, day: Column, prefix: str = "order") -> DataFrame:
