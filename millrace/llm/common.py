@@ -96,6 +96,14 @@ def small(df: DataFrame, row_bytes: int, rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
 
 
+def free_prefix(df: DataFrame) -> str:
+    """A prefix that no column of a table has, for helper columns beside columns of any name."""
+    prefix = "_own"
+    while any(c.lower().startswith(prefix) for c in df.columns):
+        prefix += "_"
+    return f"{prefix}_"
+
+
 def buckets(rows: int, most: int = 65_536) -> int:
     return max(1, min(most, rows // ROWS_PER_BUCKET + 1))
 

@@ -20,7 +20,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, documents, small
+from .common import Scratch, documents, free_prefix, small
 
 LEVELS = ("domain", "language", "source")
 # Sources are grouped into so many domains by the first digit of the MD5 of their name, as the tables have no domain column.
@@ -154,11 +154,13 @@ def mix_documents(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
     """The mix itself: documents with all their columns, each as often as its leaf repeats it."""
     scratch = Scratch(docs.sparkSession, "mixing")
     tokens = scratch.stage(token_table(docs))
-    drawn = scratch.stage(select_copies(tokens, plan).select(F.col("id").alias("mix_id"), "copies").distinct())
+    own = free_prefix(docs)
+    drawn = select_copies(tokens, plan).select(F.col("id").alias(f"{own}id"), F.col("copies").alias(f"{own}copies"))
+    drawn = scratch.stage(drawn.distinct())
     scratch.drop(tokens)
-    joined = docs.join(small(drawn, 24), docs["doc_id"].eqNullSafe(F.col("mix_id")))
-    repeated = joined.withColumn("mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    return repeated.select(*[docs[c] for c in docs.columns])
+    joined = docs.join(small(drawn, 24), docs["doc_id"].eqNullSafe(drawn[f"{own}id"]))
+    each = F.explode(F.sequence(F.lit(1).cast("long"), F.col(f"{own}copies")))
+    return joined.withColumn(f"{own}copy", each).select(*[docs[c] for c in docs.columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..workspace import fresh_dir
-from .common import Scratch, documents, number_within
+from .common import Scratch, documents, free_prefix, number_within
 
 NEW_SHARDS = 40
 OLD_SHARDS = 32
@@ -113,12 +113,14 @@ class Placement:
     def apply(self, df: DataFrame, old: Column, key: Column) -> DataFrame:
         """Adds ``shard``. Both tables are bounded by the numbers of shards, whatever the rows."""
         spark = df.sparkSession
-        cuts = spark.createDataFrame(self.cuts, "cut_old int, cut_low long, cut_high long, cut_shard int")
-        moves = spark.createDataFrame(self.moves, "move_key long, move_shard int")
-        keyed = df.withColumns({"place_old": old, "place_key": key})
-        inside = (F.col("place_old") == F.col("cut_old")) & F.col("place_key").between(F.col("cut_low"), F.col("cut_high"))
-        out = keyed.join(F.broadcast(cuts), inside, "left").join(F.broadcast(moves), F.col("place_key") == F.col("move_key"), "left")
-        shard = F.coalesce(F.col("move_shard"), F.col("cut_shard")).cast("int")
+        own = free_prefix(df)
+        cuts = spark.createDataFrame(self.cuts, f"{own}cut int, {own}low long, {own}high long, {own}shard int")
+        moves = spark.createDataFrame(self.moves, f"{own}move long, {own}target int")
+        keyed = df.withColumns({f"{own}old": old, f"{own}key": key})
+        place = F.col(f"{own}key")
+        inside = (F.col(f"{own}old") == F.col(f"{own}cut")) & place.between(F.col(f"{own}low"), F.col(f"{own}high"))
+        out = keyed.join(F.broadcast(cuts), inside, "left").join(F.broadcast(moves), place == F.col(f"{own}move"), "left")
+        shard = F.coalesce(F.col(f"{own}target"), F.col(f"{own}shard")).cast("int")
         return out.select(*[F.col(f"`{c}`") for c in df.columns], shard.alias("shard"))
 
 
