@@ -31,17 +31,19 @@ by_value(__name__)
 class Options:
     """``leaf``: nodes of a tree's leaf; ``keep``: neighbours of a node; ``near`` and ``back``: neighbours, and nodes
     pointing to it, that a node brings together; ``pool``: nodes a query remembers, ``opened``: opened per round;
-    ``splits``: nodes, at most, from whose sample the trees take their cuts."""
+    ``paths``: links against their direction that a walk may take from a node; ``splits``: nodes, at most, from whose
+    sample the trees take their cuts."""
 
     trees: int = 10
     leaf: int = 1500
-    keep: int = 24
-    near: int = 14
-    back: int = 10
-    rounds: int = 2
-    pool: int = 64
-    opened: int = 24
-    walks: int = 3
+    keep: int = 32
+    near: int = 16
+    back: int = 16
+    rounds: int = 4
+    paths: int = 32
+    pool: int = 240
+    opened: int = 48
+    walks: int = 6
     entries: int = 16
     splits: int = 20_000
     seed: int = 11
@@ -242,20 +244,37 @@ def merged(lists: DataFrame, keep: int) -> DataFrame:
     return lists.repartition("node").sortWithinPartitions("node").mapInArrow(run, LISTS)
 
 
-def meetings(graph: DataFrame, rows: int, options: Options) -> DataFrame:
+def pointing_back(edges: DataFrame, most: int) -> DataFrame:
+    """node, other: for every node the ``most`` nodes in whose lists it stands first; ``edges``: node, at, other.
+
+    A node that very many point to is cut in parts first.
+    """
+    salted = edges.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(8)))
+    by_salt = Window.partitionBy("other", "salt").orderBy("at", "node")
+    few = salted.withColumn("k", F.row_number().over(by_salt)).filter(F.col("k") <= most)
+    few = few.withColumn("k", F.row_number().over(Window.partitionBy("other").orderBy("at", "node"))).filter(F.col("k") <= most)
+    return few.select(F.col("other").alias("node"), F.col("node").alias("other"))
+
+
+def meetings(graph: DataFrame, options: Options) -> DataFrame:
     """pivot, node, worst: which nodes meet at which, and the distance that a new neighbour must beat."""
     worst = F.when(F.size("far") < options.keep, F.lit(float("inf"))).otherwise(F.element_at("far", -1))
     edges = graph.select("node", F.posexplode("near").alias("at", "other")).filter(F.col("at") < options.near)
-    salt = F.pmod(F.xxhash64("node"), F.lit(8))
-    by_salt = Window.partitionBy("other", "salt").orderBy("at", "node")
-    back = edges.withColumn("salt", salt).withColumn("k", F.row_number().over(by_salt)).filter(F.col("k") <= options.back)
-    back = back.withColumn("k", F.row_number().over(Window.partitionBy("other").orderBy("at", "node"))).filter(F.col("k") <= options.back)
+    back = pointing_back(edges, options.back)
     met = edges.select(F.col("node").alias("pivot"), F.col("other").alias("node")).union(
-        back.select(F.col("other").alias("pivot"), "node")
+        back.select(F.col("node").alias("pivot"), F.col("other").alias("node"))
     ).distinct()
     return met.join(graph.select("node", worst.alias("worst")), "node")
 
 
+def paths(graph: DataFrame, options: Options) -> DataFrame:
+    """node, near: where a walk can go from a node, along the links and, as nodes that few point to would be out of
+    reach, against them."""
+    edges = graph.select("node", F.posexplode("near").alias("at", "other"))
+    back = pointing_back(edges, options.paths)
+    return edges.select("node", "other").union(back).groupBy("node").agg(F.collect_set("other").alias("near"))
+
+
 def descend(met: DataFrame, shorts: DataFrame, options: Options) -> DataFrame:
     """New neighbours from every meeting: all pairs of the few nodes at a pivot, as far as they are near enough."""
     size, keep = options.near + options.back, options.keep // 2
@@ -301,7 +320,7 @@ def build(nodes: DataFrame, shorts: DataFrame, rows: int, scratch: Scratch, opti
     placed = leaves(shorts, tree_cuts(nodes, rows, options), options)
     graph = scratch.stage(merged(leaf_lists(placed, options), options.keep))
     for _ in range(options.rounds):
-        better = descend(meetings(graph, rows, options), shorts, options)
+        better = descend(meetings(graph, options), shorts, options)
         new = scratch.stage(merged(graph.union(better), options.keep))
         scratch.drop(graph)
         graph = new
@@ -332,18 +351,20 @@ def walk(queries: DataFrame, graph: DataFrame, shorts: DataFrame, scratch: Scrat
     starts = F.when(F.col("home").isNull(), F.array(*[F.lit(e).cast("long") for e in entries])).otherwise(starts)
     vectors = queries.select("query", "query_short")
     begin = queries.select("query", F.explode(starts).alias("node"))
+    roads = scratch.stage(paths(graph, options))
     pool = scratch.stage(measured(begin, vectors, shorts).withColumn("opened", F.lit(False)))
     for _ in range(options.walks + 1):
         rank = F.row_number().over(Window.partitionBy("query", "opened").orderBy("d", "node"))
         marked = pool.withColumn("now", ~F.col("opened") & (rank <= options.opened))
         seen = marked.select("query", "node", "d", (F.col("opened") | F.col("now")).alias("opened"))
-        around = marked.filter("now").select("query", "node").join(graph, "node").select("query", F.explode("near").alias("node"))
+        around = marked.filter("now").select("query", "node").join(roads, "node").select("query", F.explode("near").alias("node"))
         fresh = around.distinct().join(pool.select("query", "node"), ["query", "node"], "left_anti")
         found = seen.union(measured(fresh, vectors, shorts).withColumn("opened", F.lit(False)))
         best = F.row_number().over(Window.partitionBy("query").orderBy("d", "node"))
         new = scratch.stage(found.withColumn("k", best).filter(F.col("k") <= options.pool).drop("k"))
         scratch.drop(pool)
         pool = new
+    scratch.drop(roads)
     return pool.select("query", "node", "d")
 
 
