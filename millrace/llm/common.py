@@ -59,7 +59,8 @@ class Scratch:
         self.spark, self.label, self.paths = spark, label, {}
 
     def stage(self, df: DataFrame, partitions: int | None = None) -> DataFrame:
-        """Write and read again: cuts the lineage, survives lost executors, is computed once."""
+        """Write and read again: cuts the lineage, survives lost executors, is computed once. ``partitions`` is the most
+        files that the table is worth; the shuffle before is read by so many tasks."""
         path = fresh_dir(self.spark, self.label)
         (df.coalesce(partitions) if partitions else df).write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)

@@ -6,13 +6,15 @@ same set are one class; classes with the same prefix and size are one group. Gro
 agree in size and position are candidate pairs; they are expanded to their classes, and each pair is verified on its
 whole sets.
 
-Only the components of the links are asked for, so pairs that are connected already need no test. First every list of
-groups with a common shingle is tested along its order of size and against its first group, which is linear in the
-list. What the verified links have not joined yet is tested in full, unless that is too much; then further such sparse
-rounds come before. No pair is ever dropped: each candidate pair is tested or already connected.
+Only the components of the links are asked for, so pairs that are connected already need no test. While all candidate
+pairs would be too many, a sparse round takes from every list of groups with a common shingle only each group with the
+one before it in some order, and with one chosen group: the one that shares most, or in later rounds one drawn by lot.
+That is linear in the lists. Then the pairs not yet connected are taken in full. For every pair the number of common
+prefix shingles is counted, and with it the most that two whole sets can share; only pairs for which that suffices are
+verified. No pair is ever dropped: each candidate pair is tested, excluded by that bound, or already connected.
 
-The order of shingles takes those last that many documents share, by a count over a sample of documents. Any order is
-right; this one keeps passages that many documents share out of the prefixes.
+The order of shingles takes those last that many documents share, counted over all documents; each task hands in what it
+has at least twice. Any order is right; this one keeps passages that many documents share out of the prefixes.
 
 Defined cases: a null or empty text, or one without words, has an empty set, is linked with nothing and is its own
 component. A row without an id is linked with nothing and has no component. Rows that share an id are one document,
@@ -28,8 +30,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import ROW, Scratch, by_value, documents, scan, small, utf8
-from .components import components
+from .common import ROW, Scratch, by_value, documents, free_prefix, scan, small, utf8
+from .components import files_for, joined_components
 from .hashing import WordHasher, shingles
 
 by_value(__name__)
@@ -37,17 +39,17 @@ by_value(__name__)
 
 @dataclass(frozen=True)
 class Options:
-    """``sampled``: one document in so many orders the shingles; ``common``: sampled documents that make one common;
-    ``listed``: so many common shingles at most are known to all tasks. These three steer the work, not the result.
-    ``sparse``: sparse rounds end when the pairs left are at most so many times the list entries."""
+    """``common``: documents that make a shingle common; ``listed``: so many common shingles at most, the most frequent,
+    are known to all tasks. These two steer the work, not the result.
+    ``sparse``: sparse rounds end when the pairs left are at most so many times the list entries, when a round has spared
+    less than three tenths of them, or after ``rounds``."""
 
     size: int = 5
     percent: int = 80
-    sampled: int = 16
-    common: int = 4
+    common: int = 50
     listed: int = 200_000
-    sparse: int = 4
-    rounds: int = 8
+    sparse: int = 2
+    rounds: int = 12
 
 
 def enough(shared: int, a: int, b: int, percent: int) -> bool:
@@ -55,20 +57,20 @@ def enough(shared: int, a: int, b: int, percent: int) -> bool:
 
 
 def common_shingles(docs: DataFrame, options: Options) -> np.ndarray:
-    """The shingles that most sampled documents share, sorted; bounded by ``listed``."""
-    sampled = docs.filter(F.pmod(F.xxhash64("id", F.lit(7)), F.lit(options.sampled)) == 0)
+    """The shingles that most documents share, sorted; bounded by ``listed``."""
 
     def start():
         hasher = WordHasher()
 
         def work(read: dict) -> dict:
             sets = [shingles(hasher(utf8(t)), options.size) for t in read["body"]]
-            found = np.unique(np.concatenate([np.zeros(0, np.int64), *sets]), return_counts=True)
-            return {ROW: np.zeros(len(found[0]), np.int64), "shingle": found[0], "many": found[1]}
+            found, many = np.unique(np.concatenate([np.zeros(0, np.int64), *sets]), return_counts=True)
+            twice = many > 1
+            return {ROW: np.zeros(int(twice.sum()), np.int64), "shingle": found[twice], "many": many[twice]}
 
         return work
 
-    counted = scan(sampled.select("id", "body"), [], {"shingle": "long", "many": "long"}, start)
+    counted = scan(docs.select("body"), [], {"shingle": "long", "many": "long"}, start)
     counted = counted.groupBy("shingle").agg(F.sum("many").alias("many")).filter(F.col("many") >= options.common)
     top = counted.orderBy(F.desc("many"), "shingle").limit(options.listed).select("shingle").toArrow()
     return np.sort(top.column(0).to_numpy())
@@ -124,7 +126,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, options: Options) -> DataFrame:
 
 def verified(pairs: DataFrame, docs: DataFrame, options: Options, scratch: Scratch) -> DataFrame:
     """The staged pairs (a, b) that link, by their whole sets."""
-    ids = scratch.stage(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
+    ids = scratch.stage(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), files_for(pairs.count()))
     held = scratch.stage(sets_of(docs, small(ids, 16), options))
     left = held.select(F.col("id").alias("a"), F.col("shingles").alias("set_of_a"))
     right = held.select(F.col("id").alias("b"), F.col("shingles").alias("set_of_b"))
@@ -141,59 +143,78 @@ def verified(pairs: DataFrame, docs: DataFrame, options: Options, scratch: Scrat
 
         return work
 
-    tested = scan(both, ["a", "b"], {"linked": "boolean"}, start)
-    links = scratch.stage(tested.filter("linked").select("a", "b").distinct())
+    links = scratch.stage(scan(both, ["a", "b"], {"linked": "boolean"}, start).filter("linked").select("a", "b"))
     scratch.drop(ids, held)
     return links
 
 
-def fits(n: Column, m: Column, i: Column, j: Column, percent: int) -> Column:
-    """Sizes and positions of a common prefix shingle still allow the similarity."""
-    sizes = 100 * F.least(n, m) >= percent * F.greatest(n, m)
-    return sizes & ((100 + percent) * F.least(n - i, m - j) >= percent * (n + m))
+def prefix_length(n: Column, percent: int) -> Column:
+    return n - F.ceil(percent * n / F.lit(100.0)).cast("long") + 1
+
+
+def sizes_fit(n: Column, m: Column, percent: int) -> Column:
+    return 100 * F.least(n, m) >= percent * F.greatest(n, m)
+
+
+def can_share(met: Column, n: Column, m: Column, percent: int) -> Column:
+    """Whether sets of n and m shingles that share ``met`` of their prefixes can be similar enough.
+
+    Behind the prefix that ends first, a set has no more shingles left than its size less its prefix.
+    """
+    rest = F.greatest(n - prefix_length(n, percent), m - prefix_length(m, percent))
+    return (100 + percent) * (met + rest) >= percent * (n + m)
 
 
 def prefix_lists(groups: DataFrame) -> DataFrame:
-    """shingle, gid, n, at (position), many_classes: the prefix shingles that at least two groups share."""
-    entries = groups.select("gid", "n", "many_classes", F.posexplode("prefix").alias("at", "shingle"))
-    shared = entries.withColumn("many", F.count(F.lit(1)).over(Window.partitionBy("shingle")))
-    return shared.filter("many > 1").select("shingle", "gid", "n", F.col("at").cast("long").alias("at"), "many_classes")
+    """shingle, gid, n, many_classes, degree: the prefix shingles that at least two groups share; ``degree`` is how often a
+    group meets others in all its lists."""
+    entries = groups.select("gid", "n", "many_classes", F.explode("prefix").alias("shingle"))
+    shared = entries.withColumn("many", F.count(F.lit(1)).over(Window.partitionBy("shingle"))).filter("many > 1")
+    return shared.withColumn("degree", F.sum("many").over(Window.partitionBy("gid"))).drop("many")
 
 
-LISTED = ("gid", "n", "at", "component", "many_classes")
+LISTED = ("gid", "n", "component", "many_classes")
 
 
-def sparse_pairs(lists: DataFrame, options: Options, turn: int) -> DataFrame:
-    """Pairs along each list: every group with the one before it, and with the first of its list, where not connected.
+def apart(x: str, y: str) -> Column:
+    """Different groups not known to be connected; of a group of several classes only one component is known."""
+    several = F.col(f"{x}.many_classes") | F.col(f"{y}.many_classes")
+    return (F.col(f"{x}.gid") != F.col(f"{y}.gid")) & ((F.col(f"{x}.component") != F.col(f"{y}.component")) | several)
 
-    The order is the size in the first round, and drawn anew in each later one, so other pairs come up.
+
+def sparse_pairs(lists: DataFrame, shared: DataFrame, options: Options, turn: int) -> DataFrame:
+    """Pairs along each list, where not connected: every group with the one before it, and with the chosen one.
+
+    In the first round the order is the size and the chosen group the one of the highest degree; in the later ones
+    both are drawn anew for every list, so that a group meets others in each of its lists.
     """
-    order = [F.col("n"), F.col("gid")] if turn == 0 else [F.xxhash64("gid", F.lit(turn))]
-    by = Window.partitionBy("shingle").orderBy(*order)
+    lot = F.xxhash64("gid", "shingle", F.lit(turn))
+    by = Window.partitionBy("shingle")
+    before = by.orderBy(F.col("n"), F.col("gid")) if turn == 0 else by.orderBy(lot, F.col("gid"))
+    rank = F.struct(F.col("degree") if turn == 0 else lot, F.col("gid"))
     own = F.struct(*LISTED)
-    rows = lists.select("*", F.lag(own).over(by).alias("previous"), F.first(own).over(by).alias("front"))
-    pairs = None
-    for other in ("previous", "front"):
-        part = rows.filter(
-            (F.col(f"{other}.gid") != F.col("gid"))
-            & ((F.col(f"{other}.component") != F.col("component")) | F.col(f"{other}.many_classes") | F.col("many_classes"))
-            & fits(F.col("n"), F.col(f"{other}.n"), F.col("at"), F.col(f"{other}.at"), options.percent)
-        ).select(F.least("gid", f"{other}.gid").alias("ga"), F.greatest("gid", f"{other}.gid").alias("gb"))
-        pairs = part if pairs is None else pairs.union(part)
-    return pairs.distinct()
+    rows = lists.select(own.alias("x"), F.array(F.lag(own).over(before), F.max_by(own, rank).over(by)).alias("others"))
+    met = rows.select("x", F.explode(F.array_distinct("others")).alias("y"))
+    met = met.filter(F.col("y").isNotNull() & apart("x", "y") & sizes_fit(F.col("x.n"), F.col("y.n"), options.percent))
+    ga, gb = F.least("x.gid", "y.gid"), F.greatest("x.gid", "y.gid")
+    first = F.col("x.gid") == ga
+    n, m = F.when(first, F.col("x.n")).otherwise(F.col("y.n")), F.when(first, F.col("y.n")).otherwise(F.col("x.n"))
+    pairs = met.select(ga.alias("ga"), gb.alias("gb"), n.alias("n"), m.alias("m")).distinct()
+    left = shared.select(F.col("gid").alias("ga"), F.col("shingles").alias("shingles_a"))
+    right = shared.select(F.col("gid").alias("gb"), F.col("shingles").alias("shingles_b"))
+    both = pairs.join(left, "ga").join(right, "gb")
+    common = F.size(F.array_intersect("shingles_a", "shingles_b")).cast("long")
+    return both.filter(can_share(common, F.col("n"), F.col("m"), options.percent)).select("ga", "gb")
 
 
 def all_pairs_left(lists: DataFrame, options: Options) -> DataFrame:
-    """All candidate pairs of groups in different components; groups of several classes, of which the component of
-    one is known, meet all others."""
-    x = lists.select("shingle", *[F.col(c).alias(f"x_{c}") for c in LISTED])
-    y = lists.select("shingle", *[F.col(c).alias(f"y_{c}") for c in LISTED])
-    met = x.join(y, "shingle").filter(
-        (F.col("x_gid") < F.col("y_gid"))
-        & ((F.col("x_component") != F.col("y_component")) | F.col("x_many_classes") | F.col("y_many_classes"))
-        & fits(F.col("x_n"), F.col("y_n"), F.col("x_at"), F.col("y_at"), options.percent)
+    """All candidate pairs of groups in different components that can share enough."""
+    met = lists.alias("x").join(lists.alias("y"), F.col("x.shingle") == F.col("y.shingle")).filter(
+        (F.col("x.gid") < F.col("y.gid")) & apart("x", "y") & sizes_fit(F.col("x.n"), F.col("y.n"), options.percent)
     )
-    return met.select(F.col("x_gid").alias("ga"), F.col("y_gid").alias("gb")).distinct()
+    counted = met.groupBy(F.col("x.gid").alias("ga"), F.col("y.gid").alias("gb"), F.col("x.n").alias("n"), F.col("y.n").alias("m"))
+    counted = counted.agg(F.count(F.lit(1)).alias("met"))
+    return counted.filter(can_share(F.col("met"), F.col("n"), F.col("m"), options.percent)).select("ga", "gb")
 
 
 def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", options: Options = Options()) -> DataFrame:
@@ -212,50 +233,52 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def class_components(digest: DataFrame, texts: DataFrame, options: Options, scratch: Scratch) -> DataFrame:
     """n, set_a, set_b and component of every class of equal sets."""
+    files = files_for(digest.count(), 5_000, 16)
     named = digest.filter("id IS NOT NULL AND n > 0")
-    classes = scratch.stage(
-        named.groupBy("n", "set_a", "set_b").agg(
-            F.min("id").alias("cid"), F.first("prefix_a").alias("prefix_a"), F.first("prefix_b").alias("prefix_b")
-        )
-    )
-    grouped = classes.groupBy("n", "prefix_a", "prefix_b").agg(F.min("cid").alias("gid"), F.count(F.lit(1)).alias("classes"))
-    several = scratch.stage(  # the classes of groups with more than one
-        classes.join(grouped.filter("classes > 1"), ["n", "prefix_a", "prefix_b"]).select("gid", "cid", "n")
+    group = Window.partitionBy("n", "prefix_a", "prefix_b")
+    classes = named.groupBy("n", "set_a", "set_b").agg(
+        F.min("id").alias("cid"), F.first("prefix_a").alias("prefix_a"), F.first("prefix_b").alias("prefix_b")
     )
-    gids = scratch.stage(grouped.select(F.col("gid").alias("id"), "n", (F.col("classes") > 1).alias("many_classes")))
-    groups = named.join(small(gids, 24), ["id", "n"]).select(F.col("id").alias("gid"), "n", "many_classes", "prefix")
-    lists = scratch.stage(prefix_lists(groups.dropDuplicates(["gid", "n"]) if repeats(named) else groups))
+    classes = scratch.stage(classes.select(
+        "n", "set_a", "set_b", "cid", F.min("cid").over(group).alias("gid"),
+        (F.count(F.lit(1)).over(group) > 1).alias("many_classes"),
+    ), files)
+    several = scratch.stage(classes.filter("many_classes").select("gid", "cid"), files)
+    gids = classes.filter("cid = gid").select(F.col("gid").alias("id"), F.col("n").alias("size"), "many_classes")
+    groups = named.join(small(gids, 24), "id").filter("n = size").select(F.col("id").alias("gid"), "n", "many_classes", "prefix")
+    lists = scratch.stage(prefix_lists(groups), files)
     entries = lists.count()
+    shared = None
 
-    links, tested, known = None, None, None
+    tested, known, last, left = None, None, False, float("inf")
     for turn in range(options.rounds + 1):
         labelled = lists.withColumn("component", F.col("gid"))
         if known is not None:
             label = small(known.select(F.col("node").alias("gid"), F.col("component").alias("label")), 24)
             labelled = lists.join(label, "gid", "left").withColumn("component", F.coalesce("label", "gid")).drop("label")
-        last = turn > 0 and (turn == options.rounds or pairs_left(labelled) <= max(1_000_000, options.sparse * entries))
-        pairs = all_pairs_left(labelled, options) if last else sparse_pairs(labelled, options, turn)
+        before, left = left, pairs_left(labelled)
+        # Pairs that are no links stay, however many rounds there are: without progress the rest is taken in full.
+        last = turn == options.rounds or left <= max(400_000, options.sparse * entries) or 10 * left > 7 * before
+        if not last and shared is None:  # the shingles that a group shares with any other: at most its prefix
+            shared = scratch.stage(lists.groupBy("gid").agg(F.collect_list("shingle").alias("shingles")), files)
+        pairs = all_pairs_left(labelled, options) if last else sparse_pairs(labelled, shared, options, turn)
         pairs = expand(pairs, several, inside=known, whole=last)
         if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = scratch.stage(pairs)
+            pairs = pairs.join(small(tested, 32), ["a", "b"], "left_anti")
+        pairs = scratch.stage(pairs, files)
         found = verified(pairs, texts, options, scratch)
-        links = found if links is None else scratch.stage(links.union(found))
-        tested = pairs if tested is None else scratch.stage(tested.union(pairs))
-        known = components(links, scratch)
+        tested = pairs if tested is None else scratch.stage(tested.union(pairs), files)
+        known = joined_components(known, found, scratch)
+        scratch.drop(found)
         if last:
             break
-    out = classes.join(known, classes["cid"] == known["node"], "left")
-    out = scratch.stage(out.select("n", "set_a", "set_b", F.coalesce("component", "cid").alias("component")))
-    scratch.drop(lists, links, tested, known, gids, several, classes)
+    label = small(known.select(F.col("node").alias("cid"), F.col("component").alias("label")), 24)
+    out = classes.join(label, "cid", "left").select("n", "set_a", "set_b", F.coalesce("label", "cid").alias("component"))
+    out = scratch.stage(out, files)
+    scratch.drop(lists, tested, several, classes, *([shared] if shared is not None else []))
     return out
 
 
-def repeats(named: DataFrame) -> bool:
-    """Whether an id occurs twice with sets of one size."""
-    return bool(named.groupBy("id", "n").count().filter("count > 1").take(1))
-
-
 def pairs_left(lists: DataFrame) -> int:
     """Pairs of groups in one list but in different components, summed over the lists."""
     each = lists.groupBy("shingle", "component").agg(F.count(F.lit(1)).cast("double").alias("k"))
@@ -269,21 +292,24 @@ def expand(pairs: DataFrame, several: DataFrame, inside: DataFrame | None, whole
     Such groups have one prefix and size but different sets. Their classes are first compared along the group, in the
     last round with all classes of the group that are not connected yet.
     """
-    member_a = several.select(F.col("gid").alias("ga"), F.col("cid").alias("class_a"))
-    member_b = several.select(F.col("gid").alias("gb"), F.col("cid").alias("class_b"))
+    rows = several.count()
+    if not rows:
+        return pairs.select(F.col("ga").alias("a"), F.col("gb").alias("b"))
+    member_a = small(several.select(F.col("gid").alias("ga"), F.col("cid").alias("class_a")), 24, rows)
+    member_b = small(several.select(F.col("gid").alias("gb"), F.col("cid").alias("class_b")), 24, rows)
     out = pairs.join(member_a, "ga", "left").join(member_b, "gb", "left")
     out = out.select(F.coalesce("class_a", "ga").alias("a"), F.coalesce("class_b", "gb").alias("b"))
     if whole:
-        label = inside.select(F.col("node").alias("cid"), "component")
-        own = several.join(label, "cid", "left").select("gid", "cid", F.coalesce("component", "cid").alias("component"))
+        own = several.withColumn("component", F.col("cid"))
+        if inside is not None:
+            label = small(inside.select(F.col("node").alias("cid"), F.col("component").alias("label")), 24)
+            own = several.join(label, "cid", "left").select("gid", "cid", F.coalesce("label", "cid").alias("component"))
         met = own.alias("x").join(own.alias("y"), "gid").filter("x.cid < y.cid AND x.component <> y.component")
         within = met.select(F.col("x.cid").alias("a"), F.col("y.cid").alias("b"))
     else:
         by = Window.partitionBy("gid").orderBy("cid")
-        rows = several.select("gid", "cid", F.lag("cid").over(by).alias("before"), F.first("cid").over(by).alias("front"))
-        within = rows.filter("before IS NOT NULL").select(F.col("before").alias("a"), F.col("cid").alias("b")).union(
-            rows.filter("front <> cid").select(F.col("front").alias("a"), F.col("cid").alias("b"))
-        )
+        lined = several.select("cid", F.array(F.lag("cid").over(by), F.first("cid").over(by)).alias("others"))
+        within = lined.select(F.explode("others").alias("a"), F.col("cid").alias("b")).filter("a IS NOT NULL")
     ordered = out.union(within).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     return ordered.distinct()
 
@@ -295,14 +321,16 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     scratch = Scratch(docs.sparkSession, "unique")
     found = link_documents(docs.select(id_col, text_col), id_col, text_col, options)
-    gone = scratch.stage(found.filter(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias("gone_id")).distinct())
-    kept = docs.join(small(gone, 16), docs[id_col] == F.col("gone_id"), "left_anti")
-    twice = docs.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("twice_id")).count().filter("count > 1").select("twice_id")
-    twice = scratch.stage(twice)
+    own = free_prefix(docs)
+    gone_id, twice_id = f"{own}gone", f"{own}twice"
+    gone = scratch.stage(found.filter(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias(gone_id)).distinct())
+    kept = docs.join(small(gone, 16), docs[id_col] == gone[gone_id], "left_anti")
+    ids = docs.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias(twice_id)).agg(F.count(F.lit(1)).alias("rows"))
+    twice = scratch.stage(ids.filter("rows > 1").select(twice_id))
     if not twice.take(1):
         return kept
-    single = kept.join(small(twice, 16), kept[id_col] == F.col("twice_id"), "left_anti")
-    repeated = kept.join(small(twice, 16), kept[id_col] == F.col("twice_id"), "left_semi")
+    single = kept.join(small(twice, 16), kept[id_col] == twice[twice_id], "left_anti")
+    repeated = kept.join(small(twice, 16), kept[id_col] == twice[twice_id], "left_semi")
     return single.union(repeated.dropDuplicates([id_col]))
 
 

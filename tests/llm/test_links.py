@@ -97,7 +97,7 @@ def near_copies(seed):
 
 
 @pytest.mark.parametrize("options", [
-    jaccard.Options(), jaccard.Options(common=1, sampled=1), jaccard.Options(sparse=0, rounds=3), jaccard.Options(rounds=0),
+    jaccard.Options(), jaccard.Options(common=2), jaccard.Options(sparse=0, rounds=3), jaccard.Options(rounds=0),
 ])
 @pytest.mark.parametrize("seed", [1, 2])
 def test_links_are_those_of_all_pairs(spark, seed, options, monkeypatch):
