@@ -5,7 +5,7 @@ conditional log-probabilities of all its words. The most frequent words of the c
 own codes, all others share codes by hash. A code has two digits, predicted one after the other, so the cost of a word
 does not grow with the codes.
 
-The network is trained in numpy where the data are: every ``stride``-th word of every document is a training example,
+The network is trained in numpy where the data are: every word of every document is a training example in every round,
 each task trains on its own examples, and the tasks' weights are averaged in a tree of bounded groups, ``rounds`` times.
 
 Defined cases: a null or empty text, or one without words, has no words, score 0 and no mean. Repeated rows get equal
@@ -35,12 +35,13 @@ SIDE = 2
 
 @dataclass(frozen=True)
 class Options:
-    """``digit``: codes per digit; ``frequent``: words with an own code; ``hidden``: width of the network."""
+    """``digit``: codes per digit; ``frequent``: words with an own code; ``hidden``: width of the network; ``stride``: 1
+    trains on every word in every round, n on every n-th, another one in each round."""
 
     digit: int = 32
     frequent: int = 512
     hidden: int = 24
-    stride: int = 16
+    stride: int = 1
     rounds: int = 2
     batch: int = 512
     rate: float = 0.1
@@ -115,11 +116,15 @@ class Network:
         second = self._log_softmax(h @ self.low + self.low_bias[high])[rows, low]
         return first + second
 
-    def train(self, around: np.ndarray, target: np.ndarray, options: Options) -> None:
-        """One pass of mini-batches with steps scaled by the gradients so far."""
+    def train(self, codes: np.ndarray, places: np.ndarray, options: Options) -> None:
+        """One pass over the words at these places, in mini-batches with steps scaled by the gradients so far."""
         squares = [np.full(s, 1e-3, dtype=np.float32) for s in self.shapes]
-        for at in range(0, len(target), options.batch):
-            x, y = around[at : at + options.batch], target[at : at + options.batch]
+        squares[0] = squares[0].reshape(-1, squares[0].shape[-1])
+        context = self.context.reshape(squares[0].shape)
+        beside = np.arange(len(SHIFTS)) * self.context.shape[1]
+        for at in range(0, len(places), options.batch):
+            some = places[at : at + options.batch]
+            x, y = around_of(codes, some), codes[some]
             rows, high, low = np.arange(len(y)), y // self.digit, y % self.digit
             h = self.hidden(x)
             miss_high = -np.exp(self._log_softmax(h @ self.high + self.high_bias))
@@ -128,18 +133,20 @@ class Network:
             miss_low[rows, low] += 1
             back = (miss_high @ self.high.T + miss_low @ self.low.T) * (1 - h * h)
             n = np.float32(len(y))
-            lows = np.zeros_like(self.low_bias)
-            np.add.at(lows, high, miss_low)
+            one = np.zeros((len(y), self.digit), dtype=np.float32)
+            one[rows, high] = 1
+            lows = one.T @ miss_low
             grads = [None, back.sum(0) / n, h.T @ miss_high / n, miss_high.sum(0) / n, h.T @ miss_low / n, lows / n]
             for w, s, g in zip((self.bias, self.high, self.high_bias, self.low, self.low_bias), squares[1:], grads[1:]):
                 s += g * g
                 w += np.float32(options.rate) * g / np.sqrt(s)
-            for i in range(len(SHIFTS)):
-                order = np.argsort(x[:, i], kind="stable")
-                used, first = np.unique(x[order, i], return_index=True)
-                g = np.add.reduceat(back[order], first, axis=0) / n
-                squares[0][i][used] += g * g
-                self.context[i][used] += np.float32(options.rate) * g / np.sqrt(squares[0][i][used])
+            place = (x + beside).ravel()
+            order = np.argsort(place)
+            used, first = np.unique(place[order], return_index=True)
+            g = np.add.reduceat(back[order // len(SHIFTS)], first, axis=0) / n
+            seen = squares[0][used] + g * g
+            squares[0][used] = seen
+            context[used] += np.float32(options.rate) * g / np.sqrt(seen)
 
 
 def around_of(codes: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -164,50 +171,58 @@ def frequent_words(texts: DataFrame, options: Options) -> np.ndarray:
     return top.column(0).to_numpy().view(np.uint64)
 
 
-def examples(texts: DataFrame, vocabulary: Vocabulary, options: Options) -> DataFrame:
-    """Training examples of every batch of documents: rows of the codes around and the code itself, as 16-bit numbers."""
+def examples(texts: DataFrame, vocabulary: Vocabulary, options: Options, words_at_once: int = 100_000) -> DataFrame:
+    """The codes of all words of all documents, with padding between them, as 32-bit numbers; some documents a row."""
 
     def start():
         hasher = WordHasher()
 
         def work(read: dict) -> dict:
-            kept = []
-            for first in range(0, len(read["body"]), 500):
-                hashes = [hasher(utf8(t)) for t in read["body"][first : first + 500]]
-                codes, places = spread(hashes, vocabulary, options.codes)
-                starts = np.cumsum([0, *[len(h) for h in hashes]])[:-1]
-                within = np.arange(len(places)) - np.repeat(starts, [len(h) for h in hashes])
-                # the offset differs by document, so that short ones are trained on as well
-                shift = np.repeat([int(h[0] % np.uint64(options.stride)) if len(h) else 0 for h in hashes], [len(h) for h in hashes])
-                chosen = places[within % options.stride == shift]
-                kept.append(np.column_stack([around_of(codes, chosen), codes[chosen]]).astype(np.int16))
-            table = np.concatenate(kept) if kept else np.zeros((0, len(SHIFTS) + 1), np.int16)
-            return {ROW: [0] if len(table) else [], "examples": [table.tobytes()] if len(table) else [], "many": [len(table)] if len(table) else []}
+            out, waiting, size = [], [], 0
+            for i, text in enumerate(read["body"], 1):
+                waiting.append(hasher(utf8(text)))
+                size += len(waiting[-1])
+                if size >= words_at_once or (size and i == len(read["body"])):
+                    out.append(spread(waiting, vocabulary, options.codes)[0].astype(np.int32).tobytes())
+                    waiting, size = [], 0
+            return {ROW: np.zeros(len(out), np.int64), "examples": out}
 
         return work
 
-    return scan(texts, [], {"examples": "binary", "many": "long"}, start)
+    return scan(texts, [], {"examples": "binary"}, start)
+
+
+def targets(codes: np.ndarray, pad: int, stride: int, turn: int) -> np.ndarray:
+    """Places of the words that a round trains on; ``stride`` rounds together see every word once."""
+    places = np.flatnonzero(codes != pad)
+    if stride == 1 or not len(places):
+        return places
+    first = np.flatnonzero(codes[places - 1] == pad)
+    lengths = np.diff(np.r_[first, len(places)])
+    within = np.arange(len(places)) - np.repeat(first, lengths)
+    # the offset differs by document, so that short ones are trained on as well
+    return places[(within + np.repeat(codes[places[first]], lengths) + turn) % stride == 0]
 
 
 def train(table: DataFrame, options: Options, scratch: Scratch) -> Network:
     network = Network(options)
-    for _ in range(options.rounds):
-        network = Network(options, averaged(trained(table, network, options), options, scratch, network))
+    for turn in range(options.rounds):
+        network = Network(options, averaged(trained(table, network, options, turn), options, scratch, network))
     return network
 
 
-def trained(table: DataFrame, network: Network, options: Options) -> DataFrame:
+def trained(table: DataFrame, network: Network, options: Options, turn: int = 0) -> DataFrame:
     """One network per task: task, many (its examples), flat (its weights)."""
     flat = network.flat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, many = Network(options, flat.copy()), 0
         for batch in batches:
-            for raw in batch.column(0).to_pylist():
-                rows = np.frombuffer(raw, dtype=np.int16).reshape(-1, len(SHIFTS) + 1).astype(np.int64)
-                rows = rows[np.random.default_rng(len(rows)).permutation(len(rows))]
-                own.train(rows[:, :-1], rows[:, -1], options)
-                many += len(rows)
+            for raw in batch.column(0):
+                codes = np.frombuffer(raw.as_buffer(), dtype=np.int32).astype(np.int64)
+                places = targets(codes, own.pad, options.stride, turn)
+                own.train(codes, np.random.default_rng(len(places)).permutation(places), options)
+                many += len(places)
         if many:
             arrays = [pa.array([TaskContext.get().partitionId()]), pa.array([many]), pa.array([own.flat.tobytes()], pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, names=["task", "many", "flat"])

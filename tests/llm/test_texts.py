@@ -246,6 +246,23 @@ def test_training_learns_word_order(spark):
     assert all(np.isclose(r["log_likelihood"], r["mean_log_likelihood"] * r["n_words"]) for r in got.values())
 
 
+def test_every_word_is_trained_on_in_every_round(spark, edges):
+    """With the production options; the examples are counted where the networks are trained."""
+    options = scoring.Options()
+    vocabulary, network = scoring.Vocabulary(np.zeros(0, np.uint64), options), scoring.Network(options)
+    table = scoring.examples(edges.select(F.col("text").alias("body")), vocabulary, options)
+    words = sum(len((r["text"] or "").encode().split()) for r in edges.select("text").collect())
+    for turn in range(options.rounds):
+        assert sum(r["many"] for r in scoring.trained(table, network, options, turn).collect()) == words
+
+
+def test_rounds_with_a_stride_see_every_word_once():
+    codes = np.array([9, 9, 1, 2, 3, 4, 5, 9, 9, 7, 9, 9, 9, 9, 1, 1, 9, 9])
+    seen = np.concatenate([scoring.targets(codes, 9, 3, turn) for turn in range(3)])
+    assert sorted(seen.tolist()) == np.flatnonzero(codes != 9).tolist()
+    assert scoring.targets(codes, 9, 1, 0).tolist() == np.flatnonzero(codes != 9).tolist()
+
+
 def test_averaging_in_groups_is_the_weighted_mean(spark):
     options = scoring.Options(frequent=8, digit=4, hidden=3, group=2)
     network = scoring.Network(options)
