@@ -1,9 +1,10 @@
 """Language-model scores by masked pseudo-likelihood.
 
 A small network predicts every word from the two words on either side; a document's score is the sum of the
-conditional log-probabilities of all its words. The most frequent words of the corpus, counted over all documents, have
-own codes, all others share codes by hash. A code has two digits, predicted one after the other, so the cost of a word
-does not grow with the codes.
+conditional log-probabilities of all its words. All words of the corpus are counted. The most frequent ones have own
+codes, the more the more distinct words there are; all others share codes by hash, and the probability of such a word is
+that of its code times its share of the code's counts, with one count in each code kept for all words never seen. A code
+has two digits, predicted one after the other, so the cost of a word grows slowly with the codes.
 
 The network is trained in numpy where the data are: every word of every document is a training example in every round,
 each task trains on its own examples, and the tasks' weights are averaged in a tree of bounded groups, ``rounds`` times.
@@ -15,7 +16,8 @@ scores; extra columns are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from math import ceil, isqrt, sqrt
 
 import numpy as np
 import pandas as pd
@@ -31,11 +33,13 @@ by_value(__name__)
 
 SHIFTS = (-2, -1, 1, 2)
 SIDE = 2
+# Logarithms of counts are summed as whole numbers of this unit, so that no order of summing changes a score.
+UNIT = 10**9
 
 
 @dataclass(frozen=True)
 class Options:
-    """``digit``: codes per digit; ``frequent``: words with an own code; ``hidden``: width of the network; ``stride``: 1
+    """``digit``: codes per digit, and ``frequent``: words with an own code, both at least; ``hidden``: width of the network; ``stride``: 1
     trains on every word in every round, n on every n-th, another one in each round."""
 
     digit: int = 32
@@ -52,10 +56,20 @@ class Options:
         return self.digit * self.digit
 
 
+def sized(options: Options, distinct: int) -> Options:
+    """Options for so many distinct words: own codes grow with their square root, and as many codes are shared."""
+    frequent = 2 * isqrt(distinct)
+    if frequent <= options.frequent:
+        return options
+    return replace(options, frequent=frequent, digit=max(options.digit, ceil(sqrt(2 * frequent))))
+
+
 class Vocabulary:
-    """Word hash to code: the frequent words first, the rest by hash behind them."""
+    """Word hash to code: the frequent words first, the rest by hash behind them. ``within``: for every code, the
+    logarithm of its counts and the one kept for unseen words; 0 for own codes, which stand for one word."""
 
-    def __init__(self, frequent: np.ndarray, options: Options):
+    def __init__(self, frequent: np.ndarray, options: Options, within: np.ndarray | None = None):
+        self.within = np.zeros(options.codes) if within is None else within
         self.order = np.argsort(frequent)
         self.sorted = frequent[self.order]
         self.shared = options.codes - options.frequent
@@ -108,6 +122,12 @@ class Network:
         z = z - z.max(axis=1, keepdims=True)
         return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
 
+    @staticmethod
+    def _softmax(z: np.ndarray) -> np.ndarray:
+        z = np.exp(z - z.max(axis=1, keepdims=True))
+        z /= z.sum(axis=1, keepdims=True)
+        return z
+
     def log_probability(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
         h = self.hidden(around)
         high, low = target // self.digit, target % self.digit
@@ -127,9 +147,9 @@ class Network:
             x, y = around_of(codes, some), codes[some]
             rows, high, low = np.arange(len(y)), y // self.digit, y % self.digit
             h = self.hidden(x)
-            miss_high = -np.exp(self._log_softmax(h @ self.high + self.high_bias))
+            miss_high = -self._softmax(h @ self.high + self.high_bias)
             miss_high[rows, high] += 1
-            miss_low = -np.exp(self._log_softmax(h @ self.low + self.low_bias[high]))
+            miss_low = -self._softmax(h @ self.low + self.low_bias[high])
             miss_low[rows, low] += 1
             back = (miss_high @ self.high.T + miss_low @ self.low.T) * (1 - h * h)
             n = np.float32(len(y))
@@ -153,8 +173,8 @@ def around_of(codes: np.ndarray, places: np.ndarray) -> np.ndarray:
     return np.stack([codes[places + s] for s in SHIFTS], axis=1)
 
 
-def frequent_words(texts: DataFrame, options: Options) -> np.ndarray:
-    """Hashes of the most frequent words, from the counts of all words of all documents."""
+def count_words(texts: DataFrame) -> DataFrame:
+    """word (its hash) and many, of all words of all documents."""
 
     def start():
         hasher = WordHasher()
@@ -166,9 +186,31 @@ def frequent_words(texts: DataFrame, options: Options) -> np.ndarray:
 
         return work
 
-    counted = scan(texts, [], {"word": "long", "many": "long"}, start).groupBy("word").agg(F.sum("many").alias("many"))
+    return scan(texts, [], {"word": "long", "many": "long"}, start).groupBy("word").agg(F.sum("many").alias("many"))
+
+
+def vocabulary_of(counted: DataFrame, options: Options) -> Vocabulary:
+    """The most frequent words get own codes; the counts of all others are added up by code."""
     top = counted.orderBy(F.desc("many"), "word").limit(options.frequent).select("word").toArrow()
-    return top.column(0).to_numpy().view(np.uint64)
+    frequent = top.column(0).to_numpy().view(np.uint64)
+
+    def start():
+        vocabulary = Vocabulary(frequent, options)
+
+        def work(read: dict) -> dict:
+            codes = vocabulary.codes(np.array(read["word"], dtype=np.int64).view(np.uint64))
+            sums = np.bincount(codes, np.array(read["many"], dtype=np.float64), options.codes).astype(np.int64)
+            sums[: vocabulary.first] = 0
+            used = np.flatnonzero(sums)
+            return {ROW: np.zeros(len(used), np.int64), "code": used, "many": sums[used]}
+
+        return work
+
+    by_code = scan(counted, [], {"code": "long", "many": "long"}, start).groupBy("code").agg(F.sum("many").alias("many"))
+    within = np.zeros(options.codes)
+    for r in by_code.collect():
+        within[r["code"]] = np.log(r["many"] + 1)
+    return Vocabulary(frequent, options, within)
 
 
 def examples(texts: DataFrame, vocabulary: Vocabulary, options: Options, words_at_once: int = 100_000) -> DataFrame:
@@ -255,14 +297,16 @@ def averaged(models: DataFrame, options: Options, scratch: Scratch, before: Netw
     return np.frombuffer(mean((0,), table)["flat"].iloc[0], dtype=np.float32).copy()
 
 
-def score(texts: DataFrame, vocabulary: Vocabulary, network: Network, words_at_once: int = 50_000) -> DataFrame:
-    """id, n_words, log_likelihood and its mean by word."""
+def score(
+    texts: DataFrame, vocabulary: Vocabulary, network: Network, counted: DataFrame, scratch: Scratch, words_at_once: int = 50_000
+) -> DataFrame:
+    """id, n_words, log_likelihood and its mean by word. The counts of the words that share codes come by a join."""
 
     def start():
         hasher = WordHasher()
 
         def work(read: dict) -> dict:
-            lengths, sums = [], []
+            lengths, sums, shared = [], [], []
             waiting, size = [], 0
 
             def flush() -> None:
@@ -271,8 +315,11 @@ def score(texts: DataFrame, vocabulary: Vocabulary, network: Network, words_at_o
                     network.log_probability(around_of(codes, part), codes[part]).astype(np.float64)
                     for part in np.array_split(places, max(1, len(places) // words_at_once))
                 ]])
+                own = codes[places]
+                found -= vocabulary.within[own]
                 ends = np.cumsum([0, *[len(h) for h in waiting]])
                 sums.extend(float(found[a:b].sum()) for a, b in zip(ends, ends[1:]))
+                shared.extend(h[own[a:b] >= vocabulary.first].view(np.int64) for h, a, b in zip(waiting, ends, ends[1:]))
                 waiting.clear()
 
             for text in read["body"]:
@@ -284,23 +331,33 @@ def score(texts: DataFrame, vocabulary: Vocabulary, network: Network, words_at_o
                     flush()
                     size = 0
             flush()
-            means = [s / n if n else None for s, n in zip(sums, lengths)]
-            return {"n_words": lengths, "log_likelihood": sums, "mean_log_likelihood": means}
+            return {"n_words": lengths, "codes": sums, "shared": shared}
 
         return work
 
-    return scan(texts, ["id"], {"n_words": "long", "log_likelihood": "double", "mean_log_likelihood": "double"}, start)
+    read = scan(texts, ["id"], {"n_words": "long", "codes": "double", "shared": "array<long>"}, start)
+    read = scratch.stage(read.withColumn("row", F.monotonically_increasing_id()))
+    # a word seen once, or never, has the one count whose logarithm is 0
+    logs = counted.filter("many > 1").select("word", F.round(F.log("many") * UNIT).cast("long").alias("log"))
+    added = read.select("row", F.explode("shared").alias("word")).join(logs, "word").groupBy("row").agg(F.sum("log").alias("log"))
+    total = F.col("codes") + F.coalesce(F.col("log") / UNIT, F.lit(0.0))
+    mean = F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words"))
+    scored = read.join(added, "row", "left").select("id", "n_words", total.alias("log_likelihood"))
+    return scored.withColumn("mean_log_likelihood", mean)
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", options: Options = Options()) -> DataFrame:
-    """Count the corpus, train on it, score it: three passes over the text, of which only counts are shuffled."""
+    """Count the corpus, train on it, score it: three passes over the text, of which the counts and the words that share
+    codes are shuffled."""
     scratch = Scratch(docs.sparkSession, "scoring")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("body"))
-    vocabulary = Vocabulary(frequent_words(texts.select("body"), options), options)
+    counted = scratch.stage(count_words(texts.select("body")))
+    options = sized(options, counted.count())
+    vocabulary = vocabulary_of(counted, options)
     table = scratch.stage(examples(texts.select("body"), vocabulary, options))
     network = train(table, options, scratch)
-    scratch.drop_all()
-    return score(texts, vocabulary, network).withColumnRenamed("id", id_col)
+    scratch.drop(table)
+    return score(texts, vocabulary, network, counted, scratch).withColumnRenamed("id", id_col)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

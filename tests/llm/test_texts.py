@@ -263,6 +263,39 @@ def test_rounds_with_a_stride_see_every_word_once():
     assert scoring.targets(codes, 9, 1, 0).tolist() == np.flatnonzero(codes != 9).tolist()
 
 
+def test_a_word_that_shares_a_code_has_its_own_probability(spark):
+    """Documents of one word differ by that word's counts only, where the words have one code."""
+    hasher, options = WordHasher(), scoring.Options(frequent=2, digit=2, hidden=3)
+    names = [f"r{i}" for i in range(30) if int(hasher(f"r{i}".encode())[0]) % 2 == 0][:6]
+    many = dict(zip(names, (1, 2, 3, 5, 8, 13)))
+    rows = [(i, "the of " * 50) for i in range(10)] + [(100 + i, name) for i, name in enumerate(names)]
+    rows += [(200 + i, " ".join([name] * (many[name] - 1))) for i, name in enumerate(names)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    from millrace.llm.common import Scratch
+
+    scratch = Scratch(spark, "t")
+    texts = docs.select(F.col("doc_id").alias("id"), F.col("text").alias("body"))
+    counted = scratch.stage(scoring.count_words(texts.select("body")))
+    vocabulary, network = scoring.vocabulary_of(counted, options), scoring.Network(options)
+    assert np.isclose(np.exp(vocabulary.within[2 + 0]), sum(many.values()) + 1)
+    new = next(f"n{i}" for i in range(99) if int(hasher(f"n{i}".encode())[0]) % 2 == 0)
+    asked = texts.union(spark.createDataFrame([(999, new)], "id BIGINT, body STRING"))
+    got = {r["id"]: r["log_likelihood"] for r in scoring.score(asked, vocabulary, network, counted, scratch).collect()}
+    for i, name in enumerate(names):
+        assert np.isclose(got[100 + i] - got[100], np.log(many[name]), atol=1e-6)
+    assert np.isclose(got[999], got[100]) and len(got) == len(rows) + 1
+    # all words with one code and one count for unseen words share the code's probability
+    shares = [np.exp(np.log(n) - vocabulary.within[2]) for n in (*many.values(), 1)]
+    assert np.isclose(sum(shares), 1)
+
+
+def test_own_codes_grow_with_the_distinct_words():
+    small, large = scoring.sized(scoring.Options(), 60_000), scoring.sized(scoring.Options(), 404_216)
+    assert small == scoring.Options()
+    assert large.frequent > 512 and large.codes >= 2 * large.frequent
+    assert scoring.sized(scoring.Options(), 40_000_000).frequent > 5 * large.frequent
+
+
 def test_averaging_in_groups_is_the_weighted_mean(spark):
     options = scoring.Options(frequent=8, digit=4, hidden=3, group=2)
     network = scoring.Network(options)
