@@ -2,9 +2,10 @@
 
 Equal vectors are one node. The first lists of neighbours come from exact searches inside the leaves of a few random
 trees. Then, round by round, every node brings its neighbours and some of those that point to it together in a Spark
-join, all pairs among these few are measured, and each node keeps the nearest it has seen: neighbours of neighbours. A
-query walks the finished graph greedily: it opens the nearest nodes it knows, measures their neighbours and
-goes on with the nearest of all. Vectors of eight bits serve for walking, the final candidates are measured in double
+join, all pairs among these few are measured, and each node keeps the nearest it has seen: neighbours of neighbours. The
+rounds end when hardly an entry of the lists changes any more. A query walks the finished graph greedily: it opens the
+nearest nodes it knows, measures their neighbours and goes on with the nearest of all, until a step changes the
+nearest of no query. Vectors of eight bits serve for walking, the final candidates are measured in double
 precision on the original vectors.
 
 Defined cases: vectors that are null, empty, zero, of another length than most, or that hold null or non-finite
@@ -30,7 +31,8 @@ by_value(__name__)
 @dataclass(frozen=True)
 class Options:
     """``leaf``: nodes of a tree's leaf; ``keep``: neighbours of a node; ``near`` and ``back``: neighbours, and nodes
-    pointing to it, that a node brings together; ``pool``: nodes a query remembers, ``opened``: opened per round;
+    pointing to it, that a node brings together; ``rounds``: of descent, at least, and ``settled``: share of changed list
+    entries below which it ends; ``walks``: steps of a walk after the first, at least; ``pool``: nodes a query remembers, ``opened``: opened per round;
     ``paths``: links against their direction that a walk may take from a node; ``splits``: nodes, at most, from whose
     sample the trees take their cuts."""
 
@@ -40,6 +42,7 @@ class Options:
     near: int = 16
     back: int = 16
     rounds: int = 4
+    settled: float = 0.001
     paths: int = 32
     pool: int = 240
     opened: int = 48
@@ -319,14 +322,24 @@ def build(nodes: DataFrame, shorts: DataFrame, rows: int, scratch: Scratch, opti
     """The neighbour graph: node, near (ids, nearest first), far (squared distances)."""
     placed = leaves(shorts, tree_cuts(nodes, rows, options), options)
     graph = scratch.stage(merged(leaf_lists(placed, options), options.keep))
-    for _ in range(options.rounds):
+    done, share = 0, 1.0
+    while done < options.rounds or share >= options.settled:
         better = descend(meetings(graph, options), shorts, options)
         new = scratch.stage(merged(graph.union(better), options.keep))
+        share = changed_share(graph, new)
         scratch.drop(graph)
-        graph = new
+        graph, done = new, done + 1
     return graph
 
 
+def changed_share(before: DataFrame, after: DataFrame) -> float:
+    """Share of the entries of all lists that a round has brought in. Lists only get nearer, so it ends at 0."""
+    old = before.select("node", F.col("near").alias("old"))
+    fresh = F.size(F.array_except("near", F.coalesce("old", F.array().cast("array<long>"))))
+    r = after.select("node", "near").join(old, "node", "left").agg(F.sum(fresh).alias("fresh"), F.sum(F.size("near")).alias("n")).first()
+    return r["fresh"] / r["n"] if r["n"] else 0.0
+
+
 def measured(pairs: DataFrame, queries: DataFrame, shorts: DataFrame) -> DataFrame:
     """Squared distance of every pair of query and node, on the 8-bit vectors: query, node, d."""
 
@@ -343,8 +356,11 @@ def measured(pairs: DataFrame, queries: DataFrame, shorts: DataFrame) -> DataFra
     return scan(rows, ["query", "node"], {"d": "double"}, start)
 
 
-def walk(queries: DataFrame, graph: DataFrame, shorts: DataFrame, scratch: Scratch, options: Options = Options()) -> DataFrame:
-    """query, node, d: the nearest nodes that greedy search finds. ``queries``: query, query_short, and home, the node
+def walk(
+    queries: DataFrame, graph: DataFrame, shorts: DataFrame, scratch: Scratch, options: Options = Options(), k: int = 10
+) -> DataFrame:
+    """query, node, d: the nearest nodes that greedy search finds; it ends with a step that changes the nearest ``k`` of no
+    query. ``queries``: query, query_short, and home, the node
     of an equal vector, if there is one; other queries start at a few entry nodes."""
     entries = [r["node"] for r in graph.select("node").orderBy(F.xxhash64("node")).limit(options.entries).collect()]
     starts = F.coalesce(F.array("home"), F.array(*[F.lit(e).cast("long") for e in entries]))
@@ -352,18 +368,20 @@ def walk(queries: DataFrame, graph: DataFrame, shorts: DataFrame, scratch: Scrat
     vectors = queries.select("query", "query_short")
     begin = queries.select("query", F.explode(starts).alias("node"))
     roads = scratch.stage(paths(graph, options))
-    pool = scratch.stage(measured(begin, vectors, shorts).withColumn("opened", F.lit(False)))
-    for _ in range(options.walks + 1):
+    held = pool = scratch.stage(measured(begin, vectors, shorts).withColumn("opened", F.lit(False)))
+    done, changed = 0, True
+    while done <= options.walks or changed:
         rank = F.row_number().over(Window.partitionBy("query", "opened").orderBy("d", "node"))
         marked = pool.withColumn("now", ~F.col("opened") & (rank <= options.opened))
-        seen = marked.select("query", "node", "d", (F.col("opened") | F.col("now")).alias("opened"))
+        seen = marked.select("query", "node", "d", (F.col("opened") | F.col("now")).alias("opened"), F.lit(False).alias("fresh"))
         around = marked.filter("now").select("query", "node").join(roads, "node").select("query", F.explode("near").alias("node"))
         fresh = around.distinct().join(pool.select("query", "node"), ["query", "node"], "left_anti")
-        found = seen.union(measured(fresh, vectors, shorts).withColumn("opened", F.lit(False)))
+        found = seen.union(measured(fresh, vectors, shorts).select("*", F.lit(False).alias("opened"), F.lit(True).alias("fresh")))
         best = F.row_number().over(Window.partitionBy("query").orderBy("d", "node"))
-        new = scratch.stage(found.withColumn("k", best).filter(F.col("k") <= options.pool).drop("k"))
-        scratch.drop(pool)
-        pool = new
+        new = scratch.stage(found.withColumn("k", best).filter(F.col("k") <= max(options.pool, k)))
+        changed = new.filter((F.col("k") <= k) & F.col("fresh")).limit(1).count() > 0
+        scratch.drop(held)
+        held, pool, done = new, new.select("query", "node", "d", "opened"), done + 1
     scratch.drop(roads)
     return pool.select("query", "node", "d")
 
@@ -386,7 +404,7 @@ def nearest_rows(
         graph = build(nodes, shorts, n, scratch, options)
         queries = asked.select("home").distinct().join(shorts, F.col("home") == F.col("node"))
         queries = scratch.stage(queries.select(F.col("home").alias("query"), "home", F.col("short").alias("query_short")))
-        found = walk(queries, graph, shorts, scratch, options).select("query", "node")
+        found = walk(queries, graph, shorts, scratch, options, k + 1).select("query", "node")
         scratch.drop(graph, shorts)
     best = Window.partitionBy("query").orderBy("score", "node")
     exact = distances(scratch.stage(found), nodes).withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k + 1)

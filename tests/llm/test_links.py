@@ -190,6 +190,29 @@ def test_recall_on_small_leaves(spark):
     assert recall(got, brute_nearest(vectors, range(0, 4000, 100))) >= 0.9
 
 
+def test_descent_and_walks_go_on_until_they_settle(spark):
+    """From one round and one step, in narrow lists and pools, on poor first lists."""
+    rng = np.random.default_rng(4)
+    vectors = {i: rng.normal(size=16).astype(np.float32).tolist() for i in range(4000)}
+    df = spark.createDataFrame(list(vectors.items()), "vec_id BIGINT, embedding ARRAY<FLOAT>")
+    got = {}
+    options = neighbours.Options(trees=3, leaf=100, rounds=1, walks=0, opened=8)
+    for r in neighbours.nearest_rows(df, lambda i: i % 100 == 0, options=options).collect():
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    assert recall(got, brute_nearest(vectors, range(0, 4000, 100))) >= 0.9
+
+
+@pytest.mark.parametrize("size", [3000, 9000])
+def test_recall_at_two_sizes_with_the_production_options(spark, size):
+    rng = np.random.default_rng(size)
+    data = rng.normal(size=(size, 64)).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)], "vec_id BIGINT, embedding ARRAY<FLOAT>")
+    got = {}
+    for r in neighbours.nearest_rows(df, lambda i: i % 100 == 0).collect():
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    assert recall(got, brute_nearest(dict(enumerate(data.tolist())), range(0, size, 100))) >= 0.95
+
+
 def test_a_query_from_outside_walks_from_the_entries(spark):
     rng = np.random.default_rng(3)
     data = rng.normal(size=(2000, 12))
