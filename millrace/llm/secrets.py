@@ -3,7 +3,7 @@
 Three plain patterns find the base spans. Their credentials, by kind, are the labelled examples from which one
 probabilistic automaton per kind is learned: a prefix tree over character classes whose states are merged as long as
 their frequencies are statistically compatible. Every other credential-like run in every text is then scored by its
-likelihood under these automata, and becomes a span if it is as likely as the labelled ones are.
+likelihood under these automata, whole and in its parts, and becomes a span if it is as likely as the labelled ones are.
 
 Defined cases: a null or empty text has no spans and stays as it is. Repeated rows get equal results; extra columns are
 ignored by ``find`` and kept by ``masked``. Without labelled credentials there are no automata and only base spans.
@@ -32,10 +32,11 @@ ORDER = {kind: i for i, kind in enumerate((*KINDS, LEARNED))}
 ASSIGN = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")  # maximal runs, so the same as every run of which the short ones are dropped
-DIGIT = re.compile(r"[0-9]")
-RUN = re.compile(r"[A-Za-z0-9+/_.=-]+")
-RUN_LETTERS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-")
-RUN_LEAST = 16
+RUN_LEAST = 12  # the shortest credential that a base span can teach
+RUN = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{12,}")
+MARKS = "+/_.=-"
+# A run is scored whole, and in the parts that each of these leaves.
+CUTS = tuple(re.compile(rf"[^{marks}]+") for marks in ("=", "=/", "=/."))
 
 
 @dataclass(frozen=True)
@@ -64,18 +65,20 @@ def base_spans(text: str | None) -> list[tuple[int, str, int, str]]:
 
 
 def candidates(text: str | None, taken: list[tuple[int, str, int, str]]) -> list[tuple[int, int, str]]:
-    """Whole credential-like runs with a digit, outside all base spans."""
-    found, end = [], 0
-    for m in DIGIT.finditer(text or ""):
-        if m.start() < end:
-            continue
-        start = m.start()
-        while start > end and text[start - 1] in RUN_LETTERS:
-            start -= 1
-        end = RUN.match(text, m.start()).end()
-        if end - start >= RUN_LEAST and not any(s < end and start < e for s, _, e, _ in taken):
-            found.append((start, end, text[start:end]))
-    return found
+    """Credential-like runs, their parts, and both without the marks at their ends, as far as no base span holds them."""
+    found = set()
+    for m in RUN.finditer(text or ""):
+        near = [(s, e) for s, _, e, _ in taken if s < m.end() and m.start() < e]
+        pieces = {m.span()}
+        for cut in CUTS:
+            pieces.update(p.span() for p in cut.finditer(text, m.start(), m.end()))
+        for start, end in pieces:
+            value = text[start:end]
+            inner = start + len(value) - len(value.lstrip(MARKS))
+            for a, b in ((start, end), (start, start + len(value.rstrip(MARKS))), (inner, start + len(value.rstrip(MARKS)))):
+                if b - a >= RUN_LEAST and not any(s <= a and b <= e for s, e in near):
+                    found.add((a, b))
+    return [(a, b, text[a:b]) for a, b in sorted(found)]
 
 
 def symbols(value: str) -> str:

@@ -151,6 +151,22 @@ def test_format_spans_and_masks(spark):
     assert masked[0]["text"] == "x <SECRET>' y" and masked[1001]["text"] is None and masked[1002]["text"] == ""
 
 
+def test_all_runs_and_their_parts_are_scored():
+    code = lambda i, n: hashlib.sha256(str(i).encode()).hexdigest().upper()[:n]
+    letters = lambda i: code(i, 14).translate(str.maketrans("0123456789", "GHIJKLMNOP"))
+    short, plain = secrets.learn({"assign": [code(i, 12) for i in range(300)]}), secrets.learn({"assign": [letters(i) for i in range(300)]})
+    token = next(code(i, 12) for i in range(1000, 2000) if short.accepts(code(i, 12)))
+    word = next(letters(i) for i in range(1000, 2000) if plain.accepts(letters(i)))
+    for text in ("a {} b", "auth={}", "path/{}", "it is {}.", "x.y/{}/z", "({})=="):
+        for formats, value in ((short, token), (plain, word)):
+            at = text.index("{")
+            assert (at, secrets.LEARNED, at + len(value)) in secrets.spans_of(text.format(value), formats), text
+    base = "0123456789abcdef"
+    whole = secrets.learn({"assign": [base + code(i, 12) for i in range(300)]})
+    longer = next(base + code(i, 12) for i in range(1000, 2000) if whole.accepts(base + code(i, 12)))
+    assert secrets.mask(f"a {longer} b", whole) == "a <SECRET> b"
+
+
 def test_secrets_edges(spark, edges, empty):
     assert len(secrets.find(edges).collect()) == 13 and secrets.find(empty).collect() == []
     assert secrets.masked(edges).columns == edges.columns and secrets.masked(empty).collect() == []
