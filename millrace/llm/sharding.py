@@ -21,7 +21,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..workspace import fresh_dir
 from .common import Scratch, documents, free_prefix, number_within
@@ -273,10 +272,9 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     old, key = old_layout(F.col("source")), row_key(F.col("doc_id"), F.col("text"))
     digest = scratch.stage(docs.select(old.alias("old"), key.alias("key"), text_bytes(F.col("text")).alias("size")))
     placement = plan(digest, OLD_SHARDS, NEW_SHARDS)
-    path = rewrite(docs, placement, old, key, fresh_dir(spark, "op1-shards"))
-    kept = StructType([*docs.schema.fields, StructField("shard", IntegerType())])
-    written = spark.read.schema(kept).parquet(path) if digest.take(1) else docs.withColumn("shard", F.lit(None).cast("int"))
-    rows = scratch.stage(written.select(
+    rewrite(docs, placement, old, key, fresh_dir(spark, "op1-shards"))
+    # the rows of all shards, also of those that keep their files
+    rows = scratch.stage(placement.apply(docs, old, key).select(
         "doc_id", text_bytes(F.col("text")).alias("size"), text_crc(F.col("text")).alias("text_crc32"), "shard",
     ))
     numbered = number_within(rows, ["shard"], [F.col("doc_id"), F.col("text_crc32")], "slot", rows.count())

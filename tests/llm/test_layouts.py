@@ -105,6 +105,19 @@ def test_only_affected_shards_are_written(spark):
     assert counts == {0: 1000, 3: 1000}
 
 
+def test_rows_of_untouched_shards_are_returned(spark, monkeypatch):
+    plan = sharding.plan
+
+    def one_untouched(*args):
+        placement = plan(*args)
+        placement.affected = placement.affected[1:]
+        return placement
+
+    monkeypatch.setattr(sharding, "plan", one_untouched)
+    ids = sorted(r["doc_id"] for r in documents(spark, SF).select("doc_id").collect())
+    assert sorted(r["doc_id"] for r in sharding.query(spark, SF).collect()) == ids
+
+
 def test_sharding_edges(spark, edges, empty):
     for docs, n in ((edges, 13), (empty, 0)):
         old, key = sharding.old_layout(F.col("source"), 3), sharding.row_key(F.col("doc_id"), F.col("text"))
