@@ -9,6 +9,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -18,6 +19,9 @@ from ..workspace import fresh_dir
 # A table of so many bytes at most is broadcast; larger ones are joined by a shuffle.
 BROADCAST_BYTES = 8 * 1024 * 1024
 
+# Bytes of a batch that become Python objects at once; one larger row is taken alone.
+SLICE_BYTES = 4 * 1024 * 1024
+
 # Rows that one task numbers at once.
 ROWS_PER_BUCKET = 20_000
 
@@ -130,13 +134,42 @@ def number_within(df: DataFrame, keys: list[str], order: list[Column], out: str,
 ARROW_TYPES = {
     "long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_(),
     "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<string>": pa.list_(pa.string()), "array<double>": pa.list_(pa.float64()),
+    "array<array<long>>": pa.list_(pa.list_(pa.int64())), "array<int>": pa.list_(pa.int32()),
 }
 ROW = "_row"
 
 
+def row_bytes(column: pa.Array) -> np.ndarray:
+    """About the bytes that each value of a column takes."""
+    if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
+        sizes = pc.binary_length(column)
+    elif pa.types.is_list(column.type):
+        sizes = pc.multiply(pc.list_value_length(column), 8)
+    else:
+        return np.full(len(column), 8, dtype=np.int64)
+    return pc.fill_null(sizes, 0).to_numpy(zero_copy_only=False).astype(np.int64) + 8
+
+
+def slices(batch: pa.RecordBatch | pa.Array, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch | pa.Array]:
+    """Stretches of a batch of about ``limit`` bytes, none larger but for a single row."""
+    if len(batch) == 0:
+        return
+    columns = batch.columns if isinstance(batch, pa.RecordBatch) else [batch]
+    sizes = sum((row_bytes(c) for c in columns), np.zeros(len(batch), dtype=np.int64))
+    ends = np.cumsum(sizes)
+    at = 0
+    while at < len(batch):
+        before = ends[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(ends, before + limit, side="right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def scan(df: DataFrame, keep: list[str], added: dict[str, str], start: Callable[[], Callable[[dict], dict]]) -> DataFrame:
     """Run Python over Arrow batches: the columns ``keep`` pass untouched, nulls and large ids included.
 
+    A batch is taken in slices of bounded bytes, so that a worker holds the objects of few texts at a time.
+
     ``start`` runs once per task and returns the function from columns (lists) to the ``added`` columns. That function
     may return ``ROW``, the input row of each output row, to give several or no rows for one.
     """
@@ -145,7 +178,7 @@ def scan(df: DataFrame, keep: list[str], added: dict[str, str], start: Callable[
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = start()
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             read = {name: batch.column(i).to_pylist() for i, name in enumerate(batch.schema.names)}
             out = work(read)
             kept = [batch.column(c) for c in keep]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import jaccard, mixing, neighbours, packing, quality, scoring, secrets, sharding, toxicity, urls
+from . import jaccard, mixing, neighbours, packing, periods, quality, scoring, secrets, sharding, toxicity, urls
 
 QUERIES = {
     "op3_masked_likelihood": scoring.query,
@@ -15,5 +15,6 @@ QUERIES = {
     "op8_url_filter": urls.query,
     "op9_quality_divergence": quality.query,
     "op10_source_mixing": mixing.query,
+    "op12_periodic_runs": periods.query,
 }
 ORACLES = {"op10_source_mixing": mixing.ORACLE}
