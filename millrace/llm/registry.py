@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import jaccard, mixing, neighbours, packing, periods, quality, scoring, secrets, sharding, toxicity, urls
+from . import alignment, jaccard, mixing, neighbours, packing, periods, quality, scoring, secrets, sharding, toxicity, urls
 
 QUERIES = {
     "op3_masked_likelihood": scoring.query,
@@ -16,5 +16,6 @@ QUERIES = {
     "op9_quality_divergence": quality.query,
     "op10_source_mixing": mixing.query,
     "op12_periodic_runs": periods.query,
+    "op13_token_alignment": alignment.query,
 }
 ORACLES = {"op10_source_mixing": mixing.ORACLE}
