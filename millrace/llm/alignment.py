@@ -145,7 +145,7 @@ def group_links(a: np.ndarray, n: np.ndarray, b: np.ndarray, m: np.ndarray) -> t
 def merge(a_ends: np.ndarray, b_ends: np.ndarray, a_starts: np.ndarray, b_starts: np.ndarray) -> Merged:
     """Cut and link the tokens of all texts, given the ends of their bytes and where each text starts, in lockstep."""
     a_from, b_from = lanes(a_ends, b_ends, a_starts, b_starts)
-    stops = np.append(a_from[1:], len(a_ends))
+    stops = np.append(a_from, len(a_ends))[1:]
     state = np.stack([a_from, b_from, a_from, b_from, stops])  # places in A and B, starts of the group, end of the lane
     a_cuts, b_cuts, a_links, b_links, large = [], [], [], [], []
     while state.shape[1]:
