@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import alignment, jaccard, mixing, neighbours, packing, periods, quality, scoring, secrets, sharding, toxicity, urls
+from . import alignment, fingerprints, jaccard, mixing, neighbours, packing, periods, quality, scoring, secrets, sharding, toxicity, urls
 
 QUERIES = {
     "op3_masked_likelihood": scoring.query,
@@ -15,7 +15,8 @@ QUERIES = {
     "op8_url_filter": urls.query,
     "op9_quality_divergence": quality.query,
     "op10_source_mixing": mixing.query,
+    "op11_multiset_fingerprint": fingerprints.query,
     "op12_periodic_runs": periods.query,
     "op13_token_alignment": alignment.query,
 }
-ORACLES = {"op10_source_mixing": mixing.ORACLE}
+ORACLES = {"op10_source_mixing": mixing.ORACLE, "op11_multiset_fingerprint": fingerprints.ORACLE}
