@@ -66,21 +66,28 @@ def exact_sums(text: Column) -> Column:
     return F.aggregate(numbers, zero, add, lambda acc: F.array(*[acc[f"e{i}"] for i in range(EXACT)]))
 
 
+def bound(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often it is named there."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def lane_sum(numbers: Column, shift: int) -> Column:
+    """The sum of three lanes: of the bits ``shift``, ``shift + STRIDE`` and ``shift + 2 * STRIDE`` of all numbers."""
+    add = lambda acc, x: (acc + F.shiftright(x, shift).bitwiseAND(F.lit(PICK))).bitwiseAND(F.lit(CLEAR))
+    return F.aggregate(numbers, F.lit(0).cast("long"), add)
+
+
 def lane_sums(text: Column) -> Column:
     """Number of pieces, then the packed sums of their plus signs, as an array."""
     digests = F.transform(F.regexp_extract_all(text, F.lit(PIECE), F.lit(0)), lambda p: F.md5(p))
-    numbers = F.transform(digests, lambda d: F.array(*[digits(d, i) for i in range(LANES // PER_NUMBER)]))
-    names = [f"s{i}" for i in range(SUMS)]
-    zero = F.struct(F.lit(0).cast("long").alias("n"), *[F.lit(0).cast("long").alias(s) for s in names])
 
-    def add(acc: Column, x: Column) -> Column:
-        out = [(acc["n"] + 1).alias("n")]
-        for i, name in enumerate(names):
-            signs = F.shiftright(x[i // STRIDE], i % STRIDE).bitwiseAND(F.lit(PICK))
-            out.append((acc[name] + signs).bitwiseAND(F.lit(CLEAR)).alias(name))
-        return F.struct(*out)
+    def number_sums(hashed: Column, number: int) -> Column:
+        numbers = F.transform(hashed, lambda d: digits(d, number))
+        return bound(numbers, lambda every: F.array(*[lane_sum(every, i) for i in range(STRIDE)]))
 
-    return F.aggregate(numbers, zero, add, lambda acc: F.array(acc["n"], *[acc[s] for s in names]))
+    return bound(digests, lambda hashed: F.concat(
+        F.array(F.size(hashed).cast("long")), *[number_sums(hashed, i) for i in range(LANES // PER_NUMBER)]
+    ))
 
 
 def fingerprint(text: Column) -> Column:
@@ -203,7 +210,7 @@ def with_next(docs: DataFrame, scratch: Scratch) -> DataFrame:
 def edited(body: Column, next_body: Column) -> Column:
     """The text whose last half of code points gives way to as many from the start of the next text."""
     n = F.char_length(body)
-    half = F.expr("0") + F.floor(n / 2).cast("int")
+    half = F.floor(n / 2).cast("int")
     return F.concat(F.substr(body, F.lit(1), n - half), F.substr(F.coalesce(next_body, F.lit("")), F.lit(1), half))
 
 
