@@ -201,7 +201,7 @@ def with_next(docs: DataFrame, scratch: Scratch) -> DataFrame:
     first = marked.filter(F.col("id") == stats["high"]).orderBy(F.desc("body")).limit(1)
     copies = first.select(
         F.col("body").alias("next_body"), F.col("fp").alias("next_fp"),
-        F.explode(F.sequence(F.lit(0), F.lit(UNORDERED - 1))).cast("long").alias("copy"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(UNORDERED - 1).cast("long"))).alias("copy"),
     )
     spread = unordered.withColumn("copy", F.pmod(F.xxhash64("body"), F.lit(UNORDERED)))
     return out.unionByName(spread.join(copies, "copy").drop("copy"))
