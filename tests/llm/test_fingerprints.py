@@ -48,7 +48,7 @@ def test_likeness_follows_the_share_of_common_pieces(spark):
     lines = [" ".join(f"w{i}x{k}" for k in range(8)) for i in range(400)]
     rows = []
     for share in (0, 25, 50, 75, 100):
-        other = lines[:share] + [f"other {i} of these lines" for i in range(100 - share)]
+        other = lines[:share] + [" ".join(f"o{i}x{k}" for k in range(8)) for i in range(100 - share)]
         rows.append((share, "\n".join(lines[:100]), "\n".join(random.Random(share).sample(other, 100))))
     df = spark.createDataFrame(rows, "share INT, a STRING, b STRING")
     near = fp.likeness(fp.fingerprint(F.col("a")), fp.fingerprint(F.col("b")))
