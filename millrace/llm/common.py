@@ -131,6 +131,17 @@ def number_within(df: DataFrame, keys: list[str], order: list[Column], out: str,
     return joined.select(*[numbered[c] for c in df.columns], number.cast("long").alias(out))
 
 
+def sliced(kind: pa.DataType, function: Callable[..., list]) -> Callable[..., pa.Array]:
+    """An Arrow function of whole batches from one of lists, which gets slices of bounded bytes."""
+
+    def run(*columns: pa.Array) -> pa.Array:
+        batch = pa.RecordBatch.from_arrays(list(columns), names=[str(i) for i in range(len(columns))])
+        parts = [pa.array(function(*[c.to_pylist() for c in part.columns]), type=kind) for part in slices(batch)]
+        return pa.concat_arrays(parts) if parts else pa.array([], type=kind)
+
+    return run
+
+
 ARROW_TYPES = {
     "long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_(),
     "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<string>": pa.list_(pa.string()), "array<double>": pa.list_(pa.float64()),

@@ -23,14 +23,16 @@ linked if any of its texts is. Extra columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import ROW, Scratch, by_value, documents, free_prefix, scan, small, utf8
+from .common import Scratch, by_value, documents, free_prefix, scan, slices, small, utf8
 from .components import files_for, joined_components
 from .hashing import WordHasher, shingles
 
@@ -40,7 +42,7 @@ by_value(__name__)
 @dataclass(frozen=True)
 class Options:
     """``common``: documents that make a shingle common; ``listed``: so many common shingles at most, the most frequent,
-    are known to all tasks. These two steer the work, not the result.
+    are known to all tasks; a task counts so many distinct ones (``counted``) at once. These steer the work, not the result.
     ``sparse``: sparse rounds end when the pairs left are at most so many times the list entries, when a round has spared
     less than three tenths of them, or after ``rounds``."""
 
@@ -48,6 +50,7 @@ class Options:
     percent: int = 80
     common: int = 50
     listed: int = 200_000
+    counted: int = 2_000_000
     sparse: int = 2
     rounds: int = 12
 
@@ -56,21 +59,37 @@ def enough(shared: int, a: int, b: int, percent: int) -> bool:
     return 100 * shared >= percent * (a + b - shared)
 
 
+def added_counts(keys: np.ndarray, counts: np.ndarray, more: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sum of two tables of sorted distinct keys and their counts."""
+    at = np.searchsorted(keys, more)
+    known = np.zeros(len(more), dtype=bool)
+    if len(keys):
+        known = keys[np.minimum(at, len(keys) - 1)] == more
+        counts = counts.copy()
+        counts[at[known]] += times[known]
+    return np.insert(keys, at[~known], more[~known]), np.insert(counts, at[~known], times[~known])
+
+
 def common_shingles(docs: DataFrame, options: Options) -> np.ndarray:
     """The shingles that most documents share, sorted; bounded by ``listed``."""
 
-    def start():
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
+        shingle, many = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
 
-        def work(read: dict) -> dict:
-            sets = [shingles(hasher(utf8(t)), options.size) for t in read["body"]]
-            found, many = np.unique(np.concatenate([np.zeros(0, np.int64), *sets]), return_counts=True)
-            twice = many > 1
-            return {ROW: np.zeros(int(twice.sum()), np.int64), "shingle": found[twice], "many": many[twice]}
+        def batch(keep: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(shingle[keep]), pa.array(many[keep])], names=["shingle", "many"])
 
-        return work
+        for part in (part for whole in batches for part in slices(whole)):
+            sets = [shingles(hasher(utf8(t)), options.size) for t in part.column(0).to_pylist()]
+            found, times = np.unique(np.concatenate(sets), return_counts=True)
+            shingle, many = added_counts(shingle, many, found, times)
+            if len(shingle) > options.counted:
+                yield batch(many > 1)
+                shingle, many = shingle[:0], many[:0]
+        yield batch(many > 1)
 
-    counted = scan(docs.select("body"), [], {"shingle": "long", "many": "long"}, start)
+    counted = docs.select("body").mapInArrow(run, "shingle long, many long")
     counted = counted.groupBy("shingle").agg(F.sum("many").alias("many")).filter(F.col("many") >= options.common)
     top = counted.orderBy(F.desc("many"), "shingle").limit(options.listed).select("shingle").toArrow()
     return np.sort(top.column(0).to_numpy())
@@ -331,7 +350,12 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return kept
     single = kept.join(small(twice, 16), kept[id_col] == twice[twice_id], "left_anti")
     repeated = kept.join(small(twice, 16), kept[id_col] == twice[twice_id], "left_semi")
-    return single.union(repeated.dropDuplicates([id_col]))
+    # Of rows that share an id the one with the smallest checksum of all columns stays, whichever task runs again.
+    lot = F.xxhash64(*[F.to_json(F.struct(F.col(f"`{c}`"))) for c in docs.columns])
+    numbered = repeated.withColumn(f"{own}lot", F.struct(lot, *[F.col(f"`{c}`") for c in (text_col,)]))
+    first = Window.partitionBy(id_col).orderBy(f"{own}lot")
+    chosen = numbered.withColumn(f"{own}nth", F.row_number().over(first)).filter(F.col(f"{own}nth") == 1)
+    return single.union(chosen.select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

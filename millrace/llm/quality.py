@@ -15,10 +15,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BLANKS, Scratch, by_value, documents, scan, utf8
+from .common import BLANKS, Scratch, by_value, documents, scan, sliced, utf8
 
 by_value(__name__)
 
@@ -223,13 +224,14 @@ def keep_documents(
     known = references(measured, limits)
     scratch.drop_all()
 
-    @F.pandas_udf("boolean")
-    def passes(texts: pd.Series, langs: pd.Series) -> pd.Series:
-        matrix, bins = class_matrix(), word_bins()
+    matrix, bins = class_matrix(), word_bins()
+
+    def kept(texts: list, langs: list) -> np.ndarray:
         values = [measure(t, lang, matrix, bins) for t, lang in zip(texts, langs)]
         table = pd.DataFrame(np.array(values, dtype=np.int64).reshape(len(values), len(MEASURES)), columns=MEASURES)
-        return verdicts(table.assign(listed=langs.to_numpy()), known, limits)["kept"]
+        return verdicts(table.assign(listed=langs), known, limits)["kept"].to_numpy()
 
+    passes = F.arrow_udf(sliced(pa.bool_(), kept), "boolean")
     listed = F.when(F.col(lang_col).isin(*COMMON_WORDS), F.col(lang_col)).otherwise("")
     return docs.filter(passes(F.col(text_col), listed))
 

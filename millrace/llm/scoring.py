@@ -20,7 +20,6 @@ from dataclasses import dataclass, replace
 from math import ceil, isqrt, sqrt
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -40,7 +39,8 @@ UNIT = 10**9
 @dataclass(frozen=True)
 class Options:
     """``digit``: codes per digit, and ``frequent``: words with an own code, both at least; ``hidden``: width of the network; ``stride``: 1
-    trains on every word in every round, n on every n-th, another one in each round."""
+    trains on every word in every round, n on every n-th, another one in each round. Weights are averaged in slices of
+    ``part``, ``group`` networks at once."""
 
     digit: int = 32
     frequent: int = 512
@@ -50,6 +50,7 @@ class Options:
     batch: int = 512
     rate: float = 0.1
     group: int = 32
+    part: int = 1 << 16
 
     @property
     def codes(self) -> int:
@@ -273,28 +274,44 @@ def trained(table: DataFrame, network: Network, options: Options, turn: int = 0)
 
 
 def averaged(models: DataFrame, options: Options, scratch: Scratch, before: Network) -> np.ndarray:
-    """Mean of the weights by examples. Groups of at most ``group`` networks are averaged, then groups of these."""
-
-    def mean(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("task")
-        many = frame["many"].to_numpy()
-        total = np.zeros(len(before.flat))
-        for n, raw in zip(many, frame["flat"]):
-            total += n * np.frombuffer(raw, dtype=np.float32)
-        flat = (total / many.sum()).astype(np.float32)
-        return pd.DataFrame({"task": [int(key[0])], "many": [int(many.sum())], "flat": [flat.tobytes()]})
-
-    held = scratch.stage(models)
-    while held.count() > options.group:
-        grouped = held.withColumn("team", F.expr(f"task div {options.group}")).groupBy("team")
-        step = scratch.stage(grouped.applyInPandas(mean, "task long, many long, flat binary"))
+    """Mean of the weights by examples, taken where the networks are, in slices of the weights.
+
+    Of a slice at most ``group`` networks are averaged at once, then as many of these means; one network reaches the
+    driver.
+    """
+    size = options.part
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for task, many, raw in zip(*[column.to_pylist() for column in batch.columns]):
+                parts = [raw[at : at + 4 * size] for at in range(0, len(raw), 4 * size)]
+                arrays = [[task] * len(parts), range(len(parts)), [many] * len(parts)]
+                yield pa.RecordBatch.from_arrays(
+                    [*[pa.array(a, pa.int64()) for a in arrays], pa.array(parts, pa.binary())], names=["task", "part", "many", "flat"]
+                )
+
+    def mean(key: tuple, table: pa.Table) -> pa.Table:
+        table = table.sort_by("task")
+        many = table.column("many").to_numpy()
+        total = sum(n * np.frombuffer(raw.as_buffer(), dtype=np.float32).astype(np.float64) for n, raw in zip(many, table.column("flat")))
+        flat = (total / many.sum()).astype(np.float32).tobytes()
+        return pa.table({"task": [key[0].as_py()], "part": [key[1].as_py()], "many": [int(many.sum())], "flat": pa.array([flat], pa.binary())})
+
+    kinds = "task long, part long, many long, flat binary"
+    held = scratch.stage(models.mapInArrow(cut, kinds))
+    tasks = held.filter("part = 0").agg(F.count(F.lit(1)), F.max("task")).first()
+    if not tasks[0]:
         scratch.drop(held)
-        held = step
-    table = held.toPandas()
-    scratch.drop(held)
-    if not len(table):
         return before.flat
-    return np.frombuffer(mean((0,), table)["flat"].iloc[0], dtype=np.float32).copy()
+    last = tasks[1]
+    while last > 0:
+        teams = held.withColumn("team", F.expr(f"task div {options.group}")).groupBy("team", "part")
+        step = scratch.stage(teams.applyInArrow(mean, kinds))
+        scratch.drop(held)
+        held, last = step, last // options.group
+    flat = b"".join(held.orderBy("part").select("flat").toArrow().column(0).to_pylist())
+    scratch.drop(held)
+    return np.frombuffer(flat, dtype=np.float32).copy()
 
 
 def score(

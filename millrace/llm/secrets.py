@@ -14,13 +14,15 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from dataclasses import dataclass
+from itertools import accumulate
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, by_value, documents, scan
+from .common import Scratch, by_value, documents, scan, sliced
 
 by_value(__name__)
 
@@ -64,11 +66,23 @@ def base_spans(text: str | None) -> list[tuple[int, str, int, str]]:
     return sorted(found, key=lambda s: (s[0], ORDER[s[1]]))
 
 
+class Covers:
+    """Which base spans reach a place: they are few in number at each, but many in a long text."""
+
+    def __init__(self, taken: list[tuple[int, str, int, str]]):
+        self.starts = [s for s, *_ in taken]
+        self.reach = list(accumulate((e for _, _, e, _ in taken), max))  # the furthest end so far
+
+    def hold(self, start: int, end: int) -> bool:
+        """Whether one span holds all of the stretch: the furthest reaching one of those that start before it does."""
+        at = bisect_right(self.starts, start)
+        return at > 0 and self.reach[at - 1] >= end
+
+
 def candidates(text: str | None, taken: list[tuple[int, str, int, str]]) -> list[tuple[int, int, str]]:
     """Credential-like runs, their parts, and both without the marks at their ends, as far as no base span holds them."""
-    found = set()
+    found, covers = set(), Covers(taken)
     for m in RUN.finditer(text or ""):
-        near = [(s, e) for s, _, e, _ in taken if s < m.end() and m.start() < e]
         pieces = {m.span()}
         for cut in CUTS:
             pieces.update(p.span() for p in cut.finditer(text, m.start(), m.end()))
@@ -76,7 +90,7 @@ def candidates(text: str | None, taken: list[tuple[int, str, int, str]]) -> list
             value = text[start:end]
             inner = start + len(value) - len(value.lstrip(MARKS))
             for a, b in ((start, end), (start, start + len(value.rstrip(MARKS))), (inner, start + len(value.rstrip(MARKS)))):
-                if b - a >= RUN_LEAST and not any(s <= a and b <= e for s, e in near):
+                if b - a >= RUN_LEAST and not covers.hold(a, b):
                     found.add((a, b))
     return [(a, b, text[a:b]) for a, b in sorted(found)]
 
@@ -294,10 +308,7 @@ def masked(docs: DataFrame, text_col: str = "text", options: Options = Options()
     formats = learn(sample_labelled(found, options), options)
     scratch.drop_all()
 
-    @F.pandas_udf("string")
-    def hide(texts: pd.Series) -> pd.Series:
-        return pd.Series([mask(t, formats) for t in texts], dtype=object)
-
+    hide = F.arrow_udf(sliced(pa.string(), lambda texts: [mask(t, formats) for t in texts]), "string")
     out = docs.withColumn(text_col, hide(F.col(text_col)))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.char_length(text_col).cast(dict(docs.dtypes)["n_chars"]))

@@ -375,3 +375,32 @@ def test_model_accuracy_on_unseen_hosts(spark):
     rows = [r for r in urls.query(spark, "/root/testdata/sf0.1").collect() if r["rule"] is None]
     right = [(r["verdict"] == "block") == any(b in r["host"] for b in bad) for r in rows]
     assert np.mean(right) > 0.97
+
+
+def test_secrets_of_a_long_list_of_digests_take_linear_time():
+    import time
+
+    text = "\n".join(hashlib.sha1(str(i).encode()).hexdigest() for i in range(250_000))
+    started = time.perf_counter()
+    base = secrets.base_spans(text)
+    assert len(base) == 250_000 and secrets.candidates(text, base) == []
+    assert time.perf_counter() - started < 30
+    mixed = "x=0123456789abcdef0123/Zz9Zz9Zz9Zz9 " + text[:400]
+    base = secrets.base_spans(mixed)
+    spans = [(s, e) for s, _, e, _ in base]
+    for a, b, _ in secrets.candidates(mixed, base):
+        assert not any(s <= a and b <= e for s, e in spans)
+
+
+def test_slices_are_bounded_by_bytes(spark):
+    import pyarrow as pa
+
+    from millrace.llm.common import slices
+
+    texts = ["a" * 20_000_000, *["b" * 1000] * 9000, None, ""]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["id", "body"])
+    parts = list(slices(batch))
+    assert [p.num_rows for p in parts][0] == 1 and sum(p.num_rows for p in parts) == len(texts)
+    assert all(p.num_rows <= 4200 for p in parts) and sum((p.column(0).to_pylist() for p in parts), []) == list(range(len(texts)))
+    df = spark.createDataFrame([(i, t, "en") for i, t in enumerate([texts[0], "some words", None])], "doc_id BIGINT, text STRING, lang STRING")
+    assert quality.features(df).count() == 3 and secrets.masked(df).count() == 3
