@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from ..operators.keys import hot_values_by_median
 from ..operators.merge import merge_chain
-from ..sinks import add_year_month, date_predicates, write_by_value, write_dynamic, write_skew_split, year_predicates
+from ..sinks import (
+    add_year_month, date_predicates, write_by_value, write_dynamic, write_skew_split, write_table_by_value, year_predicates,
+)
 from ..workspace import fresh_dir
 from .registry import query, table
 
@@ -94,29 +96,50 @@ SELECT count(*) AS n_rows FROM ({MERGED_SQL}) WHERE order_date IN
 ({', '.join(f"DATE '{d}'" for d in PRUNED_DAYS)})"""
 
 
+def fresh_table(spark, label):
+    """A table name nobody has used yet, and the folder for it."""
+    location = fresh_dir(spark, label)
+    return location.rsplit("/", 1)[-1].replace("-", "_"), location
+
+
+def days_table(spark, sf):
+    """The merged table by order date as a table of the catalogue: its name."""
+    name, location = fresh_table(spark, "days")
+    days = table(spark, sf, "orders").select(F.expr(SKEWED_DAY).alias("order_date"))
+    write_table_by_value(merged(spark, sf), "order_date", name, location, count_on=days)
+    return name
+
+
+def months_table(spark, sf):
+    """The merged table by year and month as a table of the catalogue: its name."""
+    name, location = fresh_table(spark, "months")
+    rows = add_year_month(merged(spark, sf), F.col("order_date"))
+    days = table(spark, sf, "orders").select(F.expr(SKEWED_DAY).alias("order_date"))
+    months = add_year_month(days, F.col("order_date"))
+    write_table_by_value(rows, ["order_year", "order_month"], name, location, count_on=months)
+    return name
+
+
 def days_listed():
     return F.col("order_date").isin([F.lit(d).cast("date") for d in PRUNED_DAYS])
 
 
 @query("pruned_count_date", PRUNED_SQL)
 def _pruned_count_date(spark, sf):
-    """On one file per date: only the folders of the days are read."""
-    path, schema = write_days(spark, sf)
-    return spark.read.schema(schema).orc(path).filter(days_listed()).agg(F.count(F.lit(1)).alias("n_rows"))
+    """On one file per date: the catalogue knows the folders of the days, and only these are listed and read."""
+    return spark.table(days_table(spark, sf)).filter(days_listed()).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @query("pruned_count_year", PRUNED_SQL)
 def _pruned_count_year(spark, sf):
     """On year and month folders, with the years alone."""
-    path, schema = write_year_month(spark, sf)
-    return spark.read.schema(schema).orc(path).filter(year_predicates(PRUNED_DAYS)).agg(F.count(F.lit(1)).alias("n_rows"))
+    return spark.table(months_table(spark, sf)).filter(year_predicates(PRUNED_DAYS)).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @query("pruned_count_ym", PRUNED_SQL)
 def _pruned_count_ym(spark, sf):
     """On year and month folders, with years and months."""
-    path, schema = write_year_month(spark, sf)
-    return spark.read.schema(schema).orc(path).filter(date_predicates(PRUNED_DAYS)).agg(F.count(F.lit(1)).alias("n_rows"))
+    return spark.table(months_table(spark, sf)).filter(date_predicates(PRUNED_DAYS)).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @query("sink_dynamic_overwrite", """

@@ -8,6 +8,7 @@ from ..streaming import (
     consume, decode_payload, encode_payload, parse_records, publish, read_record_stream, read_stream, to_records,
     track_stream,
 )
+from ..streaming.shards import publish_batch, publish_once, read_paced
 from ..workspace import fresh_dir
 from .registry import query, table, wide_table
 
@@ -106,3 +107,65 @@ def _stream_track(spark, sf):
     writer = hits.select("event_id").writeStream.format("parquet").option("path", out)
     writer.option("checkpointLocation", fresh_dir(spark, "position")).trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema("event_id BIGINT").parquet(out)
+
+
+SHARDS = 4
+
+
+def event_records(events):
+    """Records of the events, dealt over the shards by their number."""
+    shard = F.pmod(F.col("event_id"), F.lit(SHARDS)).cast("int")
+    return to_records(events.select(*RECORD_COLUMNS), SHARDS, F.to_json(F.struct(*RECORD_COLUMNS)), shard)
+
+
+@query("stream_paced", f"""
+WITH pace AS (SELECT (count(*) + 11) // 12 AS records FROM events),
+shards AS (SELECT CAST(event_id % {SHARDS} AS INTEGER) AS shard, count(*) AS n_rows, CAST(sum(event_id) AS BIGINT) AS id_sum,
+ CAST(sum(event_id * event_id) AS BIGINT) AS square_sum FROM events GROUP BY 1)
+SELECT shard, n_rows, id_sum, square_sum, CAST((n_rows + records - 1) // records AS BIGINT) AS n_triggers,
+ least(n_rows, records) AS most_in_a_trigger FROM shards, pace""")
+def _stream_paced(spark, sf):
+    """Read a log of three batches, a twelfth of all records per shard and trigger. The query is started anew for every
+    trigger, and goes on where its checkpoint says."""
+    log, out, checkpoint = fresh_dir(spark, "log"), fresh_dir(spark, "paced"), fresh_dir(spark, "position")
+    events = wide_table(spark, sf, "events", *RECORD_COLUMNS)
+    for batch in range(3):
+        publish_batch(event_records(events.filter(F.pmod(F.xxhash64("event_id"), F.lit(3)) == batch)), log, batch)
+    records = -(-events.count() // 12)
+    kept = "event_id BIGINT, shard INT, trigger BIGINT"
+
+    def keep(rows, trigger):
+        parsed = rows.select(F.from_json(decode_payload("payload"), RECORD).alias("r"), "shard")
+        parsed.select("r.event_id", "shard", F.lit(trigger).cast("bigint").alias("trigger")).write.mode("overwrite").parquet(
+            f"{out}/trigger-{trigger}"
+        )
+
+    while True:
+        run = read_paced(spark, log, checkpoint, records).writeStream.foreachBatch(keep)
+        run = run.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        run.awaitTermination()
+        if not any(p["numInputRows"] for p in run.recentProgress):
+            break
+    rows = spark.read.schema(kept).option("recursiveFileLookup", "true").parquet(out)
+    by_trigger = rows.groupBy("shard", "trigger").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"), F.sum(F.col("event_id") * F.col("event_id")).alias("squares"),
+    )
+    return by_trigger.groupBy("shard").agg(
+        F.sum("n").alias("n_rows"), F.sum("ids").alias("id_sum"), F.sum("squares").alias("square_sum"),
+        F.count(F.lit(1)).alias("n_triggers"), F.max("n").alias("most_in_a_trigger"),
+    )
+
+
+@query("stream_publish_once", EVENTS_SQL)
+def _stream_publish_once(spark, sf):
+    """Publish from a stream; its first batch runs again, and a torn batch of an attempt before is there already."""
+    log, checkpoint = fresh_dir(spark, "log"), fresh_dir(spark, "position")
+    source = event_files(spark, sf)
+    stream = read_stream(spark, source, RECORD, files_per_trigger=2)
+    table(spark, sf, "events").limit(5).select(F.lit("torn").alias("partition_key"), F.lit(b"x").alias("payload")).write.option(
+        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false"
+    ).parquet(f"{log}/batch=1/shard=0")
+    publish_once(event_records(stream), log, checkpoint).awaitTermination()
+    assert not publish_batch(event_records(spark.read.schema(RECORD).parquet(source)), log, 0)
+    records = spark.read.parquet(log)
+    return records.select(F.from_json(decode_payload("payload"), RECORD).alias("r")).select("r.*")

@@ -25,11 +25,12 @@ def create_external_csv(
 
 
 def create_external_orc(
-    spark: SparkSession, table: str, schema: str, partition_columns: list[str], location: str
+    spark: SparkSession, table: str, schema: str, partition_columns: list[str], location: str, **options
 ) -> None:
     """``schema`` holds every column; the partition columns are listed again by name. An overwrite of
-    the table replaces only the partitions it brings, which is a property of the table here."""
+    the table replaces only the partitions it brings, which is a property of the table here, as are ``options``."""
+    more = "".join(f", {name} '{value}'" for name, value in options.items())
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({schema}) USING orc "
-        f"OPTIONS (`orc.compress` 'SNAPPY', partitionOverwriteMode 'dynamic') PARTITIONED BY ({', '.join(partition_columns)}) LOCATION '{location}'"
+        f"OPTIONS (`orc.compress` 'SNAPPY', partitionOverwriteMode 'dynamic'{more}) PARTITIONED BY ({', '.join(partition_columns)}) LOCATION '{location}'"
     )

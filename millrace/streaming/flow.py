@@ -26,12 +26,17 @@ def read_stream(
     return reader.load(path)
 
 
-def to_records(df: DataFrame, shards: int, body: Column | None = None) -> DataFrame:
-    """Random partition key, gzipped JSON body, and the shard the key falls into."""
+def to_records(df: DataFrame, shards: int, body: Column | None = None, shard: Column | None = None) -> DataFrame:
+    """Partition key, gzipped JSON body, and the shard: ``shard`` or the one that the key falls into.
+
+    The key is a checksum of the body, so a task that runs again gives every record the same key and shard.
+    """
     payload = body if body is not None else F.to_json(F.struct(*df.columns))
-    return df.select(
-        F.uuid().alias("partition_key"), encode_payload(payload).alias("payload")
-    ).withColumn("shard", F.pmod(F.xxhash64("partition_key"), F.lit(shards)).cast("int"))
+    key = F.md5(F.coalesce(payload, F.lit("")))
+    place = shard if shard is not None else F.pmod(F.xxhash64("partition_key"), F.lit(shards)).cast("int")
+    return df.select("*", key.alias("partition_key"), encode_payload(payload).alias("payload")).select(
+        "partition_key", "payload", place.alias("shard")
+    )
 
 
 def _start(writer, pace: str | None) -> StreamingQuery:
@@ -40,7 +45,7 @@ def _start(writer, pace: str | None) -> StreamingQuery:
 
 
 def publish(stream: DataFrame, path: str, checkpoint: str, shards: int = 2, pace: str | None = None) -> StreamingQuery:
-    """Write records into shard folders. No shuffle: the random keys already spread the records."""
+    """Write records into shard folders. No shuffle: the hashed keys already spread the records."""
     writer = (
         to_records(stream, shards)
         .writeStream.format("parquet")
