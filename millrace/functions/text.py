@@ -18,7 +18,8 @@ URL_PATTERN = (
 )
 # An address is looked for only at the start of a run of its characters (or right behind the last
 # match), which keeps a long run without an at-sign linear.
-EMAIL_PATTERN = r"((?:(?<![a-z0-9+._-])|\G)[a-z0-9+._-]++@[a-z0-9+._-]+\.[a-z0-9+_-]+)"
+EMAIL_SHAPE = r"[a-z0-9+._-]++@[a-z0-9+._-]+\.[a-z0-9+_-]+"
+EMAIL_PATTERN = rf"((?:(?<![a-z0-9+._-])|\G){EMAIL_SHAPE})"
 PUNCTUATION_PATTERN = r"[!-/:-@\[-`{-~]"
 NOT_ASCII_PATTERN = r"[?\x80-\x{10FFFF}]"
 DIGIT_PATTERN = r"\p{Nd}[./:-]\p{Nd}|\p{Nd}"

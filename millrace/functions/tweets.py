@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import clean_text, get_email_address, get_hashtag, get_mention
+from .common import null_as_text
+from .text import get_email_address, get_hashtag, get_mention
+from .words import clean_text_words
 
 
 def retweet_flag(text: Column) -> Column:
@@ -73,5 +75,5 @@ def add_text_columns(flat: DataFrame, text: str = "tweet_text", null_sentinel: b
         get_hashtag(source).alias("hashtag"),
         get_mention(source).alias("mention"),
         get_email_address(source).alias("emails"),
-        clean_text(source, null_sentinel).alias("clean_tweet_text"),
+        clean_text_words(null_as_text(source) if null_sentinel else source).alias("clean_tweet_text"),
     )

@@ -7,29 +7,29 @@ import html
 import re
 import string
 import sys
-import zlib
+import unicodedata
 
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StringType
+from pyspark.sql.types import StringType
 
 from .accents import MARKS, _spelled
+from .common import WORD_CLASS
 from .contractions import APOSTROPHE_WORD, CONTRACTIONS, JOINED_WORD
+from .text import EMAIL_SHAPE, URL_PATTERN
 
 # The functions travel to the Python workers by value: executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_URL = re.compile(
-    r"(?:http|https|ftp|ssh|sftp|www)://[\w-]+(?:\.[\w-]+)+(?:[\w.,@?^=%&:/~+#-]*[\w@?^=%&/~+#-])?"
-)
+_URL = re.compile(URL_PATTERN.replace(WORD_CLASS, r"\w"))
 _MARKUP = re.compile(
     r"<!--.*?-->|<(?:script|style|template)\b[^>]*>.*?</(?:script|style|template)\s*>"
     r"""|<[!?][A-Za-z][^>]*>|</?[A-Za-z](?:[^>=]|=[ \t\r\n]*(?:"[^"]*"|'[^']*')?)*+>""",
     re.DOTALL | re.IGNORECASE,
 )
-_EMAIL = re.compile(r"[a-z0-9+._-]+@[a-z0-9+._-]+\.[a-z0-9+_-]+")
+_EMAIL = re.compile(EMAIL_SHAPE)
 _ENTITY = re.compile(r"&(?:#0*[0-9]{1,7}|#[xX]0*[0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,15});")
 _WORD = re.compile(f"{APOSTROPHE_WORD}|{JOINED_WORD}")
 _ASCII = str.maketrans({**dict.fromkeys(MARKS, ""), **_spelled(), "\t": " ", "\r": " ", "\n": " "})
@@ -57,18 +57,12 @@ def clean_text_arrow(texts: pd.Series) -> pd.Series:
 clean_text_row_udf = F.udf(clean_text_python, StringType(), useArrow=False)
 
 
-@F.pandas_udf(BinaryType())
-def pack_text(texts: pd.Series) -> pd.Series:
-    """Raw DEFLATE of the UTF-8 text; Spark has no expression for it."""
-    return texts.map(lambda t: None if t is None else zlib.compress(t.encode("utf-8"), 1))
-
-
 @F.pandas_udf(StringType())
-def unpack_text(packed: pd.Series) -> pd.Series:
-    return packed.map(lambda p: None if p is None else zlib.decompress(p).decode("utf-8"))
+def compose_text(texts: pd.Series) -> pd.Series:
+    """Unicode normal form C: letters and the marks behind them become single code points."""
+    return texts.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
 
 
 def register_python_udfs(spark: SparkSession) -> None:
-    """The Python functions under SQL names, on Arrow batches."""
-    spark.udf.register("py_pack", pack_text)
-    spark.udf.register("py_unpack", unpack_text)
+    """The Python function under a SQL name, on Arrow batches."""
+    spark.udf.register("py_compose", compose_text)

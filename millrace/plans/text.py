@@ -9,7 +9,8 @@ from ..functions.accents import remove_accented_chars
 from ..functions.contractions import expand_contractions
 from ..functions.sql_names import register_sql_functions
 from ..functions.tweets import add_text_columns, effective_text, flatten_tweets, flatten_wide, retweet_flag
-from ..functions.udf import pack_text, register_python_udfs, unpack_text
+from ..functions.udf import compose_text, register_python_udfs
+from ..functions.words import clean_text_words, register_word_cleaning
 from ..schemas import TWEET
 from ..sinks import write_bounded
 from ..sources import read_json_lines
@@ -146,15 +147,16 @@ _register_step(
     "text_mentions", lambda c: T.array_as_text(T.get_mention(c)),
     "'[' || replace(" + sql_tokens("post", "@") + ", ' ', ', ') || ']'",
 )
-_register_step("text_clean_chain", T.clean_text, sql_clean("post"))
+_register_step("text_clean_chain", clean_text_words, sql_clean("post"))
+_register_step("text_clean_expressions", T.clean_text, sql_clean("post"))
 _register_step("text_clean_two_step", T.clean_two_step, sql_accents(sql_html("post")))
 
 
 @query("text_clean_fused", f"SELECT doc_id, {sql_clean('post')} AS clean FROM {POSTS_SQL}")
 def _text_clean_fused(spark, sf):
-    """All steps as one registered SQL function: the same expressions behind one name."""
-    register_sql_functions(spark)
-    return posts(spark, sf).select("doc_id", F.call_function("apply_all_udf", F.col("post")).alias("clean"))
+    """All steps behind one SQL name."""
+    register_word_cleaning(spark)
+    return posts(spark, sf).select("doc_id", F.call_function("clean_words_udf", F.col("post")).alias("clean"))
 
 
 @query("filter_track", f"""
@@ -284,10 +286,9 @@ def _tweet_job(spark, sf):
 def _tweet_job_sql(spark, sf):
     """The same job as SQL text with nested calls of the registered functions."""
     register_sql_functions(spark)
-    flatten_tweets(tweets(spark, sf)).createOrReplaceTempView("flat_posts")
-    cleaned = "tweet_text"
-    for step in T.CLEAN_STEPS:
-        cleaned = f"{step.__name__}_udf({cleaned})"
+    register_word_cleaning(spark)
+    flatten_tweets(stored_tweets(spark, sf)).createOrReplaceTempView("flat_posts")
+    cleaned = "clean_words_udf(remove_url_udf(tweet_text))"
     lists = {"hashtag": "get_hashtag_udf", "mention": "get_mention_udf", "emails": "get_email_address_udf"}
     columns = [f"array_join({function}(tweet_text), ' ') AS {name}" for name, function in lists.items()]
     return spark.sql(
@@ -299,19 +300,24 @@ def _tweet_job_sql(spark, sf):
 # --- user-defined functions ------------------------------------------------------------------------
 
 
-# What a Python function is for: a codec that no built-in expression has, over whole Arrow batches. Packing and
-# unpacking gives the text back, which is what the other engine can state.
+# What a Python function is for: Unicode normal forms, which no built-in expression has, over whole Arrow batches. The
+# letters with an acute accent come in two code points and leave as one.
+APART = "replace(replace(post, 'é', 'e' || chr(769)), 'á', 'a' || chr(769))"
 
 
-@query("udf_dataframe", f"SELECT doc_id, post AS back, strlen(post) AS bytes FROM {POSTS_SQL}")
+@query("udf_dataframe", f"""
+SELECT doc_id, nfc_normalize({APART}) AS composed, length(nfc_normalize({APART})) AS chars, length({APART}) AS chars_apart
+FROM {POSTS_SQL}""")
 def _udf_dataframe(spark, sf):
-    packed = posts(spark, sf).select("doc_id", pack_text(F.col("post")).alias("packed"))
-    back = packed.select("doc_id", unpack_text(F.col("packed")).alias("back"))
-    return back.withColumn("bytes", F.octet_length("back").cast("bigint"))
+    apart = posts(spark, sf).select("doc_id", F.expr(APART.replace("chr(769)", "'\\u0301'")).alias("apart"))
+    composed = apart.select("doc_id", "apart", compose_text(F.col("apart")).alias("composed"))
+    lengths = {name: F.char_length(c).cast("bigint") for name, c in (("chars", "composed"), ("chars_apart", "apart"))}
+    return composed.withColumns(lengths).drop("apart")
 
 
-@query("udf_sql", f"SELECT doc_id, {sql_tabs('post')} AS back FROM {POSTS_SQL}")
+@query("udf_sql", f"SELECT doc_id, nfc_normalize({APART}) AS composed FROM {POSTS_SQL} WHERE length({APART}) > length(post)")
 def _udf_sql(spark, sf):
     register_python_udfs(spark)
     posts(spark, sf).createOrReplaceTempView("posts_for_udf")
-    return spark.sql(r"SELECT doc_id, py_unpack(py_pack(translate(post, '\t\r\n', '   '))) AS back FROM posts_for_udf")
+    apart = APART.replace("chr(769)", "'\\u0301'")
+    return spark.sql(f"SELECT doc_id, py_compose({apart}) AS composed FROM posts_for_udf WHERE length({apart}) > length(post)")

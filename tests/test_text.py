@@ -184,3 +184,27 @@ def test_json_validity_like_python(spark, rows):
     rows = rows + ['{"a":1,"a":2}', '{"a":NaN}', "{'a':1}", "", "1] , [2", '1, "v":2', "{\"", "null", "[1,]"]
     for row in run(spark, rows, {"ok": json_is_valid(F.col("t"))}):
         assert row["ok"] == valid(row["t"]), row["t"]
+
+
+def test_cleaning_by_words_gives_the_rows_of_the_expressions(spark):
+    from millrace.functions.text import clean_text
+    from millrace.functions.words import clean_by_words, clean_text_words
+
+    texts = [
+        None, "", " ", "  a  b ", "http://a.b/c d", "x https://a.b?c=d&e a@b.c", " \t\nlead <b>Bold</b>\ttail\r\n", "&nbsp;x&nbsp; y",
+        "it's don't GONNA gonna, wanna. they'd've", "é ß Ł ﬁ １２ 中文 🙂 \xa0z\xa0", "&lt;b&gt; &amp;lt; &eacute; &#233; &#x0; &#xD800; &#99999999; &bogus;",
+        "a.b@c.d@e.f x@y", "A@B.C a@b.c", "<script>x < y</script> shown <a href='>'>link</a>", "a?b??", "tab\tin\tword's", "##tag @me!",
+        "ftp://x.y/<b>z</b>", "\x85\x1cedge\x1d", "x" * 5000 + "'s", "she's’ o'clock 'tis", "&nbsp;", "a &nbsp; b",
+    ]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i INT, t STRING").repartition(3)
+    got = df.select("i", "t", clean_text_words(F.col("t")).alias("w"), clean_text(F.col("t")).alias("e")).orderBy("i").collect()
+    for r in got:
+        assert r["w"] == r["e"], r
+        assert r["w"] == clean_by_words(r["t"], _Cleaned()), r
+
+
+class _Cleaned(dict):
+    def __missing__(self, word):
+        from millrace.functions.words import clean_word
+
+        return clean_word(word)
