@@ -117,6 +117,9 @@ def sql_bodies() -> dict[str, tuple[str, str]]:
     }
 
 
-def register_sql_functions(spark: SparkSession) -> None:
-    for name, (kind, body) in sql_bodies().items():
+def register_sql_functions(spark: SparkSession, names: list[str] | None = None) -> None:
+    """The functions asked for, or all: each body is analysed when it is registered, which takes its time for the chain."""
+    bodies = sql_bodies()
+    for name in names or bodies:
+        kind, body = bodies[name]
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(t STRING) RETURNS {kind} RETURN {body}")

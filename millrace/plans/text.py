@@ -11,6 +11,7 @@ from ..functions.sql_names import register_sql_functions
 from ..functions.tweets import add_text_columns, effective_text, flatten_tweets, flatten_wide, retweet_flag
 from ..functions.udf import compose_text, register_python_udfs
 from ..functions.words import clean_text_words, register_word_cleaning
+from ..operators.phrases import mentions
 from ..schemas import TWEET
 from ..sinks import write_bounded
 from ..sources import read_json_lines
@@ -167,6 +168,17 @@ def _filter_track(spark, sf):
     return posts(spark, sf).filter(hit).select("doc_id")
 
 
+@query("filter_track_many", """
+SELECT d.doc_id, b.item_id FROM documents d JOIN (
+ SELECT item_id, text FROM benchmark UNION ALL SELECT -1, 'the and' UNION ALL SELECT -2, 'QUE' UNION ALL SELECT -3, '') b
+ON b.text <> '' AND contains(lower(d.text), lower(b.text))""")
+def _filter_track_many(spark, sf):
+    """All benchmark passages as phrases, and three short ones."""
+    passages = table(spark, sf, "benchmark").select("item_id", "text")
+    more = spark.createDataFrame([(-1, "the and"), (-2, "QUE"), (-3, "")], passages.schema)
+    return mentions(wide_table(spark, sf, "documents", "doc_id", "text"), passages.union(more))
+
+
 # --- nested records --------------------------------------------------------------------------------
 
 
@@ -285,11 +297,11 @@ def _tweet_job(spark, sf):
 @query("tweet_job_sql", TWEET_JOB_SQL)
 def _tweet_job_sql(spark, sf):
     """The same job as SQL text with nested calls of the registered functions."""
-    register_sql_functions(spark)
+    lists = {"hashtag": "get_hashtag_udf", "mention": "get_mention_udf", "emails": "get_email_address_udf"}
+    register_sql_functions(spark, ["remove_url_udf", *lists.values()])
     register_word_cleaning(spark)
     flatten_tweets(stored_tweets(spark, sf)).createOrReplaceTempView("flat_posts")
     cleaned = "clean_words_udf(remove_url_udf(tweet_text))"
-    lists = {"hashtag": "get_hashtag_udf", "mention": "get_mention_udf", "emails": "get_email_address_udf"}
     columns = [f"array_join({function}(tweet_text), ' ') AS {name}" for name, function in lists.items()]
     return spark.sql(
         f"SELECT id, lang, user_id_str, tweet_text, {', '.join(columns)}, {cleaned} AS clean_tweet_text "
