@@ -6,9 +6,9 @@ import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StructField, StructType
 
-from ..functions.common import strip
+from ..functions.common import let, strip
 from ..functions.dates import lenient_timestamp
 
 # The detail fields of the flat table, in order.
@@ -41,6 +41,26 @@ def json_is_valid(text: Column) -> Column:
     return F.coalesce((F.size(in_list) == 1) & in_object["_corrupt_record"].isNull(), F.lit(False))
 
 
+# Stands behind the text while it is parsed: only a text that is one whole value leaves it as the next one.
+_END = "~end of text~"
+
+
+def checked_json(text: Column) -> Column:
+    """Struct of ``details``, the value as a VARIANT, and ``is_valid`` (see ``json_is_valid``).
+
+    A valid text is parsed once. One that does not parse this way, as it is damaged, repeats a key or holds NaN, has
+    no VARIANT and is looked at again for its validity only.
+    """
+    wrapped = F.concat(F.lit("["), text, F.lit(f',"{_END}"]'))
+
+    def judge(value: Column) -> Column:
+        whole = F.coalesce(F.try_variant_get(value, "$[1]", "string") == _END, F.lit(False)) & ~text.contains(_END)
+        details = F.when(whole, F.try_variant_get(value, "$[0]", "variant"))
+        return F.struct(details.alias("details"), F.when(whole, F.lit(True)).otherwise(json_is_valid(text)).alias("is_valid"))
+
+    return let(F.try_parse_json(wrapped), judge)
+
+
 LINE_FIELDS = ["type", "books_ol_number", "version", "upload_date", "book_details"]
 
 
@@ -61,12 +81,15 @@ def split_lines(lines: DataFrame, value: str = "value") -> DataFrame:
 
 
 def typed_lines(lines: DataFrame, value: str = "value") -> DataFrame:
-    """Split lines with version and upload time typed (NULL where the text does not fit) and JSON checked."""
+    """Split lines with version and upload time typed (NULL where the text does not fit) and JSON checked; ``details`` is
+    the JSON as a VARIANT, for the steps behind."""
+    cut = split_lines(lines, value)
+    # A generator of one row, as for the split: filters stay above it and the JSON is parsed once.
+    checked = cut.select("*", F.inline(F.array(checked_json(F.col("book_details")))))
     return (
-        split_lines(lines, value)
-        .withColumn("upload_datetime", lenient_timestamp(F.col("upload_date")))
+        checked.withColumn("upload_datetime", lenient_timestamp(F.col("upload_date")))
         .withColumn("version", F.col("version").try_cast("int"))
-        .withColumn("is_valid_json", json_is_valid(F.col("book_details")))
+        .withColumnRenamed("is_valid", "is_valid_json")
         .drop("upload_date")
     )
 
@@ -95,25 +118,53 @@ def _sql_type(variant_type: str) -> str:
     return "".join(pieces)
 
 
-def infer_json_schema(df: DataFrame, column: str, sampling_ratio: float = 1.0, seed: int = 7) -> StructType:
-    """Schema of the JSON objects in a text column: one aggregation, only type text reaches the driver.
+# Fields in a smaller share of the rows stay out of an inferred schema, so data with ids as names has few columns.
+LEAST_SHARE = 0.0005
+
 
-    Objects with repeated keys count as valid but have no type for the aggregation; their field names
-    are added as text, so that no field of an accepted line is lost.
+def json_fields(df: DataFrame, column: str, details: str | None = None) -> DataFrame:
+    """name, rows, kind (type text of the VARIANTs, NULL for objects without one) of every field, one row each.
+
+    The names are brought together by a shuffle. Objects with repeated keys count as valid but have no VARIANT; their
+    fields are counted as well.
+    """
+    value = F.col(details) if details else F.try_parse_json(column)
+    rows = df.select(F.col(column).alias("_text"), value.alias("_value"))
+    objects = rows.filter(F.col("_value").isNotNull()).select("_value")
+    fields = objects.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("_value").outer())).filter("key IS NOT NULL")
+    fields = fields.select(F.col("key").alias("name"), "value")
+    repeated = rows.filter(F.col("_value").isNull() & F.col("_text").rlike(r"^\s*\{"))
+    names = repeated.select(F.explode(F.json_object_keys("_text")).alias("name")).withColumn("value", F.lit(None).cast("variant"))
+    return fields.union(names).groupBy("name").agg(
+        F.count(F.lit(1)).alias("rows"), F.schema_of_variant_agg("value").alias("kind"), F.count("value").alias("typed")
+    )
+
+
+def infer_json_schema(
+    df: DataFrame, column: str, sampling_ratio: float = 1.0, seed: int = 7, details: str | None = None,
+    least_share: float = LEAST_SHARE,
+) -> StructType:
+    """Schema of the JSON objects in a text column: the fields that at least ``least_share`` of the rows have.
+
+    ``details`` names a column that holds the same objects as VARIANTs. What reaches the driver is bounded: there are no
+    more such fields than fields in a row, divided by the share.
     """
     sampled = df if sampling_ratio >= 1.0 else df.sample(False, sampling_ratio, seed)
-    text = F.col(column)
-    parsed = F.try_parse_json(text)
-    repeated = F.when(parsed.isNull() & text.rlike(r"^\s*\{"), F.json_object_keys(text))
-    found = sampled.agg(
-        F.schema_of_variant_agg(parsed).alias("t"), F.array_distinct(F.flatten(F.collect_set(repeated))).alias("names")
-    ).first()
-    sql_type = _sql_type(found["t"] or "VOID")
-    known = StructType()
-    if sql_type.upper().startswith("STRUCT<"):
-        known = StructType.fromDDL(f"v {sql_type}")["v"].dataType
-    more = sorted(set(found["names"] or []) - set(known.names))
-    return StructType([*known.fields, *[StructField(name, StringType()) for name in more]])
+    least = least_share * sampled.count() if least_share else 0
+    found = json_fields(sampled, column, details).filter(F.col("rows") >= F.lit(least)).orderBy("name").collect()
+    kinds = [_sql_type(r["kind"] if r["typed"] and r["kind"] else "VOID") for r in found]
+    if not found:
+        return StructType()
+    quoted = ", ".join(f"`{r['name'].replace('`', '``')}` {kind}" for r, kind in zip(found, kinds))
+    return StructType.fromDDL(quoted)
+
+
+def other_fields(details: Column, schema: StructType) -> Column:
+    """The fields of an object that a schema leaves out, as a map from name to JSON text."""
+    known = F.array(*[F.lit(f.name) for f in schema.fields]).cast("array<string>")
+    every = F.try_variant_get(details, "$", "map<string,variant>")
+    rest = F.map_filter(every, lambda name, _: ~F.array_contains(known, name))
+    return F.transform_values(rest, lambda _, value: F.to_json(value))
 
 
 def clean_field_names(schema: StructType, exact: dict[str, str] | None = None) -> StructType:
@@ -142,9 +193,29 @@ def clean_field_names(schema: StructType, exact: dict[str, str] | None = None) -
     return StructType(fields)
 
 
-def parse_json_column(df: DataFrame, column: str, schema: StructType, out: str) -> DataFrame:
-    """Parse with the names the JSON has, then cast the struct, by position, to the cleaned names."""
-    return df.withColumn(out, F.from_json(F.col(column), schema).cast(clean_field_names(schema)))
+def _type_text(schema: StructType) -> str:
+    """A struct type as text that quotes every name."""
+
+    def text(kind) -> str:
+        if isinstance(kind, StructType):
+            return "struct<" + ", ".join(f"`{f.name.replace('`', '``')}`: {text(f.dataType)}" for f in kind.fields) + ">"
+        if isinstance(kind, ArrayType):
+            return f"array<{text(kind.elementType)}>"
+        return kind.simpleString()
+
+    return text(schema)
+
+
+def parse_json_column(df: DataFrame, column: str, schema: StructType, out: str, details: str | None = None) -> DataFrame:
+    """Parse with the names the JSON has, then cast the struct, by position, to the cleaned names.
+
+    With ``details``, the column that holds the VARIANTs, only texts without one are parsed.
+    """
+    parsed = F.from_json(F.col(column), schema)
+    if details:
+        typed = F.try_variant_get(F.col(details), "$", _type_text(schema))
+        parsed = F.when(F.col(details).isNotNull(), typed).otherwise(parsed)
+    return df.withColumn(out, parsed.cast(clean_field_names(schema)))
 
 
 def flat_details(parsed: DataFrame, struct: str = "book_details_parse", fields: list[str] | None = None) -> DataFrame:

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.dump import (
-    accepted, clean_field_names, flat_details, infer_json_schema, json_is_valid, parse_json_column, rejected,
-    split_lines, typed_lines,
+    DETAIL_FIELDS, FLAT_RENAMES, accepted, clean_field_names, flat_details, infer_json_schema, json_is_valid, other_fields,
+    parse_json_column, rejected, split_lines, typed_lines,
 )
 from ..sinks import write_bounded
 from ..workspace import fresh_dir, stage
@@ -100,7 +100,7 @@ SELECT * FROM (VALUES ('     _date', 'string'), ('a b', 'bigint'), ('ab', 'bigin
  ('title', 'string'), ('type', 'struct<key:string>')) AS t(field, kind)""")
 def _json_infer_schema(spark, sf):
     """The inferred schema as rows: field name and type."""
-    schema = infer_json_schema(accepted(typed_lines(dump_lines(spark, sf))), "book_details")
+    schema = infer_json_schema(accepted(typed_lines(dump_lines(spark, sf))), "book_details", details="details")
     rows = [(field.name, field.dataType.simpleString()) for field in schema.fields]
     return spark.createDataFrame(rows, "field STRING, kind STRING")
 
@@ -130,23 +130,45 @@ def _json_serialise(spark, sf):
     return table(spark, sf, "events").select("event_id", body.alias("body"))
 
 
+# The flat columns that some kind of line fills, as SQL for the other engine; nested ones as JSON text.
+FILLED = {
+    "key": "CASE WHEN kind = 7 THEN '/k/' || CAST(user_id AS VARCHAR) END",
+    "title": "CASE WHEN kind = 8 THEN event_type END",
+    "revision": "CASE WHEN kind = 8 THEN user_id END",
+    "authors": """CASE WHEN kind = 8 THEN '[{"key":"/a/' || CAST(event_id AS VARCHAR) || '"}]' END""",
+    "book_details_parse_type": """CASE WHEN kind = 8 THEN '{"key":"/type/edition"}' END""",
+}
+FLAT_COLUMNS = [FLAT_RENAMES.get(name, name) for name in DETAIL_FIELDS]
+
+
 @query("parse_dump_flat", f"""
-SELECT type, books_ol_number, version, upload_time, CASE WHEN kind = 7 THEN '/k/' || CAST(user_id AS VARCHAR) END AS key,
-       CASE WHEN kind = 8 THEN event_type END AS title, CASE WHEN kind = 8 THEN user_id END AS revision,
-       CASE WHEN kind = 8 THEN '/a/' || CAST(event_id AS VARCHAR) END AS first_author,
-       CASE WHEN kind = 8 THEN '/type/edition' END AS details_type, CAST(NULL AS VARCHAR) AS isbn_13, 76 AS n_columns
+SELECT type, books_ol_number, version, upload_time,
+       {", ".join(f'{FILLED.get(c, "CAST(NULL AS VARCHAR)")} AS "{c}"' for c in FLAT_COLUMNS)}
 FROM {TYPED_SQL}""")
 def _parse_dump_flat(spark, sf):
-    """The whole job: lines, split, check, infer, parse, flatten to the 76 columns, Parquet, read back."""
+    """All 76 columns of the job as they are stored, nested ones rendered as JSON."""
     path = fresh_dir(spark, "dump-flat")
     good = stage(accepted(typed_lines(stored_lines(spark, sf))), "dump-good")
-    parsed = parse_json_column(good, "book_details", infer_json_schema(good, "book_details"), "book_details_parse")
+    schema = infer_json_schema(good, "book_details", details="details")
+    parsed = parse_json_column(good, "book_details", schema, "book_details_parse", details="details")
     flat = flat_details(parsed)
     write_bounded(flat, path, files=8, rows=good.count())
-    stored = spark.read.parquet(path)
-    return with_time_text(stored).select(
-        "type", "books_ol_number", "version", "upload_time", "key", "title", "revision",
-        F.get(F.col("authors"), F.lit(0))["key"].alias("first_author"),
-        F.col("book_details_parse_type.key").alias("details_type"), "isbn_13",
-        F.lit(len(stored.columns)).alias("n_columns"),
-    )
+    stored = spark.read.schema(flat.schema).parquet(path)
+    nested = {f.name: F.to_json(f.name) for f in stored.schema.fields if f.dataType.typeName() in ("struct", "array")}
+    return with_time_text(stored.withColumns(nested))
+
+
+WIDE = """'{"id' || CAST(event_id AS STRING) || '":' || CAST(user_id AS STRING) || ',"kind":"' || event_type || '"}'"""
+
+
+@query("json_unbounded_keys", f"""
+SELECT event_id, event_type AS kind, 'id' || CAST(event_id AS VARCHAR) AS other_name, CAST(user_id AS VARCHAR) AS other_value,
+       'kind' AS columns FROM events""")
+def _json_unbounded_keys(spark, sf):
+    """Objects with an id as a name: only the field that all have becomes a column, the others go to a map."""
+    rows = wide_table(spark, sf, "events", "event_id", "event_type", "user_id").select("event_id", F.expr(WIDE).alias("body"))
+    held = stage(rows.withColumn("details", F.try_parse_json("body")), "wide")
+    schema = infer_json_schema(held, "body", details="details", least_share=0.01)
+    parsed = parse_json_column(held, "body", schema, "known", details="details")
+    others = F.explode(other_fields(F.col("details"), schema)).alias("other_name", "other_value")
+    return parsed.select("event_id", "known.kind", others, F.lit(",".join(schema.names)).alias("columns"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.text import contains_any_phrase
-from ..operators.dump import json_is_valid
+from ..operators.dump import checked_json
 from ..schemas import STREAM_RECORD
 from .codec import decode_payload, encode_payload
 
@@ -62,11 +62,15 @@ def read_record_stream(spark: SparkSession, path: str, files_per_trigger: int |
 
 def parse_records(records: DataFrame, schema: str, payload: str = "payload") -> DataFrame:
     """Columns ``body`` (text), ``record`` (struct) and ``is_decoded``; works on batches and streams."""
-    parsed = records.withColumn("body", decode_payload(F.col(payload)))
-    parsed = parsed.withColumn("record", F.from_json("body", schema))
-    # An object, and valid as for dumps: nothing behind it, repeated keys allowed. Only objects are parsed.
+    decoded = records.withColumn("body", decode_payload(F.col(payload)))
+    # An object, and valid as for dumps: nothing behind it, repeated keys allowed. A good one is parsed once, and filters
+    # stay above the generator of one row.
     is_object = F.coalesce(F.col("body").rlike(r"^\s*\{"), F.lit(False))
-    return parsed.withColumn("is_decoded", F.when(is_object, json_is_valid(F.col("body"))).otherwise(F.lit(False)))
+    checked = decoded.select("*", is_object.alias("_is_object"), F.inline(F.array(checked_json(F.col("body")))))
+    typed = F.try_variant_get("details", "$", f"struct<{schema}>")
+    record = F.when(F.col("details").isNotNull(), typed).otherwise(F.from_json("body", schema))
+    parsed = checked.withColumn("record", F.when(F.col("_is_object"), record))
+    return parsed.withColumn("is_decoded", F.col("_is_object") & F.col("is_valid")).drop("_is_object", "details", "is_valid")
 
 
 def consume(
