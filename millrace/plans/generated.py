@@ -119,19 +119,37 @@ SELECT k, {_hex(chosen, 8, rounds)} AS round FROM
  (SELECT {key} AS k, unnest(generate_series(1, {count})) AS i FROM {table_name})"""
 
 
-@query("gen_order_products")
+def _lines_sql(bought: str, offered: str) -> str:
+    """Lines of orders and products that meet in a round."""
+    key = "md5('line:' || CAST(b.k AS VARCHAR) || ':' || CAST(p.k AS VARCHAR) || ':' || CAST(p.round AS VARCHAR))"
+    return f"""
+SELECT b.k AS order_id, p.k AS uniq_id, CAST(({_hex(key, 1, 14)}) + 1 AS INTEGER) AS quantity
+FROM ({bought}) b JOIN ({offered}) p ON b.round = p.round"""
+
+
+BOUGHT_SQL = _rounds_sql("orders", "o_orderkey", "buy", 100, 100 * 0.001)
+# The cumulated Poisson chances for a mean that depends on the number of products.
+CUTS_SQL = """(SELECT list_transform(generate_series(0, 40), lambda k: exp(-m) *
+ list_sum(list_transform(generate_series(0, k), lambda j: pow(m, j) / factorial(CAST(j AS INTEGER))))) AS cuts
+ FROM (SELECT 100 * (8 / CAST(count(*) AS DOUBLE)) AS m FROM part))"""
+OFFERS = (
+    "CAST(len(list_filter(cuts, lambda c: c <= "
+    "CAST('0x' || substr(md5('offer:' || CAST(p_partkey AS VARCHAR)), 1, 7) AS BIGINT) / 268435456.0::DOUBLE)) AS BIGINT)"
+)
+
+
+@query("gen_order_products", _lines_sql(BOUGHT_SQL, _rounds_sql(f"part, {CUTS_SQL}", "p_partkey", "offer", 100, OFFERS)))
 def _gen_order_products(spark, sf):
-    """Rules are checked in the tests: the number of offered products depends on the table size."""
+    """The chance of a product follows from the size of the catalogue."""
     product = table(spark, sf, "part")
     return gen.order_lines(
         table(spark, sf, "orders"), product, product.count(), order_id="o_orderkey", uniq_id="p_partkey"
     )
 
 
-@query("gen_order_products_fixed", f"""
-SELECT b.k AS order_id, p.k AS uniq_id, CAST(({_hex("md5('line:' || CAST(b.k AS VARCHAR) || ':' || CAST(p.k AS VARCHAR) || ':' || CAST(p.round AS VARCHAR))", 1, 14)}) + 1 AS INTEGER) AS quantity
-FROM ({_rounds_sql("orders", "o_orderkey", "buy", 100, 100 * 0.001)}) b
-JOIN ({_rounds_sql("supplier", "s_suppkey", "offer", 100, 100 * (8 / 1000))}) p ON b.round = p.round""")
+@query("gen_order_products_fixed", _lines_sql(
+    BOUGHT_SQL, _rounds_sql("supplier", "s_suppkey", "offer", 100, 100 * (8 / 1000))
+))
 def _gen_order_products_fixed(spark, sf):
     """With the expected catalogue size given, both engines draw the same lines."""
     return gen.order_lines(

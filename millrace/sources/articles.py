@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.common import MARK, let
+from ..functions.common import let
 from ..functions.html import decode_entities, remove_html
 
 WIKI_PAGE = "title STRING, ns INT, revision STRUCT<text: STRING>"
@@ -48,26 +46,35 @@ def read_wiki_xml(spark: SparkSession, path, row_tag: str = "page") -> DataFrame
     return pages.filter(article & ~redirect).select("page.title", text.alias("text"))
 
 
+# Code points that Unicode reserves as no characters stand for the two marks of a pair.
+_OPEN, _CLOSE = "\ufdd0", "\ufdd1"
+
+
 def _outside(text: Column, opening: str, closing: str) -> Column:
-    """The text outside all pairs of two marks, nested to any depth: one pass over the pieces between marks.
+    """The text outside all pairs of two marks, nested to any depth: innermost pairs go until none is left.
 
-    A piece begins with the mark that changes the depth, so a running depth decides for each piece. A closing
-    mark without an opening one changes nothing.
+    A round takes time in proportion to the text, and there are as many as pairs are nested; rounds behind the last one
+    cost nothing. A closing mark without an opening one changes nothing, an opening one without a closing one drops the
+    rest.
     """
-    marks = f"({re.escape(opening)}|{re.escape(closing)})"
-    pieces = F.split(F.regexp_replace(text, marks, f"{MARK}$1"), MARK)
-
-    def step(state: Column, piece: Column) -> Column:
-        opens, closes = piece.startswith(opening), piece.startswith(closing)
-        deeper = F.when(opens, state["depth"] + 1).when(closes, F.greatest(state["depth"] - 1, F.lit(0)))
-        depth = F.coalesce(deeper, state["depth"])
-        own = F.when(closes, F.substring(piece, len(closing) + 1, 1 << 30)).otherwise(piece)
-        kept = F.when(depth > 0, F.lit(" ")).otherwise(own)
-        return F.struct(depth.alias("depth"), F.concat(state["kept"], F.array(kept)).alias("kept"))
-
-    start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("kept"))
-    outside = F.aggregate(pieces, start, step, lambda state: F.array_join(state["kept"], ""))
-    return F.when(text.contains(opening), outside).otherwise(text)
+    marked = F.translate(text, _OPEN + _CLOSE, "")
+    marked = F.replace(F.replace(marked, F.lit(opening), F.lit(_OPEN)), F.lit(closing), F.lit(_CLOSE))
+
+    def without(start: Column) -> Column:
+        def step(state: Column, _: Column) -> Column:
+            def settled(bare: Column) -> Column:
+                return F.struct(bare.alias("text"), (F.length(bare) == F.length(state["text"])).alias("done"))
+
+            inner = F.regexp_replace(state["text"], f"{_OPEN}[^{_OPEN}{_CLOSE}]*+{_CLOSE}", " ")
+            return F.when(state["done"], state).otherwise(let(inner, settled))
+
+        # A pair is longer than the blank it leaves but for an empty one, which leaves one character less as well.
+        rounds = F.sequence(F.lit(0), F.regexp_count(start, F.lit(_OPEN)))
+        first = F.struct(start.alias("text"), F.lit(False).alias("done"))
+        bare = F.aggregate(rounds, first, step, lambda state: state["text"])
+        return F.replace(F.substring_index(bare, _OPEN, 1), F.lit(_CLOSE), F.lit(""))
+
+    return F.when(text.contains(opening), let(marked, without)).otherwise(text)
 
 
 def _plain_wiki(text: Column) -> Column:

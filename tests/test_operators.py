@@ -178,3 +178,45 @@ def test_poisson_of_a_large_mean():
 
     cuts = poisson_cuts(800)
     assert abs(next(k for k, c in enumerate(cuts) if c >= 0.5) - 800) <= 1 and poisson_cuts(0) == []
+
+
+def test_wiki_marks_of_large_pages_take_linear_time(spark):
+    import time
+
+    from millrace.sources.articles import _outside
+
+    cases = {
+        "{{a}} b {{c {{d}} e}} f": " b  f", "x }} y {{z": "x  y ", "{{{x}}} t": "} t", "{{{{x}} y}} z": " z", "none": "none",
+        "{{" * 30 + "in" + "}}" * 30 + " out": " out", "{{}}a": "a", "a{{b": "a",
+    }
+    page = "".join(f"{{{{box {i}|v={{{{n {i}}}}}}}}} w{i} " for i in range(60_000))
+    df = spark.createDataFrame([(t,) for t in cases] + [(page,)], "t STRING").coalesce(1)
+    started = time.perf_counter()
+    got = {r["t"]: r["o"] for r in df.select("t", _outside(F.col("t"), "{{", "}}").alias("o")).collect()}
+    assert time.perf_counter() - started < 20
+    for text, outside in cases.items():
+        assert got[text].split() == outside.split(), text
+    assert got[page].split() == [f"w{i}" for i in range(60_000)]
+
+
+def test_json_is_checked_by_one_parse_as_by_two(spark):
+    from millrace.operators.dump import _END, checked_json, json_is_valid
+
+    texts = [
+        '{"a":1}', '{"a":1} x', '{"a":1}  ', '{"a":1,"a":2}', '{"a":NaN}', "{'a':1}", "", None, "[1]", "7", '"s"', '{"a":1}{"b":2}', "1,2",
+        "{", "null", '  {"a":2}', '{"a":1}] junk {"b":2}', f'{{"a":1}},"{_END}"] x', f'{{"a":"{_END}"}}', "1],[2", '1},{"v":2', "[", "]",
+    ]
+    df = spark.createDataFrame([(t,) for t in texts], "t STRING")
+    for r in df.select("t", checked_json(F.col("t")).alias("c"), json_is_valid(F.col("t")).alias("ok")).collect():
+        assert r["c"]["is_valid"] == r["ok"], r["t"]
+        assert r["ok"] or r["c"]["details"] is None
+
+
+def test_no_salts_without_hot_keys(spark):
+    from millrace.operators.joins import left_join_hot_right
+
+    left = spark.range(50).withColumnRenamed("id", "a")
+    right = spark.range(100).select((F.col("id") % 60).alias("b"), "id")
+    joined = left_join_hot_right(left, right, "a", "b")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "salt" not in plan and "SortMergeJoin" not in plan and joined.count() == left.join(right, F.col("a") == F.col("b"), "left").count()
