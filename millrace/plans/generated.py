@@ -129,7 +129,7 @@ FROM ({bought}) b JOIN ({offered}) p ON b.round = p.round"""
 
 BOUGHT_SQL = _rounds_sql("orders", "o_orderkey", "buy", 100, 100 * 0.001)
 # The cumulated Poisson chances for a mean that depends on the number of products.
-CUTS_SQL = """(SELECT list_transform(generate_series(0, 40), lambda k: exp(-m) *
+CUTS_SQL = """(SELECT list_transform(generate_series(0, 30), lambda k: exp(-m) *
  list_sum(list_transform(generate_series(0, k), lambda j: pow(m, j) / factorial(CAST(j AS INTEGER))))) AS cuts
  FROM (SELECT 100 * (8 / CAST(count(*) AS DOUBLE)) AS m FROM part))"""
 OFFERS = (
