@@ -48,8 +48,8 @@ class Options:
 
     size: int = 5
     percent: int = 80
-    common: int = 50
-    listed: int = 200_000
+    common: int = 8
+    listed: int = 1_000_000
     counted: int = 2_000_000
     sparse: int = 2
     rounds: int = 12
