@@ -83,6 +83,8 @@ class Tokenizers:
             plain = all(c in letters for c in token) and token in model["vocab"]
             self.a_bytes[i] = bytes(letters[c] for c in token) if plain else token.encode()
         self.ranked = self._ranked(model, letters)
+        if self.ranked is not None:
+            self.whole = None
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=second)
         self.b_bytes = [self._piece(i) for i in range(self.pieces.get_piece_size())]
         self.a_sizes = np.array([len(t) for t in self.a_bytes], dtype=np.int64)
@@ -109,14 +111,14 @@ class Tokenizers:
         piece = self.pieces.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if self.pieces.is_byte(i) else piece.replace("▁", " ").encode()
 
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of a blank and each text by A, and of each text by B."""
-        spaced = [f" {t}" for t in texts]
+    def encode(self, text: str) -> tuple[list[int], list[int]]:
+        """Ids of a blank and the text by A, and of the text by B."""
+        spaced = f" {text}"
         if self.ranked is not None:
-            first = [self.ranked.encode_ordinary(t) for t in spaced]
+            first = self.ranked.encode_ordinary(spaced)
         else:
-            first = [e.ids for e in self.whole.encode_batch(spaced, add_special_tokens=False)]
-        return first, self.pieces.encode(texts, num_threads=1)
+            first = self.whole.encode(spaced, add_special_tokens=False).ids
+        return first, self.pieces.encode(text, num_threads=1)
 
     def lossless(self, text: str, a: list[int], b: list[int]) -> bool:
         raw = f" {text}".encode()
@@ -239,13 +241,17 @@ ADDED = {
 
 def encoded(tools: Tokenizers, bodies: list[str | None]):
     """Ids of A and B of all texts that both give back, behind each other; which texts, and where each starts."""
-    some = [i for i, t in enumerate(bodies) if t]
-    first, second = tools.encode([bodies[i] for i in some])
-    kept = [k for k, i in enumerate(some) if tools.lossless(bodies[i], first[k], second[k])]
-    join = lambda lists: np.concatenate([np.zeros(0, np.int64), *(np.array(x, np.int64) for x in lists)])
+    a, b, kept = [], [], []
+    for i, text in enumerate(bodies):
+        if text:
+            first, second = tools.encode(text)
+            if tools.lossless(text, first, second):
+                a.append(np.array(first, dtype=np.int32))
+                b.append(np.array(second, dtype=np.int32))
+                kept.append(i)
+    join = lambda lists: np.concatenate([np.zeros(0, np.int32), *lists]).astype(np.int64)
     starts = lambda lists: np.cumsum([0, *map(len, lists)], dtype=np.int64)
-    a, b = [first[k] for k in kept], [second[k] for k in kept]
-    return join(a), join(b), [some[k] for k in kept], starts(a), starts(b)
+    return join(a), join(b), kept, starts(a), starts(b)
 
 
 def aligned(docs: DataFrame, first: str, second: str, columns: list[str], id_col: str, text_col: str) -> DataFrame:
