@@ -68,8 +68,8 @@ def _outside(text: Column, opening: str, closing: str) -> Column:
             inner = F.regexp_replace(state["text"], f"{_OPEN}[^{_OPEN}{_CLOSE}]*+{_CLOSE}", " ")
             return F.when(state["done"], state).otherwise(let(inner, settled))
 
-        # A pair is longer than the blank it leaves but for an empty one, which leaves one character less as well.
-        rounds = F.sequence(F.lit(0), F.regexp_count(start, F.lit(_OPEN)))
+        # Every pair is longer than the blank it leaves, and there are at most as many rounds as opening marks.
+        rounds = F.sequence(F.lit(0), F.length(start) - F.length(F.replace(start, F.lit(_OPEN), F.lit(""))))
         first = F.struct(start.alias("text"), F.lit(False).alias("done"))
         bare = F.aggregate(rounds, first, step, lambda state: state["text"])
         return F.replace(F.substring_index(bare, _OPEN, 1), F.lit(_CLOSE), F.lit(""))
