@@ -7,7 +7,9 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..functions.html import remove_html
-from ..sinks import cache_then_coalesce, insert_overwrite, write_bounded, write_csv, write_one_record_files, write_orc
+from ..sinks import (
+    cache_then_coalesce, insert_overwrite, write_bounded, write_csv, write_observed, write_one_record_files, write_orc,
+)
 from ..sources import (
     article_lines, create_external_csv, create_external_orc, html_articles, read_dataset, read_delimited,
     read_json_lines, read_lines, read_orc, read_table, read_wiki_xml, recompress_lines, row_range, use_database,
@@ -161,6 +163,29 @@ def _sink_parquet_n(spark, sf):
     return spark.read.parquet(path)
 
 
+OBSERVED_SQL = """SELECT o_orderkey, CASE WHEN o_orderkey % 7 <> 0 THEN o_orderpriority END AS priority,
+ CASE WHEN o_orderkey % 11 <> 0 THEN o_custkey END AS cust FROM orders"""
+
+
+@query("sink_observed", f"""
+SELECT source, count(*) AS n_rows, CAST(sum(CAST(priority IS NULL AS INTEGER) + CAST(cust IS NULL AS INTEGER)) AS BIGINT) AS n_nulls,
+ CAST(sum(coalesce(strlen(priority), 0)) AS BIGINT) AS n_bytes
+FROM ({OBSERVED_SQL}), (SELECT unnest(['write', 'table']) AS source) GROUP BY source""")
+def _sink_observed(spark, sf):
+    """What a write says of its rows, next to the same numbers of the table read back."""
+    path = fresh_dir(spark, "observed")
+    table(spark, sf, "orders").createOrReplaceTempView("orders_to_write")
+    rows = spark.sql(OBSERVED_SQL.replace("FROM orders", "FROM orders_to_write"))
+    seen = write_observed(rows, path)
+    nulls = F.col("priority").isNull().cast("int") + F.col("cust").isNull().cast("int")
+    stored = spark.read.schema(rows.schema).parquet(path).agg(
+        F.lit("table").alias("source"), F.count(F.lit(1)).alias("n_rows"), F.sum(nulls).alias("n_nulls"),
+        F.sum(F.coalesce(F.octet_length("priority"), F.lit(0))).alias("n_bytes"),
+    )
+    written = [("write", seen["rows"], seen["nulls"], seen["bytes"])]
+    return stored.unionByName(spark.createDataFrame(written, "source STRING, n_rows BIGINT, n_nulls BIGINT, n_bytes BIGINT"))
+
+
 @query("exec_cache_coalesce", "SELECT o_orderkey, o_custkey, o_totalprice * 2 AS twice FROM orders")
 def _exec_cache_coalesce(spark, sf):
     path = fresh_dir(spark, "coalesced")

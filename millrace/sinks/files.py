@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..schemas import DATASETS, dataset_path
@@ -51,6 +51,24 @@ def write_bounded(
     return writers
 
 
+def write_observed(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite", **options) -> dict[str, int]:
+    """Write, and give what was written: ``rows``, ``nulls`` of all columns together and ``bytes`` of their texts.
+
+    The numbers are taken while the rows pass, so nothing is read or computed a second time for them.
+    """
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    nulls = sum((F.when(c.isNull(), 1).otherwise(0) for c in columns), F.lit(0))
+    texts = [F.col(f"`{c}`") for c, kind in df.dtypes if kind == "string"]
+    size = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts), F.lit(0))
+    seen = Observation()
+    metrics = (
+        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(nulls), F.lit(0)).alias("nulls"),
+        F.coalesce(F.sum(size), F.lit(0)).alias("bytes"),
+    )
+    df.observe(seen, *metrics).write.mode(mode).options(**options).format(fmt).save(path)
+    return seen.get
+
+
 def cache_then_coalesce(
     df: DataFrame, path: str, files: int = 1, rows_per_file: int = ROWS_PER_FILE, fmt: str = "orc"
 ) -> int:

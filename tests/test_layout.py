@@ -117,3 +117,28 @@ def test_folder_comes_from_the_session(spark):
     if configured:
         assert shared_root(spark) == configured.rstrip("/")
     assert fresh_dir(spark, "x") != fresh_dir(spark, "x")
+
+
+def test_observed_write_of_an_empty_table(spark):
+    from millrace.sinks import write_observed
+
+    df = spark.createDataFrame([], "a STRING, b INT")
+    assert write_observed(df, fresh_dir(spark, "none")) == {"rows": 0, "nulls": 0, "bytes": 0}
+    rows = spark.createDataFrame([("é", None), (None, 1)], "a STRING, b INT")
+    assert write_observed(rows, fresh_dir(spark, "two")) == {"rows": 2, "nulls": 2, "bytes": 2}
+
+
+def test_catalogue_table_opens_the_days_asked_for_only(spark):
+    from millrace.sinks import write_table_by_value
+
+    location = fresh_dir(spark, "days")
+    name = location.rsplit("/", 1)[-1].replace("-", "_")
+    df = skewed(spark)
+    write_table_by_value(df, "d", name, location, partitions=8)
+    some = spark.table(name).filter("d IN (DATE '2020-01-01', DATE '2020-01-04')")
+    assert len(some.inputFiles()) == 2 and some.count() == df.filter("d IN (DATE '2020-01-01', DATE '2020-01-04')").count()
+    assert spark.table(name).count() == df.count()
+    changed = df.filter("d = DATE '2020-01-04'").withColumn("x", F.lit("new"))
+    write_table_by_value(changed, "d", name, location, partitions=8)
+    assert spark.table(name).count() == df.count() and spark.table(name).filter("x = 'new'").count() == changed.count()
+    spark.sql(f"DROP TABLE {name}")
