@@ -3,8 +3,8 @@
 A document is the set of its distinct 5-word shingles. Under one order of all shingles, two sets with a Jaccard
 similarity of at least t share one of their first ``n - ceil(t n) + 1`` shingles, their prefixes. Documents with the
 same set are one class; classes with the same prefix and size are one group. Groups that share a prefix shingle and
-agree in size and position are candidate pairs; they are expanded to their classes, and each pair is verified on its
-whole sets.
+agree in size and position are candidate pairs: before the shingle they share at most what either has in lists, behind it
+at most what either has left. They are expanded to their classes, and each pair is verified on its whole sets.
 
 Only the components of the links are asked for, so pairs that are connected already need no test. While all candidate
 pairs would be too many, a sparse round takes from every list of groups with a common shingle only each group with the
@@ -13,8 +13,9 @@ That is linear in the lists. Then the pairs not yet connected are taken in full.
 prefix shingles is counted, and with it the most that two whole sets can share; only pairs for which that suffices are
 verified. No pair is ever dropped: each candidate pair is tested, excluded by that bound, or already connected.
 
-The order of shingles takes those last that many documents share, counted over all documents; each task hands in what it
-has at least twice. Any order is right; this one keeps passages that many documents share out of the prefixes.
+The order of shingles takes those last that many documents share, the most frequent at the very end, counted over all
+documents; each task hands in what it has at least twice. Any order is right; this one keeps passages that many documents
+share out of the prefixes, or where all shingles of a document are common, takes the rarest of them.
 
 Defined cases: a null or empty text, or one without words, has an empty set, is linked with nothing and is its own
 component. A row without an id is linked with nothing and has no component. Rows that share an id are one document,
@@ -70,8 +71,8 @@ def added_counts(keys: np.ndarray, counts: np.ndarray, more: np.ndarray, times:
     return np.insert(keys, at[~known], more[~known]), np.insert(counts, at[~known], times[~known])
 
 
-def common_shingles(docs: DataFrame, options: Options) -> np.ndarray:
-    """The shingles that most documents share, sorted; bounded by ``listed``."""
+def common_shingles(docs: DataFrame, options: Options) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles that most documents share, sorted, and how many share each; bounded by ``listed``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
@@ -91,11 +92,25 @@ def common_shingles(docs: DataFrame, options: Options) -> np.ndarray:
 
     counted = docs.select("body").mapInArrow(run, "shingle long, many long")
     counted = counted.groupBy("shingle").agg(F.sum("many").alias("many")).filter(F.col("many") >= options.common)
-    top = counted.orderBy(F.desc("many"), "shingle").limit(options.listed).select("shingle").toArrow()
-    return np.sort(top.column(0).to_numpy())
+    top = counted.orderBy(F.desc("many"), "shingle").limit(options.listed).toArrow()
+    shingle, many = top["shingle"].to_numpy(), np.minimum(top["many"].to_numpy(), np.iinfo(np.int32).max)
+    order = np.argsort(shingle)
+    return shingle[order], many[order].astype(np.int32)
 
 
-def digests(docs: DataFrame, common: np.ndarray, options: Options) -> DataFrame:
+def rarest_first(own: np.ndarray, common: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """The sorted shingles of a document in the order of all shingles: by documents that share them, then by value."""
+    if not len(common) or not len(own):
+        return own
+    at = np.minimum(np.searchsorted(common, own), len(common) - 1)
+    late = common[at] == own
+    if not late.any():
+        return own
+    last = own[late][np.argsort(many[at[late]], kind="stable")]
+    return np.concatenate([own[~late], last])
+
+
+def digests(docs: DataFrame, common: np.ndarray, many: np.ndarray, options: Options) -> DataFrame:
     """id, size of the set, fingerprints of set and prefix, and the prefix itself."""
 
     def start():
@@ -111,13 +126,7 @@ def digests(docs: DataFrame, common: np.ndarray, options: Options) -> DataFrame:
                 own = shingles(hasher(utf8(text)), options.size)
                 n = len(own)
                 length = n + options.percent * -n // 100 + 1 if n else 0
-                if len(common) and n:
-                    at = np.minimum(np.searchsorted(common, own), len(common) - 1)
-                    late = common[at] == own
-                    ordered = np.concatenate([own[~late], own[late]]) if late.any() else own
-                else:
-                    ordered = own
-                prefix = ordered[:length]
+                prefix = rarest_first(own, common, many)[:length]
                 values = (n, *fingerprint(own), *fingerprint(prefix), prefix)
                 for name, value in zip(out, values):
                     out[name].append(value)
@@ -181,15 +190,29 @@ def can_share(met: Column, n: Column, m: Column, percent: int) -> Column:
     Behind the prefix that ends first, a set has no more shingles left than its size less its prefix.
     """
     rest = F.greatest(n - prefix_length(n, percent), m - prefix_length(m, percent))
-    return (100 + percent) * (met + rest) >= percent * (n + m)
+    return share_enough(met + rest, n, m, percent)
+
+
+def prefix_lists(groups: DataFrame, percent: int) -> DataFrame:
+    """shingle, gid, n, many_classes, known, rest, degree: the prefix shingles that at least two groups share.
+
+    ``known`` is how many shingles before this one the group may share with others, as they are in lists, and ``rest`` how
+    many it has from this one on: no set that meets it here shares more than both. Entries for which that is too little
+    for the smallest set of the list are left out. ``degree`` is how often a group meets others in all its lists.
+    """
+    entries = groups.select("gid", "n", "many_classes", F.posexplode("prefix").alias("at", "shingle"))
+    by, least = Window.partitionBy("shingle"), F.ceil(percent * F.col("n") / F.lit(100.0))
+    met = entries.withColumn("many", F.count(F.lit(1)).over(by)).withColumn("smallest", F.min("n").over(by)).filter("many > 1")
+    own = Window.partitionBy("gid")
+    met = met.withColumn("known", F.row_number().over(own.orderBy("at")) - 1).withColumn("rest", F.col("n") - F.col("at"))
+    met = met.withColumn("degree", F.sum("many").over(own))
+    most, other = F.col("known") + F.col("rest"), F.greatest("smallest", least)
+    return met.filter(share_enough(most, F.col("n"), other, percent)).drop("many", "smallest", "at")
 
 
-def prefix_lists(groups: DataFrame) -> DataFrame:
-    """shingle, gid, n, many_classes, degree: the prefix shingles that at least two groups share; ``degree`` is how often a
-    group meets others in all its lists."""
-    entries = groups.select("gid", "n", "many_classes", F.explode("prefix").alias("shingle"))
-    shared = entries.withColumn("many", F.count(F.lit(1)).over(Window.partitionBy("shingle"))).filter("many > 1")
-    return shared.withColumn("degree", F.sum("many").over(Window.partitionBy("gid"))).drop("many")
+def share_enough(most: Column, n: Column, m: Column, percent: int) -> Column:
+    """Whether sets of n and m shingles that share ``most`` are similar enough."""
+    return (100 + percent) * most >= percent * (n + m)
 
 
 LISTED = ("gid", "n", "component", "many_classes")
@@ -228,8 +251,10 @@ def sparse_pairs(lists: DataFrame, shared: DataFrame, options: Options, turn: in
 
 def all_pairs_left(lists: DataFrame, options: Options) -> DataFrame:
     """All candidate pairs of groups in different components that can share enough."""
+    most = F.least("x.known", "y.known") + F.least("x.rest", "y.rest")
     met = lists.alias("x").join(lists.alias("y"), F.col("x.shingle") == F.col("y.shingle")).filter(
         (F.col("x.gid") < F.col("y.gid")) & apart("x", "y") & sizes_fit(F.col("x.n"), F.col("y.n"), options.percent)
+        & share_enough(most, F.col("x.n"), F.col("y.n"), options.percent)
     )
     counted = met.groupBy(F.col("x.gid").alias("ga"), F.col("y.gid").alias("gb"), F.col("x.n").alias("n"), F.col("y.n").alias("m"))
     counted = counted.agg(F.count(F.lit(1)).alias("met"))
@@ -241,8 +266,7 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spark = docs.sparkSession
     scratch = Scratch(spark, "jaccard")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("body"))
-    common = common_shingles(texts, options)
-    digest = scratch.stage(digests(texts, common, options))
+    digest = scratch.stage(digests(texts, *common_shingles(texts, options), options))
     labels = class_components(digest, texts, options, scratch)
 
     out = digest.join(labels, ["n", "set_a", "set_b"], "left")
@@ -265,7 +289,7 @@ def class_components(digest: DataFrame, texts: DataFrame, options: Options, scra
     several = scratch.stage(classes.filter("many_classes").select("gid", "cid"), files)
     gids = classes.filter("cid = gid").select(F.col("gid").alias("id"), F.col("n").alias("size"), "many_classes")
     groups = named.join(small(gids, 24), "id").filter("n = size").select(F.col("id").alias("gid"), "n", "many_classes", "prefix")
-    lists = scratch.stage(prefix_lists(groups), files)
+    lists = scratch.stage(prefix_lists(groups, options.percent), files)
     entries = lists.count()
     shared = None
 
