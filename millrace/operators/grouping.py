@@ -1,4 +1,4 @@
-"""Group counts, distinct counts and layout advice."""
+"""Group counts, distinct counts, layout advice and the files of a stored layout."""
 
 from __future__ import annotations
 
@@ -51,3 +51,16 @@ def layout_advice(df: DataFrame, day: Column, row_bytes: Column, min_file_bytes:
         )
 
     return summary(per_day, "day").unionByName(summary(per_month, "month"))
+
+
+def layout_files(stored: DataFrame, *values: str) -> DataFrame:
+    """Rows, files and the bytes of these per partition value of a stored layout.
+
+    The sizes are those that the scan knows of its files; one row per file and task is shuffled, no data column is read.
+    """
+    found = stored.select(*values, F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"))
+    files = found.groupBy(*values, "file", "bytes").agg(F.count(F.lit(1)).alias("n"))
+    return files.groupBy(*values).agg(
+        F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_files"),
+        F.min("bytes").alias("least_bytes"), F.max("bytes").alias("most_bytes"), F.avg("bytes").alias("avg_bytes"),
+    )

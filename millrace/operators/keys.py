@@ -55,34 +55,45 @@ def hot_salts(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK, facto
     return spark.createDataFrame(hot, f"hot_key {kind}, salts INT")
 
 
-def _profile_one(df: DataFrame, source: str, key: Column, factor: float) -> DataFrame:
-    # How many keys have a count: the counts of a table are few and aggregated twice, never gathered.
-    histogram = key_counts(df.filter(key.isNotNull()), key).groupBy("rec_count").agg(F.count(F.lit(1)).alias("keys"))
-    summary = histogram.agg(
+def counts_of_all_keys(sources: dict[str, tuple[DataFrame, Column]]) -> DataFrame:
+    """source, key (as text) and rec_count for several keys of several tables.
+
+    Keys of one table (the same DataFrame) come from one scan, and all of them from one shuffle of counts made per task.
+    NULL keys are left out.
+    """
+    tables: dict[int, tuple[DataFrame, list[Column]]] = {}
+    for name, (df, key) in sources.items():
+        entry = F.struct(F.lit(name).alias("source"), key.cast("string").alias("key"))
+        tables.setdefault(id(df), (df, []))[1].append(entry)
+    parts = [df.select(F.inline(F.array(*keys))) for df, keys in tables.values()]
+    rows = reduce(DataFrame.unionByName, parts).filter("key IS NOT NULL")
+    return rows.groupBy("source", "key").agg(F.count(F.lit(1)).alias("rec_count"))
+
+
+def skew_profile(sources: dict[str, tuple[DataFrame, Column]], factor: float = HOT_FACTOR) -> DataFrame:
+    """One row per join key: keys, rows, largest and median group, and how many keys are hot.
+
+    All counts are exact. How many keys have a count is a small table; the median comes from it, not from the keys.
+    """
+    counts = counts_of_all_keys(sources)
+    histogram = counts.groupBy("source", "rec_count").agg(F.count(F.lit(1)).alias("keys"))
+    summary = histogram.groupBy("source").agg(
         F.sum("keys").alias("n_keys"),
         F.sum(F.col("keys") * F.col("rec_count")).alias("n_rows"),
         F.max("rec_count").alias("max_rows"),
         F.percentile("rec_count", F.lit(0.5), F.col("keys")).alias("median_rows"),
     )
-    median = summary.select(F.lit(1).alias("_one"), "median_rows")
-    hot = histogram.withColumn("_one", F.lit(1)).join(F.broadcast(median), "_one").agg(
-        F.coalesce(F.sum(F.when(F.col("rec_count") > F.lit(factor) * F.col("median_rows"), F.col("keys"))), F.lit(0))
-        .alias("n_hot_keys")
+    # One row per source, so as many as the caller named.
+    hot = histogram.join(F.broadcast(summary.select("source", "median_rows")), "source").groupBy("source").agg(
+        F.sum(F.when(F.col("rec_count") > F.lit(factor) * F.col("median_rows"), F.col("keys")).otherwise(0)).alias("n_hot_keys")
     )
-    return summary.withColumn("_one", F.lit(1)).join(F.broadcast(hot.withColumn("_one", F.lit(1))), "_one").select(
-        F.lit(source).alias("source"),
-        "n_keys", "n_rows", "max_rows", "median_rows",
+    return summary.join(F.broadcast(hot), "source").select(
+        "source", "n_keys", "n_rows", "max_rows", "median_rows",
         (F.col("max_rows") / F.col("median_rows")).alias("max_to_median"),
         "n_hot_keys",
     )
 
 
-def skew_profile(sources: dict[str, tuple[DataFrame, Column]], factor: float = HOT_FACTOR) -> DataFrame:
-    """One row per join key: keys, rows, largest and median group, and how many keys are hot."""
-    parts = [_profile_one(df, name, key, factor) for name, (df, key) in sources.items()]
-    return reduce(DataFrame.unionByName, parts)
-
-
 def hot_values_by_median(
     df: DataFrame, key: Column, factor: float = HOT_FACTOR, name: str = "key", least_rows: int = 0
 ) -> DataFrame:

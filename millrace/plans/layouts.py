@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators.grouping import layout_files
 from ..operators.keys import hot_values_by_median
 from ..operators.merge import merge_chain
 from ..sinks import (
@@ -90,6 +91,13 @@ def _layout_year_month(spark, sf):
     return spark.read.schema(schema).orc(path)
 
 
+@query("layout_files_measured")
+def _layout_files_measured(spark, sf):
+    """Files and bytes per year and month of the written layout; the tests hold them against the folder."""
+    path, schema = write_year_month(spark, sf)
+    return layout_files(spark.read.schema(schema).orc(path), "order_year", "order_month")
+
+
 PRUNED_DAYS = [HOT_DAY, "1998-05-22", "2000-06-30"]
 PRUNED_SQL = f"""
 SELECT count(*) AS n_rows FROM ({MERGED_SQL}) WHERE order_date IN

@@ -238,15 +238,15 @@ def _filter_like(spark, sf):
 
 def join_keys(spark, sf):
     """Every join key of the sales tables."""
-    read = lambda name: table(spark, sf, name)
+    customer, orders, lines, part = (table(spark, sf, name) for name in ("customer", "orders", "lineitem", "part"))
     return {
-        "customer.cust": (read("customer"), F.col("c_custkey")),
-        "orders.cust": (read("orders"), F.col("o_custkey")),
-        "orders.order": (read("orders"), F.col("o_orderkey")),
-        "orders.date": (read("orders"), F.col("o_orderdate").cast("date")),
-        "lines.order": (read("lineitem"), F.col("l_orderkey")),
-        "lines.product": (read("lineitem"), F.col("l_partkey")),
-        "product.product": (read("part"), F.col("p_partkey")),
+        "customer.cust": (customer, F.col("c_custkey")),
+        "orders.cust": (orders, F.col("o_custkey")),
+        "orders.order": (orders, F.col("o_orderkey")),
+        "orders.date": (orders, F.col("o_orderdate").cast("date")),
+        "lines.order": (lines, F.col("l_orderkey")),
+        "lines.product": (lines, F.col("l_partkey")),
+        "product.product": (part, F.col("p_partkey")),
     }
 
 

@@ -1,10 +1,13 @@
 """Files per partition value, rows kept, repeatability, pruning."""
 
 import glob
+import os
 
 from pyspark.sql import functions as F
 
 from millrace.functions.common import let  # noqa: F401
+from millrace.operators.grouping import layout_files
+from millrace.operators.keys import counts_of_all_keys, skew_profile
 from millrace.sinks import (
     add_year_month, cache_then_coalesce, date_predicates, write_bounded, write_by_value, write_dynamic, write_skew_split,
 )
@@ -142,3 +145,37 @@ def test_catalogue_table_opens_the_days_asked_for_only(spark):
     write_table_by_value(changed, "d", name, location, partitions=8)
     assert spark.table(name).count() == df.count() and spark.table(name).filter("x = 'new'").count() == changed.count()
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_sizes_of_files_are_those_on_disk(spark):
+    path = fresh_dir(spark, "sizes")
+    df = spark.range(5000).select("id", F.when(F.col("id") % 10 > 0, F.col("id") % 3).alias("d"))
+    write_by_value(df, "d", path, rows_per_file=700)
+    want = {}
+    for file in glob.glob(f"{path}/d=*/*.orc"):
+        day = file.split("/d=")[1].split("/")[0]
+        want.setdefault(None if day.startswith("__") else int(day), []).append(os.path.getsize(file))
+    rows = {r["d"]: r["n"] for r in df.groupBy("d").agg(F.count("*").alias("n")).collect()}
+    found = layout_files(spark.read.orc(path), "d").collect()
+    assert {r["d"]: r["n_rows"] for r in found} == rows
+    for r in found:
+        sizes = want[r["d"]]
+        assert (r["n_files"], r["least_bytes"], r["most_bytes"]) == (len(sizes), min(sizes), max(sizes))
+        assert (r["n_files"] > 1) == (r["n_rows"] > 700) and abs(r["avg_bytes"] - sum(sizes) / len(sizes)) < 1e-6
+
+
+def test_sizes_of_an_empty_layout(spark):
+    path = fresh_dir(spark, "sizes")
+    spark.range(0).select("id", F.col("id").alias("d")).write.orc(path)
+    assert layout_files(spark.read.schema("id long, d long").orc(path), "d").count() == 0
+
+
+def test_profile_of_all_keys_scans_each_table_once(spark):
+    df = spark.range(1000).select(F.when(F.col("id") % 5 > 0, 0).otherwise(F.col("id")).alias("a"), F.lit(None).cast("int").alias("b"))
+    path = fresh_dir(spark, "profile")
+    df.write.parquet(path)
+    stored = spark.read.parquet(path)
+    counts = counts_of_all_keys({"a": (stored, F.col("a")), "b": (stored, F.col("b"))})
+    assert counts._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
+    found = skew_profile({"a": (stored, F.col("a")), "b": (stored, F.col("b"))}).collect()
+    assert [tuple(r) for r in found] == [("a", 200, 1000, 801, 1.0, 801.0, 1)]
