@@ -109,6 +109,29 @@ def test_links_are_those_of_all_pairs(spark, seed, options, monkeypatch):
     assert got == brute_components(rows)
 
 
+@pytest.mark.parametrize("options", [jaccard.Options(common=2), jaccard.Options(common=10**6)])
+def test_one_large_family_of_all_distances(spark, options):
+    """Copies with few to many edits, words left out or added: positions may exclude no pair that links."""
+    rng = random.Random(5)
+    base, texts = prose(77, 150), []
+    for i in range(140):
+        words = varied(base, rng, rng.randrange(16)).split()
+        start = rng.randrange(len(words))
+        texts.append(" ".join(words[:start] + words[start + rng.randrange(25):] + prose(500 + i, rng.randrange(12)).split()))
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING").repartition(4)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.link_documents(docs, options=options).collect()}
+    want = brute_components(rows)
+    assert got == want and 5 < len({c for _, c in want.values()}) < 140
+
+
+def test_shingles_of_more_documents_come_later():
+    own, common, many = np.array([1, 3, 5, 7, 9]), np.array([3, 5, 9]), np.array([8, 30, 8], dtype=np.int32)
+    assert jaccard.rarest_first(own, common, many).tolist() == [1, 7, 3, 9, 5]
+    assert jaccard.rarest_first(own, common[:0], many[:0]).tolist() == own.tolist()
+    assert jaccard.rarest_first(own[:0], common, many).tolist() == []
+
+
 def test_limit_is_exact():
     assert jaccard.enough(8, 9, 9, 80) and not jaccard.enough(7, 9, 9, 80)
     assert jaccard.enough(80, 100, 80, 80) and not jaccard.enough(79, 100, 79, 80)
