@@ -118,6 +118,21 @@ def event_records(events):
     return to_records(events.select(*RECORD_COLUMNS), SHARDS, F.to_json(F.struct(*RECORD_COLUMNS)), shard)
 
 
+def shard_totals(rows):
+    """Rows, sums and triggers per shard, of a few shards. Squares of some million numbers add up to more than a BIGINT
+    holds, so they are added as decimals; the sum is a BIGINT where all shards' sums are, else DECIMAL(38,0)."""
+    number = F.col("event_id").cast("decimal(19,0)")
+    by_trigger = rows.groupBy("shard", "trigger").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"), F.sum(number * number).alias("squares"),
+    )
+    totals = by_trigger.groupBy("shard").agg(
+        F.sum("n").alias("n_rows"), F.sum("ids").alias("id_sum"), F.sum("squares").cast("decimal(38,0)").alias("square_sum"),
+        F.count(F.lit(1)).alias("n_triggers"), F.max("n").alias("most_in_a_trigger"),
+    )
+    largest = totals.agg(F.max("square_sum").alias("most")).first()["most"]
+    return totals.withColumn("square_sum", F.col("square_sum").cast("bigint")) if (largest or 0) < 1 << 63 else totals
+
+
 @query("stream_paced", f"""
 WITH pace AS (SELECT (count(*) + 11) // 12 AS records FROM events),
 shards AS (SELECT CAST(event_id % {SHARDS} AS INTEGER) AS shard, count(*) AS n_rows, CAST(sum(event_id) AS BIGINT) AS id_sum,
@@ -147,13 +162,7 @@ def _stream_paced(spark, sf):
         if not any(p["numInputRows"] for p in run.recentProgress):
             break
     rows = spark.read.schema(kept).option("recursiveFileLookup", "true").parquet(out)
-    by_trigger = rows.groupBy("shard", "trigger").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"), F.sum(F.col("event_id") * F.col("event_id")).alias("squares"),
-    )
-    return by_trigger.groupBy("shard").agg(
-        F.sum("n").alias("n_rows"), F.sum("ids").alias("id_sum"), F.sum("squares").alias("square_sum"),
-        F.count(F.lit(1)).alias("n_triggers"), F.max("n").alias("most_in_a_trigger"),
-    )
+    return shard_totals(rows)
 
 
 @query("stream_publish_once", EVENTS_SQL)

@@ -213,3 +213,18 @@ def test_paced_source_advances_by_shard_and_goes_on_after_a_restart(spark, tmp_p
     assert sum(paced_run(spark, log, late, str(tmp_path / "late-out"), "latest")) == 3
     reader = PacedReader({"path": str(tmp_path / "none"), "checkpoint": str(tmp_path / "x"), "records": "5"})
     assert reader.latestOffset() == {} and reader.partitions({}, {}) == []
+
+
+def test_sums_of_squares_beyond_a_bigint(spark):
+    from millrace.plans.streams import shard_totals
+
+    def totals(ids):
+        rows = spark.createDataFrame([(i, 0, t) for t, i in enumerate(ids)], "event_id BIGINT, shard INT, trigger BIGINT")
+        return shard_totals(rows)
+
+    large = [3_000_000_000, 3_000_000_001, -9_000_000_000_000_000_000]
+    row = totals(large).first()
+    assert int(row["square_sum"]) == sum(i * i for i in large) and row["id_sum"] == sum(large) and row["n_triggers"] == 3
+    few = totals([3_000_000_000])
+    assert dict(few.dtypes)["square_sum"] == "bigint" and few.first()["square_sum"] == 9 * 10**18
+    assert dict(totals([]).dtypes)["square_sum"] == "bigint"
