@@ -10,12 +10,14 @@ import sys
 import unicodedata
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from .accents import MARKS, _spelled
+from .batches import in_slices
 from .common import WORD_CLASS
 from .contractions import APOSTROPHE_WORD, CONTRACTIONS, JOINED_WORD
 from .text import EMAIL_SHAPE, URL_PATTERN
@@ -57,10 +59,16 @@ def clean_text_arrow(texts: pd.Series) -> pd.Series:
 clean_text_row_udf = F.udf(clean_text_python, StringType(), useArrow=False)
 
 
-@F.pandas_udf(StringType())
-def compose_text(texts: pd.Series) -> pd.Series:
+def _compose(texts: pa.Array) -> pa.Array:
+    return pa.array([None if t is None else unicodedata.normalize("NFC", t) for t in texts.to_pylist()], pa.string())
+
+
+def _compose_batch(texts: pa.Array) -> pa.Array:
     """Unicode normal form C: letters and the marks behind them become single code points."""
-    return texts.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
+    return in_slices(_compose)(texts)
+
+
+compose_text = F.arrow_udf(_compose_batch, StringType())
 
 
 def register_python_udfs(spark: SparkSession) -> None:
