@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from .accents import MARKS, _spelled
+from .batches import in_slices
 from .common import SPACE_CHARS, WORD_CLASS
 from .contractions import APOSTROPHE_WORD, CONTRACTIONS, JOINED_WORD
 from .html import _MARKUP, _SPACE_ENTITY, _entity_table
@@ -28,8 +29,8 @@ from .text import EMAIL_SHAPE, PUNCTUATION_PATTERN, URL_PATTERN
 # The function travels to the Python workers by value: executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Words that are remembered at once.
-REMEMBERED = 500_000
+# Words that are remembered at once, and the longest of them.
+REMEMBERED, REMEMBERED_CHARS = 100_000, 200
 
 _URL = re.compile(URL_PATTERN.replace(WORD_CLASS, r"\w"))
 _TAG = re.compile(_MARKUP)
@@ -96,9 +97,11 @@ class _Remembered(dict):
     """Words that are cleaned when they are first asked for."""
 
     def __missing__(self, word: str) -> str:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[word] = out = clean_word(word)
+        out = clean_word(word)
+        if len(word) <= REMEMBERED_CHARS:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[word] = out
         return out
 
 
@@ -141,7 +144,7 @@ def _known() -> _Remembered:
 
 
 def _clean_batch(texts: pa.Array) -> pa.Array:
-    return clean_batch(texts, _known())
+    return in_slices(lambda part: clean_batch(part, _known()))(texts)
 
 
 clean_text_words = F.arrow_udf(_clean_batch, StringType())

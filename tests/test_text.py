@@ -208,3 +208,34 @@ class _Cleaned(dict):
         from millrace.functions.words import clean_word
 
         return clean_word(word)
+
+
+def test_arrow_functions_work_on_slices_of_bounded_bytes(monkeypatch):
+    import pyarrow as pa
+
+    from millrace.functions import batches, udf, words
+
+    texts = pa.array([None, "Don't <b>stop</b> é", "", "word " * 200_000] * 12)
+    seen = []
+
+    def watched(function):
+        return lambda part, *more: seen.append(part.nbytes) or function(part, *more)
+
+    want = words.clean_batch(texts, words._Remembered())
+    monkeypatch.setattr(words, "clean_batch", watched(words.clean_batch))
+    assert words._clean_batch(texts) == want
+    assert len(seen) >= 3 and max(seen) < 2 * batches.SLICE_BYTES < texts.nbytes
+    assert len(words._clean_batch(texts.slice(0, 0))) == 0
+    apart = pa.array(["é" * 500_000, None, "é"] * 8)
+    assert udf._compose_batch(apart).to_pylist() == ["é" * 500_000, None, "é"] * 8
+
+
+def test_remembered_words_are_bounded():
+    from millrace.functions import words
+
+    known = words._Remembered()
+    long = "X" * 1000
+    assert known[long] == long.lower() and not known
+    for i in range(words.REMEMBERED + 5):
+        known[f"W{i}"]
+    assert len(known) <= words.REMEMBERED <= 100_000
