@@ -11,14 +11,27 @@ from pyspark.sql import functions as F
 ROWS_PER_TASK = 100_000
 # Keys whose counts a sketch follows. A key with a larger share of the rows than one over a fraction of this is seen.
 SKETCHED = 16_384
+# So many different keys are counted by one task at most, about; a count takes some hundred bytes.
+KEYS_PER_TASK = 1_000_000
 # Fixed value: the factor by which a key must exceed the median to be called hot.
 HOT_FACTOR = 5.0
 
 
-def key_counts(df: DataFrame, key: Column | str, name: str = "key") -> DataFrame:
-    """Rows per key. Spark counts per task before the shuffle, so a hot key sends one row per task."""
+def key_counts(
+    df: DataFrame, key: Column | str, name: str = "key", keys_per_task: int = KEYS_PER_TASK
+) -> DataFrame:
+    """Rows per key. Spark counts per task before the shuffle, so a hot key sends one row per task.
+
+    Counts of many different keys compress well, and adaptive execution, which goes by bytes, hands most of them to one
+    task. Where an estimate finds more than ``keys_per_task`` keys, the keys are dealt over a number of tasks that
+    follows from the estimate instead; a task then holds the counts of its keys alone, however many rows a key has.
+    """
     column = F.col(key) if isinstance(key, str) else key
-    return df.groupBy(column.alias(name)).agg(F.count(F.lit(1)).alias("rec_count"))
+    keys = df.select(column.alias(name))
+    many = keys.agg(F.approx_count_distinct(name).alias("keys")).first()["keys"]
+    if many > keys_per_task:
+        keys = keys.repartition(-(-2 * many // keys_per_task), name)
+    return keys.groupBy(name).agg(F.count(F.lit(1)).alias("rec_count"))
 
 
 def top_keys(df: DataFrame, key: Column | str, n: int, name: str = "key") -> DataFrame:

@@ -220,3 +220,14 @@ def test_no_salts_without_hot_keys(spark):
     joined = left_join_hot_right(left, right, "a", "b")
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "salt" not in plan and "SortMergeJoin" not in plan and joined.count() == left.join(right, F.col("a") == F.col("b"), "left").count()
+
+
+def test_many_keys_are_dealt_over_tasks_by_their_number(spark):
+    from millrace.operators.keys import key_counts
+
+    df = spark.range(6000).select((F.col("id") % 2000).alias("k")).union(spark.range(500).select(F.lit(7).alias("k")))
+    want = Counter({(k, 3 + 500 * (k == 7)): 1 for k in range(2000)})
+    counts = key_counts(df, "k", keys_per_task=200)
+    sizes = counts.groupBy(F.spark_partition_id()).count().collect()
+    assert rows(counts) == rows(key_counts(df, "k")) == want
+    assert len(sizes) > 10 and max(r["count"] for r in sizes) < 300
