@@ -48,11 +48,22 @@ def stored_schema(df, *partitions: str) -> str:
     return ", ".join(f"{c} {kinds[c]}" for c in [*[c for c in df.columns if c not in partitions], *partitions])
 
 
+def order_days(spark, sf):
+    """What the dates are counted on: those of the orders, and for how many merged rows an order stands."""
+    orders = table(spark, sf, "orders")
+    lines = table(spark, sf, "lineitem").count() / max(orders.count(), 1)
+    return {"count_on": orders.select(F.expr(SKEWED_DAY).alias("order_date")), "rows_each": max(lines, 1.0)}
+
+
+def order_months(spark, sf):
+    days = order_days(spark, sf)
+    return days | {"count_on": add_year_month(days["count_on"], F.col("order_date"))}
+
+
 def write_days(spark, sf):
     """The merged table, one file per order date: path and schema."""
     path, rows = fresh_dir(spark, "by-day"), merged(spark, sf)
-    days = table(spark, sf, "orders").select(F.expr(SKEWED_DAY).alias("order_date"))
-    write_by_value(rows, "order_date", path, count_on=days)
+    write_by_value(rows, "order_date", path, **order_days(spark, sf))
     return path, stored_schema(rows, "order_date")
 
 
@@ -80,8 +91,7 @@ FROM ({MERGED_SQL})"""
 def write_year_month(spark, sf):
     """The merged table by year and month: path and schema."""
     path, rows = fresh_dir(spark, "year-month"), add_year_month(merged(spark, sf), F.col("order_date"))
-    days = table(spark, sf, "orders").select(F.expr(SKEWED_DAY).alias("order_date"))
-    write_dynamic(rows, ["order_year", "order_month"], path, count_on=add_year_month(days, F.col("order_date")))
+    write_dynamic(rows, ["order_year", "order_month"], path, **order_months(spark, sf))
     return path, stored_schema(rows, "order_year", "order_month")
 
 
@@ -113,8 +123,7 @@ def fresh_table(spark, label):
 def days_table(spark, sf):
     """The merged table by order date as a table of the catalogue: its name."""
     name, location = fresh_table(spark, "days")
-    days = table(spark, sf, "orders").select(F.expr(SKEWED_DAY).alias("order_date"))
-    write_table_by_value(merged(spark, sf), "order_date", name, location, count_on=days)
+    write_table_by_value(merged(spark, sf), "order_date", name, location, **order_days(spark, sf))
     return name
 
 
@@ -122,9 +131,7 @@ def months_table(spark, sf):
     """The merged table by year and month as a table of the catalogue: its name."""
     name, location = fresh_table(spark, "months")
     rows = add_year_month(merged(spark, sf), F.col("order_date"))
-    days = table(spark, sf, "orders").select(F.expr(SKEWED_DAY).alias("order_date"))
-    months = add_year_month(days, F.col("order_date"))
-    write_table_by_value(rows, ["order_year", "order_month"], name, location, count_on=months)
+    write_table_by_value(rows, ["order_year", "order_month"], name, location, **order_months(spark, sf))
     return name
 
 

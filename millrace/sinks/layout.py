@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -55,27 +56,32 @@ def write_by_value(
     mode: str = "overwrite",
     dynamic: bool = False,
     count_on: DataFrame | None = None,
+    rows_each: float = 1.0,
 ) -> None:
     """One file per value of ``columns``; a value above ``rows_per_file`` gets as many as it needs.
 
-    The large values come from one sketch over the partition columns of ``count_on``, a narrow table with
-    about the same counts, or of ``df`` itself, of which only these columns are then computed. ``dynamic``
-    replaces only the partitions that occur in ``df``.
+    The large values come from one sketch over the partition columns of ``count_on``, a narrow table of whose rows each
+    stands for about ``rows_each`` of ``df``, or of ``df`` itself, of which only these columns are then computed.
+    ``dynamic`` replaces only the partitions that occur in ``df``.
     """
     names = _listed(columns)
-    files = _large_values(df if count_on is None else count_on, names, rows_per_file)
-    _save(_spread(df, names, files, partitions), names, path, fmt, mode, rows_per_file, dynamic)
+    files, tasks = _large_values(df if count_on is None else count_on, names, rows_per_file, rows_each)
+    _save(_spread(df, names, files, partitions or tasks), names, path, fmt, mode, rows_per_file, dynamic)
 
 
-def _large_values(counted: DataFrame, columns: list[str], rows_per_file: int) -> DataFrame:
-    """The values above ``rows_per_file`` (``_value``) and how many files each needs (``_files``).
+def _large_values(counted: DataFrame, columns: list[str], rows_per_file: int, rows_each: float) -> tuple[DataFrame, int]:
+    """The values above ``rows_per_file`` (``_value``) and how many files each needs (``_files``), and the number of tasks:
+    the shuffle partitions, or more if these would get more than ``rows_per_file`` rows on average.
 
     A value with less than one row in about 16,000 is not followed by the sketch and is written by one task, which
     still cuts its files at ``rows_per_file``.
     """
-    _, top = frequent_values(counted, _value(columns), SKETCHED // 2)
-    large = [(value, -(-rows // rows_per_file)) for value, rows in top if rows > rows_per_file]
-    return F.broadcast(counted.sparkSession.createDataFrame(large, "_value STRING, _files INT"))
+    spark = counted.sparkSession
+    total, top = frequent_values(counted, _value(columns), SKETCHED // 2)
+    needed = [(value, math.ceil(rows * rows_each / rows_per_file)) for value, rows in top]
+    files = spark.createDataFrame([(value, n) for value, n in needed if n > 1], "_value STRING, _files INT")
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total * rows_each / rows_per_file))
+    return F.broadcast(files), tasks
 
 
 def write_table_by_value(
@@ -86,6 +92,7 @@ def write_table_by_value(
     rows_per_file: int = ROWS_PER_FILE,
     partitions: int | None = None,
     count_on: DataFrame | None = None,
+    rows_each: float = 1.0,
 ) -> None:
     """The layout of ``write_by_value`` as a table of the catalogue, which the write tells its partitions.
 
@@ -99,8 +106,8 @@ def write_table_by_value(
         df.sparkSession, table, ", ".join(f"`{c}` {kinds[c]}" for c in stored), names, location,
         maxRecordsPerFile=rows_per_file,
     )
-    files = _large_values(df if count_on is None else count_on, names, rows_per_file)
-    _spread(df, names, files, partitions).select(*stored).write.insertInto(table, overwrite=True)
+    files, tasks = _large_values(df if count_on is None else count_on, names, rows_per_file, rows_each)
+    _spread(df, names, files, partitions or tasks).select(*stored).write.insertInto(table, overwrite=True)
 
 
 def write_dynamic(df: DataFrame, columns: list[str], path: str, **options) -> None:

@@ -179,3 +179,17 @@ def test_profile_of_all_keys_scans_each_table_once(spark):
     assert counts._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
     found = skew_profile({"a": (stored, F.col("a")), "b": (stored, F.col("b"))}).collect()
     assert [tuple(r) for r in found] == [("a", 200, 1000, 801, 1.0, 801.0, 1)]
+
+
+def test_values_counted_on_a_narrow_table_that_stands_for_more_rows(spark):
+    base = spark.range(4000).select("id", F.when(F.col("id") % 2 == 0, "hot").otherwise((F.col("id") % 40).cast("string")).alias("d"))
+    narrow = base.filter("id % 8 < 2").select("d")  # one row in four of the hot value
+    path = fresh_dir(spark, "stands-for")
+    write_by_value(base, "d", path, rows_per_file=300, count_on=narrow, rows_each=4.0)
+    back = spark.read.schema("id BIGINT, d STRING").orc(path)
+    sizes = back.groupBy("d", F.input_file_name().alias("file")).count().collect()
+    hot = [r["count"] for r in sizes if r["d"] == "hot"]
+    assert back.count() == 4000 and sum(hot) == 2000
+    tasks = {r["file"].rsplit("/", 1)[-1].split("-")[1] for r in sizes if r["d"] == "hot"}
+    assert len(tasks) >= 4  # 500 counted rows stand for 2,000, which need seven tasks, dealt by a hash
+    assert {r["d"] for r in sizes if r["d"] != "hot"} == {str(i) for i in range(1, 40, 2)}
