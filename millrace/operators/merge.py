@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sales import price_value, total_sales
+from ..workspace import fits_broadcast
 from .joins import left_join_hot_right
-from .keys import ROWS_PER_TASK
+from .keys import ROWS_PER_TASK, hot_salts
 
 
 def merge_chain(
@@ -20,15 +21,20 @@ def merge_chain(
     product_key: tuple[str, str] = ("uniq_id", "uniq_id"),
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Three chained left joins; column names must differ between the four tables.
+    """Three left joins; column names must differ between the four tables.
 
-    Hot customers and hot orders are split by salts, after one counting job each that shuffles no keys. A
-    hot product sits on the left side, where adaptive execution splits it; a catalogue under the broadcast
-    threshold is not shuffled at all.
+    A catalogue measured as small is broadcast and moves no rows. A larger one is joined to the lines first, which are
+    narrow then: a product belongs to its line, whatever the line is joined to, and joined last it would move the wide
+    merged rows. Hot customers and hot orders are split by salts, after one counting job each that shuffles no keys. A
+    hot product sits on the left side, where adaptive execution splits it.
     """
     placed = left_join_hot_right(customer, orders, *cust_key, rows_per_task=rows_per_task)
-    with_lines = left_join_hot_right(placed, lines, *order_key, rows_per_task=rows_per_task)
-    return with_lines.join(product, with_lines[product_key[0]] == product[product_key[1]], "left")
+    if fits_broadcast(product):
+        with_lines = left_join_hot_right(placed, lines, *order_key, rows_per_task=rows_per_task)
+        return with_lines.join(F.broadcast(product), with_lines[product_key[0]] == product[product_key[1]], "left")
+    bought = lines.join(product, lines[product_key[0]] == product[product_key[1]], "left")
+    salts = hot_salts(lines, order_key[1], rows_per_task)
+    return left_join_hot_right(placed, bought, *order_key, salts=salts)
 
 
 def merge_sales(

@@ -231,3 +231,19 @@ def test_many_keys_are_dealt_over_tasks_by_their_number(spark):
     sizes = counts.groupBy(F.spark_partition_id()).count().collect()
     assert rows(counts) == rows(key_counts(df, "k")) == want
     assert len(sizes) > 10 and max(r["count"] for r in sizes) < 300
+
+
+def test_merge_joins_products_before_the_rows_are_wide(spark, monkeypatch):
+    from millrace.operators import merge
+
+    customer = spark.createDataFrame([(1,), (2,), (3,)], "c INT")
+    orders = spark.createDataFrame([(10 + i, 1 + i % 2) for i in range(40)], "o INT, oc INT")
+    lines = spark.createDataFrame([(10 + i % 30, i % 5 if i % 7 else None) for i in range(200)] + [(10, 1)] * 300, "lo INT, lp INT")
+    product = spark.createDataFrame([(i, f"p{i}") for i in range(4)], "p INT, name STRING")
+    want = customer.join(orders, F.col("c") == F.col("oc"), "left").join(lines, F.col("o") == F.col("lo"), "left")
+    want = rows(want.join(product, F.col("lp") == F.col("p"), "left"))
+    keys = (("c", "oc"), ("o", "lo"), ("lp", "p"))
+    for small in (True, False):
+        monkeypatch.setattr(merge, "fits_broadcast", lambda df, small=small: small)
+        for rows_per_task in (20, 10**6):
+            assert rows(merge.merge_chain(customer, orders, lines, product, *keys, rows_per_task=rows_per_task)) == want
