@@ -113,61 +113,88 @@ class Network:
         )
 
     def hidden(self, around: np.ndarray) -> np.ndarray:
-        total = self.bias + self.context[0][around[:, 0]]
+        total = self.bias + self.context[0].take(around[:, 0], axis=0)
         for i in range(1, len(SHIFTS)):
-            total += self.context[i][around[:, i]]
-        return np.tanh(total)
-
-    @staticmethod
-    def _log_softmax(z: np.ndarray) -> np.ndarray:
-        z = z - z.max(axis=1, keepdims=True)
-        return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
-
-    @staticmethod
-    def _softmax(z: np.ndarray) -> np.ndarray:
-        z = np.exp(z - z.max(axis=1, keepdims=True))
-        z /= z.sum(axis=1, keepdims=True)
+            total += self.context[i].take(around[:, i], axis=0)
+        return np.tanh(total, out=total)
+
+    def digits(self, h: np.ndarray, both: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Inputs of the two softmaxes less their maximum: softmax, digit, example. An example is a column, as numpy is
+        fastest along long rows."""
+        z = (both.T @ h.T).reshape(2, self.digit, len(h))
+        z[0] += self.high_bias[:, None]
+        z[1] += self.low_bias.take(high, axis=0).T
+        z -= z.max(axis=1, keepdims=True)
         return z
 
-    def log_probability(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
-        h = self.hidden(around)
-        high, low = target // self.digit, target % self.digit
-        rows = np.arange(len(target))
-        first = self._log_softmax(h @ self.high + self.high_bias)[rows, high]
-        second = self._log_softmax(h @ self.low + self.low_bias[high])[rows, low]
-        return first + second
+    def log_probability(self, around: np.ndarray, target: np.ndarray, at_once: int = 1024) -> np.ndarray:
+        both = np.concatenate([self.high, self.low], axis=1)
+        out = np.zeros(len(target), dtype=np.float32)
+        for at in range(0, len(target), at_once):
+            some = target[at : at + at_once]
+            high, column = some // self.digit, np.arange(len(some))
+            z = self.digits(self.hidden(around[at : at + at_once]), both, high)
+            picked = z[0, high, column] + z[1, some % self.digit, column]
+            out[at : at + at_once] = picked - np.log(np.exp(z, out=z).sum(axis=1)).sum(axis=0)
+        return out
 
     def train(self, codes: np.ndarray, places: np.ndarray, options: Options) -> None:
         """One pass over the words at these places, in mini-batches with steps scaled by the gradients so far."""
-        squares = [np.full(s, 1e-3, dtype=np.float32) for s in self.shapes]
-        squares[0] = squares[0].reshape(-1, squares[0].shape[-1])
-        context = self.context.reshape(squares[0].shape)
-        beside = np.arange(len(SHIFTS)) * self.context.shape[1]
+        rate, d = np.float32(options.rate), self.digit
+        context = self.context.reshape(-1, self.context.shape[-1])
+        squares = np.full(context.shape, 1e-3, dtype=np.float32)
+        dense = self.flat[context.size :]
+        dense_squares = np.full(dense.shape, 1e-3, dtype=np.float32)
+        shifts, beside = np.array(SHIFTS), np.arange(len(SHIFTS)) * self.context.shape[1]
         for at in range(0, len(places), options.batch):
             some = places[at : at + options.batch]
-            x, y = around_of(codes, some), codes[some]
-            rows, high, low = np.arange(len(y)), y // self.digit, y % self.digit
+            # examples with the same first digit stand side by side
+            some = some[np.argsort(codes[some], kind="stable")]
+            x, y = codes[some[:, None] + shifts], codes[some]
+            high, n, column = y // d, np.float32(len(y)), np.arange(len(y))
             h = self.hidden(x)
-            miss_high = -self._softmax(h @ self.high + self.high_bias)
-            miss_high[rows, high] += 1
-            miss_low = -self._softmax(h @ self.low + self.low_bias[high])
-            miss_low[rows, low] += 1
-            back = (miss_high @ self.high.T + miss_low @ self.low.T) * (1 - h * h)
-            n = np.float32(len(y))
-            one = np.zeros((len(y), self.digit), dtype=np.float32)
-            one[rows, high] = 1
-            lows = one.T @ miss_low
-            grads = [None, back.sum(0) / n, h.T @ miss_high / n, miss_high.sum(0) / n, h.T @ miss_low / n, lows / n]
-            for w, s, g in zip((self.bias, self.high, self.high_bias, self.low, self.low_bias), squares[1:], grads[1:]):
-                s += g * g
-                w += np.float32(options.rate) * g / np.sqrt(s)
-            place = (x + beside).ravel()
-            order = np.argsort(place)
-            used, first = np.unique(place[order], return_index=True)
-            g = np.add.reduceat(back[order // len(SHIFTS)], first, axis=0) / n
-            seen = squares[0][used] + g * g
-            squares[0][used] = seen
-            context[used] += np.float32(options.rate) * g / np.sqrt(seen)
+            both = np.concatenate([self.high, self.low], axis=1)
+            z = self.digits(h, both, high)
+            np.exp(z, out=z)
+            z *= -1 / z.sum(axis=1, keepdims=True)
+            z[0, high, column] += 1
+            z[1, y - high * d, column] += 1
+            miss = z.reshape(2 * d, len(y))
+            back = (miss.T @ both.T) * (1 - h * h)
+            weights = h.T @ miss.T
+            starts = starts_of(high)
+            lows = np.zeros((d, d), dtype=np.float32)
+            lows[high[starts]] = np.add.reduceat(z[1], starts, axis=1).T
+            g = np.concatenate([back.sum(0), weights[:, :d].ravel(), z[0].sum(1), weights[:, d:].ravel(), lows.ravel()]) / n
+            dense_squares += g * g
+            dense += rate * g / np.sqrt(dense_squares)
+            used, g = summed((x + beside).ravel(), back)
+            g /= n
+            seen = squares.take(used, axis=0) + g * g
+            squares[used] = seen
+            context[used] = context.take(used, axis=0) + rate * g / np.sqrt(seen)
+
+
+def starts_of(ordered: np.ndarray) -> np.ndarray:
+    """Where each stretch of equal numbers begins."""
+    new = np.ones(len(ordered), dtype=bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    return np.flatnonzero(new)
+
+
+def summed(place: np.ndarray, back: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct places, and for each the sum of its rows of ``back``, which has one row for as many places as there are
+    shifts. Most places are there once, only the others are added up."""
+    order = np.argsort(place)
+    place = place[order]
+    first = starts_of(place)
+    many = np.r_[first[1:], len(place)] - first
+    order //= len(SHIFTS)
+    g, more = back.take(order[first], axis=0), many > 1
+    if more.any():
+        ends = np.cumsum(many[more])
+        g[more] = np.add.reduceat(back.take(order[np.repeat(more, many)], axis=0), ends - many[more], axis=0)
+    return place[first], g
 
 
 def around_of(codes: np.ndarray, places: np.ndarray) -> np.ndarray:

@@ -262,6 +262,39 @@ def test_training_learns_word_order(spark):
     assert all(np.isclose(r["log_likelihood"], r["mean_log_likelihood"] * r["n_words"]) for r in got.values())
 
 
+def test_a_step_of_training_follows_the_gradient():
+    """One mini-batch against the gradients example by example, with repeated and padded contexts."""
+    options = scoring.Options(frequent=8, digit=4, hidden=3)
+    codes = np.array([16, 16, 1, 2, 1, 2, 1, 2, 7, 16, 16, 9, 16, 16, 16, 16, 1, 2, 15, 16, 16])
+    places = np.random.default_rng(1).permutation(np.flatnonzero(codes != 16))
+    network, got = scoring.Network(options), scoring.Network(options)
+    got.train(codes, places, options)
+    slopes = [np.zeros_like(w, dtype=float) for w in (network.context, network.bias, network.high, network.high_bias, network.low, network.low_bias)]
+    for at in places:
+        around, high, low = [codes[at + s] for s in scoring.SHIFTS], codes[at] // 4, codes[at] % 4
+        h = np.tanh(network.bias + sum(network.context[i, c] for i, c in enumerate(around)))
+        p, q = np.exp(h @ network.high + network.high_bias), np.exp(h @ network.low + network.low_bias[high])
+        p, q = np.eye(4)[high] - p / p.sum(), np.eye(4)[low] - q / q.sum()
+        back = (network.high @ p + network.low @ q) * (1 - h * h)
+        for i, c in enumerate(around):
+            slopes[0][i, c] += back
+        slopes[5][high] += q
+        for slope, more in zip(slopes[1:5], (back, np.outer(h, p), p, np.outer(h, q))):
+            slope += more
+    g = np.concatenate([s.ravel() for s in slopes]) / len(places)
+    assert np.allclose(got.flat, network.flat + 0.1 * g / np.sqrt(1e-3 + g * g), atol=1e-5)
+
+
+def test_training_rows_are_summed_by_distinct_place():
+    """Places met once are taken as they are, and only the others are added up."""
+    place = np.array([5, 9, 20, 31, 5, 8, 20, 30, 5, 9, 21, 30])
+    back = np.array([[1.0, 10.0], [2.0, 20.0], [4.0, 40.0]], dtype=np.float32)
+    at, sums = scoring.summed(place, back)
+    assert at.tolist() == [5, 8, 9, 20, 21, 30, 31]
+    assert sums[:, 0].tolist() == [7, 2, 5, 3, 4, 6, 1] and np.allclose(sums[:, 1], 10 * sums[:, 0])
+    assert scoring.summed(np.array([3, 1, 4, 2]), back[:1])[0].tolist() == [1, 2, 3, 4]
+
+
 def test_every_word_is_trained_on_in_every_round(spark, edges):
     """With the production options; the examples are counted where the networks are trained."""
     options = scoring.Options()
