@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import add_days, add_years
@@ -29,6 +29,9 @@ BIRTH_DAYS = 24107  # 1940-01-01 to 2005-12-31
 ADULT_YEARS = 15
 SHIPPING_DAYS, DELIVERY_DAYS, MAX_QUANTITY = 15, 45, 14
 
+# Order lines that one task makes: at most, and what a task is worth.
+MOST_LINES, LEAST_LINES = 5_000_000, 100_000
+
 
 def digest(*parts) -> Column:
     return F.md5(F.concat_ws(":", *[p.cast("string") if isinstance(p, Column) else F.lit(str(p)) for p in parts]))
@@ -152,19 +155,34 @@ def order_lines(
     """In every round a sample of the orders meets a small sample of the products.
 
     The product sample of all rounds together has about ``rounds * products_per_round`` rows, so the
-    lines come from an equi-join on the round and grow with the orders alone.
+    lines come from an equi-join on the round and grow with the orders alone. The drawn orders are dealt over tasks by the
+    lines expected, as a small file of orders may give most lines.
     """
     chance = products_per_round / max(product_rows, 1)
     offered = _in_rounds(product.select(F.col(uniq_id).alias("uniq_id")), "uniq_id", "offer", rounds, chance)
     bought = _in_rounds(
         order.select(F.col(order_id).alias("order_id")), "order_id", "buy", rounds, order_fraction
     ).withColumnRenamed("round", "order_round")
-    small = F.broadcast(offered) if fits_broadcast(offered) else offered
-    lines = bought.join(small, bought["order_round"] == offered["round"])
-    key = digest("line", F.col("order_id"), F.col("uniq_id"), F.col("round"))
+    if fits_broadcast(offered):
+        bought = bought.repartition(line_tasks(order.sparkSession, order.count() * order_fraction * offered.count()), "order_id")
+        small = F.broadcast(_with_text(offered, "offer_text", F.col("uniq_id"), F.col("round")))
+    else:
+        small = _with_text(offered, "offer_text", F.col("uniq_id"), F.col("round"))
+    lines = _with_text(bought, "order_text", F.lit("line"), F.col("order_id")).join(small, F.col("order_round") == F.col("round"))
+    key = digest(F.col("order_text"), F.col("offer_text"))
     return lines.select("order_id", "uniq_id", (draw(key, 1, MAX_QUANTITY) + 1).cast("int").alias("quantity"))
 
 
+def line_tasks(spark: SparkSession, lines: float) -> int:
+    """Tasks for so many lines: enough that none makes more than ``MOST_LINES``, and for all cores where it is worth it."""
+    return int(max(lines // MOST_LINES + 1, min(2 * spark.sparkContext.defaultParallelism, lines // LEAST_LINES + 1)))
+
+
+def _with_text(df: DataFrame, name: str, *parts: Column) -> DataFrame:
+    """A side's part of the text that is digested for a line, made once for all lines of the row."""
+    return df.withColumn(name, F.concat_ws(":", *[p.cast("string") for p in parts]))
+
+
 def _in_rounds(df: DataFrame, key: str, label: str, rounds: int, chance: float) -> DataFrame:
     """The rounds a row takes part in: a Poisson number of draws, each naming a round."""
     counted = df.withColumn("n", poisson_count(digest(label, F.col(key)), 1, rounds * chance))

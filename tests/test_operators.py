@@ -247,3 +247,21 @@ def test_merge_joins_products_before_the_rows_are_wide(spark, monkeypatch):
         monkeypatch.setattr(merge, "fits_broadcast", lambda df, small=small: small)
         for rows_per_task in (20, 10**6):
             assert rows(merge.merge_chain(customer, orders, lines, product, *keys, rows_per_task=rows_per_task)) == want
+
+
+def test_order_lines_of_one_file_are_dealt_over_tasks(spark):
+    """Orders that one task reads give their lines in several, the same lines as a plain join."""
+    from millrace.datagen import sales as gen
+
+    ids = spark.range(20_000, numPartitions=1).withColumnRenamed("id", "order_id")
+    products = spark.range(100, numPartitions=1).withColumnRenamed("id", "uniq_id")
+    lines = gen.order_lines(ids, products, 10)
+    each = [r["count"] for r in lines.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+    assert len(each) > 1 and max(each) < 0.8 * sum(each)
+    bought = gen._in_rounds(ids, "order_id", "buy", 100, 0.001).withColumnRenamed("round", "r")
+    offered = gen._in_rounds(products, "uniq_id", "offer", 100, 0.8)
+    key = gen.digest("line", F.col("order_id"), F.col("uniq_id"), F.col("round"))
+    plain = bought.join(offered, F.col("r") == F.col("round"))
+    plain = plain.select("order_id", "uniq_id", (gen.draw(key, 1, 14) + 1).cast("int").alias("quantity"))
+    assert sum(each) == plain.count() and lines.exceptAll(plain).count() == 0
+    assert gen.line_tasks(spark, 15e9) == 3001 and gen.line_tasks(spark, 0) == 1
