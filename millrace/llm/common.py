@@ -22,6 +22,9 @@ BROADCAST_BYTES = 8 * 1024 * 1024
 # Bytes of a batch that become Python objects at once; one larger row is taken alone.
 SLICE_BYTES = 4 * 1024 * 1024
 
+# Spark's bound on the bytes of a batch that goes to Python; its default of 64 MB is held several times by each task.
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 # Rows that one task numbers at once.
 ROWS_PER_BUCKET = 20_000
 
@@ -131,6 +134,17 @@ def number_within(df: DataFrame, keys: list[str], order: list[Column], out: str,
     return joined.select(*[numbered[c] for c in df.columns], number.cast("long").alias(out))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on the session sends batches of ``SLICE_BYTES`` at most to Python; a smaller bound stays.
+
+    Neither the executor's buffers nor the Python workers, which are reused and keep what they once needed, grow with
+    the rows of a batch then.
+    """
+    now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(BATCH_SETTING))
+    if not 0 < now <= SLICE_BYTES:
+        spark.conf.set(BATCH_SETTING, f"{SLICE_BYTES}b")
+
+
 def sliced(kind: pa.DataType, function: Callable[..., list]) -> Callable[..., pa.Array]:
     """An Arrow function of whole batches from one of lists, which gets slices of bounded bytes."""
 
@@ -184,6 +198,7 @@ def scan(df: DataFrame, keep: list[str], added: dict[str, str], start: Callable[
     ``start`` runs once per task and returns the function from columns (lists) to the ``added`` columns. That function
     may return ``ROW``, the input row of each output row, to give several or no rows for one.
     """
+    small_batches(df.sparkSession)
     kinds = dict(df.dtypes)
     schema = ", ".join([f"`{c}` {kinds[c]}" for c in keep] + [f"`{c}` {kind}" for c, kind in added.items()])
 

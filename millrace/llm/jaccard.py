@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, by_value, documents, free_prefix, scan, slices, small, utf8
+from .common import Scratch, by_value, documents, free_prefix, scan, slices, small, small_batches, utf8
 from .components import files_for, joined_components
 from .hashing import WordHasher, shingles
 
@@ -90,6 +90,7 @@ def common_shingles(docs: DataFrame, options: Options) -> tuple[np.ndarray, np.n
                 shingle, many = shingle[:0], many[:0]
         yield batch(many > 1)
 
+    small_batches(docs.sparkSession)
     counted = docs.select("body").mapInArrow(run, "shingle long, many long")
     counted = counted.groupBy("shingle").agg(F.sum("many").alias("many")).filter(F.col("many") >= options.common)
     top = counted.orderBy(F.desc("many"), "shingle").limit(options.listed).toArrow()

@@ -21,15 +21,16 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ROW, Scratch, by_value, documents, number_within, scan, worker_cache
+from .common import ROW, Scratch, by_value, documents, number_within, scan
 
 by_value(__name__)
 
 SEQUENCE = 4096
 END = 1
 TOKENIZER = "word_bpe_49k.json"
-# Entries of a worker's word cache; it is emptied when full.
-CACHED_WORDS = 1_500_000
+# Entries of a task's caches of words and of their parts; one that is full is emptied. Longer words are not kept.
+CACHED_WORDS = 300_000
+CACHED_LENGTH = 64
 
 # Fixed value: the tokenizer's own split into words, digits and marks.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -42,7 +43,8 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 
 class Encoder:
-    """Ids of a text as little-endian 32-bit bytes, from a cache of white-space separated words.
+    """Ids of a text as little-endian 32-bit bytes, from a cache of white-space separated words, which ends with the task:
+    a reused Python worker holds none of it in the stages that follow.
 
     A word of Latin-1 characters goes through the tokenizer's model directly: that range is already in normal form and
     is lower-cased letter by letter. All other words, and those that may hold a special token, take the whole tokenizer.
@@ -57,8 +59,8 @@ class Encoder:
         self.model = self.whole.model
         self.pieces = regex.compile(PIECES)
         self.visible = self._visible_bytes()
-        self.words = worker_cache(f"words:{path}")
-        self.parts = worker_cache(f"parts:{path}")
+        self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
         self.odd = re.compile("[\x1c-\x1f]")
         self.narrow = re.compile("[\x00-\xff]*").fullmatch
 
@@ -82,7 +84,8 @@ class Encoder:
         for piece in self.pieces.findall(word.lower()):
             known = self.parts.get(piece)
             if known is None:
-                known = self.parts[piece] = self.part(piece)
+                known = self.part(piece)
+                keep(self.parts, piece, known)
             out.append(known)
         return b"".join(out)
 
@@ -92,18 +95,23 @@ class Encoder:
         if self.odd.search(text):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
         words = self.words
-        if len(words) > CACHED_WORDS or len(self.parts) > CACHED_WORDS:
-            words.clear()
-            self.parts.clear()
         out = []
         for w in text.split():
             ids = words.get(w)
             if ids is None:
-                ids = words[w] = self.word(w)
+                ids = self.word(w)
+                keep(words, w, ids)
             out.append(ids)
         return b"".join(out)
 
 
+def keep(cache: dict[str, bytes], word: str, ids: bytes) -> None:
+    if len(word) <= CACHED_LENGTH:
+        if len(cache) >= CACHED_WORDS:
+            cache.clear()
+        cache[word] = ids
+
+
 def cut(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", size: int = SEQUENCE) -> DataFrame:
     """One row per piece: id, piece, start, length and the checksum of its ids."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("body"))

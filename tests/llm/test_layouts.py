@@ -170,6 +170,20 @@ def fewest(counts, size):
     return best[0]
 
 
+def test_word_caches_are_bounded_and_end_with_the_task(monkeypatch):
+    monkeypatch.setattr(packing, "CACHED_WORDS", 50)
+    path = packing.tokenizer_path()
+    encoder, fresh = packing.Encoder(path), packing.Encoder(path)
+    text = " ".join([*(f"word{i} rare-{i}" for i in range(500)), "x" * 5000, "word1"])
+    ids = encoder.whole.encode(text, add_special_tokens=False).ids
+    for _ in range(2):
+        assert encoder.text(text) == np.array(ids, dtype="<u4").tobytes()
+        assert len(encoder.words) <= 50 and len(encoder.parts) <= 50
+    encoder.text("x" * 5000)
+    assert max(map(len, [*encoder.words, *encoder.parts])) <= packing.CACHED_LENGTH
+    assert not fresh.words and not packing.Encoder(path).words
+
+
 @pytest.mark.parametrize("seed", range(15))
 def test_packing_is_optimal_on_small_cases(seed):
     rng = np.random.default_rng(seed)

@@ -5,10 +5,11 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.llm import quality, scoring, secrets, toxicity, urls
+from millrace.llm import common, quality, scoring, secrets, toxicity, urls
 from millrace.llm.common import documents
 from millrace.llm.hashing import WordHasher, shingles
 
@@ -232,6 +233,28 @@ def test_toxicity_edges(spark, edges, empty):
     assert toxicity.score_documents(empty, toxicity.learn(empty, nobody)).collect() == []
 
 
+# --- batches
+
+
+def test_batches_for_python_are_bounded_in_bytes(spark):
+    docs = spark.range(0, 3000, 1, 1).select("id", F.repeat(F.lit("x"), 10_000).alias("body"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"bytes": [batch.nbytes]})
+
+    before = spark.conf.get(common.BATCH_SETTING)
+    try:
+        common.scan(docs, ["id"], {"n": "long"}, lambda: lambda read: {"n": [len(t) for t in read["body"]]})
+        most = [r["bytes"] for r in docs.mapInArrow(sizes, "bytes long").collect()]
+        assert sum(most) >= 30_000_000 and max(most) <= common.SLICE_BYTES + 20_000
+        spark.conf.set(common.BATCH_SETTING, "1m")
+        common.small_batches(spark)
+        assert spark.conf.get(common.BATCH_SETTING) == "1m"
+    finally:
+        spark.conf.set(common.BATCH_SETTING, before)
+
+
 # --- scoring
 
 
