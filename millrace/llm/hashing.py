@@ -10,6 +10,8 @@ by_value(__name__)
 
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
 BLOCK = 1 << 20
+# Texts are hashed together up to so many bytes: a call on a short one costs more than its bytes.
+TOGETHER = 1 << 18
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -29,12 +31,10 @@ class WordHasher:
 
     def __init__(self, lower: bool = True, blanks: bytes = BLANKS.encode(), prefixes: tuple[int, ...] = ()):
         self.prefixes = prefixes
-        table = np.arange(256, dtype=np.uint64) + np.uint64(1)
-        if lower:
-            table[65:91] += np.uint64(32)
-        self.table = table
-        self.blank = np.zeros(256, dtype=bool)
-        self.blank[list(blanks)] = True
+        # bytes translate themselves many times faster than numpy looks them up
+        self.folded = bytes(b + 32 if lower and 65 <= b < 91 else b for b in range(256))
+        self.solid = bytes(b not in blanks for b in range(256))
+        self.between = blanks[:1]
         self.power = np.ones(1, dtype=np.uint64)
         self.inverse = self.power
 
@@ -48,31 +48,47 @@ class WordHasher:
     def __call__(self, raw: bytes) -> np.ndarray:
         return self.spans(raw)[0]
 
+    def each(self, raws: list[bytes]) -> list[np.ndarray]:
+        """Hashes of the words of every text."""
+        out, at = [], 0
+        sizes = np.cumsum([0, *[len(raw) + 1 for raw in raws]])
+        while at < len(raws):
+            end = max(at + 1, int(np.searchsorted(sizes, sizes[at] + TOGETHER, side="right")) - 1)
+            hashes, starts, _ = self.spans(self.between.join(raws[at:end]))
+            bounds = np.searchsorted(starts, sizes[at : end + 1] - sizes[at]).tolist()
+            out.extend(hashes[a:b] for a, b in zip(bounds, bounds[1:]))
+            at = end
+        return out
+
     def spans(self, raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Hash, first byte and end of every word."""
-        whole = np.frombuffer(raw, dtype=np.uint8)
+        whole = np.frombuffer(raw.translate(self.folded), dtype=np.uint8)
+        solid = np.frombuffer(raw.translate(self.solid), dtype=np.int8)
         if len(whole) <= BLOCK:
-            return self._block(whole)
-        gaps = np.flatnonzero(self.blank[whole])
+            return self._block(whole, solid)
+        gaps = np.flatnonzero(solid == 0)
         parts, at = [], 0
         while at < len(whole):
             k = np.searchsorted(gaps, at + BLOCK)
             end = int(gaps[k]) + 1 if k < len(gaps) else len(whole)
-            hashes, starts, ends = self._block(whole[at:end])
+            hashes, starts, ends = self._block(whole[at:end], solid[at:end])
             parts.append((hashes, starts + at, ends + at))
             at = end
         return tuple(np.concatenate(column) for column in zip(*parts))
 
-    def _block(self, a: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        solid = np.zeros(len(a) + 2, dtype=np.int8)
-        solid[1:-1] = ~self.blank[a]
-        edges = np.diff(solid)
-        starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+    def _block(self, a: np.ndarray, solid: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        edged = np.zeros(len(a) + 2, dtype=np.int8)
+        edged[1:-1] = solid
+        edges = np.flatnonzero(edged[1:] != edged[:-1])
+        starts, ends = edges[::2], edges[1::2]
         if not len(starts):
             return np.zeros((0, 1 + len(self.prefixes)) if self.prefixes else 0, dtype=np.uint64), starts, ends
         self._grow(len(a))
         sums = np.zeros(len(a) + 1, dtype=np.uint64)
-        np.cumsum(self.table[a] * self.power[: len(a)], out=sums[1:])
+        powers = a.astype(np.uint64)
+        powers += np.uint64(1)
+        powers *= self.power[: len(a)]
+        np.cumsum(powers, out=sums[1:])
         inverse, lengths = self.inverse[starts], ends - starts
         own = mix((sums[ends] - sums[starts]) * inverse + lengths.astype(np.uint64))
         if not self.prefixes:

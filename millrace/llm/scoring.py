@@ -75,12 +75,25 @@ class Vocabulary:
         self.sorted = frequent[self.order]
         self.shared = options.codes - options.frequent
         self.first = options.frequent
+        # where the frequent words with the same first bits begin; there are few of them, mostly none
+        bits = len(frequent).bit_length() + 3
+        self.drop = np.uint64(64 - bits)
+        self.begin = np.searchsorted(self.sorted >> self.drop, np.arange((1 << bits) + 1, dtype=np.uint64))
+        self.most = int(np.diff(self.begin).max())
 
     def codes(self, hashes: np.ndarray) -> np.ndarray:
-        out = self.first + (hashes % np.uint64(self.shared)).astype(np.int64)
-        if len(self.sorted):
-            at = np.minimum(np.searchsorted(self.sorted, hashes), len(self.sorted) - 1)
-            out = np.where(self.sorted[at] == hashes, self.order[at], out)
+        shared = np.uint64(self.shared)
+        out = self.first + (hashes - hashes // shared * shared).astype(np.int64)
+        if not len(self.sorted):
+            return out
+        bits = (hashes >> self.drop).astype(np.intp)
+        at, open_ = self.begin.take(bits), np.arange(len(hashes))
+        for i in range(self.most):
+            if i:
+                open_ = open_[self.begin.take(bits[open_] + 1) > at[open_] + i]
+            place = at.take(open_) + i if i else at
+            found = np.flatnonzero(self.sorted.take(place, mode="clip") == hashes.take(open_))
+            out[open_[found]] = self.order[place[found]]
         return out
 
 
@@ -112,89 +125,198 @@ class Network:
             p.reshape(s) for p, s in zip(parts, self.shapes)
         )
 
-    def hidden(self, around: np.ndarray) -> np.ndarray:
-        total = self.bias + self.context[0].take(around[:, 0], axis=0)
-        for i in range(1, len(SHIFTS)):
-            total += self.context[i].take(around[:, i], axis=0)
-        return np.tanh(total, out=total)
-
-    def digits(self, h: np.ndarray, both: np.ndarray, high: np.ndarray) -> np.ndarray:
-        """Inputs of the two softmaxes less their maximum: softmax, digit, example. An example is a column, as numpy is
-        fastest along long rows."""
-        z = (both.T @ h.T).reshape(2, self.digit, len(h))
-        z[0] += self.high_bias[:, None]
-        z[1] += self.low_bias.take(high, axis=0).T
-        z -= z.max(axis=1, keepdims=True)
-        return z
-
     def log_probability(self, around: np.ndarray, target: np.ndarray, at_once: int = 1024) -> np.ndarray:
-        both = np.concatenate([self.high, self.low], axis=1)
         out = np.zeros(len(target), dtype=np.float32)
+        if not len(target):
+            return out
+        high, low = np.divmod(target, self.digit)
+        x = around + np.arange(len(SHIFTS)) * self.context.shape[1]
+        softmax = Softmax(self, min(at_once, len(target)))
         for at in range(0, len(target), at_once):
-            some = target[at : at + at_once]
-            high, column = some // self.digit, np.arange(len(some))
-            z = self.digits(self.hidden(around[at : at + at_once]), both, high)
-            picked = z[0, high, column] + z[1, some % self.digit, column]
-            out[at : at + at_once] = picked - np.log(np.exp(z, out=z).sum(axis=1)).sum(axis=0)
+            some = slice(at, at + at_once)
+            out[some] = softmax.log_probability(np.ascontiguousarray(x[some].T), high[some], low[some])
         return out
 
-    def train(self, codes: np.ndarray, places: np.ndarray, options: Options) -> None:
-        """One pass over the words at these places, in mini-batches with steps scaled by the gradients so far."""
-        rate, d = np.float32(options.rate), self.digit
+    def train(self, codes: np.ndarray, places: np.ndarray, options: Options, together: int = 32) -> None:
+        """One pass over the words at these places, in mini-batches with steps scaled by the gradients so far. So many steps
+        ``together`` are prepared at once."""
         context = self.context.reshape(-1, self.context.shape[-1])
         squares = np.full(context.shape, 1e-3, dtype=np.float32)
+        dense_squares = np.full(len(self.flat) - context.size, 1e-3, dtype=np.float32)
+        whole = len(places) // options.batch * options.batch
+        parts = [places[at : min(at + together * options.batch, whole)] for at in range(0, whole, together * options.batch)]
+        for part in [*parts, places[whole:]]:
+            if len(part):
+                self.steps(codes, part.reshape(-1, min(options.batch, len(part))), np.float32(options.rate), squares, dense_squares)
+
+    def steps(self, codes: np.ndarray, batches: np.ndarray, rate: np.float32, squares: np.ndarray, dense_squares: np.ndarray) -> None:
+        """A step for each row of places. Equal places are found for all steps at once; a step only computes, in memory that
+        the steps share."""
+        d, n, width = self.digit, batches.shape[1], self.context.shape[-1]
+        context = self.context.reshape(-1, width)
         dense = self.flat[context.size :]
-        dense_squares = np.full(dense.shape, 1e-3, dtype=np.float32)
-        shifts, beside = np.array(SHIFTS), np.arange(len(SHIFTS)) * self.context.shape[1]
-        for at in range(0, len(places), options.batch):
-            some = places[at : at + options.batch]
-            # examples with the same first digit stand side by side
-            some = some[np.argsort(codes[some], kind="stable")]
-            x, y = codes[some[:, None] + shifts], codes[some]
-            high, n, column = y // d, np.float32(len(y)), np.arange(len(y))
-            h = self.hidden(x)
-            both = np.concatenate([self.high, self.low], axis=1)
-            z = self.digits(h, both, high)
-            np.exp(z, out=z)
-            z *= -1 / z.sum(axis=1, keepdims=True)
-            z[0, high, column] += 1
-            z[1, y - high * d, column] += 1
-            miss = z.reshape(2 * d, len(y))
-            back = (miss.T @ both.T) * (1 - h * h)
-            weights = h.T @ miss.T
-            starts = starts_of(high)
-            lows = np.zeros((d, d), dtype=np.float32)
-            lows[high[starts]] = np.add.reduceat(z[1], starts, axis=1).T
-            g = np.concatenate([back.sum(0), weights[:, :d].ravel(), z[0].sum(1), weights[:, d:].ravel(), lows.ravel()]) / n
-            dense_squares += g * g
-            dense += rate * g / np.sqrt(dense_squares)
-            used, g = summed((x + beside).ravel(), back)
-            g /= n
-            seen = squares.take(used, axis=0) + g * g
-            squares[used] = seen
-            context[used] = context.take(used, axis=0) + rate * g / np.sqrt(seen)
-
-
-def starts_of(ordered: np.ndarray) -> np.ndarray:
-    """Where each stretch of equal numbers begins."""
-    new = np.ones(len(ordered), dtype=bool)
-    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
-    return np.flatnonzero(new)
+        x = np.stack([codes[batches + s] + i * self.context.shape[1] for i, s in enumerate(SHIFTS)], axis=1)
+        high, low = np.divmod(codes[batches], d)
+        contexts, highs = Sums(x.reshape(len(x), -1), n), Sums(high, n)
+        # rows as single items, which numpy puts in their places fastest
+        item = np.dtype(f"V{4 * width}")
+        context_items, square_items = context.view(item).ravel(), squares.view(item).ravel()
+        softmax = Softmax(self, n)
+        back, other, scaled = (np.zeros((rows, columns), dtype=np.float32) for rows, columns in ((n + 1, width), (n, width), (n, width + 1)))
+        seen, rows = (np.empty((contexts.most, width), dtype=np.float32) for _ in range(2))
+        ones, g_dense, again = np.ones(n, dtype=np.float32), np.zeros_like(dense), np.empty_like(dense)
+        g_bias, g_high, g_low, g_lows = np.split(g_dense, np.cumsum([width, (width + 1) * d, width * d]))
+        g_high, g_low, g_lows = g_high.reshape(-1, d), g_low.reshape(-1, d), g_lows.reshape(d, d)
+        for step, at in enumerate(x):
+            softmax(at, high[step], low[step])
+            h, h1, (by_high, by_low) = softmax.h, softmax.h1, softmax.misses()
+            # the first digit's misses have yet to be multiplied by by_high, the second's are scaled for their sums
+            miss_high, miss_low = softmax.high[:n], softmax.low
+            miss_low[:n] *= by_low[:, None]
+            g = np.matmul(miss_high, self.high.T, out=back[:n])
+            g *= by_high[:, None]
+            g += np.matmul(miss_low[:n], self.low.T, out=other)
+            np.multiply(h, h, out=other)
+            g *= np.subtract(1, other, out=other)
+            np.dot(ones, g, out=g_bias)
+            np.matmul(np.multiply(h1, by_high[:, None], out=scaled).T, miss_high, out=g_high)
+            np.matmul(h.T, miss_low[:n], out=g_low)
+            g_lows[:] = 0
+            used, sums = highs(step, miss_low)
+            g_lows[used] = sums
+            dense_squares += np.multiply(g_dense, g_dense, out=again)
+            g_dense *= rate
+            g_dense /= np.sqrt(dense_squares, out=again)
+            dense += g_dense
+            used, g = contexts(step, back)
+            some, total = rows[: len(used)], seen[: len(used)]
+            np.multiply(g, g, out=total)
+            total += squares.take(used, axis=0, out=some, mode="clip")
+            np.put(square_items, used, total.view(item))
+            g *= rate
+            g /= np.sqrt(total, out=total)
+            g += context.take(used, axis=0, out=some, mode="clip")
+            np.put(context_items, used, g.view(item))
+
+
+class Softmax:
+    """Hidden layer and both softmaxes of ``n`` examples at most, in memory that is used again. An example is a row; ``x`` has
+    a row of context places for each shift."""
+
+    def __init__(self, network: Network, n: int):
+        d, width = network.digit, network.context.shape[-1]
+        self.network, self.ones, self.begin = network, np.ones(d, dtype=np.float32), np.arange(n) * d
+        self.context = network.context.reshape(-1, width)
+        # the first digit's bias stands behind its weights and goes with a column of ones
+        self.first = network.flat[self.context.size + width :][: (width + 1) * d].reshape(-1, d)
+        self.around = np.empty((len(SHIFTS) * n, width), dtype=np.float32)
+        self.hidden, self.with_one = np.empty((n, width), dtype=np.float32), np.ones((n, width + 1), dtype=np.float32)
+        # the last row stays zero, as ``Sums`` asks
+        self.high, self.low = (np.zeros((n + 1, d), dtype=np.float32) for _ in range(2))
+        self.biases, self.totals = np.empty((n, d), dtype=np.float32), np.empty(2 * n, dtype=np.float32)
+
+    def __call__(self, x: np.ndarray, high: np.ndarray, low: np.ndarray) -> None:
+        """Exponentials, their sums, and ``picked``, the exponents at the targets. A maximum is taken off the exponents only
+        where sums leave the range in which they are exact."""
+        n, width = len(high), self.hidden.shape[1]
+        around = self.context.take(x.ravel(), axis=0, out=self.around[: x.size], mode="clip")
+        h = self.h = around.reshape(len(SHIFTS), n, width).sum(axis=0, out=self.hidden[:n])
+        h += self.network.bias
+        np.tanh(h, out=h)
+        self.h1 = self.with_one[:n]
+        self.h1[:, :width] = h
+        self.at, self.sums = (self.begin[:n] + high, self.begin[:n] + low), self.totals[: 2 * n].reshape(2, n)
+        with np.errstate(over="ignore"):
+            self.exponentials(*self.exponents(high))
+        if not (self.sums.min() > 1e-30 and self.sums.max() < 1e30):
+            exponents = self.exponents(high)
+            for z in exponents:
+                z -= z.max(axis=1, keepdims=True)
+            self.exponentials(*exponents)
+
+    def exponents(self, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        n = len(high)
+        second = np.matmul(self.h, self.network.low, out=self.low[:n])
+        second += self.network.low_bias.take(high, axis=0, out=self.biases[:n], mode="clip")
+        return np.matmul(self.h1, self.first, out=self.high[:n]), second
+
+    def exponentials(self, *exponents: np.ndarray) -> None:
+        self.picked = [z.ravel().take(at) for z, at in zip(exponents, self.at)]
+        for z, total in zip(exponents, self.sums):
+            np.dot(np.exp(z, out=z), self.ones, out=total)
+
+    def log_probability(self, x: np.ndarray, high: np.ndarray, low: np.ndarray) -> np.ndarray:
+        self(x, high, low)
+        return sum(self.picked) - np.log(self.sums).sum(axis=0)
+
+    def misses(self) -> np.ndarray:
+        """Leave the exponentials less their sum at the target; times the factors returned these are the digits' misses."""
+        for z, at, total in zip((self.high, self.low), self.at, self.sums):
+            flat = z.ravel()
+            flat[at] = flat.take(at) - total
+        return np.float32(-1 / self.sums.shape[1]) / self.sums
+
+
+class Sums:
+    """Sums of rows with equal keys, a batch at a time: ``keys`` has a line for each batch, and the key at place i belongs to
+    row i modulo ``n``.
+
+    Equal keys are found for all batches at once. Those that occur once are taken as they are; those that occur 2 to 4, 5 to
+    16, 17 to 32 times and so on are taken together, filled up with a row of zeros, so that few calls add up whole arrays.
+    """
+
+    def __init__(self, keys: np.ndarray, n: int):
+        batches, places = keys.shape
+        bits = n.bit_length()
+        kind = np.int32 if (int(keys.max()) + 1) << bits <= 1 << 31 else np.int64
+        packed = keys.astype(kind) << kind(bits) | np.tile(np.arange(n, dtype=kind), places // n)
+        packed.sort(axis=1)
+        rows = packed & kind((1 << bits) - 1)
+        packed >>= kind(bits)
+        new = np.ones((batches, places + 1), dtype=bool)
+        np.not_equal(packed[:, 1:], packed[:, :-1], out=new[:, 1:-1])
+        starts, ends = new[:, :-1], new[:, 1:]
+        alone = starts & ends
+        packed, rows, first = packed.ravel(), rows.ravel(), np.flatnonzero(starts > ends)
+        many = np.flatnonzero(ends > starts) - first + 1
+        each = alone.sum(axis=1)
+        self.levels = [(bounds_of(each), packed[alone.ravel()], rows[alone.ravel()].astype(np.intp))]
+        distinct, most = each, int(many.max(initial=1))
+        low, high = 1, 4
+        while low < most:
+            some = np.flatnonzero((many > low) & (many <= high))
+            within = np.arange(min(high, most))[:, None]
+            at = rows.take(first[some] + within, mode="clip")
+            each = np.bincount(first[some] // places, minlength=batches)
+            self.levels.append((bounds_of(each), packed[first[some]], np.where(within < many[some], at, n).astype(np.intp)))
+            distinct = distinct + each
+            low, high = high, high * (4 if high < 16 else 2)
+        self.most = int(distinct.max())
+
+    def __call__(self, batch: int, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct keys of a batch and the sums of their rows. Behind the batch's rows stands one of zeros."""
+        keys, sums = [], []
+        for bounds, level, places in self.levels:
+            a, b = bounds[batch : batch + 2]
+            if b > a:
+                keys.append(level[a:b])
+                part = rows.take(places[..., a:b], axis=0, mode="clip")
+                sums.append(part if places.ndim == 1 else part.sum(axis=0))
+        return np.concatenate(keys, dtype=np.intp), np.concatenate(sums)
+
+
+def bounds_of(each: np.ndarray) -> list[int]:
+    """Where the part of each batch begins, and the end of the last."""
+    return np.cumsum([0, *each]).tolist()
 
 
 def summed(place: np.ndarray, back: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct places, and for each the sum of its rows of ``back``, which has one row for as many places as there are
-    shifts. Most places are there once, only the others are added up."""
-    order = np.argsort(place)
-    place = place[order]
-    first = starts_of(place)
-    many = np.r_[first[1:], len(place)] - first
-    order //= len(SHIFTS)
-    g, more = back.take(order[first], axis=0), many > 1
-    if more.any():
-        ends = np.cumsum(many[more])
-        g[more] = np.add.reduceat(back.take(order[np.repeat(more, many)], axis=0), ends - many[more], axis=0)
-    return place[first], g
+    shifts."""
+    n = len(back)
+    places, sums = Sums(place.reshape(n, -1).T.reshape(1, -1), n)(0, np.concatenate([back, np.zeros_like(back[:1])]))
+    order = np.argsort(places)
+    return places[order], sums[order]
 
 
 def around_of(codes: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -208,7 +330,7 @@ def count_words(texts: DataFrame) -> DataFrame:
         hasher = WordHasher()
 
         def work(read: dict) -> dict:
-            parts = [hasher(utf8(t)) for t in read["body"]]
+            parts = hasher.each([utf8(t) for t in read["body"]])
             word, many = np.unique(np.concatenate([np.zeros(0, np.uint64), *parts]), return_counts=True)
             return {ROW: np.zeros(len(word), np.int64), "word": word.view(np.int64), "many": many}
 
@@ -249,8 +371,8 @@ def examples(texts: DataFrame, vocabulary: Vocabulary, options: Options, words_a
 
         def work(read: dict) -> dict:
             out, waiting, size = [], [], 0
-            for i, text in enumerate(read["body"], 1):
-                waiting.append(hasher(utf8(text)))
+            for i, hashes in enumerate(hasher.each([utf8(t) for t in read["body"]]), 1):
+                waiting.append(hashes)
                 size += len(waiting[-1])
                 if size >= words_at_once or (size and i == len(read["body"])):
                     out.append(spread(waiting, vocabulary, options.codes)[0].astype(np.int32).tobytes())
@@ -366,8 +488,7 @@ def score(
                 shared.extend(h[own[a:b] >= vocabulary.first].view(np.int64) for h, a, b in zip(waiting, ends, ends[1:]))
                 waiting.clear()
 
-            for text in read["body"]:
-                hashes = hasher(utf8(text))
+            for hashes in hasher.each([utf8(t) for t in read["body"]]):
                 lengths.append(len(hashes))
                 waiting.append(hashes)
                 size += len(hashes)

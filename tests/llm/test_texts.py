@@ -318,6 +318,70 @@ def test_training_rows_are_summed_by_distinct_place():
     assert scoring.summed(np.array([3, 1, 4, 2]), back[:1])[0].tolist() == [1, 2, 3, 4]
 
 
+def test_sums_of_rows_with_equal_keys():
+    """Batches with keys that occur once, a few times and everywhere; a row belongs to several keys."""
+    rng = np.random.default_rng(7)
+    for n, parts, batches in ((100, 4, 3), (7, 4, 2), (1, 4, 1), (64, 1, 4)):
+        keys = rng.zipf(1.3, (batches, parts * n)) % 500
+        rows = np.concatenate([rng.normal(size=(n, 3)), np.zeros((1, 3))])
+        sums = scoring.Sums(keys, n)
+        for batch, line in enumerate(keys):
+            want = np.zeros((500, 3))
+            np.add.at(want, line, rows[np.arange(len(line)) % n])
+            used, got = sums(batch, rows)
+            assert sorted(used) == sorted(set(line)) and len(used) <= sums.most
+            assert np.allclose(got, want[used])
+
+
+def test_large_exponents_keep_their_probabilities():
+    """Exponents beyond 32 bits, both ways, are brought back into range; the probabilities still add up to one."""
+    options = scoring.Options(frequent=8, digit=4, hidden=3)
+    for by in (-150, 150):
+        network = scoring.Network(options)
+        plain = network.log_probability(np.full((16, 4), 16), np.arange(16))
+        network.high_bias += by
+        network.low_bias += by
+        got = network.log_probability(np.full((16, 4), 16), np.arange(16))
+        assert np.allclose(got, plain, atol=1e-4) and np.isclose(np.exp(got).sum(), 1, atol=1e-4)
+        codes = np.array([16, 16, 1, 2, 1, 2, 16, 16])
+        other = scoring.Network(options)
+        network.train(codes, np.arange(2, 6), options)
+        other.train(codes, np.arange(2, 6), options)
+        assert np.allclose(network.context, other.context, atol=1e-4)
+
+
+def test_steps_of_training_share_their_sorting(monkeypatch):
+    """Places are sorted once for many steps, not in each of them."""
+    options = scoring.Options(frequent=8, digit=4, hidden=3, batch=5)
+    codes = np.concatenate([[16] * 2, np.random.default_rng(2).integers(0, 16, 203), [16] * 2])
+    calls, sums, argsort = [], scoring.Sums, np.argsort
+    monkeypatch.setattr(np, "argsort", lambda *a, **k: calls.append("argsort") or argsort(*a, **k))
+    monkeypatch.setattr(scoring, "Sums", lambda *a: calls.append("sums") or sums(*a))
+    scoring.Network(options).train(codes, np.arange(2, 205), options)
+    # contexts and first digits, of 32 batches, of the other whole ones and of the rest
+    assert calls == ["sums"] * 6
+
+
+def test_texts_hashed_together_have_their_own_words():
+    hasher = WordHasher()
+    texts = [b"", b" ", b"Aa bb", b"", b"x" * 300_000, b"y z " * 100_000, b"\n", "é É".encode(), b"q"]
+    blocks, block = [], hasher._block
+    hasher._block = lambda *columns: blocks.append(1) or block(*columns)
+    got = hasher.each(texts + [b"a b"] * 5000)
+    assert len(blocks) < 10 and hasher.each([]) == []
+    for text, words in zip(texts + [b"a b"] * 5000, got):
+        assert words.tolist() == [int(WordHasher()(w)[0]) for w in text.split()][: len(words)] if len(text) < 99 else len(words) == len(text.split())
+
+
+def test_codes_of_frequent_words_with_equal_first_bits():
+    options = scoring.Options(frequent=8, digit=4)
+    for frequent in ([], [1], [3, 1], list(range(8)), [2**64 - 1, 0, 5, 2**63]):
+        own = {h: i for i, h in enumerate(frequent)}
+        asked = [*frequent, *range(20), 2**64 - 2, 2**63 + 9]
+        got = scoring.Vocabulary(np.array(frequent, dtype=np.uint64), options).codes(np.array(asked, dtype=np.uint64))
+        assert got.tolist() == [own.get(h, 8 + h % 8) for h in asked]
+
+
 def test_every_word_is_trained_on_in_every_round(spark, edges):
     """With the production options; the examples are counted where the networks are trained."""
     options = scoring.Options()
