@@ -1,19 +1,29 @@
 """Customers, orders and order lines as expressions over given ids: a table's keys, or ``spark.range``.
 
 All draws come from MD5 digits of the row's identity: a repeated task, a second run and another
-engine give the same rows, and no step needs a Python worker.
+engine give the same rows. Only the lines, far more than all other rows, come from Python workers, by whole blocks.
 """
 
 from __future__ import annotations
 
 import math
+import sys
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..functions.dates import add_days, add_years
+from ..functions.digests import pair_draws
 from ..workspace import fits_broadcast
 
+# The functions travel to the Python workers by value: executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Building blocks of the invented people and companies.
 FIRST_NAMES = ["Ada", "Ben", "Cleo", "Dan", "Eva", "Finn", "Gwen", "Hugo", "Iris", "Jon", "Kim", "Leo"]
 LAST_NAMES = ["Abel", "Brook", "Cole", "Dale", "Ernst", "Frost", "Grant", "Hale", "Irwin", "Jones"]
@@ -32,6 +42,13 @@ SHIPPING_DAYS, DELIVERY_DAYS, MAX_QUANTITY = 15, 45, 14
 # Order lines that one task makes: at most, and what a task is worth.
 MOST_LINES, LEAST_LINES = 5_000_000, 100_000
 
+# So many steps of a Poisson distribution are compared one by one, in compiled code.
+FEW_CUTS = 32
+
+# Orders, or offers, of a round that are taken together, and lines that a Python worker hands back at once.
+BLOCK_ROWS, BATCH_LINES = 1024, 1 << 17
+LINE_COLUMNS = ["order_id", "uniq_id", "quantity"]
+
 
 def digest(*parts) -> Column:
     return F.md5(F.concat_ws(":", *[p.cast("string") if isinstance(p, Column) else F.lit(str(p)) for p in parts]))
@@ -60,8 +77,11 @@ def poisson_cuts(mean: float) -> list[float]:
 def poisson_count(digits: Column, position: int, mean: float) -> Column:
     """How often a row is drawn by sampling with replacement at that mean."""
     u = draw(digits, position, 1 << 28) / F.lit(float(1 << 28))
-    cuts = F.array(*[F.lit(c) for c in poisson_cuts(mean)])
-    return F.size(F.filter(cuts, lambda cut: cut <= u))
+    cuts = [F.lit(c) for c in poisson_cuts(mean)]
+    if len(cuts) <= FEW_CUTS:
+        return sum([F.coalesce((cut <= u).cast("int"), F.lit(0)) for cut in cuts], F.lit(0))
+    # The number drawn is bound first: inside the inner function it would be worked out for every cut.
+    return F.get(F.transform(F.array(u), lambda v: F.size(F.filter(F.array(*cuts), lambda cut: cut <= v))), 0)
 
 
 def customers(ids: DataFrame) -> DataFrame:
@@ -111,13 +131,17 @@ def _order_columns(base: DataFrame, day: Column) -> DataFrame:
     )
 
 
+def _numbered(counted: DataFrame) -> DataFrame:
+    """A row ``n`` times, numbered from 1 in ``i``. A filter on ``n`` would move below and work it out twice."""
+    return counted.withColumn("i", F.explode(F.when(F.col("n") > 0, F.sequence(F.lit(1), F.col("n")))))
+
+
 def _drawn(customer: DataFrame, label: str, mean: float) -> DataFrame:
     """Each customer as often as sampling with replacement would draw them."""
     counted = customer.select(
         "cust_id", "user_create_date", poisson_count(digest(label, F.col("cust_id")), 1, mean).alias("n")
     )
-    numbered = counted.filter(F.col("n") > 0).withColumn("i", F.explode(F.sequence(F.lit(1), F.col("n"))))
-    return numbered.withColumn("o", digest(label, F.col("cust_id"), F.col("i")))
+    return _numbered(counted).withColumn("o", digest(label, F.col("cust_id"), F.col("i")))
 
 
 def orders(customer: DataFrame, end_year: int, rounds: int = 30, fraction: float = 0.1) -> DataFrame:
@@ -155,22 +179,18 @@ def order_lines(
     """In every round a sample of the orders meets a small sample of the products.
 
     The product sample of all rounds together has about ``rounds * products_per_round`` rows, so the
-    lines come from an equi-join on the round and grow with the orders alone. The drawn orders are dealt over tasks by the
-    lines expected, as a small file of orders may give most lines.
+    lines come from an equi-join on the round and grow with the orders alone. A round's orders and products meet in blocks,
+    which are dealt over tasks by the lines expected: whole blocks are digested at once, and their lines made last.
     """
     chance = products_per_round / max(product_rows, 1)
     offered = _in_rounds(product.select(F.col(uniq_id).alias("uniq_id")), "uniq_id", "offer", rounds, chance)
-    bought = _in_rounds(
-        order.select(F.col(order_id).alias("order_id")), "order_id", "buy", rounds, order_fraction
-    ).withColumnRenamed("round", "order_round")
-    if fits_broadcast(offered):
-        bought = bought.repartition(line_tasks(order.sparkSession, order.count() * order_fraction * offered.count()), "order_id")
-        small = F.broadcast(_with_text(offered, "offer_text", F.col("uniq_id"), F.col("round")))
-    else:
-        small = _with_text(offered, "offer_text", F.col("uniq_id"), F.col("round"))
-    lines = _with_text(bought, "order_text", F.lit("line"), F.col("order_id")).join(small, F.col("order_round") == F.col("round"))
-    key = digest(F.col("order_text"), F.col("offer_text"))
-    return lines.select("order_id", "uniq_id", (draw(key, 1, MAX_QUANTITY) + 1).cast("int").alias("quantity"))
+    bought = _in_rounds(order.select(F.col(order_id).alias("order_id")), "order_id", "buy", rounds, order_fraction)
+    tasks = line_tasks(order.sparkSession, order.count() * order_fraction * offered.count())
+    offers = _blocks(offered, "uniq_id", "offer", F.col("uniq_id"), F.col("round"))
+    blocks = _blocks(bought, "order_id", "order", F.lit("line"), F.col("order_id"))
+    pairs = blocks.join(F.broadcast(offers) if fits_broadcast(offered) else offers, "round").drop("round").repartition(tasks)
+    ids = [pairs.schema[c].dataType.elementType for c in ("order_ids", "offer_ids")]
+    return pairs.mapInArrow(_lines_of_blocks, StructType([StructField(*f) for f in zip(LINE_COLUMNS, [*ids, IntegerType()])]))
 
 
 def line_tasks(spark: SparkSession, lines: float) -> int:
@@ -178,13 +198,31 @@ def line_tasks(spark: SparkSession, lines: float) -> int:
     return int(max(lines // MOST_LINES + 1, min(2 * spark.sparkContext.defaultParallelism, lines // LEAST_LINES + 1)))
 
 
-def _with_text(df: DataFrame, name: str, *parts: Column) -> DataFrame:
-    """A side's part of the text that is digested for a line, made once for all lines of the row."""
-    return df.withColumn(name, F.concat_ws(":", *[p.cast("string") for p in parts]))
+def _blocks(df: DataFrame, key: str, name: str, *parts: Column) -> DataFrame:
+    """The rows of a round in blocks of ``BLOCK_ROWS``: their keys, and their parts of the text that is digested for a line."""
+    text = F.concat_ws(":", *[p.cast("string") for p in parts])
+    texts = df.select("round", F.col(key).alias("id"), text.cast("binary").alias("text"))
+    order = Window.partitionBy("round").orderBy(F.length("text"), "text")
+    numbered = texts.withColumn("block", F.floor((F.row_number().over(order) - 1) / BLOCK_ROWS))
+    grouped = numbered.groupBy("round", "block").agg(F.collect_list(F.struct("id", "text")).alias("rows"))
+    return grouped.select("round", F.col("rows.id").alias(f"{name}_ids"), F.col("rows.text").alias(f"{name}_texts"))
+
+
+def _lines_of_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every order of a block with every offer of the other, and a quantity; ``BATCH_LINES`` at a time."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            cell = {name: batch.column(name).slice(row, 1).flatten() for name in batch.schema.names}
+            offers, offer_texts = cell["offer_ids"], cell["offer_texts"].to_pylist()
+            step = max(1, BATCH_LINES // len(offers))
+            for at in range(0, len(cell["order_ids"]), step):
+                drawn = pair_draws(cell["order_texts"].slice(at, step).to_pylist(), offer_texts, MAX_QUANTITY)
+                orders = cell["order_ids"].slice(at, step).take(pa.array(np.repeat(np.arange(len(drawn)), len(offers))))
+                quantities = pa.array(drawn.ravel().astype(np.int32) + 1)
+                yield pa.RecordBatch.from_arrays([orders, pa.concat_arrays([offers] * len(drawn)), quantities], LINE_COLUMNS)
 
 
 def _in_rounds(df: DataFrame, key: str, label: str, rounds: int, chance: float) -> DataFrame:
     """The rounds a row takes part in: a Poisson number of draws, each naming a round."""
-    counted = df.withColumn("n", poisson_count(digest(label, F.col(key)), 1, rounds * chance))
-    drawn = counted.filter(F.col("n") > 0).withColumn("i", F.explode(F.sequence(F.lit(1), F.col("n"))))
+    drawn = _numbered(df.withColumn("n", poisson_count(digest(label, F.col(key)), 1, rounds * chance)))
     return drawn.select(key, draw(digest(label, F.col(key), F.col("i")), 8, rounds).cast("int").alias("round"))

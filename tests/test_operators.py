@@ -265,3 +265,56 @@ def test_order_lines_of_one_file_are_dealt_over_tasks(spark):
     plain = plain.select("order_id", "uniq_id", (gen.draw(key, 1, 14) + 1).cast("int").alias("quantity"))
     assert sum(each) == plain.count() and lines.exceptAll(plain).count() == 0
     assert gen.line_tasks(spark, 15e9) == 3001 and gen.line_tasks(spark, 0) == 1
+
+
+def test_digests_of_pairs_are_those_of_md5():
+    """Texts of all lengths around the blocks of the digest, with bytes of all values."""
+    import hashlib
+    import random
+
+    from millrace.functions.digests import pair_draws
+
+    some = random.Random(5)
+    left = [some.randbytes(k) for k in (*range(0, 9), 31, 54, 55, 56, 62, 63, 64, 65, 119, 127, 128) for _ in range(2)]
+    right = [some.randbytes(k) for k in (*range(0, 6), 47, 54, 55, 63, 64, 70) for _ in range(2)]
+    some.shuffle(left)
+    for n in (14, 256):
+        want = [[int(hashlib.md5(a + b":" + b).hexdigest()[:7], 16) % n for b in right] for a in left]
+        assert pair_draws(left, right, n).tolist() == want
+
+
+def test_order_lines_come_from_blocks_of_pairs(spark, monkeypatch):
+    """No digest is worked out row by row behind the join; the lines are those of a plain join, whatever the blocks."""
+    from millrace.datagen import sales as gen
+
+    ids = [str(i) if i % 3 else f"é{i}" * (1 + i % 40) for i in range(400)] + ["twice"] * 20 + [None] * 5
+    order = spark.createDataFrame([(i,) for i in ids], "order_id STRING")
+    product = spark.createDataFrame([(i % 40 if i % 9 else None,) for i in range(60)], "uniq_id INT")
+    bought = gen._in_rounds(order, "order_id", "buy", 10, 0.3).withColumnRenamed("round", "r")
+    offered = gen._in_rounds(product, "uniq_id", "offer", 10, 0.2)
+    key = gen.digest("line", F.col("order_id"), F.concat_ws(":", "uniq_id", "round"))
+    want = bought.join(offered, F.col("r") == F.col("round"))
+    want = rows(want.select("order_id", "uniq_id", (gen.draw(key, 1, 14) + 1).cast("int").alias("quantity")))
+    assert len(want) > 1000
+    for small, size in ((True, 1024), (False, 7)):
+        monkeypatch.setattr(gen, "fits_broadcast", lambda df, small=small: small)
+        monkeypatch.setattr(gen, "BLOCK_ROWS", size)
+        monkeypatch.setattr(gen, "BATCH_LINES", 3 * size)
+        lines = gen.order_lines(order, product, 60, rounds=10, order_fraction=0.3, products_per_round=12)
+        assert rows(lines) == want
+        plan = lines._jdf.queryExecution().executedPlan().toString()
+        assert "Join" in plan and "md5" not in plan[: plan.index("Join")]
+
+
+def test_draws_work_out_a_row_s_number_once(spark):
+    from millrace.datagen import sales as gen
+
+    ids = spark.range(3000).withColumnRenamed("id", "k")
+    drawn = gen._in_rounds(ids, "k", "buy", 100, 0.01)
+    plan = drawn._jdf.queryExecution().executedPlan().toString()
+    assert "Filter" not in plan and "lambda" not in plan
+    for mean in (0.0, 0.3, 5.0, 200.0):
+        u = gen.draw(gen.digest("x", F.col("k")), 1, 1 << 28) / F.lit(float(1 << 28))
+        got = ids.select(u.alias("u"), gen.poisson_count(gen.digest("x", F.col("k")), 1, mean).alias("n")).collect()
+        cuts = gen.poisson_cuts(mean)
+        assert [r["n"] for r in got] == [sum(c <= r["u"] for c in cuts) for r in got]
